@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import gold
+from basketry.operators import gold, metrics
 from basketry.plans import pipeline as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,112 @@ def q_gold_location_ranked(spark, d):
     )
 
 
+# ---------------------------------------------------------------- metrics
+def _users(spark, d):
+    users, _, q_high = metrics.user_clv(pl.fact_customer(spark, d))
+    return users, q_high
+
+
+def q_insight_overview(spark, d):
+    return rounded(
+        metrics.overview(pl.fact_customer(spark, d), pl.location_daily(spark, d)),
+        money=("total_revenue",),
+    )
+
+
+def q_insight_user_clv(spark, d):
+    return rounded(_users(spark, d)[0], money=("clv_cumulative",))
+
+
+def q_insight_clv_tagged(spark, d):
+    users, _ = _users(spark, d)
+    return rounded(metrics.clv_tagged(pl.fact_customer(spark, d), users), money=CUSTOMER_MONEY)
+
+
+def q_insight_clv_kpis(spark, d):
+    users, q_high = _users(spark, d)
+    return rounded(
+        metrics.clv_kpis(users, q_high), money=("total_lifetime_revenue",), averages=("avg_clv",)
+    )
+
+
+def q_insight_clv_distribution(spark, d):
+    return rounded(
+        metrics.clv_distribution(_users(spark, d)[0]), averages=("bin_start", "bin_end")
+    )
+
+
+def q_insight_clv_summary(spark, d):
+    return metrics.clv_summary(_users(spark, d)[0])
+
+
+RFM_MONEY = ("Monetary",)
+
+
+def _rfm(fact_customer_fn, window):
+    def users(spark, d):
+        return rounded(metrics.rfm_users(fact_customer_fn(spark, d), window), money=RFM_MONEY)
+
+    def kpis(spark, d):
+        return metrics.rfm_kpis(metrics.rfm_users(fact_customer_fn(spark, d), window))
+
+    def summary(spark, d):
+        return metrics.rfm_summary(metrics.rfm_users(fact_customer_fn(spark, d), window))
+
+    return users, kpis, summary
+
+
+q_insight_rfm_users, q_insight_rfm_kpis, q_insight_rfm_summary = _rfm(pl.fact_customer, 30)
+q_insight_rfm_users_events, _, _ = _rfm(pl.event_fact_customer, 30)
+_, q_insight_rfm_kpis_events, _ = _rfm(pl.event_fact_customer, 7)
+_, _, q_insight_rfm_summary_events = _rfm(pl.event_fact_customer, 90)
+
+
+def q_insight_rfm_segment_counts(spark, d):
+    return metrics.rfm_segment_counts(metrics.rfm_users(pl.fact_customer(spark, d), 90))
+
+
+def q_insight_churn_counts(spark, d):
+    return metrics.churn_counts(pl.fact_customer(spark, d))
+
+
+def q_insight_daily_revenue(spark, d):
+    return rounded(metrics.daily_revenue(pl.location_daily(spark, d)), money=("total_revenue",))
+
+
+def q_insight_monthly_revenue(spark, d):
+    return rounded(metrics.monthly_revenue(pl.location_daily(spark, d)), money=("total_revenue",))
+
+
+def q_insight_total_revenue(spark, d):
+    return rounded(metrics.total_revenue(pl.fact_customer(spark, d)), money=("total_revenue",))
+
+
+def q_insight_loyalty_spend(spark, d):
+    return rounded(metrics.loyalty_spend(pl.fact_customer(spark, d)), averages=("revenue_daily",))
+
+
+def q_insight_top_locations_revenue(spark, d):
+    top = metrics.top_locations(pl.location_daily(spark, d), "revenue", 5, order_precision=MONEY)
+    return rounded(top, money=("total_revenue",))
+
+
+def q_insight_bottom_locations_revenue(spark, d):
+    top = metrics.top_locations(
+        pl.location_daily(spark, d), "revenue", 5, ascending=True, order_precision=MONEY
+    )
+    return rounded(top, money=("total_revenue",))
+
+
+def q_insight_top_locations_aov(spark, d):
+    top = metrics.top_locations(pl.location_daily(spark, d), "aov", 5, order_precision=AVERAGE)
+    return rounded(top, averages=("avg_order_value",))
+
+
+def q_insight_discount_revenue(spark, d):
+    return rounded(metrics.discount_revenue(pl.location_daily(spark, d)), money=("total_revenue",))
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_dim_date": q_silver_dim_date,
@@ -116,4 +222,26 @@ def queries() -> dict[str, Query]:
         "gold_fact_customer": q_gold_fact_customer,
         "gold_location_daily": q_gold_location_daily,
         "gold_location_ranked": q_gold_location_ranked,
+        "insight_overview": q_insight_overview,
+        "insight_total_revenue": q_insight_total_revenue,
+        "insight_user_clv": q_insight_user_clv,
+        "insight_clv_tagged": q_insight_clv_tagged,
+        "insight_clv_kpis": q_insight_clv_kpis,
+        "insight_clv_distribution": q_insight_clv_distribution,
+        "insight_clv_summary": q_insight_clv_summary,
+        "insight_rfm_users": q_insight_rfm_users,
+        "insight_rfm_kpis": q_insight_rfm_kpis,
+        "insight_rfm_summary": q_insight_rfm_summary,
+        "insight_rfm_segment_counts": q_insight_rfm_segment_counts,
+        "insight_rfm_users_events": q_insight_rfm_users_events,
+        "insight_rfm_kpis_events": q_insight_rfm_kpis_events,
+        "insight_rfm_summary_events": q_insight_rfm_summary_events,
+        "insight_churn_counts": q_insight_churn_counts,
+        "insight_daily_revenue": q_insight_daily_revenue,
+        "insight_monthly_revenue": q_insight_monthly_revenue,
+        "insight_loyalty_spend": q_insight_loyalty_spend,
+        "insight_top_locations_revenue": q_insight_top_locations_revenue,
+        "insight_bottom_locations_revenue": q_insight_bottom_locations_revenue,
+        "insight_top_locations_aov": q_insight_top_locations_aov,
+        "insight_discount_revenue": q_insight_discount_revenue,
     }

@@ -220,6 +220,10 @@ ALL_CTES = {**FIXTURE_CTES, **SILVER_CTES, **GOLD_CTES}
 def with_ctes(body: str) -> str:
     """Prefix ``body`` with every CTE definition (DuckDB skips unused ones)."""
     defs = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in ALL_CTES.items())
+    stripped = body.lstrip()
+    if stripped.upper().startswith("WITH "):
+        # The body brings its own CTEs: append them to the shared list.
+        return f"WITH {defs},\n{stripped[5:]}"
     return f"WITH {defs}\n{body}"
 
 
@@ -264,5 +268,166 @@ SQL = {
 }
 
 
+# ------------------------------------------------------------------ metrics
+_USER_CLV = """
+    uc AS (SELECT user_id, round(max(clv_cumulative), 2) AS clv_cumulative
+           FROM fact_customer GROUP BY user_id),
+    uq AS (SELECT quantile_cont(clv_cumulative, 0.2) AS q20,
+                  quantile_cont(clv_cumulative, 0.8) AS q80 FROM uc),
+    ug AS (SELECT uc.user_id, uc.clv_cumulative,
+                  CASE WHEN uc.clv_cumulative <= uq.q20 THEN 'Low CLV'
+                       WHEN uc.clv_cumulative >= uq.q80 THEN 'High CLV'
+                       ELSE 'Medium CLV' END AS CLV_Group
+           FROM uc, uq)"""
+
+
+def _rfm_sql(fact: str, window: int) -> str:
+    """RFM users with tercile codes: 0 if 3k < n-1, 1 if 3k < 2(n-1), else 2."""
+
+    def score(col: str, default: int) -> str:
+        return (
+            f"CASE WHEN st.d_{col} <= 1 OR {col}_v IS NULL THEN {default} "
+            f"WHEN 3 * k_{col} < st.n_{col} - 1 THEN 0 "
+            f"WHEN 3 * k_{col} < 2 * (st.n_{col} - 1) THEN 1 ELSE 2 END"
+        )
+
+    return f"""
+    ru AS (
+      SELECT user_id, min(recency_days) AS Recency, max(frequency_{window}d) AS Frequency,
+             max(monetary_{window}d) AS Monetary,
+             max(CASE churn_risk_flag WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3 END) AS churn_rank
+      FROM {fact} GROUP BY user_id),
+    rv AS (SELECT *, Recency AS r_v, Frequency AS f_v, round(Monetary, 2) AS m_v FROM ru),
+    st AS (SELECT count(r_v) AS n_r, count(DISTINCT r_v) AS d_r, count(f_v) AS n_f,
+                  count(DISTINCT f_v) AS d_f, count(m_v) AS n_m, count(DISTINCT m_v) AS d_m FROM rv),
+    rk AS (
+      SELECT *,
+             row_number() OVER (PARTITION BY r_v IS NULL ORDER BY r_v, user_id) - 1 AS k_r,
+             row_number() OVER (PARTITION BY f_v IS NULL ORDER BY f_v, user_id) - 1 AS k_f,
+             row_number() OVER (PARTITION BY m_v IS NULL ORDER BY m_v, user_id) - 1 AS k_m
+      FROM rv),
+    sc AS (
+      SELECT user_id, Recency, Frequency, Monetary, churn_rank,
+             CASE churn_rank WHEN 1 THEN 'Low' WHEN 2 THEN 'Medium' WHEN 3 THEN 'High' END AS Churn_Risk,
+             {score('r', 3)} AS R_Score, {score('f', 1)} AS F_Score, {score('m', 1)} AS M_Score
+      FROM rk, st),
+    rfm AS (
+      SELECT *, R_Score + F_Score + M_Score AS RFM_Score,
+             CASE WHEN Churn_Risk = 'High' THEN 'Churn Risk'
+                  WHEN R_Score = 3 AND F_Score >= 2 AND M_Score >= 2 THEN 'VIP'
+                  ELSE 'New Customer' END AS Segment
+      FROM sc)"""
+
+
+def _rfm_users(fact: str, window: int) -> str:
+    return (
+        f"WITH {_rfm_sql(fact, window)} SELECT user_id, Recency, Frequency, "
+        "round(Monetary, 2) AS Monetary, churn_rank, Churn_Risk, R_Score, F_Score, M_Score, "
+        "RFM_Score, Segment FROM rfm"
+    )
+
+
+def _rfm_kpis(fact: str, window: int) -> str:
+    return (
+        f"WITH {_rfm_sql(fact, window)} SELECT count(*) AS Total_Customers, "
+        "count(*) FILTER (WHERE Segment = 'VIP') AS VIP_Customers, "
+        "count(*) FILTER (WHERE Segment = 'New Customer') AS New_Customers, "
+        "count(*) FILTER (WHERE Segment = 'Churn Risk') AS Churn_Risk_Customers FROM rfm"
+    )
+
+
+def _rfm_summary(fact: str, window: int) -> str:
+    return (
+        f"WITH {_rfm_sql(fact, window)} SELECT Segment, count(user_id) AS Customers, "
+        "round(avg(Recency), 2) AS Avg_Recency, round(avg(Frequency), 2) AS Avg_Frequency, "
+        "round(avg(Monetary), 2) AS Avg_Monetary FROM rfm GROUP BY Segment"
+    )
+
+
+# Nested WITH inside a CTE body is fine in DuckDB; each metric is one statement.
+METRIC_SQL = {
+    "insight_overview": """
+    SELECT (SELECT count(DISTINCT restaurant_id) FROM location_daily) AS total_restaurants,
+           (SELECT count(DISTINCT user_id) FROM fact_customer) AS total_customers,
+           (SELECT CAST(COALESCE(sum(orders_daily), 0) AS BIGINT) FROM fact_customer) AS total_orders,
+           (SELECT round(COALESCE(sum(revenue_daily), 0), 2) FROM fact_customer) AS total_revenue""",
+    "insight_total_revenue": "SELECT round(COALESCE(sum(revenue_daily), 0), 2) AS total_revenue FROM fact_customer",
+    "insight_user_clv": f"WITH {_USER_CLV} SELECT * FROM ug",
+    "insight_clv_tagged": f"""WITH {_USER_CLV}
+    SELECT {_CUSTOMER_COLS}, recency_days, churn_risk_flag, {r2('clv_cumulative')}, {_ROLL_COLS}, ug.CLV_Group
+    FROM (SELECT f.*, g.CLV_Group FROM fact_customer f LEFT JOIN ug g ON f.user_id = g.user_id) ug""",
+    "insight_clv_kpis": f"""WITH {_USER_CLV}
+    SELECT round(COALESCE(sum(clv_cumulative), 0), 2) AS total_lifetime_revenue,
+           round(avg(clv_cumulative), 4) AS avg_clv,
+           count(*) FILTER (WHERE clv_cumulative >= (SELECT q80 FROM uq)) AS high_value_customers
+    FROM uc""",
+    "insight_clv_distribution": f"""WITH {_USER_CLV},
+    mm AS (SELECT min(clv_cumulative) AS lo, max(clv_cumulative) AS hi FROM uc),
+    ed AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS st,
+                  CASE WHEN lo = hi THEN 1.0 ELSE hi - lo END AS wd FROM mm),
+    cnt AS (SELECT CLV_Group,
+                   CAST(least(greatest(floor((clv_cumulative - ed.st) / ed.wd * 50), 0), 49) AS INTEGER) AS bin,
+                   count(*) AS customers
+            FROM ug, ed WHERE clv_cumulative IS NOT NULL GROUP BY ALL),
+    dom AS (SELECT g.CLV_Group, CAST(b.bin AS INTEGER) AS bin
+            FROM (SELECT DISTINCT CLV_Group FROM ug) g, range(50) b(bin))
+    SELECT dom.bin, dom.CLV_Group,
+           round(ed.st + ed.wd * dom.bin / 50, 4) AS bin_start,
+           round(ed.st + ed.wd * (dom.bin + 1) / 50, 4) AS bin_end,
+           CAST(COALESCE(cnt.customers, 0) AS BIGINT) AS customers
+    FROM dom CROSS JOIN ed
+    LEFT JOIN cnt ON dom.CLV_Group = cnt.CLV_Group AND dom.bin = cnt.bin""",
+    "insight_clv_summary": f"""WITH {_USER_CLV}
+    SELECT CLV_Group, count(user_id) AS Total_Customers,
+           round(COALESCE(sum(clv_cumulative), 0), 2) AS Total_Revenue,
+           round(avg(clv_cumulative), 2) AS Avg_CLV
+    FROM ug GROUP BY CLV_Group ORDER BY Avg_CLV DESC NULLS LAST, CLV_Group""",
+    "insight_rfm_users": _rfm_users("fact_customer", 30),
+    "insight_rfm_kpis": _rfm_kpis("fact_customer", 30),
+    "insight_rfm_summary": _rfm_summary("fact_customer", 30),
+    "insight_rfm_segment_counts": f"WITH {_rfm_sql('fact_customer', 90)} "
+    "SELECT Segment, count(user_id) AS Customers FROM rfm GROUP BY Segment",
+    "insight_rfm_users_events": _rfm_users("ev_fact_customer", 30),
+    "insight_rfm_kpis_events": _rfm_kpis("ev_fact_customer", 7),
+    "insight_rfm_summary_events": _rfm_summary("ev_fact_customer", 90),
+    "insight_churn_counts": """
+    SELECT lv.Churn_Risk, COALESCE(c.cnt, 0) AS Count
+    FROM (VALUES ('Low', 1), ('Medium', 2), ('High', 3)) lv(Churn_Risk, pos)
+    LEFT JOIN (
+      SELECT churn_risk_flag, count(*) AS cnt FROM (
+        SELECT user_id, churn_risk_flag,
+               row_number() OVER (PARTITION BY user_id ORDER BY creation_date DESC NULLS FIRST) AS rn
+        FROM fact_customer) WHERE rn = 1 GROUP BY churn_risk_flag
+    ) c ON c.churn_risk_flag = lv.Churn_Risk""",
+    "insight_daily_revenue": """
+    SELECT creation_date, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    FROM location_daily WHERE creation_date IS NOT NULL GROUP BY creation_date""",
+    "insight_monthly_revenue": """
+    SELECT period_month, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    FROM location_daily GROUP BY period_month""",
+    "insight_loyalty_spend": """
+    SELECT COALESCE(loyalty_orders > 0, FALSE) AS is_loyalty, round(avg(revenue_daily), 4) AS revenue_daily
+    FROM fact_customer GROUP BY 1""",
+    "insight_top_locations_revenue": """
+    SELECT restaurant_id, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    FROM location_daily WHERE restaurant_id IS NOT NULL GROUP BY restaurant_id
+    ORDER BY round(COALESCE(sum(total_revenue), 0), 2) DESC NULLS LAST, restaurant_id LIMIT 5""",
+    "insight_bottom_locations_revenue": """
+    SELECT restaurant_id, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    FROM location_daily WHERE restaurant_id IS NOT NULL GROUP BY restaurant_id
+    ORDER BY round(COALESCE(sum(total_revenue), 0), 2) ASC NULLS LAST, restaurant_id LIMIT 5""",
+    "insight_top_locations_aov": """
+    SELECT restaurant_id, round(avg(avg_order_value), 4) AS avg_order_value
+    FROM location_daily WHERE restaurant_id IS NOT NULL GROUP BY restaurant_id
+    ORDER BY round(avg(avg_order_value), 4) DESC NULLS LAST, restaurant_id LIMIT 5""",
+    "insight_discount_revenue": """
+    SELECT COALESCE(non_loyalty_revenue < total_revenue, FALSE) AS discount_applied,
+           round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    FROM location_daily GROUP BY 1""",
+}
+
+SQL.update(METRIC_SQL)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in SQL.items()}
