@@ -27,6 +27,7 @@ from basketry.functions.rules import (
     rfm_segment,
 )
 from basketry.operators.ranking import grouped_quantiles, tercile_scores
+from basketry.session import materialize
 
 RFM_WINDOWS = (7, 30, 90)
 CLV_QUANTILES = (0.20, 0.80)
@@ -87,7 +88,7 @@ def user_clv(
     clv = F.max("clv_cumulative")
     if money_precision is not None:
         clv = F.round(clv, money_precision)
-    users = fact_customer.groupBy("user_id").agg(clv.alias("clv_cumulative"))
+    users = materialize(fact_customer.groupBy("user_id").agg(clv.alias("clv_cumulative")))
     q = grouped_quantiles(users, [], "clv_cumulative", list(probs), method=quantile_method).first()
     q_low = None if q is None else q["q_0"]
     q_high = None if q is None else q["q_1"]
@@ -206,7 +207,7 @@ def rfm_users(
         F.max(f"monetary_{window_days}d").alias("Monetary"),
         F.max(churn_rank("churn_risk_flag")).alias("churn_rank"),
     )
-    users = users.withColumn("Churn_Risk", churn_from_rank("churn_rank"))
+    users = materialize(users.withColumn("Churn_Risk", churn_from_rank("churn_rank")))
     money = F.col("Monetary")
     if money_precision is not None:
         money = F.round(money, money_precision)

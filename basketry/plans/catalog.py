@@ -11,20 +11,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import gold, metrics
+from basketry.operators import dedupe, gold, metrics, profile, validate
+from basketry.plans import fixtures as fx
 from basketry.plans import pipeline as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONEY = 2
 AVERAGE = 4
+EDGE = 6  # histogram bin edges: cents / bins never tie at 6 decimals
 
 
-def rounded(df: DataFrame, money: tuple[str, ...] = (), averages: tuple[str, ...] = ()) -> DataFrame:
+def rounded(
+    df: DataFrame,
+    money: tuple[str, ...] = (),
+    averages: tuple[str, ...] = (),
+    edges: tuple[str, ...] = (),
+) -> DataFrame:
     """Round the named double columns in place, keeping column order."""
     exprs = []
     for c in df.columns:
-        if c in money:
+        if c in edges:
+            exprs.append(F.round(F.col(c), EDGE).alias(c))
+        elif c in money:
             exprs.append(F.round(F.col(c), MONEY).alias(c))
         elif c in averages:
             exprs.append(F.round(F.col(c), AVERAGE).alias(c))
@@ -133,7 +142,7 @@ def q_insight_clv_kpis(spark, d):
 
 def q_insight_clv_distribution(spark, d):
     return rounded(
-        metrics.clv_distribution(_users(spark, d)[0]), averages=("bin_start", "bin_end")
+        metrics.clv_distribution(_users(spark, d)[0]), edges=("bin_start", "bin_end")
     )
 
 
@@ -208,6 +217,109 @@ def q_insight_discount_revenue(spark, d):
     return rounded(metrics.discount_revenue(pl.location_daily(spark, d)), money=("total_revenue",))
 
 
+# ---------------------------------------------------------------- profile
+def _raw_sources(spark, d):
+    return {
+        "order_items": fx.order_items(spark, d),
+        "order_item_options": fx.order_item_options(spark, d),
+        "date_dim": fx.date_dim(spark, d),
+    }
+
+
+def _profile_sources(spark, d):
+    out = _raw_sources(spark, d)
+    for name in ("customer", "part", "events"):
+        out[name] = fx.table(spark, d, name)
+    return out
+
+
+# Histogram bin counts used per source in the notebooks.
+HISTOGRAM_BINS = {"date_dim": 12, "order_items": 10, "order_item_options": 40}
+
+
+def _tagged_union(frames: dict[str, DataFrame]) -> DataFrame:
+    parts = [df.select(F.lit(name).alias("table_name"), "*") for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_profile_columns(spark, d):
+    return _tagged_union(
+        {n: profile.column_profile(df) for n, df in _raw_sources(spark, d).items()}
+    )
+
+
+def q_profile_missing_rows(spark, d):
+    return profile.missing_rows(fx.order_items(spark, d), ["LINEITEM_ID", "ITEM_CATEGORY", "ITEM_NAME"])
+
+
+def q_profile_duplicate_rows(spark, d):
+    return dedupe.duplicate_rows(fx.date_dim(spark, d))
+
+
+def q_profile_duplicate_rows_options(spark, d):
+    return dedupe.duplicate_rows(fx.order_item_options(spark, d))
+
+
+def q_profile_key_violations(spark, d):
+    return dedupe.key_violations(fx.order_items(spark, d), ["LINEITEM_ID"])
+
+
+def q_profile_key_violations_options(spark, d):
+    cleaned = fx.order_item_options(spark, d).distinct()
+    return dedupe.key_violations(cleaned, ["LINEITEM_ID", "OPTION_GROUP_NAME", "OPTION_NAME"])
+
+
+def q_profile_iqr_outliers(spark, d):
+    frames = {n: profile.iqr_outliers(df) for n, df in _profile_sources(spark, d).items()}
+    return rounded(
+        _tagged_union(frames), averages=("q1", "q3", "iqr", "lower_fence", "upper_fence")
+    )
+
+
+def q_profile_histogram(spark, d):
+    src = _raw_sources(spark, d)
+    frames = {n: profile.histogram(src[n], bins) for n, bins in HISTOGRAM_BINS.items()}
+    return rounded(_tagged_union(frames), edges=("bin_start", "bin_end"))
+
+
+def q_clean_dropna_accounting(spark, d):
+    return profile.dropna_accounting(fx.order_items(spark, d), ["LINEITEM_ID"])
+
+
+def q_clean_distinct_accounting(spark, d):
+    return profile.distinct_accounting(fx.order_item_options(spark, d))
+
+
+# ---------------------------------------------------------------- validate
+def q_validate_negative_prices(spark, d):
+    return validate.count_below(fx.order_item_options(spark, d), "OPTION_PRICE")
+
+
+def q_validate_timestamp_shape(spark, d):
+    return validate.text_shape(fx.order_items(spark, d), "CREATION_TIME_UTC")
+
+
+def q_validate_column_info(spark, d):
+    return validate.column_info(pl.silver_fact_orders(spark, d))
+
+
+def q_source_row_counts(spark, d):
+    return validate.row_counts(_raw_sources(spark, d))
+
+
+def q_source_preview(spark, d):
+    items = fx.order_items(spark, d)
+    return validate.preview(items, 5, order_by=items.columns)
+
+
+def q_inspect_gold_slice(spark, d):
+    fc = rounded(pl.fact_customer(spark, d), money=CUSTOMER_MONEY)
+    return validate.sorted_slice(fc, ["user_id", "creation_date"], 70, 100)
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_dim_date": q_silver_dim_date,
@@ -244,4 +356,20 @@ def queries() -> dict[str, Query]:
         "insight_bottom_locations_revenue": q_insight_bottom_locations_revenue,
         "insight_top_locations_aov": q_insight_top_locations_aov,
         "insight_discount_revenue": q_insight_discount_revenue,
+        "profile_columns": q_profile_columns,
+        "profile_missing_rows": q_profile_missing_rows,
+        "profile_duplicate_rows": q_profile_duplicate_rows,
+        "profile_duplicate_rows_options": q_profile_duplicate_rows_options,
+        "profile_key_violations": q_profile_key_violations,
+        "profile_key_violations_options": q_profile_key_violations_options,
+        "profile_iqr_outliers": q_profile_iqr_outliers,
+        "profile_histogram": q_profile_histogram,
+        "clean_dropna_accounting": q_clean_dropna_accounting,
+        "clean_distinct_accounting": q_clean_distinct_accounting,
+        "validate_negative_prices": q_validate_negative_prices,
+        "validate_timestamp_shape": q_validate_timestamp_shape,
+        "validate_column_info": q_validate_column_info,
+        "source_row_counts": q_source_row_counts,
+        "source_preview": q_source_preview,
+        "inspect_gold_slice": q_inspect_gold_slice,
     }

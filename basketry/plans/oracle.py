@@ -372,8 +372,8 @@ METRIC_SQL = {
     dom AS (SELECT g.CLV_Group, CAST(b.bin AS INTEGER) AS bin
             FROM (SELECT DISTINCT CLV_Group FROM ug) g, range(50) b(bin))
     SELECT dom.bin, dom.CLV_Group,
-           round(ed.st + ed.wd * dom.bin / 50, 4) AS bin_start,
-           round(ed.st + ed.wd * (dom.bin + 1) / 50, 4) AS bin_end,
+           round(ed.st + ed.wd * dom.bin / 50, 6) AS bin_start,
+           round(ed.st + ed.wd * (dom.bin + 1) / 50, 6) AS bin_end,
            CAST(COALESCE(cnt.customers, 0) AS BIGINT) AS customers
     FROM dom CROSS JOIN ed
     LEFT JOIN cnt ON dom.CLV_Group = cnt.CLV_Group AND dom.bin = cnt.bin""",
@@ -428,6 +428,147 @@ METRIC_SQL = {
 
 SQL.update(METRIC_SQL)
 
+# ------------------------------------------------------------------ profile
+# Fixture schemas as the oracle knows them (name, Spark type name).
+RAW_SCHEMAS = {
+    "order_items": ("order_items_raw", [
+        ("LINEITEM_ID", "string"), ("ORDER_ID", "string"), ("USER_ID", "string"),
+        ("RESTAURANT_ID", "string"), ("APP_NAME", "string"), ("CURRENCY", "string"),
+        ("ITEM_CATEGORY", "string"), ("ITEM_NAME", "string"), ("ITEM_PRICE", "double"),
+        ("ITEM_QUANTITY", "int"), ("IS_LOYALTY", "boolean"), ("CREATION_TIME_UTC", "string"),
+    ]),
+    "order_item_options": ("options_raw", [
+        ("LINEITEM_ID", "string"), ("ORDER_ID", "string"), ("OPTION_GROUP_NAME", "string"),
+        ("OPTION_NAME", "string"), ("OPTION_PRICE", "double"), ("OPTION_QUANTITY", "int"),
+    ]),
+    "date_dim": ("date_dim_raw", [
+        ("date_key", "string"), ("year", "int"), ("month", "int"), ("week", "int"),
+        ("day_of_week", "string"), ("holiday_name", "string"),
+    ]),
+}
+NUMERIC_TYPES = {"int", "bigint", "double"}
+PROFILE_NUMERIC = {
+    **{name: (rel, [c for c, t in cols if t in NUMERIC_TYPES]) for name, (rel, cols) in RAW_SCHEMAS.items()},
+    "customer": ("customer", ["c_custkey", "c_nationkey", "c_acctbal"]),
+    "part": ("part", ["p_partkey", "p_size", "p_retailprice"]),
+    "events": ("events", ["event_id", "user_id", "value"]),
+}
+HIST_BINS = {"date_dim": 12, "order_items": 10, "order_item_options": 40}
+
+
+def _profile_columns_sql() -> str:
+    parts = []
+    for name, (rel, cols) in RAW_SCHEMAS.items():
+        for i, (c, t) in enumerate(cols):
+            parts.append(
+                f"SELECT '{name}' AS table_name, {i} AS position, '{c}' AS column_name, "
+                f"'{t}' AS data_type, {'TRUE' if t in NUMERIC_TYPES else 'FALSE'} AS is_numeric, "
+                f"count({c}) AS non_null, count(*) - count({c}) AS nulls, "
+                f"count(DISTINCT {c}) AS distinct_values FROM {rel}"
+            )
+    return "\nUNION ALL ".join(parts)
+
+
+def _iqr_sql() -> str:
+    parts = []
+    for name, (rel, cols) in PROFILE_NUMERIC.items():
+        for c in cols:
+            v = f"CAST({c} AS DOUBLE)"
+            parts.append(f"""
+    SELECT '{name}' AS table_name, '{c}' AS column_name, round(q1, 4) AS q1, round(q3, 4) AS q3,
+           round(q3 - q1, 4) AS iqr, round(q1 - 1.5 * (q3 - q1), 4) AS lower_fence,
+           round(q3 + 1.5 * (q3 - q1), 4) AS upper_fence,
+           (SELECT count(*) FROM {rel} WHERE {v} < s.q1 - 1.5 * (s.q3 - s.q1)
+                                        OR {v} > s.q3 + 1.5 * (s.q3 - s.q1)) AS outliers
+    FROM (SELECT quantile_cont({v}, 0.25) AS q1, quantile_cont({v}, 0.75) AS q3 FROM {rel}) s""")
+    return "\nUNION ALL ".join(parts)
+
+
+def _histogram_sql() -> str:
+    parts = []
+    for name, n in HIST_BINS.items():
+        rel, cols = PROFILE_NUMERIC[name]
+        for c in cols:
+            v = f"CAST({c} AS DOUBLE)"
+            edges = (
+                f"(SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS st, "
+                f"CASE WHEN lo = hi THEN 1.0 ELSE hi - lo END AS wd "
+                f"FROM (SELECT min({v}) AS lo, max({v}) AS hi FROM {rel}) WHERE lo IS NOT NULL)"
+            )
+            parts.append(f"""
+    SELECT '{name}' AS table_name, '{c}' AS column_name, CAST(b.bin AS INTEGER) AS bin,
+           round(e.st + e.wd * b.bin / {n}, 6) AS bin_start,
+           round(e.st + e.wd * (b.bin + 1) / {n}, 6) AS bin_end,
+           CAST(COALESCE(k.cnt, 0) AS BIGINT) AS count
+    FROM {edges} e
+    CROSS JOIN range({n}) b(bin)
+    LEFT JOIN (
+      SELECT CAST(least(greatest(floor(({v} - e2.st) / e2.wd * {n}), 0), {n - 1}) AS INTEGER) AS bin,
+             count(*) AS cnt
+      FROM {rel}, {edges} e2 WHERE {c} IS NOT NULL GROUP BY 1
+    ) k ON k.bin = b.bin""")
+    return "\nUNION ALL ".join(parts)
+
+
+_ITEM_COLS = [c for c, _ in RAW_SCHEMAS["order_items"][1]]
+_ANY_NULL_ITEM = " OR ".join(f"{c} IS NULL" for c in _ITEM_COLS)
+_SILVER_ORDER_TYPES = [
+    ("lineitem_id", "string"), ("order_id", "string"), ("user_id", "string"),
+    ("restaurant_id", "string"), ("app_name", "string"), ("currency", "string"),
+    ("item_category", "string"), ("item_name", "string"), ("item_price", "double"),
+    ("item_quantity", "int"), ("is_loyalty", "boolean"), ("creation_ts_utc", "timestamp"),
+    ("creation_date", "date"), ("creation_time", "string"),
+]
+
+PROFILE_SQL = {
+    "profile_columns": _profile_columns_sql(),
+    "profile_missing_rows": "SELECT * FROM order_items_raw "
+    "WHERE LINEITEM_ID IS NULL OR ITEM_CATEGORY IS NULL OR ITEM_NAME IS NULL",
+    "profile_duplicate_rows": "SELECT *, count(*) - 1 AS extra_copies FROM date_dim_raw "
+    "GROUP BY ALL HAVING count(*) > 1",
+    "profile_duplicate_rows_options": "SELECT *, count(*) - 1 AS extra_copies FROM options_raw "
+    "GROUP BY ALL HAVING count(*) > 1",
+    "profile_key_violations": "SELECT LINEITEM_ID, count(*) AS rows FROM order_items_raw "
+    "GROUP BY LINEITEM_ID HAVING count(*) > 1",
+    "profile_key_violations_options": "SELECT LINEITEM_ID, OPTION_GROUP_NAME, OPTION_NAME, count(*) AS rows "
+    "FROM (SELECT DISTINCT * FROM options_raw) GROUP BY ALL HAVING count(*) > 1",
+    "profile_iqr_outliers": _iqr_sql(),
+    "profile_histogram": _histogram_sql(),
+    "clean_dropna_accounting": f"""
+    SELECT count(*) AS rows_before,
+           count(*) FILTER (WHERE LINEITEM_ID IS NOT NULL) AS rows_after,
+           count(*) FILTER (WHERE LINEITEM_ID IS NULL) AS rows_removed,
+           COALESCE(bool_or(LINEITEM_ID IS NOT NULL AND ({_ANY_NULL_ITEM})), FALSE) AS any_null_after
+    FROM order_items_raw""",
+    "clean_distinct_accounting": """
+    SELECT b.n AS rows_before, a.n AS rows_after, b.n - a.n AS rows_removed
+    FROM (SELECT count(*) AS n FROM options_raw) b,
+         (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM options_raw)) a""",
+    "validate_negative_prices": "SELECT count(*) FILTER (WHERE OPTION_PRICE < 0) AS negative_rows FROM options_raw",
+    "validate_timestamp_shape": """
+    SELECT count(*) AS total_rows,
+           count(*) FILTER (WHERE contains(CREATION_TIME_UTC, 'T')) AS rows_with_t,
+           count(*) FILTER (WHERE contains(CREATION_TIME_UTC, 'Z')) AS rows_with_z,
+           count(*) - count(*) FILTER (WHERE contains(CREATION_TIME_UTC, 'T')) AS rows_missing_t,
+           count(*) - count(*) FILTER (WHERE contains(CREATION_TIME_UTC, 'Z')) AS rows_missing_z
+    FROM order_items_raw""",
+    "validate_column_info": "\nUNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null FROM fact_orders"
+        for i, (c, t) in enumerate(_SILVER_ORDER_TYPES)
+    ),
+    "source_row_counts": """
+    SELECT 'order_items' AS table_name, count(*) AS rows FROM order_items_raw
+    UNION ALL SELECT 'order_item_options', count(*) FROM options_raw
+    UNION ALL SELECT 'date_dim', count(*) FROM date_dim_raw""",
+    "source_preview": "SELECT * FROM order_items_raw ORDER BY "
+    + ", ".join(f"{c} NULLS FIRST" for c in _ITEM_COLS) + " LIMIT 5",
+    "inspect_gold_slice": f"SELECT {_CUSTOMER_COLS}, recency_days, churn_risk_flag, "
+    f"{r2('clv_cumulative')}, {_ROLL_COLS} FROM fact_customer "
+    "ORDER BY user_id NULLS LAST, creation_date NULLS LAST LIMIT 30 OFFSET 70",
+}
+
+SQL.update(PROFILE_SQL)
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in SQL.items()}

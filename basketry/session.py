@@ -83,3 +83,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="basketry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+
+    Used where a small derived table (one row per user, say) feeds several
+    passes: each pass then reads the checkpoint instead of recomputing the
+    upstream plan, and a lost executor costs a re-read, not a re-run.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
