@@ -19,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MONEY = 2
 AVERAGE = 4
-EDGE = 6  # histogram bin edges: cents / bins never tie at 6 decimals
+EDGE = 6  # bin edges and IQR fences: derived from cents, no ties at 6 decimals
 
 
 def rounded(
@@ -275,7 +275,7 @@ def q_profile_key_violations_options(spark, d):
 def q_profile_iqr_outliers(spark, d):
     frames = {n: profile.iqr_outliers(df) for n, df in _profile_sources(spark, d).items()}
     return rounded(
-        _tagged_union(frames), averages=("q1", "q3", "iqr", "lower_fence", "upper_fence")
+        _tagged_union(frames), edges=("q1", "q3", "iqr", "lower_fence", "upper_fence")
     )
 
 

@@ -475,9 +475,9 @@ def _iqr_sql() -> str:
         for c in cols:
             v = f"CAST({c} AS DOUBLE)"
             parts.append(f"""
-    SELECT '{name}' AS table_name, '{c}' AS column_name, round(q1, 4) AS q1, round(q3, 4) AS q3,
-           round(q3 - q1, 4) AS iqr, round(q1 - 1.5 * (q3 - q1), 4) AS lower_fence,
-           round(q3 + 1.5 * (q3 - q1), 4) AS upper_fence,
+    SELECT '{name}' AS table_name, '{c}' AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3,
+           round(q3 - q1, 6) AS iqr, round(q1 - 1.5 * (q3 - q1), 6) AS lower_fence,
+           round(q3 + 1.5 * (q3 - q1), 6) AS upper_fence,
            (SELECT count(*) FROM {rel} WHERE {v} < s.q1 - 1.5 * (s.q3 - s.q1)
                                         OR {v} > s.q3 + 1.5 * (s.q3 - s.q1)) AS outliers
     FROM (SELECT quantile_cont({v}, 0.25) AS q1, quantile_cont({v}, 0.75) AS q3 FROM {rel}) s""")

@@ -1,0 +1,31 @@
+"""Scans and sinks: Parquet (lake layers), CSV (extracts), JDBC (source database)."""
+
+from basketry.sources.csv import read_csv, write_csv
+from basketry.sources.jdbc import (
+    INFORMATION_SCHEMA_TABLES,
+    Partitioning,
+    ingest_all,
+    jdbc_options,
+    list_tables,
+    read_query,
+    read_table,
+    target_folder,
+)
+from basketry.sources.parquet import load_gold, read_parquet, union_frames, write_parquet
+
+__all__ = [
+    "INFORMATION_SCHEMA_TABLES",
+    "Partitioning",
+    "ingest_all",
+    "jdbc_options",
+    "list_tables",
+    "load_gold",
+    "read_csv",
+    "read_parquet",
+    "read_query",
+    "read_table",
+    "target_folder",
+    "union_frames",
+    "write_csv",
+    "write_parquet",
+]
