@@ -36,10 +36,14 @@ def dedupe_on_key(
     order = rest if order_by == "all" else [c for c in order_by]
     if not rest:
         return df.select(*keys).distinct()
+    # Struct fields: the order columns first (they decide the minimum), then
+    # the other values; a column that is both is carried once.
+    extra = [c for c in rest if c not in order]
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    fields += [F.col(c).alias(f"_v{i}") for i, c in enumerate(rest)]
+    fields += [F.col(c).alias(f"_v{i}") for i, c in enumerate(extra)]
     best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
-    value_of = {c: F.col(f"_best._v{i}") for i, c in enumerate(rest)}
+    value_of = {c: F.col(f"_best._o{order.index(c)}") for c in rest if c in order}
+    value_of.update({c: F.col(f"_best._v{i}") for i, c in enumerate(extra)})
     return best.select(*[F.col(c) if c in keys else value_of[c].alias(c) for c in df.columns])
 
 

@@ -11,9 +11,10 @@ Plan shape (see README "Plans"):
   window specification (user, ``unix_date``), i.e. one shuffle and one sort.
   The rolling metrics use a RANGE frame instead of the original self-join,
   which is O(days x window) per user;
-* location ranks over day-of-month / ISO week / month use the distributed
-  rank of :mod:`basketry.operators.ranking` because those windows have only
-  31 / 53 / 12 groups.
+* location ranks over day-of-month / ISO week / month have only 31 / 53 / 12
+  groups; the group sizes are counted first and a plain window is used only
+  while the largest group is small enough for one task, otherwise the
+  distributed rank of :mod:`basketry.operators.ranking` (one global sort).
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from basketry.functions.rules import (
     churn_flag,
     period_part,
 )
-from basketry.operators.ranking import rank_within_groups
+from basketry.operators.ranking import MAX_GROUP_ROWS, rank_within_groups
+from basketry.session import materialize
 
 ROLLING_WINDOWS = (7, 30, 90)
 CUSTOMER_DAY = ["user_id", "creation_date"]
@@ -169,8 +171,9 @@ def location_daily(enriched: DataFrame) -> DataFrame:
 def add_revenue_ranks(
     location: DataFrame,
     with_year: bool = False,
-    method: str = "distributed",
+    method: str = "auto",
     money_precision: int | None = 2,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``revenue_rank_day/week/month``: rank of ``total_revenue`` (desc) within
     day-of-month, ISO week and month.
@@ -178,11 +181,27 @@ def add_revenue_ranks(
     Like the original job the periods ignore the year unless ``with_year``.
     ``money_precision`` ranks on revenue rounded to cents so that ties do not
     depend on floating-point summation order (None ranks on the raw double).
+
+    ``method="auto"`` materializes the input once, reads the sizes of all
+    period groups from one small aggregate and ranks with a plain window
+    when the largest group has at most ``max_group_rows`` rows, otherwise
+    with the distributed rank.
     """
     value = F.col("total_revenue")
     if money_precision is not None:
         value = F.round(value, money_precision)
     out = location
+    if method == "auto":
+        out = materialize(location)
+        keys = (["year"] if with_year else []) + [f"period_{p}" for p in PERIODS]
+        sizes = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).cache()
+        biggest = 0
+        for p in PERIODS:
+            g = (["year"] if with_year else []) + [f"period_{p}"]
+            m = sizes.groupBy(*g).agg(F.sum("_n").alias("_s")).agg(F.max("_s")).first()[0]
+            biggest = max(biggest, int(m or 0))
+        sizes.unpersist()
+        method = "window" if biggest <= max_group_rows else "distributed"
     for p in PERIODS:
         groups = (["year"] if with_year else []) + [f"period_{p}"]
         out = rank_within_groups(
@@ -200,7 +219,7 @@ def add_revenue_ranks(
 def fact_orders_location(
     enriched: DataFrame,
     with_year: bool = False,
-    method: str = "distributed",
+    method: str = "auto",
     money_precision: int | None = 2,
 ) -> DataFrame:
     """Gold ``fact_orders_location``."""

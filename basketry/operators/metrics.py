@@ -74,7 +74,7 @@ def overview(fact_customer: DataFrame, fact_orders_location: DataFrame) -> DataF
 def user_clv(
     fact_customer: DataFrame,
     probs: tuple[float, float] = CLV_QUANTILES,
-    quantile_method: str = "sort",
+    quantile_method: str = "auto",
     money_precision: int | None = 2,
 ) -> tuple[DataFrame, float | None, float | None]:
     """Lifetime value per user (max cumulative) and its CLV group.

@@ -89,7 +89,7 @@ def iqr_outliers(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     factor: float = IQR_FACTOR,
-    quantile_method: str = "sort",
+    quantile_method: str = "auto",
 ) -> DataFrame:
     """Per numeric column: Q1, Q3, IQR, fences and the count of values strictly
     outside ``[Q1 - factor*IQR, Q3 + factor*IQR]``; NULLs are never outliers."""

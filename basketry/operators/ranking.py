@@ -14,6 +14,11 @@ instead give every row its position in a *global* sort:
 
 Ranks within groups, terciles and exact interpolated quantiles are then
 plain aggregates and joins on top of the row number.
+
+``method="auto"`` first counts the largest group (one small aggregate) and
+takes the single-task form (window / ``percentile`` buffer) only while that
+count is at most ``MAX_GROUP_ROWS`` — the same "check the size, have another
+way beyond it" rule as for broadcasts.
 """
 
 from __future__ import annotations
@@ -28,6 +33,23 @@ from basketry.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
+# Largest group (rows) that ``method="auto"`` lets a single task sort or
+# buffer; above it the distributed form is used. Tunable per call.
+MAX_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the largest group (0 for an empty frame); one aggregate."""
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    row = counts.agg(F.max("_n").alias("m")).first()
+    return int(row["m"] or 0) if row is not None else 0
+
+
+def _resolve(method: str, df: DataFrame, group_cols: Sequence[str], max_group_rows: int) -> str:
+    if method != "auto":
+        return method
+    return "small" if largest_group(df, group_cols) <= max_group_rows else "distributed"
+
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -79,19 +101,23 @@ def rank_within_groups(
     name: str,
     descending: bool = True,
     tie_breakers: Sequence[str] = (),
-    method: str = "distributed",
+    method: str = "auto",
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """SQL ``rank()`` of ``value`` within ``group_cols`` (ties share a rank).
 
     ``method="window"`` is the plain ``rank().over(partitionBy(group))``: one
-    task per group, fine when groups are many and small. ``"distributed"``
-    (default) is for few, large groups: rank = first row number of the
-    value's tie group - first row number of the group + 1, both read off one
-    global sort. NULL values rank last when descending, first otherwise.
+    task per group. ``"distributed"`` is for few, large groups: rank = first
+    row number of the value's tie group - first row number of the group + 1,
+    both read off one global sort. ``"auto"`` (default) counts the largest
+    group first and uses the window only if it has at most
+    ``max_group_rows`` rows. NULL values rank last when descending, first
+    otherwise.
     """
     v = _as_col(value)
     order_v = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    if method == "window":
+    method = _resolve(method, df, group_cols, max_group_rows)
+    if method in ("window", "small"):
         w = Window.partitionBy(*group_cols).orderBy(order_v)
         return df.withColumn(name, F.rank().over(w))
     if method != "distributed":
@@ -130,12 +156,16 @@ def tercile_scores(
     tie_breaker: str,
     name: str,
     default: int,
+    method: str = "auto",
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Tercile code 0/1/2 of ``value`` by rank (ties broken by ``tie_breaker``).
 
     If the column has at most one distinct non-NULL value every row gets
-    ``default``; NULL values get ``default``. Positions come from one global
-    sort; ``n`` and the distinct count are one small aggregate.
+    ``default``; NULL values get ``default``. ``n`` and the distinct count are
+    one small aggregate. Positions come from one global sort, or — with
+    ``method="auto"`` and ``n <= max_group_rows`` — from a single-task
+    ``row_number`` window whose size has just been checked.
     """
     v = _as_col(value)
     keyed = df.withColumn("_tv", v)
@@ -146,9 +176,11 @@ def tercile_scores(
     if nd <= 1:
         return keyed.withColumn(name, F.lit(default)).drop("_tv")
     present = keyed.where(F.col("_tv").isNotNull())
-    numbered = global_row_number(
-        present, [F.col("_tv").asc(), F.col(tie_breaker).asc()], name="_rn"
-    )
+    order = [F.col("_tv").asc(), F.col(tie_breaker).asc()]
+    if method == "window" or (method == "auto" and n <= max_group_rows):
+        numbered = present.withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
+    else:
+        numbered = global_row_number(present, order, name="_rn")
     scored = numbered.withColumn(name, tercile_code(F.col("_rn") - 1, n)).drop("_rn")
     missing = keyed.where(F.col("_tv").isNull()).withColumn(name, F.lit(default))
     return scored.unionByName(missing).drop("_tv")
@@ -159,8 +191,9 @@ def grouped_quantiles(
     group_cols: Sequence[str],
     value: Column | str,
     probs: Sequence[float],
-    method: str = "sort",
+    method: str = "auto",
     accuracy: int = 10000,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per group, NULLs ignored.
 
@@ -171,11 +204,16 @@ def grouped_quantiles(
       two neighbours of position (n-1)·p are fetched by row number;
     * ``"aggregate"`` — Spark's exact ``percentile``; keeps a value->count
       map per group in one buffer, fine for small groups;
-    * ``"approx"`` — ``percentile_approx`` with ``accuracy``.
+    * ``"approx"`` — ``percentile_approx`` with ``accuracy``;
+    * ``"auto"`` (default) — ``"aggregate"`` when the largest group has at
+      most ``max_group_rows`` values, else ``"sort"``.
     """
     v = _as_col(value)
     base = df.select(*group_cols, v.cast("double").alias("_qv")).where(F.col("_qv").isNotNull())
     qnames = [f"q_{i}" for i in range(len(probs))]
+    if method == "auto":
+        small = largest_group(base, group_cols) <= max_group_rows
+        method = "aggregate" if small else "sort"
     if method == "aggregate":
         agg = F.percentile("_qv", F.array(*[F.lit(float(p)) for p in probs]))
         res = base.groupBy(*group_cols).agg(agg.alias("_qs"), F.count("_qv").alias("n"))

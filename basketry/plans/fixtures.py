@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.sources.parquet import spread
+
 # Fixed values of the fixture definition.
 NULL_KEY_PARTKEY_MOD = 101
 GUEST_PRIORITY = "4-NOT SPECIFIED"
@@ -24,8 +26,16 @@ NEW_YEAR_HOLIDAY = "New Year"
 EVENT_RESTAURANTS = 20
 
 
+# Large driver tables and the key their rows are spread by when a scan has
+# fewer splits than the default parallelism (single-row-group test files).
+SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"], "events": ["user_id"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in SPREAD_KEYS:
+        df = spread(df, SPREAD_KEYS[name])
+    return df
 
 
 def _line_key(orderkey, linenumber):

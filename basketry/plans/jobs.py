@@ -58,7 +58,7 @@ def silver_to_gold(
     silver_base: str,
     gold_base: str,
     partition_by_date: bool = False,
-    rank_method: str = "distributed",
+    rank_method: str = "auto",
 ) -> dict[str, str]:
     """Build ``fact_customer`` and ``fact_orders_location`` from Silver.
 

@@ -30,6 +30,25 @@ def read_parquet(
     return reader.parquet(*paths)
 
 
+def spread(
+    df: DataFrame,
+    by: Sequence[str] = (),
+    min_partitions: int | None = None,
+) -> DataFrame:
+    """Hash-repartition ``df`` by ``by`` only if it has too few partitions.
+
+    A scan of one large file with a single row group yields one task, so all
+    per-row work up to the first shuffle would run serially. Below
+    ``min_partitions`` (default: the cluster's default parallelism) the rows
+    are spread first; at cluster scale inputs have many splits and this is a
+    no-op.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *by) if by else df.repartition(target)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
