@@ -88,9 +88,19 @@ def customer_daily(enriched: DataFrame) -> DataFrame:
     )
 
 
+_DAY = "_day"  # unix_date(creation_date): the one order column of all user windows
+
+
+def _with_day(daily: DataFrame) -> tuple[DataFrame, bool]:
+    if _DAY in daily.columns:
+        return daily, False
+    return daily.withColumn(_DAY, F.unix_date("creation_date")), True
+
+
 def _user_window():
-    # One spec for lag, running sum and range frames: a single sort serves all.
-    return Window.partitionBy("user_id").orderBy(F.unix_date("creation_date"))
+    # One spec (same partition and order attribute) for lag, running sum and
+    # range frames: Spark evaluates them in one Window operator after one sort.
+    return Window.partitionBy("user_id").orderBy(F.col(_DAY))
 
 
 def add_recency_churn(
@@ -100,17 +110,21 @@ def add_recency_churn(
 ) -> DataFrame:
     """``recency_days`` = days since the user's previous active day (0 for the
     first; NULL dates sort first) and ``churn_risk_flag`` from it."""
+    df, added = _with_day(daily)
     prev = F.lag("creation_date").over(_user_window())
     recency = F.coalesce(F.datediff(F.col("creation_date"), prev), F.lit(0))
-    return daily.withColumn("recency_days", recency).withColumn(
+    out = df.withColumn("recency_days", recency).withColumn(
         "churn_risk_flag", churn_flag("recency_days", medium_after, high_after)
     )
+    return out.drop(_DAY) if added else out
 
 
 def add_clv_cumulative(daily: DataFrame) -> DataFrame:
     """Running sum of ``revenue_daily`` per user, ROWS unbounded preceding."""
+    df, added = _with_day(daily)
     w = _user_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.withColumn("clv_cumulative", F.sum("revenue_daily").over(w))
+    out = df.withColumn("clv_cumulative", F.sum("revenue_daily").over(w))
+    return out.drop(_DAY) if added else out
 
 
 def add_rolling_metrics(daily: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS) -> DataFrame:
@@ -120,8 +134,8 @@ def add_rolling_metrics(daily: DataFrame, windows: Sequence[int] = ROLLING_WINDO
     Requires one row per (user, date) — the customer-day grain guarantees it.
     Rows with a NULL date get NULL metrics (they match no date range).
     """
+    out, added = _with_day(daily)
     dated = F.col("creation_date").isNotNull()
-    out = daily
     for n in windows:
         if n < 1:
             raise ValueError("rolling window must be >= 1 day")
@@ -129,7 +143,7 @@ def add_rolling_metrics(daily: DataFrame, windows: Sequence[int] = ROLLING_WINDO
         out = out.withColumn(
             f"frequency_{n}d", F.when(dated, F.count(F.lit(1)).over(w))
         ).withColumn(f"monetary_{n}d", F.when(dated, F.sum("revenue_daily").over(w)))
-    return out
+    return out.drop(_DAY) if added else out
 
 
 def fact_customer(
@@ -139,10 +153,10 @@ def fact_customer(
     high_after: int = CHURN_HIGH_AFTER_DAYS,
 ) -> DataFrame:
     """Gold ``fact_customer``: customer-day metrics, recency, churn, CLV, rolling."""
-    daily = customer_daily(enriched)
+    daily, _ = _with_day(customer_daily(enriched))
     daily = add_recency_churn(daily, medium_after, high_after)
     daily = add_clv_cumulative(daily)
-    return add_rolling_metrics(daily, windows)
+    return add_rolling_metrics(daily, windows).drop(_DAY)
 
 
 def location_daily(enriched: DataFrame) -> DataFrame:
