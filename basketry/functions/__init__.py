@@ -7,6 +7,7 @@ from basketry.functions.rules import (
     churn_rank,
     churn_from_rank,
     clv_group,
+    display_number,
     null_safe_flag,
     period_part,
     rfm_segment,
@@ -25,6 +26,7 @@ __all__ = [
     "churn_rank",
     "churn_from_rank",
     "clv_group",
+    "display_number",
     "null_safe_flag",
     "parse_iso_utc",
     "period_part",

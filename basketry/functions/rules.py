@@ -102,3 +102,9 @@ def period_part(date: Column | str, part: str) -> Column:
 def null_safe_flag(cond: Column) -> Column:
     """Boolean condition where NULL counts as False (pandas comparison semantics)."""
     return F.coalesce(cond, F.lit(False))
+
+
+def display_number(value: Column | str, decimals: int = 2) -> Column:
+    """Thousands separators and fixed decimals (``1,234.50``) for display at the
+    edge; metric operators themselves return numbers."""
+    return F.format_number(_c(value), decimals)

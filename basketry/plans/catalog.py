@@ -251,6 +251,12 @@ def q_profile_columns(spark, d):
     )
 
 
+def q_profile_shape(spark, d):
+    return _tagged_union(
+        {n: profile.shape(df).select("rows", "columns") for n, df in _raw_sources(spark, d).items()}
+    )
+
+
 def q_profile_missing_rows(spark, d):
     return profile.missing_rows(fx.order_items(spark, d), ["LINEITEM_ID", "ITEM_CATEGORY", "ITEM_NAME"])
 
@@ -357,6 +363,7 @@ def queries() -> dict[str, Query]:
         "insight_top_locations_aov": q_insight_top_locations_aov,
         "insight_discount_revenue": q_insight_discount_revenue,
         "profile_columns": q_profile_columns,
+        "profile_shape": q_profile_shape,
         "profile_missing_rows": q_profile_missing_rows,
         "profile_duplicate_rows": q_profile_duplicate_rows,
         "profile_duplicate_rows_options": q_profile_duplicate_rows_options,

@@ -522,6 +522,10 @@ _SILVER_ORDER_TYPES = [
 
 PROFILE_SQL = {
     "profile_columns": _profile_columns_sql(),
+    "profile_shape": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows, {len(cols)} AS columns FROM {rel}"
+        for name, (rel, cols) in RAW_SCHEMAS.items()
+    ),
     "profile_missing_rows": "SELECT * FROM order_items_raw "
     "WHERE LINEITEM_ID IS NULL OR ITEM_CATEGORY IS NULL OR ITEM_NAME IS NULL",
     "profile_duplicate_rows": "SELECT *, count(*) - 1 AS extra_copies FROM date_dim_raw "
