@@ -57,15 +57,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def _spark_context(spark: SparkSession):
+    """The session's SparkContext, or None for a remote (Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint directory, setting one only when unset.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that is
     always used. Only a local-mode session without any setting (tests) gets a
     fresh folder under /tmp; a cluster session without one is an error,
-    because a machine-local folder would not survive executor loss.
+    because a machine-local folder would not survive executor loss. A remote
+    (Connect) session uses the server's setting; nothing is changed here.
     """
-    sc = spark.sparkContext
+    sc = _spark_context(spark)
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

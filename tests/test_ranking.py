@@ -34,12 +34,15 @@ def test_global_row_number_matches_window(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("method", ["distributed", "auto"])
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_within_groups_matches_window_rank(spark, descending):
+def test_rank_within_groups_matches_window_rank(spark, descending, method):
     rnd = random.Random(7)
     rows = [(i, rnd.randint(0, 3), rnd.choice([None, 1.0, 2.0, 2.0, 3.5, 7.0])) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, g int, v double")
-    got = rank_within_groups(df, ["g"], "v", "r", descending=descending, tie_breakers=["id"])
+    got = rank_within_groups(
+        df, ["g"], "v", "r", descending=descending, tie_breakers=["id"], method=method
+    )
     order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
     want = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(order)))
     assert sorted(got.select("id", "g", "v", "r").collect()) == sorted(
@@ -47,14 +50,15 @@ def test_rank_within_groups_matches_window_rank(spark, descending):
     )
 
 
+@pytest.mark.parametrize("method", ["distributed", "window"])
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 7, 10, 31, 100])
-def test_tercile_scores_match_pandas_qcut(spark, n):
+def test_tercile_scores_match_pandas_qcut(spark, n, method):
     rnd = random.Random(n)
     values = [float(rnd.randint(0, 5)) for _ in range(n)]
     users = [f"u{i:03d}" for i in range(n)]
     df = spark.createDataFrame(list(zip(users, values)), "user_id string, x double")
     got = dict(
-        tercile_scores(df, F.col("x"), "user_id", "code", default=1)
+        tercile_scores(df, F.col("x"), "user_id", "code", default=1, method=method)
         .select("user_id", "code")
         .collect()
     )
@@ -78,7 +82,7 @@ def test_tercile_constant_and_nulls_get_default(spark):
     assert got2 == dict(zip(["a", "b", "c"], pandas_tercile_codes([1.0, 9.0, None], 1)))
 
 
-@pytest.mark.parametrize("method", ["sort", "aggregate"])
+@pytest.mark.parametrize("method", ["sort", "aggregate", "auto"])
 def test_grouped_quantiles_linear_interpolation(spark, method):
     rnd = random.Random(3)
     rows = [(g, rnd.uniform(-10, 10)) for g in ("a", "b", "c") for _ in range(37 if g != "c" else 1)]
@@ -97,3 +101,16 @@ def test_quantile_small_example(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (9.0,)], "v double")
     r = grouped_quantiles(df, [], "v", [0.2]).first()
     assert r.q_0 == pytest.approx(1.6)
+
+
+def test_auto_switches_to_distributed_above_the_bound(spark):
+    """With a zero bound every group counts as large: the distributed forms run."""
+    rnd = random.Random(5)
+    rows = [(i, rnd.randint(0, 2), float(rnd.randint(0, 9))) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    a = rank_within_groups(df, ["g"], "v", "r", tie_breakers=["id"], method="auto", max_group_rows=0)
+    b = rank_within_groups(df, ["g"], "v", "r", tie_breakers=["id"], method="window")
+    assert sorted(a.collect()) == sorted(b.select("id", "g", "v", F.col("r").cast("int")).collect())
+    qa = grouped_quantiles(df, ["g"], "v", [0.5], method="auto", max_group_rows=0)
+    qb = grouped_quantiles(df, ["g"], "v", [0.5], method="aggregate")
+    assert sorted(qa.collect()) == sorted(qb.collect())

@@ -225,8 +225,9 @@ def test_distributed_and_window_ranks_agree(spark):
     loc = pl.location_daily(spark, "/root/testdata/sf0.001")
     a = gold.add_revenue_ranks(loc, method="distributed")
     b = gold.add_revenue_ranks(loc, method="window")
+    c = gold.add_revenue_ranks(loc, method="auto", max_group_rows=0)
     cols = ["creation_date", "restaurant_id", "revenue_rank_day", "revenue_rank_week", "revenue_rank_month"]
     def norm(df):
         return sorted(tuple(str(v) for v in r) for r in df.select(*cols).collect())
 
-    assert norm(a) == norm(b)
+    assert norm(a) == norm(b) == norm(c)
