@@ -208,13 +208,16 @@ def add_revenue_ranks(
     if method == "auto":
         out = materialize(location)
         keys = (["year"] if with_year else []) + [f"period_{p}" for p in PERIODS]
-        sizes = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).cache()
+        # One row per (year,) day x week x month combination present: bounded
+        # by the calendar (at most 31 * 53 * 12 per year), not by the data.
+        sizes = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).collect()
         biggest = 0
         for p in PERIODS:
-            g = (["year"] if with_year else []) + [f"period_{p}"]
-            m = sizes.groupBy(*g).agg(F.sum("_n").alias("_s")).agg(F.max("_s")).first()[0]
-            biggest = max(biggest, int(m or 0))
-        sizes.unpersist()
+            per_group: dict = {}
+            for r in sizes:
+                k = (r["year"] if with_year else None, r[f"period_{p}"])
+                per_group[k] = per_group.get(k, 0) + r["_n"]
+            biggest = max([biggest, *per_group.values()])
         method = "window" if biggest <= max_group_rows else "distributed"
     for p in PERIODS:
         groups = (["year"] if with_year else []) + [f"period_{p}"]

@@ -211,9 +211,14 @@ def rfm_users(
     money = F.col("Monetary")
     if money_precision is not None:
         money = F.round(money, money_precision)
-    users = tercile_scores(users, F.col("Recency"), "user_id", "R_Score", default=3)
-    users = tercile_scores(users, F.col("Frequency"), "user_id", "F_Score", default=1)
-    users = tercile_scores(users, money, "user_id", "M_Score", default=1)
+    metrics_ = [(F.col("Recency"), "R_Score", 3), (F.col("Frequency"), "F_Score", 1), (money, "M_Score", 1)]
+    # Non-NULL and distinct counts of the three measures in one aggregate.
+    counts = users.agg(
+        *[f(c).alias(f"{fn}_{name}") for c, name, _ in metrics_ for fn, f in (("n", F.count), ("d", F.count_distinct))]
+    ).first()
+    for c, name, default in metrics_:
+        stats = (int(counts[f"n_{name}"]), int(counts[f"d_{name}"]))
+        users = tercile_scores(users, c, "user_id", name, default=default, stats=stats)
     if scores == "labels":
         users = users.withColumns(
             {

@@ -158,6 +158,7 @@ def tercile_scores(
     default: int,
     method: str = "auto",
     max_group_rows: int = MAX_GROUP_ROWS,
+    stats: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Tercile code 0/1/2 of ``value`` by rank (ties broken by ``tie_breaker``).
 
@@ -165,14 +166,15 @@ def tercile_scores(
     ``default``; NULL values get ``default``. ``n`` and the distinct count are
     one small aggregate. Positions come from one global sort, or — with
     ``method="auto"`` and ``n <= max_group_rows`` — from a single-task
-    ``row_number`` window whose size has just been checked.
+    ``row_number`` window whose size has just been checked. ``stats`` passes
+    a precomputed (non-NULL count, distinct count) to skip that aggregate.
     """
     v = _as_col(value)
     keyed = df.withColumn("_tv", v)
-    stats = keyed.agg(
-        F.count("_tv").alias("n"), F.count_distinct("_tv").alias("nd")
-    ).first()
-    n, nd = int(stats["n"]), int(stats["nd"])
+    if stats is None:
+        row = keyed.agg(F.count("_tv").alias("n"), F.count_distinct("_tv").alias("nd")).first()
+        stats = (int(row["n"]), int(row["nd"]))
+    n, nd = stats
     if nd <= 1:
         return keyed.withColumn(name, F.lit(default)).drop("_tv")
     present = keyed.where(F.col("_tv").isNotNull())
