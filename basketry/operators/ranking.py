@@ -227,8 +227,12 @@ def grouped_quantiles(
     if method != "sort":
         raise ValueError(f"unknown method {method!r}")
 
-    order = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col("_qv").asc()]
-    numbered = global_row_number(base, order, name="_rn")
+    # A per-row tie-breaker lets the range partitioner split a heavily
+    # repeated value (a third of the rows may share one) over many tasks;
+    # equal values are interchangeable, so which tie comes first is irrelevant.
+    tied = base.withColumn("_tb", F.monotonically_increasing_id())
+    order = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col("_qv").asc(), F.col("_tb").asc()]
+    numbered = global_row_number(tied, order, name="_rn").drop("_tb")
     stats = numbered.groupBy(*group_cols).agg(
         F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("n")
     )
