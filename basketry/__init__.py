@@ -1,0 +1,3 @@
+"""basketry: Bronze -> Silver -> Gold retail analytics as Spark DataFrame operators."""
+
+__version__ = "0.1.0"

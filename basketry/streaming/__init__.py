@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library rebuilds is batch only — every read and write is a
+full-table batch job, and there are no event streams, watermarks, windows over
+event time or stateful operators to map. Incremental runs are handled by the
+layer jobs' dynamic partition overwrite (``basketry.plans.jobs``).
+"""
