@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.rules import tercile_code
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
@@ -62,16 +62,15 @@ def global_row_number(
 ) -> DataFrame:
     """Append a 1-based row number following a global sort on ``order_by``.
 
-    The sort should be total (add tie-breakers) if numbers must be
-    reproducible. Work is spread over all partitions; only the per-partition
-    counts (bounded by the partition count) are combined in one place.
+    The sort must be total (add tie-breakers): a recomputed partition then
+    yields the same ids. Work is spread over all partitions; only the
+    per-partition counts (bounded by the partition count) are combined in one
+    place.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     sorted_df = df.orderBy(*[_as_col(c) for c in order_by]).withColumn(
         "_mid", F.monotonically_increasing_id()
     )
-    stable = sorted_df.checkpoint(eager=True)
+    stable = materialize(sorted_df)
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     counts = stable.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))

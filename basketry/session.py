@@ -103,5 +103,13 @@ def materialize(df):
     passes: each pass then reads the checkpoint instead of recomputing the
     upstream plan, and a lost executor costs a re-read, not a re-run.
     """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # A reliable checkpoint writes its files in a second job; persisting first
+    # lets that job read the computed partitions instead of recomputing them.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
