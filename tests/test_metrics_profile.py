@@ -160,3 +160,25 @@ def test_validate_helpers(spark):
     assert counts == {"a": 3, "b": 1}
     ids = spark.range(200).withColumnRenamed("id", "k")
     assert [r.k for r in validate.sorted_slice(ids, ["k"], 70, 100).collect()] == list(range(70, 100))
+
+
+def test_rfm_latest_recency_option(spark):
+    rows = [
+        ("a", D(2021, 1, 1), 1.0, 0, "Low", 1.0, 1, 1.0),
+        ("a", D(2021, 2, 10), 1.0, 40, "Medium", 2.0, 1, 1.0),
+        ("b", D(2021, 1, 1), 1.0, 0, "Low", 1.0, 1, 1.0),
+        ("b", None, 1.0, 0, "Low", 2.0, None, None),
+    ]
+    got = {r.user_id: r.Recency for r in metrics.rfm_users(fc_rows(spark, rows), 7, recency="latest").collect()}
+    assert got == {"a": 40, "b": 0}  # the NULL-date row counts as latest
+
+
+def test_profile_approx_and_quantile_methods(spark):
+    df = spark.range(1000).selectExpr("id % 37 AS k", "CAST(id AS DOUBLE) AS v")
+    exact = {r.column_name: r.distinct_values for r in profile.column_profile(df).collect()}
+    approx = {r.column_name: r.distinct_values for r in profile.column_profile(df, approx=True).collect()}
+    assert exact == {"k": 37, "v": 1000}
+    assert abs(approx["v"] - 1000) <= 50 and abs(approx["k"] - 37) <= 3
+    a = {r.column_name: r.outliers for r in profile.iqr_outliers(df, quantile_method="approx").collect()}
+    s = {r.column_name: r.outliers for r in profile.iqr_outliers(df, quantile_method="sort").collect()}
+    assert a == s == {"k": 0, "v": 0}
