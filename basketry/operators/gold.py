@@ -62,11 +62,12 @@ def enrich_orders(
         joined = orders.withColumn("options_revenue", F.lit(None).cast("double"))
     else:
         joined = orders.join(options_revenue(fact_options), ["order_id", "lineitem_id"], "left")
-    return joined.withColumn(
-        "options_revenue", F.coalesce(F.col("options_revenue"), F.lit(0.0))
-    ).withColumn(
-        "total_item_revenue",
-        F.col("item_price") * F.col("item_quantity") + F.col("options_revenue"),
+    opt = F.coalesce(F.col("options_revenue"), F.lit(0.0))
+    return joined.withColumns(
+        {
+            "options_revenue": opt,
+            "total_item_revenue": F.col("item_price") * F.col("item_quantity") + opt,
+        }
     )
 
 
@@ -113,9 +114,8 @@ def add_recency_churn(
     df, added = _with_day(daily)
     prev = F.lag("creation_date").over(_user_window())
     recency = F.coalesce(F.datediff(F.col("creation_date"), prev), F.lit(0))
-    out = df.withColumn("recency_days", recency).withColumn(
-        "churn_risk_flag", churn_flag("recency_days", medium_after, high_after)
-    )
+    out = df.withColumn("recency_days", recency)
+    out = out.withColumn("churn_risk_flag", churn_flag("recency_days", medium_after, high_after))
     return out.drop(_DAY) if added else out
 
 
@@ -136,13 +136,14 @@ def add_rolling_metrics(daily: DataFrame, windows: Sequence[int] = ROLLING_WINDO
     """
     out, added = _with_day(daily)
     dated = F.col("creation_date").isNotNull()
+    cols = {}
     for n in windows:
         if n < 1:
             raise ValueError("rolling window must be >= 1 day")
         w = _user_window().rangeBetween(-(n - 1), 0)
-        out = out.withColumn(
-            f"frequency_{n}d", F.when(dated, F.count(F.lit(1)).over(w))
-        ).withColumn(f"monetary_{n}d", F.when(dated, F.sum("revenue_daily").over(w)))
+        cols[f"frequency_{n}d"] = F.when(dated, F.count(F.lit(1)).over(w))
+        cols[f"monetary_{n}d"] = F.when(dated, F.sum("revenue_daily").over(w))
+    out = out.withColumns(cols)
     return out.drop(_DAY) if added else out
 
 
