@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from basketry.operators.columns import duplicate_column_names, split_numeric_text
 from basketry.operators.dedupe import dedupe_accounting
+from basketry.operators.dedupe import duplicate_rows as dedupe_rows_report
+from basketry.operators.dedupe import key_violations as key_violation_report
 from basketry.operators.metrics import histogram_bins
 from basketry.operators.ranking import grouped_quantiles
 
@@ -174,3 +176,46 @@ def distinct_accounting(df: DataFrame) -> DataFrame:
 def has_duplicate_columns(df: DataFrame) -> bool:
     """Metadata only: does any column name occur twice?"""
     return bool(duplicate_column_names(df))
+
+
+def profile_report(
+    df: DataFrame,
+    key: Sequence[str] | None = None,
+    bins: int = 10,
+    missing_columns: Sequence[str] | None = None,
+    approx: bool = False,
+) -> dict[str, DataFrame]:
+    """The exploratory profile of one source as lazy DataFrames.
+
+    ``shape``, ``columns`` (types, NULLs, distincts), ``duplicate_rows``,
+    ``key_violations`` (if ``key``), ``missing_rows`` (if ``missing_columns``),
+    ``iqr_outliers`` and ``histogram`` (if the frame has numeric columns).
+    Column-name duplicates are metadata and checked eagerly (raises).
+    """
+    if has_duplicate_columns(df):
+        raise ValueError(f"duplicate column names: {duplicate_column_names(df)}")
+    report = {
+        "shape": shape(df),
+        "columns": column_profile(df, approx=approx),
+        "duplicate_rows": dedupe_rows_report(df),
+    }
+    if key:
+        report["key_violations"] = key_violation_report(df, key)
+    if missing_columns:
+        report["missing_rows"] = missing_rows(df, missing_columns)
+    if split_numeric_text(df)[0]:
+        report["iqr_outliers"] = iqr_outliers(df)
+        report["histogram"] = histogram(df, bins)
+    return report
+
+
+def clean_report(df: DataFrame, null_key: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Clean a source the way the notebooks did and account for it.
+
+    With ``null_key`` rows with a NULL key are dropped (order lines); without
+    it fully equal rows are dropped (options). Returns (cleaned, accounting).
+    """
+    if null_key:
+        keep = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in null_key])
+        return df.where(keep), dropna_accounting(df, null_key)
+    return df.distinct(), distinct_accounting(df)

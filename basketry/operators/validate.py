@@ -67,3 +67,18 @@ def sorted_slice(df: DataFrame, order_by: Sequence[str], start: int, stop: int)
         raise ValueError("need 0 <= start <= stop")
     order = [F.col(c).asc_nulls_last() for c in order_by]
     return df.orderBy(*order).limit(stop).offset(start)
+
+
+def layer_report(
+    tables: Mapping[str, DataFrame],
+    n: int = 5,
+    order_by: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, DataFrame]:
+    """Validation of one lake layer as lazy DataFrames: row counts of all
+    tables, and per table a deterministic preview and the column summary."""
+    report = {"row_counts": row_counts(tables)}
+    for name, df in tables.items():
+        keys = (order_by or {}).get(name) or df.columns
+        report[f"{name}.preview"] = preview(df, n, order_by=list(keys))
+        report[f"{name}.columns"] = column_info(df)
+    return report

@@ -182,3 +182,22 @@ def test_profile_approx_and_quantile_methods(spark):
     a = {r.column_name: r.outliers for r in profile.iqr_outliers(df, quantile_method="approx").collect()}
     s = {r.column_name: r.outliers for r in profile.iqr_outliers(df, quantile_method="sort").collect()}
     assert a == s == {"k": 0, "v": 0}
+
+
+def test_profile_and_layer_reports(spark):
+    from basketry.plans import fixtures as fx
+
+    items = fx.order_items(spark, "/root/testdata/sf0.001")
+    rep = profile.profile_report(items, key=["LINEITEM_ID"], bins=10, missing_columns=["ITEM_NAME"])
+    assert set(rep) == {"shape", "columns", "duplicate_rows", "key_violations", "missing_rows", "iqr_outliers", "histogram"}
+    assert rep["shape"].first().columns == 12
+    assert rep["histogram"].count() == 2 * 10  # ITEM_PRICE, ITEM_QUANTITY
+    cleaned, acc = profile.clean_report(items, null_key=["LINEITEM_ID"])
+    a = acc.first()
+    assert a.rows_after == cleaned.count() and a.rows_before == items.count()
+    opts = fx.order_item_options(spark, "/root/testdata/sf0.001")
+    cleaned_o, acc_o = profile.clean_report(opts)
+    assert acc_o.first().rows_after == cleaned_o.count()
+    lay = validate.layer_report({"order_items": items, "options": opts}, order_by={"order_items": ["LINEITEM_ID", "ORDER_ID"]})
+    assert {r.table_name for r in lay["row_counts"].collect()} == {"order_items", "options"}
+    assert lay["options.preview"].count() == 5 and lay["order_items.columns"].count() == 12
