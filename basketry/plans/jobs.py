@@ -84,3 +84,56 @@ def silver_to_gold(
     finally:
         enriched.unpersist()
     return {"fact_customer": customer_path, "fact_orders_location": location_path}
+
+
+def main(argv: Sequence[str] | None = None) -> int:
+    """Command line (``python -m basketry.plans.jobs`` or, with the package
+    shipped via ``--py-files``, ``spark-submit basketry/plans/jobs.py``)::
+
+        jobs.py silver --bronze s3://…/raw/ --silver s3://…/silver/
+        jobs.py gold --silver s3://…/silver/ --gold s3://…/gold/
+        jobs.py ingest --url jdbc:… --target s3://…/raw/ \\
+            --user U --password-env DB_PASSWORD --driver com.example.Driver
+    """
+    import argparse
+    import os
+
+    from basketry.session import build_session
+    from basketry.sources.jdbc import ingest_all
+
+    parser = argparse.ArgumentParser(prog="basketry.plans.jobs")
+    sub = parser.add_subparsers(dest="job", required=True)
+    s = sub.add_parser("silver", help="Bronze -> Silver")
+    s.add_argument("--bronze", required=True)
+    s.add_argument("--silver", required=True)
+    s.add_argument("--deterministic", action="store_true", help="dedupe survivors by all columns")
+    g = sub.add_parser("gold", help="Silver -> Gold")
+    g.add_argument("--silver", required=True)
+    g.add_argument("--gold", required=True)
+    g.add_argument("--partition-by-year", action="store_true")
+    i = sub.add_parser("ingest", help="database -> Bronze")
+    i.add_argument("--url", required=True)
+    i.add_argument("--target", required=True)
+    i.add_argument("--user")
+    i.add_argument("--password-env", help="name of the environment variable holding the password")
+    i.add_argument("--driver")
+    args = parser.parse_args(argv)
+
+    spark = build_session(app_name=f"basketry-{args.job}")
+    if args.job == "silver":
+        bronze_to_silver(spark, args.bronze, args.silver, order_by="all" if args.deterministic else None)
+    elif args.job == "gold":
+        silver_to_gold(spark, args.silver, args.gold, partition_by_date=args.partition_by_year)
+    else:
+        password = os.environ.get(args.password_env) if args.password_env else None
+        status = ingest_all(
+            spark, args.url, args.target, user=args.user, password=password, driver=args.driver
+        )
+        failed = status.where("status != 'ok'").count()
+        status.show(truncate=False)
+        return 1 if failed else 0
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

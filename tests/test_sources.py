@@ -111,3 +111,14 @@ def test_layer_jobs_end_to_end(spark, tmp_out):
     assert read_parquet(spark, silver_paths["dim_date"]).count() * 2 == fx.date_dim(spark, SF).count()
     fc.unpersist()
     fl.unpersist()
+
+
+def test_jobs_command_line(spark, tmp_out):
+    bronze = os.path.join(tmp_out, "bronze")
+    write_parquet(fx.date_dim(spark, SF), os.path.join(bronze, "dbo_date_dim"))
+    write_parquet(fx.order_items(spark, SF), os.path.join(bronze, "dbo_order_items"))
+    write_parquet(fx.order_item_options(spark, SF), os.path.join(bronze, "dbo_order_item_options"))
+    silver_dir, gold_dir = os.path.join(tmp_out, "silver"), os.path.join(tmp_out, "gold")
+    assert jobs.main(["silver", "--bronze", bronze, "--silver", silver_dir, "--deterministic"]) == 0
+    assert jobs.main(["gold", "--silver", silver_dir, "--gold", gold_dir]) == 0
+    assert read_parquet(spark, os.path.join(gold_dir, "fact_customer")).count() > 0
