@@ -9,7 +9,7 @@ column (or per column and bin) and stay small.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -95,10 +95,32 @@ def iqr_outliers(
 ) -> DataFrame:
     """Per numeric column: Q1, Q3, IQR, fences and the count of values strictly
     outside ``[Q1 - factor*IQR, Q3 + factor*IQR]``; NULLs are never outliers."""
-    long = numeric_long(df, columns)
-    q = grouped_quantiles(long, ["column_name"], "value", [0.25, 0.75], method=quantile_method)
+    return _iqr_from_long(numeric_long(df, columns), ["column_name"], factor, quantile_method)
+
+
+def iqr_outliers_by_table(
+    frames: Mapping[str, DataFrame],
+    factor: float = IQR_FACTOR,
+    quantile_method: str = "auto",
+) -> DataFrame:
+    """:func:`iqr_outliers` for several sources at once (``table_name`` column).
+
+    The numeric columns of all sources are stacked into one long frame, so
+    the quantiles and outlier counts are one grouped computation instead of
+    one per source.
+    """
+    parts = [
+        numeric_long(df).select(F.lit(name).alias("table_name"), "column_name", "value")
+        for name, df in frames.items()
+    ]
+    long = reduce(lambda a, b: a.unionAll(b), parts)
+    return _iqr_from_long(long, ["table_name", "column_name"], factor, quantile_method)
+
+
+def _iqr_from_long(long: DataFrame, keys: list[str], factor: float, quantile_method: str) -> DataFrame:
+    q = grouped_quantiles(long, keys, "value", [0.25, 0.75], method=quantile_method)
     stats = q.select(
-        "column_name",
+        *keys,
         F.col("q_0").alias("q1"),
         F.col("q_1").alias("q3"),
         (F.col("q_1") - F.col("q_0")).alias("iqr"),
@@ -108,13 +130,13 @@ def iqr_outliers(
             "upper_fence": F.col("q3") + factor * F.col("iqr"),
         }
     )
-    # stats has one row per numeric column: bounded by the schema width.
-    joined = long.join(F.broadcast(stats), "column_name", "left")
+    # stats has one row per numeric column (per source): bounded by the schemas.
+    joined = long.join(F.broadcast(stats), keys, "left")
     out = F.coalesce(
         (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence")),
         F.lit(False),
     )
-    return joined.groupBy("column_name").agg(
+    return joined.groupBy(*keys).agg(
         F.first("q1", ignorenulls=True).alias("q1"),
         F.first("q3", ignorenulls=True).alias("q3"),
         F.first("iqr", ignorenulls=True).alias("iqr"),

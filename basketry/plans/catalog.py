@@ -279,10 +279,8 @@ def q_profile_key_violations_options(spark, d):
 
 
 def q_profile_iqr_outliers(spark, d):
-    frames = {n: profile.iqr_outliers(df) for n, df in _profile_sources(spark, d).items()}
-    return rounded(
-        _tagged_union(frames), edges=("q1", "q3", "iqr", "lower_fence", "upper_fence")
-    )
+    out = profile.iqr_outliers_by_table(_profile_sources(spark, d))
+    return rounded(out, edges=("q1", "q3", "iqr", "lower_fence", "upper_fence"))
 
 
 def q_profile_histogram(spark, d):
