@@ -211,21 +211,22 @@ def rfm_users(
     money = F.col("Monetary")
     if money_precision is not None:
         money = F.round(money, money_precision)
-    metrics_ = [(F.col("Recency"), "R_Score", 3), (F.col("Frequency"), "F_Score", 1), (money, "M_Score", 1)]
+    # Default scores and, for scores="labels", the labels of
+    # codes 0/1/2 (recency is reversed: the lowest gap scores highest).
+    spec = [
+        (F.col("Recency"), "R_Score", 3, (3, 2, 1)),
+        (F.col("Frequency"), "F_Score", 1, (1, 2, 3)),
+        (money, "M_Score", 1, (1, 2, 3)),
+    ]
     # Non-NULL and distinct counts of the three measures in one aggregate.
     counts = users.agg(
-        *[f(c).alias(f"{fn}_{name}") for c, name, _ in metrics_ for fn, f in (("n", F.count), ("d", F.count_distinct))]
+        *[f(c).alias(f"{fn}_{name}") for c, name, _, _ in spec for fn, f in (("n", F.count), ("d", F.count_distinct))]
     ).first()
-    for c, name, default in metrics_:
+    for c, name, default, labels in spec:
         stats = (int(counts[f"n_{name}"]), int(counts[f"d_{name}"]))
-        users = tercile_scores(users, c, "user_id", name, default=default, stats=stats)
-    if scores == "labels":
-        users = users.withColumns(
-            {
-                "R_Score": F.when(F.col("R_Score").isin(0, 1, 2), 3 - F.col("R_Score")).otherwise(F.col("R_Score")),
-                "F_Score": F.when(F.col("F_Score").isin(0, 1, 2), F.col("F_Score") + 1).otherwise(F.col("F_Score")),
-                "M_Score": F.when(F.col("M_Score").isin(0, 1, 2), F.col("M_Score") + 1).otherwise(F.col("M_Score")),
-            }
+        users = tercile_scores(
+            users, c, "user_id", name, default=default, stats=stats,
+            labels=labels if scores == "labels" else None,
         )
     users = users.withColumn("RFM_Score", F.col("R_Score") + F.col("F_Score") + F.col("M_Score"))
     return users.withColumn(

@@ -158,6 +158,7 @@ def tercile_scores(
     method: str = "auto",
     max_group_rows: int = MAX_GROUP_ROWS,
     stats: tuple[int, int] | None = None,
+    labels: Sequence[int] | None = None,
 ) -> DataFrame:
     """Tercile code 0/1/2 of ``value`` by rank (ties broken by ``tie_breaker``).
 
@@ -167,6 +168,8 @@ def tercile_scores(
     ``method="auto"`` and ``n <= max_group_rows`` — from a single-task
     ``row_number`` window whose size has just been checked. ``stats`` passes
     a precomputed (non-NULL count, distinct count) to skip that aggregate.
+    ``labels`` (three values) replaces the codes 0/1/2 of ranked rows; the
+    default is used as given.
     """
     v = _as_col(value)
     keyed = df.withColumn("_tv", v)
@@ -182,7 +185,12 @@ def tercile_scores(
         numbered = present.withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
     else:
         numbered = global_row_number(present, order, name="_rn")
-    scored = numbered.withColumn(name, tercile_code(F.col("_rn") - 1, n)).drop("_rn")
+    code = tercile_code(F.col("_rn") - 1, n)
+    if labels is not None:
+        if len(labels) != 3:
+            raise ValueError("labels needs three values")
+        code = F.element_at(F.array(*[F.lit(int(x)) for x in labels]), code + 1)
+    scored = numbered.withColumn(name, code).drop("_rn")
     missing = keyed.where(F.col("_tv").isNull()).withColumn(name, F.lit(default))
     return scored.unionByName(missing).drop("_tv")
 

@@ -105,6 +105,11 @@ def q_gold_location_daily(spark, d):
     return rounded(pl.location_daily(spark, d), money=LOCATION_MONEY, averages=("avg_order_value",))
 
 
+def q_gold_location_ranked_by_year(spark, d):
+    ranked = gold.add_revenue_ranks(pl.location_daily(spark, d), with_year=True)
+    return rounded(ranked, money=LOCATION_MONEY, averages=("avg_order_value",))
+
+
 def q_gold_location_ranked(spark, d):
     return rounded(
         pl.fact_orders_location(spark, d), money=LOCATION_MONEY, averages=("avg_order_value",)
@@ -172,6 +177,16 @@ _, q_insight_rfm_kpis_events, _ = _rfm(pl.event_fact_customer, 7)
 _, _, q_insight_rfm_summary_events = _rfm(pl.event_fact_customer, 90)
 
 
+def q_insight_rfm_users_labels_events(spark, d):
+    users = metrics.rfm_users(pl.event_fact_customer(spark, d), 30, scores="labels")
+    return rounded(users, money=RFM_MONEY)
+
+
+def q_insight_rfm_users_latest(spark, d):
+    users = metrics.rfm_users(pl.fact_customer(spark, d), 90, recency="latest")
+    return rounded(users, money=RFM_MONEY)
+
+
 def q_insight_rfm_segment_counts(spark, d):
     return metrics.rfm_segment_counts(metrics.rfm_users(pl.fact_customer(spark, d), 90))
 
@@ -338,6 +353,7 @@ def queries() -> dict[str, Query]:
         "gold_fact_customer": q_gold_fact_customer,
         "gold_location_daily": q_gold_location_daily,
         "gold_location_ranked": q_gold_location_ranked,
+        "gold_location_ranked_by_year": q_gold_location_ranked_by_year,
         "insight_overview": q_insight_overview,
         "insight_total_revenue": q_insight_total_revenue,
         "insight_user_clv": q_insight_user_clv,
@@ -350,6 +366,8 @@ def queries() -> dict[str, Query]:
         "insight_rfm_summary": q_insight_rfm_summary,
         "insight_rfm_segment_counts": q_insight_rfm_segment_counts,
         "insight_rfm_users_events": q_insight_rfm_users_events,
+        "insight_rfm_users_labels_events": q_insight_rfm_users_labels_events,
+        "insight_rfm_users_latest": q_insight_rfm_users_latest,
         "insight_rfm_kpis_events": q_insight_rfm_kpis_events,
         "insight_rfm_summary_events": q_insight_rfm_summary_events,
         "insight_churn_counts": q_insight_churn_counts,

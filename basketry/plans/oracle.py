@@ -265,6 +265,13 @@ SQL = {
     "gold_location_daily": f"SELECT {_LOCATION_COLS} FROM location_daily",
     "gold_location_ranked": f"SELECT {_LOCATION_COLS}, revenue_rank_day, revenue_rank_week, "
     "revenue_rank_month FROM location_ranked",
+    "gold_location_ranked_by_year": f"SELECT {_LOCATION_COLS}, "
+    + ", ".join(
+        f"CAST(rank() OVER (PARTITION BY year, period_{p} ORDER BY round(total_revenue, 2) DESC NULLS LAST) "
+        f"AS INTEGER) AS revenue_rank_{p}"
+        for p in ("day", "week", "month")
+    )
+    + " FROM location_daily",
 }
 
 
@@ -281,22 +288,35 @@ _USER_CLV = """
            FROM uc, uq)"""
 
 
-def _rfm_sql(fact: str, window: int) -> str:
-    """RFM users with tercile codes: 0 if 3k < n-1, 1 if 3k < 2(n-1), else 2."""
+def _rfm_sql(fact: str, window: int, labels: bool = False, recency: str = "min") -> str:
+    """RFM users with tercile codes: 0 if 3k < n-1, 1 if 3k < 2(n-1), else 2.
+
+    ``labels`` maps codes of ranked users to R 3/2/1 and F, M 1/2/3;
+    ``recency="latest"`` takes the gap of the user's latest row (NULL date latest).
+    """
 
-    def score(col: str, default: int) -> str:
+    def score(col: str, default: int, lab: tuple[int, int, int]) -> str:
+        lo, mid, hi = lab if labels else (0, 1, 2)
         return (
             f"CASE WHEN st.d_{col} <= 1 OR {col}_v IS NULL THEN {default} "
-            f"WHEN 3 * k_{col} < st.n_{col} - 1 THEN 0 "
-            f"WHEN 3 * k_{col} < 2 * (st.n_{col} - 1) THEN 1 ELSE 2 END"
+            f"WHEN 3 * k_{col} < st.n_{col} - 1 THEN {lo} "
+            f"WHEN 3 * k_{col} < 2 * (st.n_{col} - 1) THEN {mid} ELSE {hi} END"
         )
 
+    if recency == "latest":
+        rec = "max(CASE WHEN rn_latest = 1 THEN recency_days END)"
+        src = (
+            f"(SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY creation_date DESC NULLS FIRST) "
+            f"AS rn_latest FROM {fact})"
+        )
+    else:
+        rec, src = "min(recency_days)", fact
     return f"""
     ru AS (
-      SELECT user_id, min(recency_days) AS Recency, max(frequency_{window}d) AS Frequency,
+      SELECT user_id, {rec} AS Recency, max(frequency_{window}d) AS Frequency,
              max(monetary_{window}d) AS Monetary,
              max(CASE churn_risk_flag WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3 END) AS churn_rank
-      FROM {fact} GROUP BY user_id),
+      FROM {src} GROUP BY user_id),
     rv AS (SELECT *, Recency AS r_v, Frequency AS f_v, round(Monetary, 2) AS m_v FROM ru),
     st AS (SELECT count(r_v) AS n_r, count(DISTINCT r_v) AS d_r, count(f_v) AS n_f,
                   count(DISTINCT f_v) AS d_f, count(m_v) AS n_m, count(DISTINCT m_v) AS d_m FROM rv),
@@ -309,7 +329,8 @@ def _rfm_sql(fact: str, window: int) -> str:
     sc AS (
       SELECT user_id, Recency, Frequency, Monetary, churn_rank,
              CASE churn_rank WHEN 1 THEN 'Low' WHEN 2 THEN 'Medium' WHEN 3 THEN 'High' END AS Churn_Risk,
-             {score('r', 3)} AS R_Score, {score('f', 1)} AS F_Score, {score('m', 1)} AS M_Score
+             {score('r', 3, (3, 2, 1))} AS R_Score, {score('f', 1, (1, 2, 3))} AS F_Score,
+             {score('m', 1, (1, 2, 3))} AS M_Score
       FROM rk, st),
     rfm AS (
       SELECT *, R_Score + F_Score + M_Score AS RFM_Score,
@@ -319,9 +340,9 @@ def _rfm_sql(fact: str, window: int) -> str:
       FROM sc)"""
 
 
-def _rfm_users(fact: str, window: int) -> str:
+def _rfm_users(fact: str, window: int, **kw) -> str:
     return (
-        f"WITH {_rfm_sql(fact, window)} SELECT user_id, Recency, Frequency, "
+        f"WITH {_rfm_sql(fact, window, **kw)} SELECT user_id, Recency, Frequency, "
         "round(Monetary, 2) AS Monetary, churn_rank, Churn_Risk, R_Score, F_Score, M_Score, "
         "RFM_Score, Segment FROM rfm"
     )
@@ -388,6 +409,8 @@ METRIC_SQL = {
     "insight_rfm_segment_counts": f"WITH {_rfm_sql('fact_customer', 90)} "
     "SELECT Segment, count(user_id) AS Customers FROM rfm GROUP BY Segment",
     "insight_rfm_users_events": _rfm_users("ev_fact_customer", 30),
+    "insight_rfm_users_labels_events": _rfm_users("ev_fact_customer", 30, labels=True),
+    "insight_rfm_users_latest": _rfm_users("fact_customer", 90, recency="latest"),
     "insight_rfm_kpis_events": _rfm_kpis("ev_fact_customer", 7),
     "insight_rfm_summary_events": _rfm_summary("ev_fact_customer", 90),
     "insight_churn_counts": """

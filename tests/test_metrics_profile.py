@@ -87,6 +87,10 @@ def test_constant_frequency_means_nobody_is_vip(spark):
     rows = [(f"u{i}", D(2021, 1, 1), 1.0, 0, "Low", 1.0, 3, float(i)) for i in range(9)]
     rfm = metrics.rfm_users(fc_rows(spark, rows), 30).collect()
     assert {r.F_Score for r in rfm} == {1} and all(r.Segment != "VIP" for r in rfm)
+    # labels mode keeps the defaults as they are (R 3, F 1) and labels ranked M 1..3
+    lab = metrics.rfm_users(fc_rows(spark, rows), 30, scores="labels").collect()
+    assert {r.F_Score for r in lab} == {1} and {r.R_Score for r in lab} == {3}
+    assert {r.M_Score for r in lab} == {1, 2, 3}
 
 
 def test_location_metrics_flags_and_top(spark):
