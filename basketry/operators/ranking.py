@@ -209,8 +209,8 @@ def grouped_quantiles(
     Returns one row per group with columns ``q_<i>`` for each prob, plus
     ``n`` (non-NULL count). ``method``:
 
-    * ``"sort"`` (default) — exact and distributed: one global sort, then the
-      two neighbours of position (n-1)·p are fetched by row number;
+    * ``"sort"`` — exact and distributed: one global sort, then the two
+      neighbours of position (n-1)·p are fetched by row number;
     * ``"aggregate"`` — Spark's exact ``percentile``; keeps a value->count
       map per group in one buffer, fine for small groups;
     * ``"approx"`` — ``percentile_approx`` with ``accuracy``;
@@ -265,7 +265,7 @@ def grouped_quantiles(
     t = F.broadcast(targets)
     lo = numbered.select(F.col("_rn").alias("_rn_lo"), F.col("_qv").alias("_v_lo"))
     hi = numbered.select(F.col("_rn").alias("_rn_hi"), F.col("_qv").alias("_v_hi"))
-    picked = t.join(lo, "_rn_lo").join(hi, "_rn_hi")
+    picked = F.broadcast(t.join(lo, "_rn_lo")).join(hi, "_rn_hi")
     interp = F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * F.col("_frac")
     per_prob = picked.select(*group_cols, "n", "_i", interp.alias("_q"))
     return per_prob.groupBy(*group_cols, "n").agg(
