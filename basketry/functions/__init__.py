@@ -11,6 +11,7 @@ from basketry.functions.rules import (
     null_safe_flag,
     period_part,
     rfm_segment,
+    round_half_up,
     tercile_code,
 )
 from basketry.functions.timestamps import (
@@ -31,6 +32,7 @@ __all__ = [
     "parse_iso_utc",
     "period_part",
     "rfm_segment",
+    "round_half_up",
     "tercile_code",
     "time_of_day",
 ]

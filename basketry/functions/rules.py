@@ -108,3 +108,14 @@ def display_number(value: Column | str, decimals: int = 2) -> Column:
     """Thousands separators and fixed decimals (``1,234.50``) for display at the
     edge; metric operators themselves return numbers."""
     return F.format_number(_c(value), decimals)
+
+
+def round_half_up(value: Column | str, scale: int) -> Column:
+    """Round half away from zero on the decimal value, returned as double.
+
+    The double is first taken to ``DECIMAL(38,10)`` (its shortest decimal form
+    up to 10 places), so an exact decimal tie such as ``x.xxxx5`` rounds the
+    same way however the binary value happens to fall; ``round`` on the raw
+    double would depend on that last bit.
+    """
+    return F.round(_c(value).cast("decimal(38,10)"), scale).cast("double")

@@ -29,6 +29,7 @@ from basketry.functions.rules import (
     CHURN_MEDIUM_AFTER_DAYS,
     churn_flag,
     period_part,
+    round_half_up,
 )
 from basketry.operators.ranking import MAX_GROUP_ROWS, rank_within_groups
 from basketry.session import materialize
@@ -204,7 +205,7 @@ def add_revenue_ranks(
     """
     value = F.col("total_revenue")
     if money_precision is not None:
-        value = F.round(value, money_precision)
+        value = round_half_up(value, money_precision)
     out = location
     if method == "auto":
         out = materialize(location)

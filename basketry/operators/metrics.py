@@ -25,6 +25,7 @@ from basketry.functions.rules import (
     clv_group,
     null_safe_flag,
     rfm_segment,
+    round_half_up,
 )
 from basketry.operators.ranking import grouped_quantiles, tercile_scores
 from basketry.session import materialize
@@ -87,7 +88,7 @@ def user_clv(
     """
     clv = F.max("clv_cumulative")
     if money_precision is not None:
-        clv = F.round(clv, money_precision)
+        clv = round_half_up(clv, money_precision)
     users = materialize(fact_customer.groupBy("user_id").agg(clv.alias("clv_cumulative")))
     q = grouped_quantiles(users, [], "clv_cumulative", list(probs), method=quantile_method).first()
     q_low = None if q is None else q["q_0"]
@@ -167,8 +168,8 @@ def clv_summary(users: DataFrame) -> DataFrame:
         users.groupBy("CLV_Group")
         .agg(
             F.count("user_id").alias("Total_Customers"),
-            F.round(_sum0("clv_cumulative"), 2).cast("double").alias("Total_Revenue"),
-            F.round(F.avg("clv_cumulative"), 2).alias("Avg_CLV"),
+            round_half_up(_sum0("clv_cumulative"), 2).alias("Total_Revenue"),
+            round_half_up(F.avg("clv_cumulative"), 2).alias("Avg_CLV"),
         )
         .orderBy(F.col("Avg_CLV").desc_nulls_last(), "CLV_Group")
     )
@@ -210,7 +211,7 @@ def rfm_users(
     users = materialize(users.withColumn("Churn_Risk", churn_from_rank("churn_rank")))
     money = F.col("Monetary")
     if money_precision is not None:
-        money = F.round(money, money_precision)
+        money = round_half_up(money, money_precision)
     # Default scores and, for scores="labels", the labels of
     # codes 0/1/2 (recency is reversed: the lowest gap scores highest).
     spec = [
@@ -254,9 +255,9 @@ def rfm_summary(rfm: DataFrame) -> DataFrame:
     """Per segment: users and mean R, F, M (rounded to 2)."""
     return rfm.groupBy("Segment").agg(
         F.count("user_id").alias("Customers"),
-        F.round(F.avg("Recency"), 2).alias("Avg_Recency"),
-        F.round(F.avg("Frequency"), 2).alias("Avg_Frequency"),
-        F.round(F.avg("Monetary"), 2).alias("Avg_Monetary"),
+        round_half_up(F.avg("Recency"), 2).alias("Avg_Recency"),
+        round_half_up(F.avg("Frequency"), 2).alias("Avg_Frequency"),
+        round_half_up(F.avg("Monetary"), 2).alias("Avg_Monetary"),
     )
 
 
@@ -331,7 +332,7 @@ def top_locations(
         col = "avg_order_value"
     else:
         raise ValueError("measure must be 'revenue' or 'aov'")
-    key = F.col(col) if order_precision is None else F.round(F.col(col), order_precision)
+    key = F.col(col) if order_precision is None else round_half_up(F.col(col), order_precision)
     order = key.asc_nulls_last() if ascending else key.desc_nulls_last()
     return agg.orderBy(order, F.col("restaurant_id").asc()).limit(n)
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.functions import round_half_up
 from basketry.operators import dedupe, gold, metrics, profile, validate
 from basketry.plans import fixtures as fx
 from basketry.plans import pipeline as pl
@@ -32,11 +33,11 @@ def rounded(
     exprs = []
     for c in df.columns:
         if c in edges:
-            exprs.append(F.round(F.col(c), EDGE).alias(c))
+            exprs.append(round_half_up(c, EDGE).alias(c))
         elif c in money:
-            exprs.append(F.round(F.col(c), MONEY).alias(c))
+            exprs.append(round_half_up(c, MONEY).alias(c))
         elif c in averages:
-            exprs.append(F.round(F.col(c), AVERAGE).alias(c))
+            exprs.append(round_half_up(c, AVERAGE).alias(c))
         else:
             exprs.append(F.col(c))
     return df.select(*exprs)

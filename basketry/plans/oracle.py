@@ -199,9 +199,9 @@ def _gold_ctes(prefix: str, orders: str, with_options: bool) -> dict[str, str]:
         FROM {p}enriched GROUP BY creation_date, restaurant_id"""
     ctes[f"{p}location_ranked"] = f"""
         SELECT *,
-               CAST(rank() OVER (PARTITION BY period_day ORDER BY round(total_revenue, 2) DESC NULLS LAST) AS INTEGER) AS revenue_rank_day,
-               CAST(rank() OVER (PARTITION BY period_week ORDER BY round(total_revenue, 2) DESC NULLS LAST) AS INTEGER) AS revenue_rank_week,
-               CAST(rank() OVER (PARTITION BY period_month ORDER BY round(total_revenue, 2) DESC NULLS LAST) AS INTEGER) AS revenue_rank_month
+               CAST(rank() OVER (PARTITION BY period_day ORDER BY CAST(round(CAST(total_revenue AS DECIMAL(38,10)), 2) AS DOUBLE) DESC NULLS LAST) AS INTEGER) AS revenue_rank_day,
+               CAST(rank() OVER (PARTITION BY period_week ORDER BY CAST(round(CAST(total_revenue AS DECIMAL(38,10)), 2) AS DOUBLE) DESC NULLS LAST) AS INTEGER) AS revenue_rank_week,
+               CAST(rank() OVER (PARTITION BY period_month ORDER BY CAST(round(CAST(total_revenue AS DECIMAL(38,10)), 2) AS DOUBLE) DESC NULLS LAST) AS INTEGER) AS revenue_rank_month
         FROM {p}location_daily"""
     return ctes
 
@@ -228,11 +228,11 @@ def with_ctes(body: str) -> str:
 
 
 def r2(expr: str, alias: str | None = None) -> str:
-    return f"round({expr}, 2) AS {alias or expr}"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), 2) AS DOUBLE) AS {alias or expr}"
 
 
 def r4(expr: str, alias: str | None = None) -> str:
-    return f"round({expr}, 4) AS {alias or expr}"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), 4) AS DOUBLE) AS {alias or expr}"
 
 
 _CUSTOMER_COLS = (
@@ -267,7 +267,7 @@ SQL = {
     "revenue_rank_month FROM location_ranked",
     "gold_location_ranked_by_year": f"SELECT {_LOCATION_COLS}, "
     + ", ".join(
-        f"CAST(rank() OVER (PARTITION BY year, period_{p} ORDER BY round(total_revenue, 2) DESC NULLS LAST) "
+        f"CAST(rank() OVER (PARTITION BY year, period_{p} ORDER BY CAST(round(CAST(total_revenue AS DECIMAL(38,10)), 2) AS DOUBLE) DESC NULLS LAST) "
         f"AS INTEGER) AS revenue_rank_{p}"
         for p in ("day", "week", "month")
     )
@@ -277,7 +277,7 @@ SQL = {
 
 # ------------------------------------------------------------------ metrics
 _USER_CLV = """
-    uc AS (SELECT user_id, round(max(clv_cumulative), 2) AS clv_cumulative
+    uc AS (SELECT user_id, CAST(round(CAST(max(clv_cumulative) AS DECIMAL(38,10)), 2) AS DOUBLE) AS clv_cumulative
            FROM fact_customer GROUP BY user_id),
     uq AS (SELECT quantile_cont(clv_cumulative, 0.2) AS q20,
                   quantile_cont(clv_cumulative, 0.8) AS q80 FROM uc),
@@ -317,7 +317,7 @@ def _rfm_sql(fact: str, window: int, labels: bool = False, recency: str = "min")
              max(monetary_{window}d) AS Monetary,
              max(CASE churn_risk_flag WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3 END) AS churn_rank
       FROM {src} GROUP BY user_id),
-    rv AS (SELECT *, Recency AS r_v, Frequency AS f_v, round(Monetary, 2) AS m_v FROM ru),
+    rv AS (SELECT *, Recency AS r_v, Frequency AS f_v, CAST(round(CAST(Monetary AS DECIMAL(38,10)), 2) AS DOUBLE) AS m_v FROM ru),
     st AS (SELECT count(r_v) AS n_r, count(DISTINCT r_v) AS d_r, count(f_v) AS n_f,
                   count(DISTINCT f_v) AS d_f, count(m_v) AS n_m, count(DISTINCT m_v) AS d_m FROM rv),
     rk AS (
@@ -343,7 +343,7 @@ def _rfm_sql(fact: str, window: int, labels: bool = False, recency: str = "min")
 def _rfm_users(fact: str, window: int, **kw) -> str:
     return (
         f"WITH {_rfm_sql(fact, window, **kw)} SELECT user_id, Recency, Frequency, "
-        "round(Monetary, 2) AS Monetary, churn_rank, Churn_Risk, R_Score, F_Score, M_Score, "
+        "CAST(round(CAST(Monetary AS DECIMAL(38,10)), 2) AS DOUBLE) AS Monetary, churn_rank, Churn_Risk, R_Score, F_Score, M_Score, "
         "RFM_Score, Segment FROM rfm"
     )
 
@@ -360,8 +360,8 @@ def _rfm_kpis(fact: str, window: int) -> str:
 def _rfm_summary(fact: str, window: int) -> str:
     return (
         f"WITH {_rfm_sql(fact, window)} SELECT Segment, count(user_id) AS Customers, "
-        "round(avg(Recency), 2) AS Avg_Recency, round(avg(Frequency), 2) AS Avg_Frequency, "
-        "round(avg(Monetary), 2) AS Avg_Monetary FROM rfm GROUP BY Segment"
+        "CAST(round(CAST(avg(Recency) AS DECIMAL(38,10)), 2) AS DOUBLE) AS Avg_Recency, CAST(round(CAST(avg(Frequency) AS DECIMAL(38,10)), 2) AS DOUBLE) AS Avg_Frequency, "
+        "CAST(round(CAST(avg(Monetary) AS DECIMAL(38,10)), 2) AS DOUBLE) AS Avg_Monetary FROM rfm GROUP BY Segment"
     )
 
 
@@ -371,15 +371,15 @@ METRIC_SQL = {
     SELECT (SELECT count(DISTINCT restaurant_id) FROM location_daily) AS total_restaurants,
            (SELECT count(DISTINCT user_id) FROM fact_customer) AS total_customers,
            (SELECT CAST(COALESCE(sum(orders_daily), 0) AS BIGINT) FROM fact_customer) AS total_orders,
-           (SELECT round(COALESCE(sum(revenue_daily), 0), 2) FROM fact_customer) AS total_revenue""",
-    "insight_total_revenue": "SELECT round(COALESCE(sum(revenue_daily), 0), 2) AS total_revenue FROM fact_customer",
+           (SELECT CAST(round(CAST(COALESCE(sum(revenue_daily), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) FROM fact_customer) AS total_revenue""",
+    "insight_total_revenue": "SELECT CAST(round(CAST(COALESCE(sum(revenue_daily), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue FROM fact_customer",
     "insight_user_clv": f"WITH {_USER_CLV} SELECT * FROM ug",
     "insight_clv_tagged": f"""WITH {_USER_CLV}
     SELECT {_CUSTOMER_COLS}, recency_days, churn_risk_flag, {r2('clv_cumulative')}, {_ROLL_COLS}, ug.CLV_Group
     FROM (SELECT f.*, g.CLV_Group FROM fact_customer f LEFT JOIN ug g ON f.user_id = g.user_id) ug""",
     "insight_clv_kpis": f"""WITH {_USER_CLV}
-    SELECT round(COALESCE(sum(clv_cumulative), 0), 2) AS total_lifetime_revenue,
-           round(avg(clv_cumulative), 4) AS avg_clv,
+    SELECT CAST(round(CAST(COALESCE(sum(clv_cumulative), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_lifetime_revenue,
+           CAST(round(CAST(avg(clv_cumulative) AS DECIMAL(38,10)), 4) AS DOUBLE) AS avg_clv,
            count(*) FILTER (WHERE clv_cumulative >= (SELECT q80 FROM uq)) AS high_value_customers
     FROM uc""",
     "insight_clv_distribution": f"""WITH {_USER_CLV},
@@ -393,15 +393,15 @@ METRIC_SQL = {
     dom AS (SELECT g.CLV_Group, CAST(b.bin AS INTEGER) AS bin
             FROM (SELECT DISTINCT CLV_Group FROM ug) g, range(50) b(bin))
     SELECT dom.bin, dom.CLV_Group,
-           round(ed.st + ed.wd * dom.bin / 50, 6) AS bin_start,
-           round(ed.st + ed.wd * (dom.bin + 1) / 50, 6) AS bin_end,
+           CAST(round(CAST(ed.st + ed.wd * dom.bin / 50 AS DECIMAL(38,10)), 6) AS DOUBLE) AS bin_start,
+           CAST(round(CAST(ed.st + ed.wd * (dom.bin + 1) / 50 AS DECIMAL(38,10)), 6) AS DOUBLE) AS bin_end,
            CAST(COALESCE(cnt.customers, 0) AS BIGINT) AS customers
     FROM dom CROSS JOIN ed
     LEFT JOIN cnt ON dom.CLV_Group = cnt.CLV_Group AND dom.bin = cnt.bin""",
     "insight_clv_summary": f"""WITH {_USER_CLV}
     SELECT CLV_Group, count(user_id) AS Total_Customers,
-           round(COALESCE(sum(clv_cumulative), 0), 2) AS Total_Revenue,
-           round(avg(clv_cumulative), 2) AS Avg_CLV
+           CAST(round(CAST(COALESCE(sum(clv_cumulative), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS Total_Revenue,
+           CAST(round(CAST(avg(clv_cumulative) AS DECIMAL(38,10)), 2) AS DOUBLE) AS Avg_CLV
     FROM ug GROUP BY CLV_Group ORDER BY Avg_CLV DESC NULLS LAST, CLV_Group""",
     "insight_rfm_users": _rfm_users("fact_customer", 30),
     "insight_rfm_kpis": _rfm_kpis("fact_customer", 30),
@@ -423,29 +423,29 @@ METRIC_SQL = {
         FROM fact_customer) WHERE rn = 1 GROUP BY churn_risk_flag
     ) c ON c.churn_risk_flag = lv.Churn_Risk""",
     "insight_daily_revenue": """
-    SELECT creation_date, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    SELECT creation_date, CAST(round(CAST(COALESCE(sum(total_revenue), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue
     FROM location_daily WHERE creation_date IS NOT NULL GROUP BY creation_date""",
     "insight_monthly_revenue": """
-    SELECT period_month, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    SELECT period_month, CAST(round(CAST(COALESCE(sum(total_revenue), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue
     FROM location_daily GROUP BY period_month""",
     "insight_loyalty_spend": """
-    SELECT COALESCE(loyalty_orders > 0, FALSE) AS is_loyalty, round(avg(revenue_daily), 4) AS revenue_daily
+    SELECT COALESCE(loyalty_orders > 0, FALSE) AS is_loyalty, CAST(round(CAST(avg(revenue_daily) AS DECIMAL(38,10)), 4) AS DOUBLE) AS revenue_daily
     FROM fact_customer GROUP BY 1""",
     "insight_top_locations_revenue": """
-    SELECT restaurant_id, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    SELECT restaurant_id, CAST(round(CAST(COALESCE(sum(total_revenue), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue
     FROM location_daily WHERE restaurant_id IS NOT NULL GROUP BY restaurant_id
-    ORDER BY round(COALESCE(sum(total_revenue), 0), 2) DESC NULLS LAST, restaurant_id LIMIT 5""",
+    ORDER BY CAST(round(CAST(COALESCE(sum(total_revenue), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) DESC NULLS LAST, restaurant_id LIMIT 5""",
     "insight_bottom_locations_revenue": """
-    SELECT restaurant_id, round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+    SELECT restaurant_id, CAST(round(CAST(COALESCE(sum(total_revenue), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue
     FROM location_daily WHERE restaurant_id IS NOT NULL GROUP BY restaurant_id
-    ORDER BY round(COALESCE(sum(total_revenue), 0), 2) ASC NULLS LAST, restaurant_id LIMIT 5""",
+    ORDER BY CAST(round(CAST(COALESCE(sum(total_revenue), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) ASC NULLS LAST, restaurant_id LIMIT 5""",
     "insight_top_locations_aov": """
-    SELECT restaurant_id, round(avg(avg_order_value), 4) AS avg_order_value
+    SELECT restaurant_id, CAST(round(CAST(avg(avg_order_value) AS DECIMAL(38,10)), 4) AS DOUBLE) AS avg_order_value
     FROM location_daily WHERE restaurant_id IS NOT NULL GROUP BY restaurant_id
-    ORDER BY round(avg(avg_order_value), 4) DESC NULLS LAST, restaurant_id LIMIT 5""",
+    ORDER BY CAST(round(CAST(avg(avg_order_value) AS DECIMAL(38,10)), 4) AS DOUBLE) DESC NULLS LAST, restaurant_id LIMIT 5""",
     "insight_discount_revenue": """
     SELECT COALESCE(non_loyalty_revenue < total_revenue, FALSE) AS discount_applied,
-           round(COALESCE(sum(total_revenue), 0), 2) AS total_revenue
+           CAST(round(CAST(COALESCE(sum(total_revenue), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue
     FROM location_daily GROUP BY 1""",
 }
 
@@ -498,9 +498,9 @@ def _iqr_sql() -> str:
         for c in cols:
             v = f"CAST({c} AS DOUBLE)"
             parts.append(f"""
-    SELECT '{name}' AS table_name, '{c}' AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3,
-           round(q3 - q1, 6) AS iqr, round(q1 - 1.5 * (q3 - q1), 6) AS lower_fence,
-           round(q3 + 1.5 * (q3 - q1), 6) AS upper_fence,
+    SELECT '{name}' AS table_name, '{c}' AS column_name, CAST(round(CAST(q1 AS DECIMAL(38,10)), 6) AS DOUBLE) AS q1, CAST(round(CAST(q3 AS DECIMAL(38,10)), 6) AS DOUBLE) AS q3,
+           CAST(round(CAST(q3 - q1 AS DECIMAL(38,10)), 6) AS DOUBLE) AS iqr, CAST(round(CAST(q1 - 1.5 * (q3 - q1) AS DECIMAL(38,10)), 6) AS DOUBLE) AS lower_fence,
+           CAST(round(CAST(q3 + 1.5 * (q3 - q1) AS DECIMAL(38,10)), 6) AS DOUBLE) AS upper_fence,
            (SELECT count(*) FROM {rel} WHERE {v} < s.q1 - 1.5 * (s.q3 - s.q1)
                                         OR {v} > s.q3 + 1.5 * (s.q3 - s.q1)) AS outliers
     FROM (SELECT quantile_cont({v}, 0.25) AS q1, quantile_cont({v}, 0.75) AS q3 FROM {rel}) s""")
@@ -520,8 +520,8 @@ def _histogram_sql() -> str:
             )
             parts.append(f"""
     SELECT '{name}' AS table_name, '{c}' AS column_name, CAST(b.bin AS INTEGER) AS bin,
-           round(e.st + e.wd * b.bin / {n}, 6) AS bin_start,
-           round(e.st + e.wd * (b.bin + 1) / {n}, 6) AS bin_end,
+           CAST(round(CAST(e.st + e.wd * b.bin / {n} AS DECIMAL(38,10)), 6) AS DOUBLE) AS bin_start,
+           CAST(round(CAST(e.st + e.wd * (b.bin + 1) / {n} AS DECIMAL(38,10)), 6) AS DOUBLE) AS bin_end,
            CAST(COALESCE(k.cnt, 0) AS BIGINT) AS count
     FROM {edges} e
     CROSS JOIN range({n}) b(bin)
