@@ -39,6 +39,8 @@ def build_session(
         builder = builder.master(master)
     conf = dict(REQUIRED_CONF)
     conf.setdefault("spark.ui.enabled", "false")
+    # remove checkpoint files once nothing references them (long sessions)
+    conf.setdefault("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
