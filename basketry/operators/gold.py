@@ -210,8 +210,9 @@ def add_revenue_ranks(
     if method == "auto":
         out = materialize(location)
         keys = (["year"] if with_year else []) + [f"period_{p}" for p in PERIODS]
-        # One row per (year,) day x week x month combination present: bounded
-        # by the calendar (at most 31 * 53 * 12 per year), not by the data.
+        # One row per (year,) day x week x month combination present. A date
+        # fixes all three, so this is at most the number of distinct dates
+        # (~366 per year): bounded by the calendar, not by the data.
         sizes = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).collect()
         biggest = 0
         for p in PERIODS:
