@@ -4,6 +4,7 @@ from basketry.sources.csv import read_csv, write_csv
 from basketry.sources.jdbc import (
     INFORMATION_SCHEMA_TABLES,
     Partitioning,
+    discover_partitioning,
     ingest_all,
     jdbc_options,
     list_tables,
@@ -16,6 +17,7 @@ from basketry.sources.parquet import load_gold, read_parquet, union_frames, writ
 __all__ = [
     "INFORMATION_SCHEMA_TABLES",
     "Partitioning",
+    "discover_partitioning",
     "ingest_all",
     "jdbc_options",
     "list_tables",

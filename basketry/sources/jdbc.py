@@ -94,6 +94,26 @@ def read_query(spark: SparkSession, url: str, query: str, alias: str = "q", **kw
     return read_table(spark, url=url, dbtable=f"({query}) {alias}", **kwargs)
 
 
+def discover_partitioning(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    num_partitions: int,
+    **kwargs,
+) -> Partitioning | None:
+    """Bounds for a parallel read of ``table`` on a numeric ``column``.
+
+    One ``MIN``/``MAX`` query runs inside the database (two numbers come
+    back); ``None`` for an empty table, which is then read in one piece.
+    """
+    q = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    row = read_query(spark, url, q, alias="bounds", **kwargs).first()
+    if row is None or row["lo"] is None:
+        return None
+    return Partitioning(column, row["lo"], row["hi"], num_partitions)
+
+
 def list_tables(
     spark: SparkSession,
     url: str,

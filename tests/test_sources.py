@@ -122,3 +122,21 @@ def test_jobs_command_line(spark, tmp_out):
     assert jobs.main(["silver", "--bronze", bronze, "--silver", silver_dir, "--deterministic"]) == 0
     assert jobs.main(["gold", "--silver", silver_dir, "--gold", gold_dir]) == 0
     assert read_parquet(spark, os.path.join(gold_dir, "fact_customer")).count() > 0
+
+
+def test_discover_partitioning_uses_one_pushed_query(spark, monkeypatch):
+    from basketry.sources import jdbc
+
+    seen = {}
+
+    def fake_read_query(spark_, url, query, alias="q", **kw):
+        seen["query"], seen["kw"] = query, kw
+        return spark_.createDataFrame([(3, 9000)], "lo long, hi long")
+
+    monkeypatch.setattr(jdbc, "read_query", fake_read_query)
+    part = jdbc.discover_partitioning(spark, "jdbc:x", "dbo.orders", "id", 16, user="u")
+    assert seen["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM dbo.orders"
+    assert seen["kw"] == {"user": "u"}
+    assert part == jdbc.Partitioning("id", 3, 9000, 16)
+    opts = jdbc.jdbc_options("jdbc:x", "dbo.orders", partitioning=part)
+    assert (opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == ("3", "9000", "16")
