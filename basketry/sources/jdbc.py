@@ -5,6 +5,8 @@
   partition column and bounds are given (the original read used one
   connection and therefore one task per table);
 * :func:`read_query` pushes a query down to the database;
+* :func:`discover_partitioning` finds the bounds for a parallel read with one
+  pushed-down ``MIN``/``MAX`` query;
 * :func:`list_tables` runs a catalog query and returns ``schema.table`` names;
 * :func:`ingest_all` copies every table to ``<base>/<schema>_<table>/`` with
   per-table error isolation and returns a status DataFrame.
@@ -141,6 +143,7 @@ def ingest_all(
     partitioning: Mapping[str, Partitioning] | None = None,
     count_rows: bool = False,
     writer: Callable[[DataFrame, str], None] | None = None,
+    concurrent_tables: int = 1,
     **kwargs,
 ) -> DataFrame:
     """Copy each table to Parquet (full overwrite) and report per table.
@@ -148,19 +151,29 @@ def ingest_all(
     A failing table is logged and recorded with ``status="failed"``; the
     others still run. A failing table enumeration raises. ``count_rows``
     reads the written folder back to count (off by default: an extra pass).
+    ``concurrent_tables`` > 1 submits that many table copies at once (each is
+    its own Spark job), so small tables do not leave the cluster idle.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     names = list(tables) if tables is not None else list_tables(spark, url, **kwargs)
     write = writer or (lambda df, path: write_parquet(df, path, mode="overwrite"))
-    statuses = []
-    for name in names:
+
+    def copy(name: str):
         path = target_folder(target_base, name)
         try:
             part = (partitioning or {}).get(name)
             df = read_table(spark, url=url, dbtable=name, partitioning=part, **kwargs)
             write(df, path)
             rows = spark.read.parquet(path).count() if count_rows else None
-            statuses.append((name, path, rows, "ok", None))
+            return (name, path, rows, "ok", None)
         except Exception as exc:  # noqa: BLE001 - isolation is the contract
             log.error("failed to ingest %s", name, exc_info=True)
-            statuses.append((name, path, None, "failed", f"{type(exc).__name__}: {exc}"[:2000]))
+            return (name, path, None, "failed", f"{type(exc).__name__}: {exc}"[:2000])
+
+    if concurrent_tables > 1:
+        with ThreadPoolExecutor(max_workers=concurrent_tables) as pool:
+            statuses = list(pool.map(copy, names))
+    else:
+        statuses = [copy(n) for n in names]
     return spark.createDataFrame(statuses, STATUS_SCHEMA)

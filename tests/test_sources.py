@@ -96,6 +96,12 @@ def test_ingest_isolates_failing_tables(spark, tmp_out):
     assert [r.status for r in status] == ["failed", "failed"]
     assert all("Exist" in r.error or "ClassNotFound" in r.error for r in status)
     assert written == []
+    many = ingest_all(
+        spark, "jdbc:none://nowhere", tmp_out, tables=["dbo.a", "dbo.b", "dbo.c"],
+        driver="does.not.Exist", writer=fake_writer, concurrent_tables=3,
+    ).collect()
+    assert [r.table_name for r in many] == ["dbo.a", "dbo.b", "dbo.c"]
+    assert {r.status for r in many} == {"failed"}
 
 
 def test_layer_jobs_end_to_end(spark, tmp_out):
