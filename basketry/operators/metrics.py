@@ -39,10 +39,14 @@ def _sum0(c) -> F.Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
+_NULL_DATE_IS_LATEST = 1 << 62
+
+
 def _latest_first_key():
     # "Latest" row per user with dates ascending and NULL dates sorted last,
-    # as the dashboard did: (date is NULL, date) is largest for the NULL date.
-    return F.struct(F.col("creation_date").isNull(), F.col("creation_date"))
+    # as the dashboard did. One long (day number, NULL date largest) keeps the
+    # max_by buffer primitive, so Spark can hash-aggregate instead of sorting.
+    return F.coalesce(F.unix_date("creation_date").cast("long"), F.lit(_NULL_DATE_IS_LATEST))
 
 
 # ------------------------------------------------------------------ overview
@@ -264,9 +268,10 @@ def rfm_summary(rfm: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ churn
 def latest_churn(fact_customer: DataFrame) -> DataFrame:
     """Each user's churn flag on their latest row (NULL date counts as latest)."""
-    return fact_customer.groupBy("user_id").agg(
-        F.max_by("churn_risk_flag", _latest_first_key()).alias("churn_risk_flag")
+    latest = fact_customer.groupBy("user_id").agg(
+        F.max_by(churn_rank("churn_risk_flag"), _latest_first_key()).alias("_rank")
     )
+    return latest.select("user_id", churn_from_rank("_rank").alias("churn_risk_flag"))
 
 
 def churn_counts(fact_customer: DataFrame) -> DataFrame:

@@ -67,3 +67,8 @@ def test_distributed_rank_has_no_single_partition_window(spark):
 def test_dedupe_combines_map_side(spark):
     p = plan(silver.fact_orders(fx.order_items(spark, SF), order_by="all"))
     assert "partial_min(struct(" in p  # one candidate per key and map task before the shuffle
+
+
+def test_latest_row_per_user_is_a_hash_aggregate(spark):
+    p = plan(metrics.latest_churn(pl.fact_customer(spark, SF)))
+    assert re.search(r"HashAggregate\(keys=\[user_id#\d+\], functions=\[partial_max_by", p), p
