@@ -1,7 +1,8 @@
 """Query catalog: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Outputs are rounded for comparison (money to 2 decimals, averages to 4) and
-every computed column carries the same alias as in :mod:`basketry.plans.oracle`.
+Outputs are rounded for comparison (money to 2 decimals, averages to 4, bin
+edges and IQR fences to 6, all half-up on the decimal value) and every
+computed column carries the same alias as in :mod:`basketry.plans.oracle`.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MONEY = 2
 AVERAGE = 4
-EDGE = 6  # bin edges and IQR fences: derived from cents, no ties at 6 decimals
+EDGE = 6  # bin edges and IQR fences
 
 
 def rounded(
