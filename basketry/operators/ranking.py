@@ -23,6 +23,7 @@ way beyond it" rule as for broadcasts.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,8 +35,9 @@ from basketry.session import materialize
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
 # Largest group (rows) that ``method="auto"`` lets a single task sort or
-# buffer; above it the distributed form is used. Tunable per call.
-MAX_GROUP_ROWS = 5_000_000
+# buffer; above it the distributed form is used. Tunable per call or for the
+# process via BASKETRY_MAX_GROUP_ROWS (0 forces the distributed forms).
+MAX_GROUP_ROWS = int(os.environ.get("BASKETRY_MAX_GROUP_ROWS", "5000000"))
 
 
 def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
