@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,7 +18,10 @@ def spark():
         "local[4]",
         app_name="basketry-tests",
         shuffle_partitions=4,
-        extra_conf={"spark.ui.showConsoleProgress": "false"},
+        extra_conf={
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="basketry-wh-"),
+        },
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -72,3 +72,32 @@ def test_dedupe_combines_map_side(spark):
 def test_latest_row_per_user_is_a_hash_aggregate(spark):
     p = plan(metrics.latest_churn(pl.fact_customer(spark, SF)))
     assert re.search(r"HashAggregate\(keys=\[user_id#\d+\], functions=\[partial_max_by", p), p
+
+
+def test_bucketed_silver_makes_the_enrichment_join_shuffle_free(spark, tmp_out):
+    from basketry.plans import jobs
+    from basketry.sources import write_parquet
+
+    bronze = f"{tmp_out}/bronze"
+    write_parquet(fx.date_dim(spark, SF), f"{bronze}/dbo_date_dim")
+    write_parquet(fx.order_items(spark, SF), f"{bronze}/dbo_order_items")
+    write_parquet(fx.order_item_options(spark, SF), f"{bronze}/dbo_order_item_options")
+    jobs.bronze_to_silver(spark, bronze, f"{tmp_out}/silver", order_by="all", buckets=4, table_prefix="t_bkt_")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        enriched = gold.enrich_orders(spark.table("t_bkt_fact_orders"), spark.table("t_bkt_fact_options"))
+        p = plan(enriched)
+        assert "SortMergeJoin" in p
+        assert "Exchange" not in p, p  # options aggregate and join read co-located buckets
+        # same rows as the unbucketed folders
+        plain = gold.enrich_orders(
+            silver.fact_orders(fx.order_items(spark, SF), order_by="all"),
+            silver.fact_options(fx.order_item_options(spark, SF), order_by="all"),
+        )
+        assert enriched.count() == plain.count()
+        assert enriched.exceptAll(plain.select(*enriched.columns)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS t_bkt_fact_orders")
+        spark.sql("DROP TABLE IF EXISTS t_bkt_fact_options")
