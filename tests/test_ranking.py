@@ -114,3 +114,29 @@ def test_auto_switches_to_distributed_above_the_bound(spark):
     qa = grouped_quantiles(df, ["g"], "v", [0.5], method="auto", max_group_rows=0)
     qb = grouped_quantiles(df, ["g"], "v", [0.5], method="aggregate")
     assert sorted(qa.collect()) == sorted(qb.collect())
+
+
+def test_distributed_rank_with_runs_spanning_many_partitions(spark):
+    """A hot tie (half of one group) and whole groups span several range
+    partitions: the carry between partitions must chain."""
+    rnd = random.Random(9)
+    rows = []
+    for i in range(3000):
+        g = rnd.choice([0, 0, 0, 1, 2])
+        v = 5.0 if (g == 0 and rnd.random() < 0.5) else rnd.choice([None, 1.0, 2.0, 3.0, 4.0, 6.0])
+        rows.append((i, g, v))
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for descending in (True, False):
+            got = rank_within_groups(df, ["g"], "v", "r", descending=descending, tie_breakers=["id"], method="distributed")
+            order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+            want = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(order)))
+            assert sorted(got.select("id", "g", "v", "r").collect()) == sorted(
+                want.select("id", "g", "v", F.col("r").cast("int")).collect()
+            )
+    finally:
+        for k, val in old.items():
+            spark.conf.set(k, val)
