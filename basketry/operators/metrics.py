@@ -122,6 +122,8 @@ def histogram_bins(value, lo, hi, bins: int):
 
     A degenerate range (lo == hi) is widened to lo-0.5 .. hi+0.5.
     """
+    if bins < 1:
+        raise ValueError("bins must be >= 1")
     same = lo == hi
     start = F.when(same, lo - 0.5).otherwise(lo)
     width = F.when(same, F.lit(1.0)).otherwise(hi - lo)
@@ -328,6 +330,8 @@ def top_locations(
     (``order_precision`` compares the measure rounded to that many decimals);
     Spark plans this as a per-partition top-n followed by one small merge.
     """
+    if n < 0:
+        raise ValueError("n must be >= 0")
     loc = fact_orders_location.where(F.col("restaurant_id").isNotNull())
     if measure == "revenue":
         agg = loc.groupBy("restaurant_id").agg(_sum0("total_revenue").cast("double").alias("total_revenue"))

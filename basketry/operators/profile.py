@@ -152,6 +152,8 @@ def histogram(df: DataFrame, bins: int, columns: Sequence[str] | None = None) ->
     One row per (column, bin) including empty bins; the last bin is closed;
     a constant column gets the range min-0.5 .. max+0.5.
     """
+    if bins < 1:
+        raise ValueError("bins must be >= 1")
     long = numeric_long(df, columns).where(F.col("value").isNotNull())
     rng = long.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     idx, start, width = histogram_bins(F.col("value"), F.col("lo"), F.col("hi"), bins)

@@ -205,3 +205,13 @@ def test_profile_and_layer_reports(spark):
     lay = validate.layer_report({"order_items": items, "options": opts}, order_by={"order_items": ["LINEITEM_ID", "ORDER_ID"]})
     assert {r.table_name for r in lay["row_counts"].collect()} == {"order_items", "options"}
     assert lay["options.preview"].count() == 5 and lay["order_items.columns"].count() == 12
+
+
+def test_argument_validation(spark):
+    df = spark.createDataFrame([(1.0, "r")], "total_revenue double, restaurant_id string")
+    with pytest.raises(ValueError):
+        profile.histogram(df, 0)
+    with pytest.raises(ValueError):
+        metrics.top_locations(df, "revenue", -1)
+    with pytest.raises(ValueError):
+        metrics.top_locations(df, "margin", 5)
