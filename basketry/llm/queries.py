@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, pieces, simhash, token_counts, url_templates
-from basketry.llm.common import table
+from basketry.llm import chat, fertility, langid, pieces, rule_ensemble, simhash, token_counts, url_templates
+from basketry.llm.common import crc_bucket, table
 from basketry.session import ensure_checkpoint_dir
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -32,6 +32,27 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics, tokeniser fertility and the verdict on all documents."""
+    return fertility.quality_rules(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; learnt from labelled rows whose crc32 modulo 5 is not 0."""
+    scored = rule_ensemble.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_if=crc_bucket("doc_id", 5) != 0
+    )
+    held_out = F.coalesce(crc_bucket("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; learnt from those whose crc32 modulo 4 is not 2."""
+    found = langid.identify(table(spark, sf_dir, "documents"), train_if=crc_bucket("doc_id", 4) != 2)
+    held_out = F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cost", "rejected")
+
+
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
