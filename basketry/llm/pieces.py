@@ -162,42 +162,36 @@ def encode_documents(
                 block.update(repr((r, len(t))).encode())
             chunks = [c.encode() for c in seen]
             block.update(b"".join(chunks))
-            name = int.from_bytes(block.digest()[:8], "little", signed=True)
+            name = -1 - (int.from_bytes(block.digest()[:8], "little") >> 1)  # negative: hash ranges count from 0
             part = np.fromiter((zlib.crc32(c) % ranges for c in chunks), np.uint32, len(chunks))
             order = np.argsort(part, kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            out = [
-                (name, -1, k, squeeze(_pack_positions(place[p]))) for k, p in enumerate(positions)
-            ]
             cuts = np.flatnonzero(np.diff(part[order])) + 1
-            for group in np.split(order, cuts) if len(order) else []:
-                out.append((name, int(part[group[0]]), 0, squeeze(_lengths_and_bytes([chunks[i] for i in group]))))
-            columns = [pa.array([o[j] for o in out], kind) for j, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary()))]
+            groups = np.split(order, cuts) if len(order) else []
+            # documents go to their block; a chunk list goes to its hash range, with the block it belongs to
+            out = [(name, len(groups), squeeze(_pack_positions(place[p]))) for p in positions]
+            for group in groups:
+                out.append((int(part[group[0]]), name, squeeze(_lengths_and_bytes([chunks[i] for i in group]))))
+            columns = [pa.array([o[j] for o in out], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))]
             fill = [None] * (len(out) - len(rows))
             given = [pa.array([r[j] for r in rows] + fill, t) for j, t in enumerate(id_types)]
-            yield pa.RecordBatch.from_arrays([*columns, *given], names=["block", "part", "k", "payload", *ids])
+            yield pa.RecordBatch.from_arrays([*columns, *given], names=["place", "extra", "payload", *ids])
 
     from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+    from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
     id_types = [to_arrow_type(f.dataType) for f in id_fields]
-    fields = [
-        StructField("block", LongType()), StructField("part", IntegerType()), StructField("k", IntegerType()),
-        StructField("payload", BinaryType()), *id_fields,
-    ]
-    indexed = kept.mapInArrow(index, StructType(fields))
-    blocks = indexed.repartition(ranges, "block")
-
-    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.compute.greater_equal(b.column(1), 0)).select(["block", "part", "payload"])
+    fields = [StructField("place", LongType()), StructField("extra", LongType()), StructField("payload", BinaryType()), *id_fields]
+    # one exchange for both kinds of rows: it is read by the segmentation and by the joining back
+    dealt = kept.mapInArrow(index, StructType(fields)).repartition(ranges, "place")
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each distinct chunk of the hash range once; the answers in the order of each list."""
         m, known = load(model), {}
         squeeze, spread = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
         for b in batches:
+            b = b.filter(pa.compute.greater_equal(b.column(0), 0))
             payloads = [_split(spread(p)) for p in b.column(2).to_pylist()]
             new = list(dict.fromkeys(c for p in payloads for c in p if c not in known))
             for at in range(0, len(new), 100_000):
@@ -206,14 +200,10 @@ def encode_documents(
                     known[c] = np.array(found, "<u4").tobytes()
             answers = [squeeze(_lengths_and_bytes([known[c] for c in p])) for p in payloads]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(answers, pa.binary())], names=["block", "part", "payload"]
+                [b.column(1), b.column(0), pa.array(answers, pa.binary())], names=["place", "part", "payload"]
             )
 
-    answers = (
-        blocks.mapInArrow(lists, "block long, part int, payload binary")
-        .repartition(ranges, "part")
-        .mapInArrow(segment, "block long, part int, payload binary")
-    )
+    answers = dealt.mapInArrow(segment, "place long, part long, payload binary")
     out_schema = StructType([*id_fields, *StructType.fromDDL(schema).fields])
     out_types = [to_arrow_type(f.dataType) for f in out_schema.fields]
 
@@ -221,9 +211,8 @@ def encode_documents(
         m, spread = load(model), zstandard.ZstdDecompressor().decompress
         found = found.sort_by("part")
         table = [np.frombuffer(c, "<u4").tolist() for p in found.column("payload").to_pylist() for c in _split(spread(p))]
-        own = documents.filter(pa.compute.equal(documents.column("part"), -1))
-        wanted = sum(1 for part in documents.column("part").to_pylist() if part >= 0)
-        if wanted != found.num_rows:
+        own = documents.filter(pa.compute.less(documents.column("place"), 0))
+        if any(lists != found.num_rows for lists in own.column("extra").to_pylist()):
             raise RuntimeError("a block of documents and its chunk lists differ; the input changed while it was read")
         given = [own.column(c).to_pylist() for c in ids]
         positions = (_unpack_positions(spread(p)) for p in own.column("payload").to_pylist())
@@ -238,7 +227,7 @@ def encode_documents(
             names=out_schema.fieldNames(),
         )
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join_back, out_schema)
+    return dealt.groupBy("place").cogroup(answers.groupBy("place")).applyInArrow(join_back, out_schema)
 
 
 def _strip_first(m: Model, text: str) -> str:
