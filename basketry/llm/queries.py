@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, fertility, langid, pieces, rule_ensemble, simhash, token_counts, url_templates
+from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, pieces, rule_ensemble, simhash, token_counts, url_templates
 from basketry.llm.common import crc_bucket, table
 from basketry.session import ensure_checkpoint_dir
 
@@ -53,6 +53,32 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cost", "rejected")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without exact and near copies of earlier lines; the text as a digest."""
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "lines.n_lines",
+        "lines.n_exact",
+        "lines.n_near",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_items(docs, items)
+    return found.select(
+        "doc_id",
+        decontaminate.contaminated().alias("contaminated"),
+        F.size("matches").cast("long").alias("n_items"),
+        F.col("matches.item").alias("item_ids"),
+        F.array_min(F.col("matches.distance")).alias("least_distance"),
+    )
+
+
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -267,3 +267,36 @@ def near_duplicates(
     smallest = own.groupBy("root").agg(F.min("first").alias("component_id"))
     named = own.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_first(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    max_bits: int = 2,
+    leaf: int = LEAF,
+) -> DataFrame:
+    """One row of each component stays, with all its columns: that of the smallest id.
+
+    A null id counts as later than all ids. Of rows that share the smallest id
+    the one with the smallest digest of all columns stays; of equal rows, one.
+    """
+    columns = docs.columns
+    fp, order, digest = (fresh_name(columns, c) for c in ("_fp", "_order", "_digest"))
+    marked = stored(add_fingerprints(docs, text_col, shingle, out=fp), "simhash-rows")
+    marked = marked.withColumns(
+        {order: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), digest: F.xxhash64(*[F.col(f"`{c}`") for c in columns])}
+    )
+    roots = connected_components(hamming_links(marked.select(fp), fp, max_bits, leaf))
+    keys = marked.select(F.col(fp).alias("fp"), F.col(order).alias("id"), F.col(digest).alias("digest"))
+    # a component is decided among one row per fingerprint, so a large group of copies is one row here
+    first = keys.groupBy("fp").agg(F.min("id").alias("id"))
+    first = stored(
+        first.join(roots, first.fp == roots.node, "left").select("fp", "id", F.coalesce("root", "fp").alias("root")), "simhash-first"
+    )
+    least = first.groupBy("root").agg(F.min("id").alias("id"))
+    held = first.join(least, ["root", "id"]).groupBy("root", "id").agg(F.min("fp").alias("fp")).select("fp", "id")
+    picks = keys.join(held, ["fp", "id"]).groupBy("fp", "id").agg(F.min("digest").alias("digest"))
+    picks = picks.withColumnsRenamed({"fp": fp, "id": order, "digest": digest})
+    return marked.join(picks, [fp, order, digest], "left_semi").dropDuplicates([fp, order, digest]).select(*[F.col(f"`{c}`") for c in columns])

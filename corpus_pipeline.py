@@ -5,27 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import pieces, simhash
+from basketry.llm import decontaminate, fertility, line_dedup, pieces, simhash
 from basketry.llm.common import stored, table
 from basketry.llm.queries import tokenizer_path
 
 
-def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: that of the smallest id.
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    measured = stored(fertility.add_statistics(docs, tokenizer_path(), out="_stats"), "stage-quality")
+    return fertility.judge(measured, stats="_stats").where("kept").select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without copies of earlier lines; ``n_chars`` follows the text."""
+    cleaned = line_dedup.dedup_lines(docs, out="_lines")
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
 
-    Of rows that repeat one id in one component the first by text digest
-    stays; of rows with null ids likewise, if the component has no id at all.
-    """
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
     return simhash.keep_first(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), out="_matches")
+    return found.where(~decontaminate.contaminated("_matches")).select(*docs.columns)
+
+
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text that they decode to."""
     return pieces.encode(docs, tokenizer_path())
 
 
 STAGES = [
+    ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
     ("simhash_near_dedup", near_duplicate_stage),
+    ("benchmark_decontamination", decontamination_stage),
     ("sentencepiece", sentencepiece_stage),
 ]
 
