@@ -112,8 +112,9 @@ def judge(
     min_words: int = 20,
     max_repeat_pct: int = 30,
     min_group: int = MIN_GROUP,
+    out: tuple[str, str] = ("base_failed", "kept"),
 ) -> DataFrame:
-    """``measured`` plus ``base_failed`` and ``kept`` (columns of these names are replaced).
+    """``measured`` plus ``base_failed`` and ``kept``, named by ``out`` (columns of these names are replaced).
 
     ``base_failed``: under ``min_words`` words, or more than
     ``max_repeat_pct`` percent of them in repeated windows. ``kept``: not
@@ -127,7 +128,7 @@ def judge(
     s = lambda c: F.col(f"{stats}.{c}")
     group = F.coalesce(F.col(f"`{lang_col}`").cast("string"), s("script")) if has_lang else s("script")
     limits = bands(measured, group, stats, min_group)
-    keep = [c for c in measured.columns if c.lower() not in ("base_failed", "kept")]
+    keep = [c for c in measured.columns if c.lower() not in [o.lower() for o in out]]
     g, k = fresh_name(keep, "_group"), fresh_name(keep, "_class")
     limits = limits.withColumnsRenamed({"group": g, "class": k, **{f"{c}_q": fresh_name(keep, f"_{c}_q") for c in FIGURES}})
     q = {c: fresh_name(keep, f"_{c}_q") for c in FIGURES}
@@ -153,8 +154,8 @@ def judge(
     ).join(limits, [g, k], "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in keep],
-        base.alias("base_failed"),
-        (~base & ~F.coalesce(outside, F.lit(False))).alias("kept"),
+        base.alias(out[0]),
+        (~base & ~F.coalesce(outside, F.lit(False))).alias(out[1]),
     )
 
 

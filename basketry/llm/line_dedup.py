@@ -245,6 +245,7 @@ class _Cell:
     def __init__(self, cell: tuple[int, int]):
         self.cell, self.rows, self.seen = cell, [], set()
         self.counts = np.zeros((0, 64), np.int32)
+        self.visitor = None
 
     def compare(self, native: list[tuple], visitors: list[tuple]) -> list[tuple]:
         """Links of new natives among all natives, then of visitors with all natives."""
@@ -262,7 +263,9 @@ class _Cell:
             for k, r in enumerate(fresh):
                 links += self._near(r, before + k)
         for r in visitors:
-            if r[:2] not in self.seen:
+            # rows of one line follow each other, its smallest id first
+            if r[:2] not in self.seen and r[:2] != self.visitor:
+                self.visitor = r[:2]
                 links += self._near(r, len(self.rows))
         return links
 

@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import decontaminate, fertility, line_dedup, pieces, simhash
-from basketry.llm.common import stored, table
+from basketry.llm.common import fresh_name, stored, table
 from basketry.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    measured = stored(fertility.add_statistics(docs, tokenizer_path(), out="_stats"), "stage-quality")
-    return fertility.judge(measured, stats="_stats").where("kept").select(*docs.columns)
+    stats, failed, kept = (fresh_name(docs.columns, c) for c in ("_stats", "_failed", "_kept"))
+    measured = stored(fertility.add_statistics(docs, tokenizer_path(), out=stats), "stage-quality")
+    return fertility.judge(measured, stats=stats, out=(failed, kept)).where(F.col(kept)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without copies of earlier lines; ``n_chars`` follows the text."""
-    cleaned = line_dedup.dedup_lines(docs, out="_lines")
+    cleaned = line_dedup.dedup_lines(docs, out=fresh_name(docs.columns, "_lines"))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -29,8 +30,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), out="_matches")
-    return found.where(~decontaminate.contaminated("_matches")).select(*docs.columns)
+    matches = fresh_name(docs.columns, "_matches")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), out=matches)
+    return found.where(~decontaminate.contaminated(matches)).select(*docs.columns)
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
