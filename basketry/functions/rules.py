@@ -116,6 +116,9 @@ def round_half_up(value: Column | str, scale: int) -> Column:
     The double is first taken to ``DECIMAL(38,10)`` (its shortest decimal form
     up to 10 places), so an exact decimal tie such as ``x.xxxx5`` rounds the
     same way however the binary value happens to fall; ``round`` on the raw
-    double would depend on that last bit.
+    double would depend on that last bit. Values that do not fit the decimal
+    (1e28 and more, infinities, NaN) have no such digits and stay as they are.
     """
-    return F.round(_c(value).cast("decimal(38,10)"), scale).cast("double")
+    v = _c(value)
+    exact = F.round(v.try_cast("decimal(38,10)"), scale).cast("double")
+    return F.coalesce(exact, v.cast("double"))

@@ -47,11 +47,6 @@ def dedupe_on_key(
     return best.select(*[F.col(c) if c in keys else value_of[c].alias(c) for c in df.columns])
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Fully equal rows collapsed to one (``distinct``)."""
-    return df.distinct()
-
-
 def duplicate_rows(df: DataFrame, count_col: str = "extra_copies") -> DataFrame:
     """Rows that occur more than once, with how many copies beyond the first.
 
@@ -68,6 +63,37 @@ def duplicate_rows(df: DataFrame, count_col: str = "extra_copies") -> DataFrame:
     )
 
 
+def duplicate_row_copies(df: DataFrame) -> DataFrame:
+    """Every copy of a row after its first, as rows.
+
+    Equal rows are counted first and unfolded from that count, so no group of
+    copies meets in one task.
+    """
+    counted = duplicate_rows(df, "_copies")
+    return counted.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).select(*df.columns)
+
+
+def key_violation_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The second and later rows of every key (NULL counts as a value).
+
+    Rows of a key are ordered by all other columns in schema order, NULLs
+    first. The first row of each key is a ``min`` that combines map-side and
+    equal rows are counted, so a key that holds a third of the rows is split
+    by its rows, never gathered.
+    """
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0))
+    counted = counted.withColumn("_row", row)
+    first = df.withColumn("_row", row).groupBy(*keys).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    first = first.where("_rows > 1").withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    later = F.col("_n") - F.when(F.col("_row").eqNullSafe(F.col("_first")), 1).otherwise(0)
+    out = counted.join(first, on).withColumn("_later", later).where("_later > 0")
+    return out.withColumn("_later", F.explode(F.sequence(F.lit(1).cast("bigint"), "_later"))).select(*df.columns)
+
+
 def key_violations(df: DataFrame, keys: Sequence[str], count_col: str = "rows") -> DataFrame:
     """Key values (NULL counts as a value) held by more than one row."""
     return (

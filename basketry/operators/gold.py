@@ -31,7 +31,7 @@ from basketry.functions.rules import (
     period_part,
     round_half_up,
 )
-from basketry.operators.ranking import MAX_GROUP_ROWS, rank_within_groups
+from basketry.operators.ranking import rank_within_many
 from basketry.session import materialize
 
 ROLLING_WINDOWS = (7, 30, 90)
@@ -187,60 +187,29 @@ def location_daily(enriched: DataFrame) -> DataFrame:
 def add_revenue_ranks(
     location: DataFrame,
     with_year: bool = False,
-    method: str = "auto",
-    money_precision: int | None = 2,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    money_precision: int | None = None,
 ) -> DataFrame:
     """``revenue_rank_day/week/month``: rank of ``total_revenue`` (desc) within
     day-of-month, ISO week and month.
 
     Like the original job the periods ignore the year unless ``with_year``.
-    ``money_precision`` ranks on revenue rounded to cents so that ties do not
-    depend on floating-point summation order (None ranks on the raw double).
-
-    ``method="auto"`` materializes the input once, reads the sizes of all
-    period groups from one small aggregate and ranks with a plain window
-    when the largest group has at most ``max_group_rows`` rows, otherwise
-    with the distributed rank.
+    Ranks are on the raw double; ``money_precision`` rounds it first, so that
+    ties do not depend on floating-point summation order. The input is stored
+    once and all three ranks come from one frame of counts per value.
     """
     value = F.col("total_revenue")
     if money_precision is not None:
         value = round_half_up(value, money_precision)
-    out = location
-    if method == "auto":
-        out = materialize(location)
-        keys = (["year"] if with_year else []) + [f"period_{p}" for p in PERIODS]
-        # One row per (year,) day x week x month combination present. A date
-        # fixes all three, so this is at most the number of distinct dates
-        # (~366 per year): bounded by the calendar, not by the data.
-        sizes = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).collect()
-        biggest = 0
-        for p in PERIODS:
-            per_group: dict = {}
-            for r in sizes:
-                k = (r["year"] if with_year else None, r[f"period_{p}"])
-                per_group[k] = per_group.get(k, 0) + r["_n"]
-            biggest = max([biggest, *per_group.values()])
-        method = "window" if biggest <= max_group_rows else "distributed"
-    for p in PERIODS:
-        groups = (["year"] if with_year else []) + [f"period_{p}"]
-        out = rank_within_groups(
-            out,
-            groups,
-            value,
-            f"revenue_rank_{p}",
-            descending=True,
-            tie_breakers=LOCATION_DAY,
-            method=method,
-        )
-    return out
+    year = ["year"] if with_year else []
+    return rank_within_many(
+        materialize(location), {f"revenue_rank_{p}": [*year, f"period_{p}"] for p in PERIODS}, value, descending=True
+    )
 
 
 def fact_orders_location(
     enriched: DataFrame,
     with_year: bool = False,
-    method: str = "auto",
-    money_precision: int | None = 2,
+    money_precision: int | None = None,
 ) -> DataFrame:
     """Gold ``fact_orders_location``."""
-    return add_revenue_ranks(location_daily(enriched), with_year, method, money_precision)
+    return add_revenue_ranks(location_daily(enriched), with_year, money_precision)

@@ -27,7 +27,7 @@ from basketry.functions.rules import (
     rfm_segment,
     round_half_up,
 )
-from basketry.operators.ranking import grouped_quantiles, tercile_scores
+from basketry.operators.ranking import grouped_quantiles, tercile_scores_many
 from basketry.session import materialize
 
 RFM_WINDOWS = (7, 30, 90)
@@ -79,22 +79,21 @@ def overview(fact_customer: DataFrame, fact_orders_location: DataFrame) -> DataF
 def user_clv(
     fact_customer: DataFrame,
     probs: tuple[float, float] = CLV_QUANTILES,
-    quantile_method: str = "auto",
-    money_precision: int | None = 2,
+    money_precision: int | None = None,
 ) -> tuple[DataFrame, float | None, float | None]:
     """Lifetime value per user (max cumulative) and its CLV group.
 
     Returns ``(frame, q_low, q_high)``; the frame has ``user_id``,
     ``clv_cumulative`` and ``CLV_Group`` (<= q_low Low, >= q_high High, else
     Medium; NULL -> Medium). Quantiles interpolate linearly over users.
-    ``money_precision`` rounds values to cents first so group boundaries do
-    not depend on floating-point summation order.
+    ``money_precision`` rounds values first so group boundaries do not depend
+    on floating-point summation order.
     """
     clv = F.max("clv_cumulative")
     if money_precision is not None:
         clv = round_half_up(clv, money_precision)
     users = materialize(fact_customer.groupBy("user_id").agg(clv.alias("clv_cumulative")))
-    q = grouped_quantiles(users, [], "clv_cumulative", list(probs), method=quantile_method).first()
+    q = grouped_quantiles(users, [], "clv_cumulative", list(probs)).first()
     q_low = None if q is None else q["q_0"]
     q_high = None if q is None else q["q_1"]
     lo = F.lit(q_low).cast("double")
@@ -187,7 +186,7 @@ def rfm_users(
     window_days: int = 30,
     scores: str = "codes",
     recency: str = "min",
-    money_precision: int | None = 2,
+    money_precision: int | None = None,
 ) -> DataFrame:
     """Per-user Recency / Frequency / Monetary, tercile scores and segment.
 
@@ -225,16 +224,11 @@ def rfm_users(
         (F.col("Frequency"), "F_Score", 1, (1, 2, 3)),
         (money, "M_Score", 1, (1, 2, 3)),
     ]
-    # Non-NULL and distinct counts of the three measures in one aggregate.
-    counts = users.agg(
-        *[f(c).alias(f"{fn}_{name}") for c, name, _, _ in spec for fn, f in (("n", F.count), ("d", F.count_distinct))]
-    ).first()
-    for c, name, default, labels in spec:
-        stats = (int(counts[f"n_{name}"]), int(counts[f"d_{name}"]))
-        users = tercile_scores(
-            users, c, "user_id", name, default=default, stats=stats,
-            labels=labels if scores == "labels" else None,
-        )
+    users = tercile_scores_many(
+        users,
+        [(c, name, default, labels if scores == "labels" else None) for c, name, default, labels in spec],
+        "user_id",
+    )
     users = users.withColumn("RFM_Score", F.col("R_Score") + F.col("F_Score") + F.col("M_Score"))
     return users.withColumn(
         "Segment", rfm_segment("Churn_Risk", "R_Score", "F_Score", "M_Score")

@@ -1,10 +1,11 @@
 """Column profiling and cleaning reports (the exploratory notebooks, in Spark).
 
-Every report is one or two passes over the data regardless of the number of
-columns: counts and distinct counts come from one aggregate, numeric
-columns are unpivoted to (column, value) so quantiles and histograms are
-grouped aggregates rather than one job per column. Results have one row per
-column (or per column and bin) and stay small.
+Missing means NULL or NaN everywhere here, as in the notebooks.
+
+A source is scanned once per report: its columns are unpivoted to narrow
+(column, value) rows and counted per value, which combines map-side; distinct
+counts, quartiles, outliers and histograms follow from those counts. Results
+have one row per column (or per column and bin) and stay small.
 """
 
 from __future__ import annotations
@@ -12,19 +13,36 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.columns import duplicate_column_names, split_numeric_text
-from basketry.operators.dedupe import dedupe_accounting
+from basketry.operators.dedupe import dedupe_accounting, key_violation_rows
 from basketry.operators.dedupe import duplicate_rows as dedupe_rows_report
 from basketry.operators.dedupe import key_violations as key_violation_report
 from basketry.operators.metrics import histogram_bins
-from basketry.operators.ranking import grouped_quantiles
+from basketry.operators.ranking import null_safe_join, quantiles_of_counts, running_counts, value_counts
+from basketry.session import materialize
 
 IQR_FACTOR = 1.5
 
 
+def missing_as_null(df: DataFrame) -> DataFrame:
+    """``df`` with NaN as NULL in its float and double columns."""
+    nan_types = ("float", "double")
+    return df.select(
+        *[
+            F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) if t in nan_types else F.col(f"`{c}`")
+            for c, t in df.dtypes
+        ]
+    )
+
+
+def _missing(df: DataFrame, column: str) -> Column:
+    c = F.col(f"`{column}`")
+    return c.isNull() | F.isnan(c) if dict(df.dtypes)[column] in ("float", "double") else c.isNull()
+
+
 def shape(df: DataFrame) -> DataFrame:
     """One row: number of rows and columns, and the column names."""
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
@@ -37,53 +55,70 @@ def shape(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row per column: position, type, numeric?, non-NULL, NULL and distinct counts.
 
-    All counts come from a single aggregate. ``approx=True`` uses
-    HyperLogLog (``approx_count_distinct``) instead of exact distincts.
+    The columns become narrow (position, value as text) rows, counted per
+    value, so nothing is shuffled at full width. ``approx=True`` uses
+    HyperLogLog (``approx_count_distinct``) on the same rows, which then need
+    no shuffle by value at all.
     """
     fields = df.schema.fields
     numeric, _ = split_numeric_text(df)
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        distinct = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
-        aggs += [F.count(c).alias(f"_nn{i}"), distinct.alias(f"_nd{i}")]
-    wide = df.agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.lit(f.name in numeric).alias("is_numeric"),
-            F.col(f"_nn{i}").cast("bigint").alias("non_null"),
-            (F.col("_rows") - F.col(f"_nn{i}")).cast("bigint").alias("nulls"),
-            F.col(f"_nd{i}").cast("bigint").alias("distinct_values"),
-        )
-        for i, f in enumerate(fields)
+    clean = missing_as_null(df)
+    # adding zero turns -0.0 into 0.0: equal numbers must have equal text
+    texts = [
+        (F.col(f"`{c}`") + F.lit(0).cast(t) if t in ("float", "double") else F.col(f"`{c}`")).cast("string").alias(str(i))
+        for i, (c, t) in enumerate(clean.dtypes)
     ]
-    return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+    long = clean.select(*texts).unpivot([], [str(i) for i in range(len(fields))], "position", "value")
+    if approx:
+        counts = long.groupBy("position").agg(
+            F.count("value").alias("non_null"),
+            F.count_if(F.col("value").isNull()).alias("nulls"),
+            F.approx_count_distinct("value", rsd).alias("distinct_values"),
+        )
+    else:
+        counts = value_counts(long, ["position"], "value").groupBy("position").agg(
+            F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
+            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+            F.count("value").alias("distinct_values"),
+        )
+    about = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString(), f.name in numeric) for i, f in enumerate(fields)],
+        "position int, column_name string, data_type string, is_numeric boolean",
+    )
+    counts = counts.withColumn("position", F.col("position").cast("int"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return about.join(counts, "position", "left").select(
+        *about.columns, zero("non_null"), zero("nulls"), zero("distinct_values")
+    )
 
 
 def missing_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows with a NULL in any of ``columns``."""
-    cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    return df.where(cond)
+    """Rows with a missing cell in any of ``columns``."""
+    return df.where(reduce(lambda a, b: a | b, [_missing(df, c) for c in columns]))
 
 
 def null_summary(df: DataFrame) -> DataFrame:
-    """One row: rows and whether any cell of the frame is NULL."""
-    any_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in df.columns])
+    """One row: rows and whether any cell of the frame is missing."""
+    any_null = reduce(lambda a, b: a | b, [_missing(df, c) for c in df.columns])
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.max(any_null), F.lit(False)).alias("any_null"),
     )
 
 
+def null_counts(df: DataFrame) -> DataFrame:
+    """(``column_name``, ``nulls``): missing cells per column, one aggregate."""
+    wide = df.agg(*[F.count_if(_missing(df, c)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("nulls")) for i, c in enumerate(df.columns)]
+    return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+
+
 def numeric_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Numeric columns unpivoted to (``column_name``, ``value`` double); NULLs kept."""
+    """Numeric columns unpivoted to (``column_name``, ``value`` double); missing values as NULL."""
     cols = list(columns) if columns is not None else split_numeric_text(df)[0]
     if not cols:
         raise ValueError("no numeric columns")
-    casted = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    casted = missing_as_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]))
     return casted.unpivot([], cols, "column_name", "value")
 
 
@@ -91,18 +126,13 @@ def iqr_outliers(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     factor: float = IQR_FACTOR,
-    quantile_method: str = "auto",
 ) -> DataFrame:
     """Per numeric column: Q1, Q3, IQR, fences and the count of values strictly
-    outside ``[Q1 - factor*IQR, Q3 + factor*IQR]``; NULLs are never outliers."""
-    return _iqr_from_long(numeric_long(df, columns), ["column_name"], factor, quantile_method)
+    outside ``[Q1 - factor*IQR, Q3 + factor*IQR]``; missing values are never outliers."""
+    return _iqr_from_long(numeric_long(df, columns), ["column_name"], factor)
 
 
-def iqr_outliers_by_table(
-    frames: Mapping[str, DataFrame],
-    factor: float = IQR_FACTOR,
-    quantile_method: str = "auto",
-) -> DataFrame:
+def iqr_outliers_by_table(frames: Mapping[str, DataFrame], factor: float = IQR_FACTOR) -> DataFrame:
     """:func:`iqr_outliers` for several sources at once (``table_name`` column).
 
     The numeric columns of all sources are stacked into one long frame, so
@@ -114,35 +144,27 @@ def iqr_outliers_by_table(
         for name, df in frames.items()
     ]
     long = reduce(lambda a, b: a.unionAll(b), parts)
-    return _iqr_from_long(long, ["table_name", "column_name"], factor, quantile_method)
+    return _iqr_from_long(long, ["table_name", "column_name"], factor)
 
 
-def _iqr_from_long(long: DataFrame, keys: list[str], factor: float, quantile_method: str) -> DataFrame:
-    q = grouped_quantiles(long, keys, "value", [0.25, 0.75], method=quantile_method)
-    stats = q.select(
+def _iqr_from_long(long: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    counts = materialize(value_counts(long, keys, "value"))  # the only read of the sources
+    placed = materialize(running_counts(counts.where(F.col("value").isNotNull()), keys))
+    q1, q3 = F.col("q_0"), F.col("q_1")
+    stats = quantiles_of_counts(placed, keys, [0.25, 0.75]).select(
         *keys,
-        F.col("q_0").alias("q1"),
-        F.col("q_1").alias("q3"),
-        (F.col("q_1") - F.col("q_0")).alias("iqr"),
-    ).withColumns(
-        {
-            "lower_fence": F.col("q1") - factor * F.col("iqr"),
-            "upper_fence": F.col("q3") + factor * F.col("iqr"),
-        }
-    )
-    # stats has one row per numeric column (per source): bounded by the schemas.
-    joined = long.join(F.broadcast(stats), keys, "left")
-    out = F.coalesce(
-        (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence")),
-        F.lit(False),
+        q1.alias("q1"),
+        q3.alias("q3"),
+        (q3 - q1).alias("iqr"),
+        (q1 - factor * (q3 - q1)).alias("lower_fence"),
+        (q3 + factor * (q3 - q1)).alias("upper_fence"),
     )
-    return joined.groupBy(*keys).agg(
-        F.first("q1", ignorenulls=True).alias("q1"),
-        F.first("q3", ignorenulls=True).alias("q3"),
-        F.first("iqr", ignorenulls=True).alias("iqr"),
-        F.first("lower_fence", ignorenulls=True).alias("lower_fence"),
-        F.first("upper_fence", ignorenulls=True).alias("upper_fence"),
-        F.count_if(out).alias("outliers"),
+    outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
+    found = null_safe_join(counts, stats, keys, "left")
+    measures = ["q1", "q3", "iqr", "lower_fence", "upper_fence"]
+    return found.groupBy(*keys).agg(
+        *[F.max(m).alias(m) for m in measures],
+        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers"),
     )
 
 
@@ -154,15 +176,10 @@ def histogram(df: DataFrame, bins: int, columns: Sequence[str] | None = None) ->
     """
     if bins < 1:
         raise ValueError("bins must be >= 1")
-    long = numeric_long(df, columns).where(F.col("value").isNotNull())
-    rng = long.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    values = materialize(value_counts(numeric_long(df, columns).where(F.col("value").isNotNull()), ["column_name"], "value"))
+    rng = values.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     idx, start, width = histogram_bins(F.col("value"), F.col("lo"), F.col("hi"), bins)
-    # rng has one row per numeric column: bounded by the schema width.
-    counts = (
-        long.join(F.broadcast(rng), "column_name")
-        .groupBy("column_name", idx.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    counts = values.join(rng, "column_name").groupBy("column_name", idx.alias("bin")).agg(F.sum("n").alias("count"))
     domain = rng.select(
         "column_name", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     )
@@ -177,21 +194,26 @@ def histogram(df: DataFrame, bins: int, columns: Sequence[str] | None = None) ->
 
 
 def dropna_accounting(df: DataFrame, subset: Sequence[str]) -> DataFrame:
-    """Drop rows with NULL in ``subset``; one row with rows before / after /
-    removed and whether the cleaned frame still has any NULL cell.
+    """Drop rows with a missing cell in ``subset``; one row with rows before /
+    after / removed and whether the cleaned frame still has any missing cell.
 
     One aggregate pass: the cleaned rows are those where ``subset`` is set.
     """
-    keep = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in subset])
-    any_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in df.columns])
+    drop = reduce(lambda a, b: a | b, [_missing(df, c) for c in subset])
+    any_null = reduce(lambda a, b: a | b, [_missing(df, c) for c in df.columns])
     return df.agg(
         F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(keep).alias("rows_after"),
-        F.count_if(~keep).alias("rows_removed"),
-        F.coalesce(F.max(keep & any_null), F.lit(False)).alias("any_null_after"),
+        F.count_if(~drop).alias("rows_after"),
+        F.count_if(drop).alias("rows_removed"),
+        F.coalesce(F.max(~drop & any_null), F.lit(False)).alias("any_null_after"),
     )
 
 
+def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
+    """Rows without a missing cell in ``subset``."""
+    return df.where(~reduce(lambda a, b: a | b, [_missing(df, c) for c in subset]))
+
+
 def distinct_accounting(df: DataFrame) -> DataFrame:
     """Rows before / after / removed by dropping fully equal rows."""
     return dedupe_accounting(df, df.distinct())
@@ -212,7 +234,7 @@ def profile_report(
     """The exploratory profile of one source as lazy DataFrames.
 
     ``shape``, ``columns`` (types, NULLs, distincts), ``duplicate_rows``,
-    ``key_violations`` (if ``key``), ``missing_rows`` (if ``missing_columns``),
+    ``key_violations`` and ``key_violation_rows`` (if ``key``), ``missing_rows`` (if ``missing_columns``),
     ``iqr_outliers`` and ``histogram`` (if the frame has numeric columns).
     Column-name duplicates are metadata and checked eagerly (raises).
     """
@@ -225,6 +247,7 @@ def profile_report(
     }
     if key:
         report["key_violations"] = key_violation_report(df, key)
+        report["key_violation_rows"] = key_violation_rows(df, key)
     if missing_columns:
         report["missing_rows"] = missing_rows(df, missing_columns)
     if split_numeric_text(df)[0]:
@@ -233,13 +256,17 @@ def profile_report(
     return report
 
 
-def clean_report(df: DataFrame, null_key: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def clean_report(
+    df: DataFrame, null_key: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clean a source the way the notebooks did and account for it.
 
-    With ``null_key`` rows with a NULL key are dropped (order lines); without
-    it fully equal rows are dropped (options). Returns (cleaned, accounting).
+    With ``null_key`` rows with a missing key are dropped (order lines);
+    without it fully equal rows are dropped (options). Returns (cleaned,
+    accounting, missing cells per column of the cleaned frame).
     """
     if null_key:
-        keep = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in null_key])
-        return df.where(keep), dropna_accounting(df, null_key)
-    return df.distinct(), distinct_accounting(df)
+        cleaned = drop_missing(df, null_key)
+        return cleaned, dropna_accounting(df, null_key), null_counts(cleaned)
+    cleaned = df.distinct()
+    return cleaned, distinct_accounting(df), null_counts(cleaned)

@@ -1,98 +1,68 @@
-"""Ranking, terciles and exact quantiles without single-task windows.
-
-A window without ``partitionBy`` (or one over a handful of groups such as
-"day of month") sends all rows of a group to one task. The functions here
-instead give every row its position in a *global* sort:
-
-1. ``orderBy`` range-partitions and sorts the data across all tasks;
-2. ``monotonically_increasing_id`` encodes (partition, position in partition);
-3. the result is checkpointed to the session's shared checkpoint folder so
-   that partition layout and ids stay fixed if tasks are retried;
-4. per-partition row counts (one number per partition) give each partition
-   its offset; a broadcast join of that tiny table turns the local position
-   into a global row number.
-
-Ranks within groups, terciles and exact interpolated quantiles are then
-plain aggregates and joins on top of the row number.
-
-``method="auto"`` first counts the largest group (one small aggregate) and
-takes the single-task form (window / ``percentile`` buffer) only while that
-count is at most ``MAX_GROUP_ROWS`` — the same "check the size, have another
-way beyond it" rule as for broadcasts.
+"""Ranks, terciles and exact quantiles from counts per value.
+
+A window over a handful of groups (or none) sends all rows of a group to one
+task. Nothing here needs a position per row: the rows of a group are counted
+per distinct value first (a hash aggregate that combines map-side, so a value
+held by a third of the rows is one row afterwards), the values are
+range-partitioned once, and each value learns how many rows come before it
+from a running sum inside its range plus the totals of the earlier ranges.
+A rank is that number plus one; a quantile and a tercile boundary are the
+values that hold given positions. The same plan runs at every size.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.rules import tercile_code
 from basketry.session import materialize
 
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
-# Largest group (rows) that ``method="auto"`` lets a single task sort or
-# buffer; above it the distributed form is used. Tunable per call or for the
-# process via BASKETRY_MAX_GROUP_ROWS (0 forces the distributed forms).
-MAX_GROUP_ROWS = int(os.environ.get("BASKETRY_MAX_GROUP_ROWS", "5000000"))
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the largest group (0 for an empty frame); one aggregate."""
-    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    row = counts.agg(F.max("_n").alias("m")).first()
-    return int(row["m"] or 0) if row is not None else 0
+def _as_col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def _resolve(method: str, df: DataFrame, group_cols: Sequence[str], max_group_rows: int) -> str:
-    if method != "auto":
-        return method
-    return "small" if largest_group(df, group_cols) <= max_group_rows else "distributed"
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL; the keys of ``left`` stay. Without keys ``right`` is one row."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys], F.lit(True))
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def value_counts(df: DataFrame, group_cols: Sequence[str], value: Column | str) -> DataFrame:
+    """(groups, ``value``, ``n``): rows per distinct value of each group; NULL is a value."""
+    return df.select(*group_cols, _as_col(value).alias("value")).groupBy(*group_cols, "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
-def global_row_number(
-    df: DataFrame,
-    order_by: Sequence[Column | str],
-    name: str = "row_number",
-) -> DataFrame:
-    """Append a 1-based row number following a global sort on ``order_by``.
+def running_counts(counts: DataFrame, group_cols: Sequence[str], descending: bool = False) -> DataFrame:
+    """``counts`` (one row per group and ``value``, with ``n``) plus ``before``.
 
-    The sort must be total (add tie-breakers): a recomputed partition then
-    yields the same ids. Work is spread over all partitions; only the
-    per-partition counts (bounded by the partition count) are combined in one
-    place.
+    ``before`` is the number of rows of the group whose value comes earlier:
+    larger with NULL last when ``descending``, smaller with NULL first
+    otherwise. The values are dealt into ranges once; the running sum inside a
+    range is local, and the only thing combined per group is one row per
+    range.
     """
-    sorted_df = df.orderBy(*[_as_col(c) for c in order_by]).withColumn(
-        "_mid", F.monotonically_increasing_id()
-    )
-    stable = materialize(sorted_df)
-    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    counts = stable.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: bounded by the partition count, safe to window
-    # in one place and to broadcast.
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_off"),
-    )
-    return (
-        stable.withColumn("_pid", pid)
-        .join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + local + F.lit(1))
-        .drop("_pid", "_off", "_mid")
-    )
+    groups = list(group_cols)
+    order = F.col("value").desc_nulls_last() if descending else F.col("value").asc_nulls_first()
+    placed = counts.repartitionByRange(*[F.col(g).asc_nulls_first() for g in groups], order)
+    placed = materialize(placed.withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("_range", *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_local", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    sums = placed.groupBy("_range", *groups).agg(F.sum("n").alias("_n"))
+    # one row per group and range: its size is bounded by ranges plus groups
+    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    if not groups:
+        earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_range", *groups, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    return null_safe_join(local, offsets, ["_range", *groups]).withColumn(
+        "before", F.col("_local") + F.col("_offset")
+    ).drop("_range", "_local", "_offset")
 
 
 def rank_within_groups(
@@ -101,54 +71,53 @@ def rank_within_groups(
     value: Column | str,
     name: str,
     descending: bool = True,
-    tie_breakers: Sequence[str] = (),
-    method: str = "auto",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """SQL ``rank()`` of ``value`` within ``group_cols`` (ties share a rank).
 
-    ``method="window"`` is the plain ``rank().over(partitionBy(group))``: one
-    task per group. ``"distributed"`` is for few, large groups: rank = first
-    row number of the value's tie group - first row number of the group + 1,
-    both read off one global sort. ``"auto"`` (default) counts the largest
-    group first and uses the window only if it has at most
-    ``max_group_rows`` rows. NULL values rank last when descending, first
-    otherwise.
+    NULL values rank last when descending, first otherwise.
     """
-    v = _as_col(value)
-    order_v = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    method = _resolve(method, df, group_cols, max_group_rows)
-    if method in ("window", "small"):
-        w = Window.partitionBy(*group_cols).orderBy(order_v)
-        return df.withColumn(name, F.rank().over(w))
-    if method != "distributed":
-        raise ValueError(f"unknown method {method!r}")
-
-    keyed = df.withColumn("_rank_v", v)
-    order = [F.col(g).asc_nulls_first() for g in group_cols]
-    order.append(F.col("_rank_v").desc_nulls_last() if descending else F.col("_rank_v").asc_nulls_first())
-    order += [F.col(t).asc_nulls_first() for t in tie_breakers]
-    numbered = global_row_number(keyed, order, name="_rn")
-    group_start = numbered.groupBy(*group_cols).agg(F.min("_rn").alias("_g0"))
-    tie_start = numbered.groupBy(*group_cols, "_rank_v").agg(F.min("_rn").alias("_t0"))
-    keys = list(group_cols) + ["_rank_v"]
-    out = (
-        numbered.alias("n")
-        .join(
-            tie_start.alias("t"),
-            [F.col(f"n.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys],
-        )
-        .select("n.*", "t._t0")
-        .alias("n2")
-        .join(
-            group_start.alias("g"),
-            [F.col(f"n2.{k}").eqNullSafe(F.col(f"g.{k}")) for k in group_cols],
+    return rank_within_many(df, {name: list(group_cols)}, value, descending)
+
+
+def rank_within_many(
+    df: DataFrame, groupings: dict[str, list[str]], value: Column | str, descending: bool = True
+) -> DataFrame:
+    """Several ranks of one value at once: ``groupings`` maps each new column to its group columns.
+
+    All groupings share one frame of counts and one range partitioning; their
+    group columns, in the order given, must have comparable types.
+    """
+    width = max(len(g) for g in groupings.values())
+    keyed = df.withColumn("_value", _as_col(value))
+
+    def keys(cols: Sequence[str]) -> list[Column]:
+        return [F.col(c) for c in cols] + [F.lit(None)] * (width - len(cols))
+
+    # one row per value and combination of group columns before the groupings are unfolded
+    every = list(dict.fromkeys(c for g in groupings.values() for c in g))
+    combined = keyed.groupBy(*every, "_value").agg(F.count(F.lit(1)).alias("n"))
+    unfolded = combined.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("_kind"), *[k.alias(f"_g{j}") for j, k in enumerate(keys(cols))])
+                    for i, cols in enumerate(groupings.values())
+                ]
+            )
+        ).alias("_key"),
+        F.col("_value").alias("value"),
+        "n",
+    ).select("_key.*", "value", "n")
+    fields = ["_kind", *[f"_g{j}" for j in range(width)]]
+    counts = unfolded.groupBy(*fields, "value").agg(F.sum("n").alias("n"))
+    ranks = materialize(running_counts(counts, fields, descending).select(*fields, "value", (F.col("before") + 1).cast("int").alias("_rank")))
+    out = keyed
+    for i, (name, cols) in enumerate(groupings.items()):
+        own = ranks.where(F.col("_kind") == i).select(
+            *[F.col(f"_g{j}").alias(c) for j, c in enumerate(cols)], F.col("value").alias("_value"), F.col("_rank").alias(name)
         )
-        .select("n2.*", "g._g0")
-    )
-    return out.withColumn(name, (F.col("_t0") - F.col("_g0") + 1).cast("int")).drop(
-        "_rn", "_t0", "_g0", "_rank_v"
-    )
+        out = null_safe_join(out, own, [*cols, "_value"])
+    return out.drop("_value")
 
 
 def tercile_scores(
@@ -157,44 +126,104 @@ def tercile_scores(
     tie_breaker: str,
     name: str,
     default: int,
-    method: str = "auto",
-    max_group_rows: int = MAX_GROUP_ROWS,
-    stats: tuple[int, int] | None = None,
     labels: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Tercile code 0/1/2 of ``value`` by rank (ties broken by ``tie_breaker``).
-
-    If the column has at most one distinct non-NULL value every row gets
-    ``default``; NULL values get ``default``. ``n`` and the distinct count are
-    one small aggregate. Positions come from one global sort, or — with
-    ``method="auto"`` and ``n <= max_group_rows`` — from a single-task
-    ``row_number`` window whose size has just been checked. ``stats`` passes
-    a precomputed (non-NULL count, distinct count) to skip that aggregate.
-    ``labels`` (three values) replaces the codes 0/1/2 of ranked rows; the
-    default is used as given.
+    """Tercile code 0/1/2 of ``value`` by rank (see :func:`tercile_scores_many`)."""
+    return tercile_scores_many(df, [(value, name, default, labels)], tie_breaker)
+
+
+def tercile_scores_many(
+    df: DataFrame,
+    specs: Sequence[tuple[Column | str, str, int, Sequence[int] | None]],
+    tie_breaker: str,
+) -> DataFrame:
+    """Tercile scores of several numeric measures: ``specs`` are (value, new column, default, labels).
+
+    Rows are ordered by value, then by ``tie_breaker``, which must be unique
+    among equal values; of n rows, position k scores 0 if 3k < n-1, 1 if 3k <
+    2(n-1), else 2. (Not ``ntile(3)``, which puts the remainder in the first
+    buckets.) ``labels`` (three values) replaces 0/1/2. NULL values, and every
+    row of a measure with at most one distinct value, get the default.
+
+    Only the two rows at each measure's boundaries are looked up; scoring is a
+    comparison with them, without a join.
     """
-    v = _as_col(value)
-    keyed = df.withColumn("_tv", v)
-    if stats is None:
-        row = keyed.agg(F.count("_tv").alias("n"), F.count_distinct("_tv").alias("nd")).first()
-        stats = (int(row["n"]), int(row["nd"]))
-    n, nd = stats
-    if nd <= 1:
-        return keyed.withColumn(name, F.lit(default)).drop("_tv")
-    present = keyed.where(F.col("_tv").isNotNull())
-    order = [F.col("_tv").asc(), F.col(tie_breaker).asc()]
-    if method == "window" or (method == "auto" and n <= max_group_rows):
-        numbered = present.withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
-    else:
-        numbered = global_row_number(present, order, name="_rn")
-    code = tercile_code(F.col("_rn") - 1, n)
-    if labels is not None:
-        if len(labels) != 3:
+    for _, _, _, labels in specs:
+        if labels is not None and len(labels) != 3:
             raise ValueError("labels needs three values")
-        code = F.element_at(F.array(*[F.lit(int(x)) for x in labels]), code + 1)
-    scored = numbered.withColumn(name, code).drop("_rn")
-    missing = keyed.where(F.col("_tv").isNull()).withColumn(name, F.lit(default))
-    return scored.unionByName(missing).drop("_tv")
+    measures = [_as_col(v).cast("double") for v, _, _, _ in specs]
+    long = df.select(
+        F.col(tie_breaker).alias("_tie"),
+        F.explode(F.array(*[F.struct(F.lit(i).alias("m"), c.alias("value")) for i, c in enumerate(measures)])).alias("_x"),
+    ).select("_tie", "_x.*").where("value is not null")
+    counts = running_counts(value_counts(long, ["m"], "value"), ["m"])
+    counts = materialize(counts)
+    totals = counts.groupBy("m").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    # first position of code 1 and of code 2: the smallest k with 3k >= n-1, and with 3k >= 2(n-1)
+    edges = totals.where("kinds > 1").select(
+        "m", F.explode(F.array(*[F.struct(F.lit(w).alias("w"), F.expr(f"({w} * (total - 1) + 2) div 3").alias("k")) for w in (1, 2)])).alias("e")
+    ).select("m", "e.*")
+    # at most two rows per measure
+    found = (
+        counts.join(edges, "m").where("before <= k and k < before + n")
+        .select("m", "w", "value", (F.col("k") - F.col("before")).alias("skip")).collect()
+    )
+    ties = {}
+    inside = [(r.m, r.w, r.value, r.skip) for r in found if r.skip > 0]
+    if inside:
+        # the boundary falls among equal values: the tie-breaker at that place, by the same running count
+        wanted = reduce(lambda a, b: a | b, [(F.col("m") == m) & F.col("value").eqNullSafe(F.lit(v)) for m, _, v, _ in inside])
+        tied = long.where(wanted).withColumnRenamed("value", "at")
+        placed = running_counts(value_counts(tied, ["m", "at"], "_tie"), ["m", "at"])
+        pick = reduce(
+            lambda a, b: a | b,
+            [(F.col("m") == m) & F.col("at").eqNullSafe(F.lit(v)) & (F.col("before") == k) for m, _, v, k in inside],
+        )
+        at = {(r.m, r.at, r.before): r.value for r in placed.where(pick).collect()}
+        ties = {(m, w): at[m, v, k] for m, w, v, k in inside}
+    bounds = {(r.m, r.w): r.value for r in found}
+    out = {}
+    for i, (_, name, default, labels) in enumerate(specs):
+        codes = [0, 1, 2] if labels is None else [int(x) for x in labels]
+        if (i, 1) not in bounds:
+            out[name] = F.lit(default)
+            continue
+
+        def below(w: int, i: int = i) -> Column:
+            c, edge = measures[i], F.lit(bounds[i, w])
+            if (i, w) not in ties:
+                return c < edge
+            tied = F.coalesce(F.col(tie_breaker) < F.lit(ties[i, w]), F.lit(True))  # a NULL tie-breaker comes first
+            return (c < edge) | ((c == edge) & tied)
+
+        out[name] = (
+            F.when(measures[i].isNull(), F.lit(default))
+            .when(below(1), F.lit(codes[0]))
+            .when(below(2), F.lit(codes[1]))
+            .otherwise(F.lit(codes[2]))
+        )
+    return df.withColumns(out)
+
+
+def quantiles_of_counts(placed: DataFrame, group_cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Linear-interpolated quantiles from :func:`running_counts`; see :func:`grouped_quantiles`."""
+    groups = list(group_cols)
+    totals = placed.groupBy(*groups).agg(F.sum("n").alias("_total"))
+    joined = null_safe_join(placed, totals, groups).where(F.col("_total") > 0)
+    picks = []
+    for i, p in enumerate(probs):
+        h = (F.col("_total") - 1).cast("double") * F.lit(float(p))
+        lo = F.floor(h).cast("bigint")
+        hi = F.least(lo + 1, F.col("_total") - 1)
+        held = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
+        picks += [
+            F.max(F.when(held(lo), F.col("value"))).alias(f"_lo{i}"),
+            F.max(F.when(held(hi), F.col("value"))).alias(f"_hi{i}"),
+            F.max(h - lo).alias(f"_f{i}"),
+        ]
+    found = joined.groupBy(*groups).agg(F.max("_total").alias("n"), *picks)
+    cols = [(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q_{i}") for i in range(len(probs))]
+    return found.where("n is not null").select(*groups, "n", *cols)
 
 
 def grouped_quantiles(
@@ -202,74 +231,11 @@ def grouped_quantiles(
     group_cols: Sequence[str],
     value: Column | str,
     probs: Sequence[float],
-    method: str = "auto",
-    accuracy: int = 10000,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per group, NULLs ignored.
 
-    Returns one row per group with columns ``q_<i>`` for each prob, plus
-    ``n`` (non-NULL count). ``method``:
-
-    * ``"sort"`` — exact and distributed: one global sort, then the two
-      neighbours of position (n-1)·p are fetched by row number;
-    * ``"aggregate"`` — Spark's exact ``percentile``; keeps a value->count
-      map per group in one buffer, fine for small groups;
-    * ``"approx"`` — ``percentile_approx`` with ``accuracy``;
-    * ``"auto"`` (default) — ``"aggregate"`` when the largest group has at
-      most ``max_group_rows`` values, else ``"sort"``.
+    One row per group that has a value, with columns ``q_<i>`` for each prob,
+    and ``n`` (non-NULL count); an empty input gives no rows.
     """
-    v = _as_col(value)
-    base = df.select(*group_cols, v.cast("double").alias("_qv")).where(F.col("_qv").isNotNull())
-    qnames = [f"q_{i}" for i in range(len(probs))]
-    if method == "auto":
-        small = largest_group(base, group_cols) <= max_group_rows
-        method = "aggregate" if small else "sort"
-    if method == "aggregate":
-        agg = F.percentile("_qv", F.array(*[F.lit(float(p)) for p in probs]))
-        res = base.groupBy(*group_cols).agg(agg.alias("_qs"), F.count("_qv").alias("n"))
-        return res.select(*group_cols, "n", *[F.col("_qs")[i].alias(q) for i, q in enumerate(qnames)])
-    if method == "approx":
-        agg = F.percentile_approx("_qv", [float(p) for p in probs], accuracy)
-        res = base.groupBy(*group_cols).agg(agg.alias("_qs"), F.count("_qv").alias("n"))
-        return res.select(*group_cols, "n", *[F.col("_qs")[i].alias(q) for i, q in enumerate(qnames)])
-    if method != "sort":
-        raise ValueError(f"unknown method {method!r}")
-
-    # A per-row tie-breaker lets the range partitioner split a heavily
-    # repeated value (a third of the rows may share one) over many tasks;
-    # equal values are interchangeable, so which tie comes first is irrelevant.
-    tied = base.withColumn("_tb", F.monotonically_increasing_id())
-    order = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col("_qv").asc(), F.col("_tb").asc()]
-    numbered = global_row_number(tied, order, name="_rn").drop("_tb")
-    stats = numbered.groupBy(*group_cols).agg(
-        F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("n")
-    )
-    # Per group and prob: the position h = (n-1)p, its floor and fraction.
-    probs_arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    targets = (
-        stats.select(*group_cols, "_start", "n", F.explode(probs_arr).alias("_pp"))
-        .withColumn("_h", (F.col("n") - 1).cast("double") * F.col("_pp.p"))
-        .withColumn("_lo", F.floor("_h").cast("bigint"))
-        .withColumn("_frac", F.col("_h") - F.col("_lo"))
-        .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("n") - 1))
-        .select(
-            *group_cols,
-            "n",
-            F.col("_pp.i").alias("_i"),
-            "_frac",
-            (F.col("_start") + F.col("_lo")).alias("_rn_lo"),
-            (F.col("_start") + F.col("_hi")).alias("_rn_hi"),
-        )
-    )
-    # targets has (#groups x #probs) rows: bounded by the caller's grouping
-    # (columns of a schema, a single global group), so broadcasting is safe.
-    t = F.broadcast(targets)
-    lo = numbered.select(F.col("_rn").alias("_rn_lo"), F.col("_qv").alias("_v_lo"))
-    hi = numbered.select(F.col("_rn").alias("_rn_hi"), F.col("_qv").alias("_v_hi"))
-    picked = F.broadcast(t.join(lo, "_rn_lo")).join(hi, "_rn_hi")
-    interp = F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * F.col("_frac")
-    per_prob = picked.select(*group_cols, "n", "_i", interp.alias("_q"))
-    return per_prob.groupBy(*group_cols, "n").agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(q) for i, q in enumerate(qnames)]
-    )
+    base = df.select(*group_cols, _as_col(value).cast("double").alias("_q")).where(F.col("_q").isNotNull())
+    return quantiles_of_counts(running_counts(value_counts(base, group_cols, "_q"), group_cols), group_cols, probs)

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.operators.profile import missing_as_null
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(``table_name``, ``rows``) for each named frame: one union, one aggregate."""
@@ -42,9 +44,9 @@ def text_shape(df: DataFrame, column: str, markers: Sequence[str] = ("T", "Z"))
 
 
 def column_info(df: DataFrame) -> DataFrame:
-    """Per column: position, type and non-NULL count (one aggregate)."""
+    """Per column: position, type and count of cells that are neither NULL nor NaN (one aggregate)."""
     fields = df.schema.fields
-    wide = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"_c{i}") for i, f in enumerate(fields)])
+    wide = missing_as_null(df).agg(*[F.count(F.col(f"`{f.name}`")).alias(f"_c{i}") for i, f in enumerate(fields)])
     rows = [
         F.struct(
             F.lit(i).alias("position"),

@@ -16,6 +16,7 @@ from basketry.functions import round_half_up
 from basketry.operators import dedupe, gold, metrics, profile, validate
 from basketry.plans import fixtures as fx
 from basketry.plans import pipeline as pl
+from basketry.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,19 +109,19 @@ def q_gold_location_daily(spark, d):
 
 
 def q_gold_location_ranked_by_year(spark, d):
-    ranked = gold.add_revenue_ranks(pl.location_daily(spark, d), with_year=True)
+    ranked = gold.add_revenue_ranks(pl.location_daily(spark, d), with_year=True, money_precision=MONEY)
     return rounded(ranked, money=LOCATION_MONEY, averages=("avg_order_value",))
 
 
 def q_gold_location_ranked(spark, d):
     return rounded(
-        pl.fact_orders_location(spark, d), money=LOCATION_MONEY, averages=("avg_order_value",)
+        pl.fact_orders_location(spark, d, MONEY), money=LOCATION_MONEY, averages=("avg_order_value",)
     )
 
 
 # ---------------------------------------------------------------- metrics
 def _users(spark, d):
-    users, _, q_high = metrics.user_clv(pl.fact_customer(spark, d))
+    users, _, q_high = metrics.user_clv(pl.fact_customer(spark, d), money_precision=MONEY)
     return users, q_high
 
 
@@ -136,8 +137,9 @@ def q_insight_user_clv(spark, d):
 
 
 def q_insight_clv_tagged(spark, d):
-    users, _ = _users(spark, d)
-    return rounded(metrics.clv_tagged(pl.fact_customer(spark, d), users), money=CUSTOMER_MONEY)
+    customer = materialize(pl.fact_customer(spark, d))  # feeds the users and the join
+    users, _, _ = metrics.user_clv(customer, money_precision=MONEY)
+    return rounded(metrics.clv_tagged(customer, users), money=CUSTOMER_MONEY)
 
 
 def q_insight_clv_kpis(spark, d):
@@ -162,13 +164,13 @@ RFM_MONEY = ("Monetary",)
 
 def _rfm(fact_customer_fn, window):
     def users(spark, d):
-        return rounded(metrics.rfm_users(fact_customer_fn(spark, d), window), money=RFM_MONEY)
+        return rounded(metrics.rfm_users(fact_customer_fn(spark, d), window, money_precision=MONEY), money=RFM_MONEY)
 
     def kpis(spark, d):
-        return metrics.rfm_kpis(metrics.rfm_users(fact_customer_fn(spark, d), window))
+        return metrics.rfm_kpis(metrics.rfm_users(fact_customer_fn(spark, d), window, money_precision=MONEY))
 
     def summary(spark, d):
-        return metrics.rfm_summary(metrics.rfm_users(fact_customer_fn(spark, d), window))
+        return metrics.rfm_summary(metrics.rfm_users(fact_customer_fn(spark, d), window, money_precision=MONEY))
 
     return users, kpis, summary
 
@@ -180,17 +182,17 @@ _, _, q_insight_rfm_summary_events = _rfm(pl.event_fact_customer, 90)
 
 
 def q_insight_rfm_users_labels_events(spark, d):
-    users = metrics.rfm_users(pl.event_fact_customer(spark, d), 30, scores="labels")
+    users = metrics.rfm_users(pl.event_fact_customer(spark, d), 30, scores="labels", money_precision=MONEY)
     return rounded(users, money=RFM_MONEY)
 
 
 def q_insight_rfm_users_latest(spark, d):
-    users = metrics.rfm_users(pl.fact_customer(spark, d), 90, recency="latest")
+    users = metrics.rfm_users(pl.fact_customer(spark, d), 90, recency="latest", money_precision=MONEY)
     return rounded(users, money=RFM_MONEY)
 
 
 def q_insight_rfm_segment_counts(spark, d):
-    return metrics.rfm_segment_counts(metrics.rfm_users(pl.fact_customer(spark, d), 90))
+    return metrics.rfm_segment_counts(metrics.rfm_users(pl.fact_customer(spark, d), 90, money_precision=MONEY))
 
 
 def q_insight_churn_counts(spark, d):
@@ -243,8 +245,13 @@ def _raw_sources(spark, d):
     }
 
 
+def _profiled(spark, d):
+    """The raw sources as profiled: order lines with missing prices as NaN."""
+    return _raw_sources(spark, d) | {"order_items": fx.profile_items(spark, d)}
+
+
 def _profile_sources(spark, d):
-    out = _raw_sources(spark, d)
+    out = _profiled(spark, d)
     for name in ("customer", "part", "events"):
         out[name] = fx.table(spark, d, name)
     return out
@@ -264,7 +271,7 @@ def _tagged_union(frames: dict[str, DataFrame]) -> DataFrame:
 
 def q_profile_columns(spark, d):
     return _tagged_union(
-        {n: profile.column_profile(df) for n, df in _raw_sources(spark, d).items()}
+        {n: profile.column_profile(df) for n, df in _profiled(spark, d).items()}
     )
 
 
@@ -275,7 +282,12 @@ def q_profile_shape(spark, d):
 
 
 def q_profile_missing_rows(spark, d):
-    return profile.missing_rows(fx.order_items(spark, d), ["LINEITEM_ID", "ITEM_CATEGORY", "ITEM_NAME"])
+    found = profile.missing_rows(fx.profile_items(spark, d), ["LINEITEM_ID", "ITEM_CATEGORY", "ITEM_NAME", "ITEM_PRICE"])
+    return profile.missing_as_null(found)
+
+
+def q_profile_null_summary(spark, d):
+    return _tagged_union({n: profile.null_summary(df) for n, df in _profiled(spark, d).items()})
 
 
 def q_profile_duplicate_rows(spark, d):
@@ -286,6 +298,15 @@ def q_profile_duplicate_rows_options(spark, d):
     return dedupe.duplicate_rows(fx.order_item_options(spark, d))
 
 
+def q_profile_duplicate_row_copies(spark, d):
+    return dedupe.duplicate_row_copies(fx.order_item_options(spark, d))
+
+
+def q_profile_key_violation_rows(spark, d):
+    cleaned = fx.order_item_options(spark, d).distinct()
+    return dedupe.key_violation_rows(cleaned, ["LINEITEM_ID", "OPTION_GROUP_NAME", "OPTION_NAME"])
+
+
 def q_profile_key_violations(spark, d):
     return dedupe.key_violations(fx.order_items(spark, d), ["LINEITEM_ID"])
 
@@ -301,13 +322,17 @@ def q_profile_iqr_outliers(spark, d):
 
 
 def q_profile_histogram(spark, d):
-    src = _raw_sources(spark, d)
+    src = _profiled(spark, d)
     frames = {n: profile.histogram(src[n], bins) for n, bins in HISTOGRAM_BINS.items()}
     return rounded(_tagged_union(frames), edges=("bin_start", "bin_end"))
 
 
 def q_clean_dropna_accounting(spark, d):
-    return profile.dropna_accounting(fx.order_items(spark, d), ["LINEITEM_ID"])
+    return profile.dropna_accounting(fx.profile_items(spark, d), ["LINEITEM_ID"])
+
+
+def q_clean_dropna_null_counts(spark, d):
+    return profile.null_counts(profile.drop_missing(fx.profile_items(spark, d), ["LINEITEM_ID", "ITEM_PRICE"]))
 
 
 def q_clean_distinct_accounting(spark, d):
@@ -383,13 +408,17 @@ def queries() -> dict[str, Query]:
         "profile_columns": q_profile_columns,
         "profile_shape": q_profile_shape,
         "profile_missing_rows": q_profile_missing_rows,
+        "profile_null_summary": q_profile_null_summary,
         "profile_duplicate_rows": q_profile_duplicate_rows,
+        "profile_duplicate_row_copies": q_profile_duplicate_row_copies,
+        "profile_key_violation_rows": q_profile_key_violation_rows,
         "profile_duplicate_rows_options": q_profile_duplicate_rows_options,
         "profile_key_violations": q_profile_key_violations,
         "profile_key_violations_options": q_profile_key_violations_options,
         "profile_iqr_outliers": q_profile_iqr_outliers,
         "profile_histogram": q_profile_histogram,
         "clean_dropna_accounting": q_clean_dropna_accounting,
+        "clean_dropna_null_counts": q_clean_dropna_null_counts,
         "clean_distinct_accounting": q_clean_distinct_accounting,
         "validate_negative_prices": q_validate_negative_prices,
         "validate_timestamp_shape": q_validate_timestamp_shape,

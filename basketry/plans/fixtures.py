@@ -13,29 +13,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.sources.parquet import spread
-
 # Fixed values of the fixture definition.
 NULL_KEY_PARTKEY_MOD = 101
 GUEST_PRIORITY = "4-NOT SPECIFIED"
 NULL_ITEM_PART_SIZE = 13
 BAD_TIME_ORDERKEY_MOD = 97
+NAN_PRICE_ORDERKEY_MOD = 89
 BAD_TIME_TEXT = "bad"
 ISO_OUT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 NEW_YEAR_HOLIDAY = "New Year"
 EVENT_RESTAURANTS = 20
 
 
-# Large driver tables and the key their rows are spread by when a scan has
-# fewer splits than the default parallelism (single-row-group test files).
-# ``orders`` is left out: at test scale it is broadcast into the line join.
-SPREAD_KEYS = {"lineitem": ["l_orderkey"], "events": ["user_id"]}
+# Tables to repartition by the given columns right after the scan. Empty, so
+# that a scan adds no shuffle; bench.py fills it, because the single row group
+# of each test file would otherwise run in one task.
+SPREAD: dict[str, list[str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in SPREAD_KEYS:
-        df = spread(df, SPREAD_KEYS[name])
+    if name in SPREAD:
+        df = df.repartition(*SPREAD[name])
     return df
 
 
@@ -80,6 +79,13 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`order_items` with NaN prices on some orders (profiling only)."""
+    items = order_items(spark, sf_dir)
+    nan = F.col("ORDER_ID").cast("bigint") % NAN_PRICE_ORDERKEY_MOD == 0
+    return items.withColumn("ITEM_PRICE", F.when(nan, F.lit(float("nan"))).otherwise(F.col("ITEM_PRICE")))
+
+
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ``order_item_options`` from discounted ``lineitem`` rows."""
     li = table(spark, sf_dir, "lineitem").where(F.col("l_discount") > 0)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from basketry.operators import gold, silver
-from basketry.session import configure
+from basketry.session import configure, materialize
 from basketry.sources.parquet import read_parquet, write_parquet
 
 log = logging.getLogger(__name__)
@@ -82,15 +82,17 @@ def silver_to_gold(
     spark: SparkSession,
     silver_base: str,
     gold_base: str,
-    partition_by_date: bool = False,
-    rank_method: str = "auto",
+    partition_by_year: bool = False,
+    dynamic_overwrite: bool = False,
     bucketed_tables: str | None = None,
 ) -> dict[str, str]:
     """Build ``fact_customer`` and ``fact_orders_location`` from Silver.
 
-    The enriched order lines feed both outputs; they are persisted (memory,
-    spilling to disk) for the two writes. ``partition_by_date`` writes
-    ``fact_orders_location`` partitioned by ``year`` with dynamic overwrite.
+    The enriched order lines feed both outputs; they are stored once in the
+    shared checkpoint folder. ``partition_by_year`` writes
+    ``fact_orders_location`` partitioned by ``year``. Both tables are rebuilt
+    in full, so a year that the source no longer has goes;
+    ``dynamic_overwrite`` replaces only the years present instead.
     ``bucketed_tables`` (the table prefix used by ``bronze_to_silver``) reads
     the bucketed Silver catalog tables instead of the folders.
     """
@@ -102,20 +104,16 @@ def silver_to_gold(
     else:
         orders = read_parquet(spark, _p(silver_base, "fact_orders"))
         options = read_parquet(spark, _p(silver_base, "fact_options"))
-    enriched = gold.enrich_orders(orders, options).persist()
-    try:
-        customer_path = _p(gold_base, "fact_customer")
-        write_parquet(gold.fact_customer(enriched), customer_path)
-        location_path = _p(gold_base, "fact_orders_location")
-        location = gold.fact_orders_location(enriched, method=rank_method)
-        write_parquet(
-            location,
-            location_path,
-            partition_by=["year"] if partition_by_date else None,
-            dynamic_overwrite=partition_by_date,
-        )
-    finally:
-        enriched.unpersist()
+    enriched = materialize(gold.enrich_orders(orders, options))
+    customer_path = _p(gold_base, "fact_customer")
+    write_parquet(gold.fact_customer(enriched), customer_path)
+    location_path = _p(gold_base, "fact_orders_location")
+    write_parquet(
+        gold.fact_orders_location(enriched),
+        location_path,
+        partition_by=["year"] if partition_by_year else None,
+        dynamic_overwrite=dynamic_overwrite,
+    )
     return {"fact_customer": customer_path, "fact_orders_location": location_path}
 
 
@@ -146,6 +144,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
     g.add_argument("--partition-by-year", action="store_true")
+    g.add_argument("--dynamic-overwrite", action="store_true", help="replace only the years present")
     g.add_argument("--bucketed-tables", metavar="PREFIX", help="read bucketed Silver tables")
     i = sub.add_parser("ingest", help="database -> Bronze")
     i.add_argument("--url", required=True)
@@ -153,6 +152,16 @@ def main(argv: Sequence[str] | None = None) -> int:
     i.add_argument("--user")
     i.add_argument("--password-env", help="name of the environment variable holding the password")
     i.add_argument("--driver")
+    i.add_argument("--tables", nargs="+", metavar="SCHEMA.TABLE", help="default: all that the catalog query lists")
+    i.add_argument("--catalog-query", help="derived table with a schema and a name column")
+    i.add_argument("--schema-column", default="TABLE_SCHEMA")
+    i.add_argument("--name-column", default="TABLE_NAME")
+    i.add_argument(
+        "--partition-column", action="append", default=[], metavar="SCHEMA.TABLE=COLUMN",
+        help="numeric column for a parallel read (repeatable)",
+    )
+    i.add_argument("--partitions", type=int, default=16, help="ranges per parallel read")
+    i.add_argument("--concurrent-tables", type=int, default=1)
     args = parser.parse_args(argv)
 
     spark = build_session(app_name=f"basketry-{args.job}")
@@ -165,12 +174,17 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "gold":
         silver_to_gold(
             spark, args.silver, args.gold,
-            partition_by_date=args.partition_by_year, bucketed_tables=args.bucketed_tables,
+            partition_by_year=args.partition_by_year, dynamic_overwrite=args.dynamic_overwrite,
+            bucketed_tables=args.bucketed_tables,
         )
     else:
         password = os.environ.get(args.password_env) if args.password_env else None
+        catalog = {"catalog_query": args.catalog_query} if args.catalog_query else {}
         status = ingest_all(
-            spark, args.url, args.target, user=args.user, password=password, driver=args.driver
+            spark, args.url, args.target, tables=args.tables,
+            partition_columns=dict(x.split("=", 1) for x in args.partition_column),
+            num_partitions=args.partitions, schema_column=args.schema_column, name_column=args.name_column,
+            concurrent_tables=args.concurrent_tables, user=args.user, password=password, driver=args.driver, **catalog,
         )
         failed = status.where("status != 'ok'").count()
         status.show(truncate=False)

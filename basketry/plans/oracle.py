@@ -31,6 +31,11 @@ FIXTURE_CTES = {
     FROM lineitem l
     JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN part p ON l.l_partkey = p.p_partkey""",
+    "order_items_nan": """
+    SELECT * REPLACE (CASE WHEN CAST(ORDER_ID AS BIGINT) % 89 = 0 THEN CAST('NaN' AS DOUBLE) ELSE ITEM_PRICE END AS ITEM_PRICE)
+    FROM order_items_raw""",
+    "order_items_profiled": """
+    SELECT * REPLACE (CASE WHEN isnan(ITEM_PRICE) THEN NULL ELSE ITEM_PRICE END AS ITEM_PRICE) FROM order_items_nan""",
     "options_raw": """
     SELECT
       CASE WHEN l_partkey % 101 = 0 THEN NULL
@@ -454,7 +459,7 @@ SQL.update(METRIC_SQL)
 # ------------------------------------------------------------------ profile
 # Fixture schemas as the oracle knows them (name, Spark type name).
 RAW_SCHEMAS = {
-    "order_items": ("order_items_raw", [
+    "order_items": ("order_items_profiled", [
         ("LINEITEM_ID", "string"), ("ORDER_ID", "string"), ("USER_ID", "string"),
         ("RESTAURANT_ID", "string"), ("APP_NAME", "string"), ("CURRENCY", "string"),
         ("ITEM_CATEGORY", "string"), ("ITEM_NAME", "string"), ("ITEM_PRICE", "double"),
@@ -549,8 +554,22 @@ PROFILE_SQL = {
         f"SELECT '{name}' AS table_name, count(*) AS rows, {len(cols)} AS columns FROM {rel}"
         for name, (rel, cols) in RAW_SCHEMAS.items()
     ),
-    "profile_missing_rows": "SELECT * FROM order_items_raw "
-    "WHERE LINEITEM_ID IS NULL OR ITEM_CATEGORY IS NULL OR ITEM_NAME IS NULL",
+    "profile_missing_rows": "SELECT * FROM order_items_profiled "
+    "WHERE LINEITEM_ID IS NULL OR ITEM_CATEGORY IS NULL OR ITEM_NAME IS NULL OR ITEM_PRICE IS NULL",
+    "profile_null_summary": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows, "
+        f"COALESCE(bool_or({' OR '.join(f'{c} IS NULL' for c, _ in cols)}), FALSE) AS any_null FROM {rel}"
+        for name, (rel, cols) in RAW_SCHEMAS.items()
+    ),
+    "profile_duplicate_row_copies": """
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY LINEITEM_ID, ORDER_ID, OPTION_GROUP_NAME, OPTION_NAME,
+                                   OPTION_PRICE, OPTION_QUANTITY) AS rn FROM options_raw) WHERE rn > 1""",
+    "profile_key_violation_rows": """
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY LINEITEM_ID, OPTION_GROUP_NAME, OPTION_NAME
+                                   ORDER BY ORDER_ID NULLS FIRST, OPTION_PRICE NULLS FIRST, OPTION_QUANTITY NULLS FIRST) AS rn
+      FROM (SELECT DISTINCT * FROM options_raw)) WHERE rn > 1""",
     "profile_duplicate_rows": "SELECT *, count(*) - 1 AS extra_copies FROM date_dim_raw "
     "GROUP BY ALL HAVING count(*) > 1",
     "profile_duplicate_rows_options": "SELECT *, count(*) - 1 AS extra_copies FROM options_raw "
@@ -566,7 +585,12 @@ PROFILE_SQL = {
            count(*) FILTER (WHERE LINEITEM_ID IS NOT NULL) AS rows_after,
            count(*) FILTER (WHERE LINEITEM_ID IS NULL) AS rows_removed,
            COALESCE(bool_or(LINEITEM_ID IS NOT NULL AND ({_ANY_NULL_ITEM})), FALSE) AS any_null_after
-    FROM order_items_raw""",
+    FROM order_items_profiled""",
+    "clean_dropna_null_counts": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls FROM order_items_profiled "
+        "WHERE LINEITEM_ID IS NOT NULL AND ITEM_PRICE IS NOT NULL"
+        for c in _ITEM_COLS
+    ),
     "clean_distinct_accounting": """
     SELECT b.n AS rows_before, a.n AS rows_after, b.n - a.n AS rows_removed
     FROM (SELECT count(*) AS n FROM options_raw) b,

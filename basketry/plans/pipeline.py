@@ -49,5 +49,5 @@ def location_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.location_daily(enriched_orders(spark, sf_dir))
 
 
-def fact_orders_location(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
-    return gold.add_revenue_ranks(location_daily(spark, sf_dir), method=method)
+def fact_orders_location(spark: SparkSession, sf_dir: str, money_precision: int | None = None) -> DataFrame:
+    return gold.add_revenue_ranks(location_daily(spark, sf_dir), money_precision=money_precision)

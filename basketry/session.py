@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,8 +40,6 @@ def build_session(
         builder = builder.master(master)
     conf = dict(REQUIRED_CONF)
     conf.setdefault("spark.ui.enabled", "false")
-    # remove checkpoint files once nothing references them (long sessions)
-    conf.setdefault("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -55,7 +54,6 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (e.g. the driver's)."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -98,20 +96,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
+# folders written by materialize() in this process, for remove_materialized()
+_WRITTEN: list[str] = []
+
+
 def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    Used where a small derived table (one row per user, say) feeds several
-    passes: each pass then reads the checkpoint instead of recomputing the
-    upstream plan, and a lost executor costs a re-read, not a re-run.
+    Used where a derived table feeds several passes: each pass then reads the
+    files instead of recomputing the upstream plan, a lost executor costs a
+    re-read, not a re-run, and Spark knows the table's size. The plan of
+    ``df`` runs once and its own cache, if any, is left alone.
     """
-    from pyspark import StorageLevel
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/object store)")
+    path = f"{folder.rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    ensure_checkpoint_dir(df.sparkSession)
-    # A reliable checkpoint writes its files in a second job; persisting first
-    # lets that job read the computed partitions instead of recomputing them.
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+
+def remove_materialized(spark: SparkSession) -> int:
+    """Delete the folders that :func:`materialize` wrote in this process; returns their number.
+
+    For long sessions, once no result that was built on them is needed any more.
+    """
+    done = 0
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+        done += 1
+    return done

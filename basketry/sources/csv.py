@@ -1,9 +1,36 @@
-"""CSV scans and sinks (raw extracts and cleaned exports)."""
+"""CSV scans and sinks (raw extracts and cleaned exports).
+
+The dialect is that of the notebooks' reader and writer: fields with a comma,
+a quote or a line break are quoted, and a quote inside is doubled.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+# Texts that the notebooks' reader takes for a missing value.
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+DIALECT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+INFERRED = ("int", "bigint", "double", "boolean", "timestamp")  # tried in this order
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the file, or of a folder's files: the first record alone is read."""
+    return spark.read.options(**DIALECT).csv(path).columns
 
 
 def read_csv(
@@ -11,17 +38,54 @@ def read_csv(
     path: str,
     schema: StructType | None = None,
     infer_schema: bool = False,
+    multiline: bool = False,
+    missing: Sequence[str] = MISSING_TOKENS,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """CSV with a header row. Prefer an explicit ``schema``; inference costs an
-    extra pass over the data and is off unless asked for."""
-    reader = spark.read.option("header", "true")
+    """CSV with a header row; ``missing`` texts become NULL in every column.
+
+    Columns are text unless ``schema`` gives types (a text that does not fit
+    its type fails the job) or ``infer_schema`` finds them in an extra pass.
+
+    ``multiline`` allows line breaks inside quoted fields; such a file cannot
+    be split, so one task reads it, and it is off by default. A record with
+    too few or too many fields (a line break in a quoted field, when
+    ``multiline`` is off) fails the job instead of shifting cells;
+    ``corrupt_column`` names a column that collects such records instead.
+    """
+    names = schema.fieldNames() if schema is not None else _header(spark, path)
+    fields = [StructField(n, StringType()) for n in names]
+    reader = spark.read.options(**DIALECT).option("columnPruning", "false").option("multiLine", str(multiline).lower())
+    # an unquoted empty field is NULL, a quoted one the empty text: the reader tells them apart
+    # only while its text for NULL is not itself empty
+    reader = reader.option("nullValue", "\u0000")
+    if corrupt_column:
+        fields.append(StructField(corrupt_column, StringType()))
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    raw = reader.schema(StructType(fields)).csv(path)
+    tokens = list(missing)
+    text = {n: F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")) if tokens else F.col(f"`{n}`") for n in names}
+    extra = [F.col(corrupt_column)] if corrupt_column else []
     if schema is not None:
-        reader = reader.schema(schema)
-    elif infer_schema:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+        return raw.select(*[text[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+    clean = raw.select(*[text[n].alias(n) for n in names], *extra)
+    if not infer_schema:
+        return clean
+    fits = clean.agg(
+        *[F.count(F.col(f"`{n}`")).alias(f"n{i}") for i, n in enumerate(names)],
+        *[F.count(F.col(f"`{n}`").try_cast(t)).alias(f"{t}{i}") for i, n in enumerate(names) for t in INFERRED],
+    ).first()
+    kinds = [next((t for t in INFERRED if fits[f"n{i}"] and fits[f"{t}{i}"] == fits[f"n{i}"]), "string") for i in range(len(names))]
+    return clean.select(*[F.col(f"`{n}`").cast(k).alias(n) for n, k in zip(names, kinds)], *extra)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header row and no index column, one file per partition."""
-    df.write.mode(mode).option("header", "true").csv(path)
+    """CSV with a header row and no index column, one file per partition.
+
+    NULL is an empty field, the empty text a quoted one; :func:`read_csv` with
+    ``missing=()`` tells them apart, the notebooks' reader takes both for
+    missing.
+    """
+    df.write.mode(mode).options(**DIALECT).csv(path)

@@ -1,5 +1,6 @@
 """Relational source -> Bronze ingestion over JDBC.
 
+* :func:`sqlserver_url` builds a SQL Server URL;
 * :func:`jdbc_options` builds the reader options (pure, testable);
 * :func:`read_table` reads a table, in parallel when a numeric/date
   partition column and bounds are given (the original read used one
@@ -86,6 +87,24 @@ def jdbc_options(
     return opts
 
 
+def sqlserver_url(
+    host: str,
+    database: str,
+    port: int = 1433,
+    encrypt: bool = True,
+    trust_server_certificate: bool = True,
+    **properties: str,
+) -> str:
+    """JDBC URL of a SQL Server database; further connection properties as keywords."""
+    parts = {
+        "databaseName": database,
+        "encrypt": str(encrypt).lower(),
+        "trustServerCertificate": str(trust_server_certificate).lower(),
+        **properties,
+    }
+    return f"jdbc:sqlserver://{host}:{port};" + "".join(f"{k}={v};" for k, v in parts.items())
+
+
 def read_table(spark: SparkSession, **kwargs) -> DataFrame:
     """Read one table (or derived table); see :func:`jdbc_options` for arguments."""
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()
@@ -141,35 +160,55 @@ def ingest_all(
     target_base: str,
     tables: Sequence[str] | None = None,
     partitioning: Mapping[str, Partitioning] | None = None,
+    partition_columns: Mapping[str, str] | None = None,
+    num_partitions: int = 16,
+    catalog_query: str = INFORMATION_SCHEMA_TABLES,
+    schema_column: str = "TABLE_SCHEMA",
+    name_column: str = "TABLE_NAME",
     count_rows: bool = False,
     writer: Callable[[DataFrame, str], None] | None = None,
     concurrent_tables: int = 1,
-    **kwargs,
+    **connection,
 ) -> DataFrame:
     """Copy each table to Parquet (full overwrite) and report per table.
 
-    A failing table is logged and recorded with ``status="failed"``; the
-    others still run. A failing table enumeration raises. ``count_rows``
-    reads the written folder back to count (off by default: an extra pass).
-    ``concurrent_tables`` > 1 submits that many table copies at once (each is
-    its own Spark job), so small tables do not leave the cluster idle.
+    A failing table is logged and recorded with ``status="failed"`` and the
+    whole error text; the others still run. A failing table enumeration
+    raises. Without ``tables`` the names come from ``catalog_query``.
+
+    ``partitioning`` gives the ranges of a parallel read per table;
+    ``partition_columns`` names a numeric column per table whose bounds are
+    found by one pushed-down query, read in ``num_partitions`` ranges. A table
+    with neither is read by one task. ``count_rows`` reads the written folder
+    back to count (off by default: an extra pass). ``concurrent_tables`` > 1
+    submits that many table copies at once (each is its own Spark job), so
+    small tables do not leave the cluster idle.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    names = list(tables) if tables is not None else list_tables(spark, url, **kwargs)
+    if tables is not None:
+        names = list(tables)
+    else:
+        names = list_tables(spark, url, catalog_query, schema_column, name_column, **connection)
     write = writer or (lambda df, path: write_parquet(df, path, mode="overwrite"))
 
+    def ranges(name: str) -> Partitioning | None:
+        given = (partitioning or {}).get(name)
+        column = (partition_columns or {}).get(name)
+        if given is not None or column is None:
+            return given
+        return discover_partitioning(spark, url, name, column, num_partitions, **connection)
+
     def copy(name: str):
         path = target_folder(target_base, name)
         try:
-            part = (partitioning or {}).get(name)
-            df = read_table(spark, url=url, dbtable=name, partitioning=part, **kwargs)
+            df = read_table(spark, url=url, dbtable=name, partitioning=ranges(name), **connection)
             write(df, path)
             rows = spark.read.parquet(path).count() if count_rows else None
             return (name, path, rows, "ok", None)
         except Exception as exc:  # noqa: BLE001 - isolation is the contract
             log.error("failed to ingest %s", name, exc_info=True)
-            return (name, path, None, "failed", f"{type(exc).__name__}: {exc}"[:2000])
+            return (name, path, None, "failed", f"{type(exc).__name__}: {exc}")
 
     if concurrent_tables > 1:
         with ThreadPoolExecutor(max_workers=concurrent_tables) as pool:

@@ -30,29 +30,6 @@ def read_parquet(
     return reader.parquet(*paths)
 
 
-def spread(
-    df: DataFrame,
-    by: Sequence[str] = (),
-    min_partitions: int | None = None,
-) -> DataFrame:
-    """Hash-repartition ``df`` by ``by`` only if it has too few partitions.
-
-    A scan of one large file with a single row group yields one task, so all
-    per-row work up to the first shuffle would run serially. Below
-    ``min_partitions`` (default: the cluster's default parallelism) the rows
-    are spread first; at cluster scale inputs have many splits and this is a
-    no-op.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote sessions expose no RDDs: leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, *by) if by else df.repartition(target)
-
-
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -88,9 +65,13 @@ def load_gold(
     spark: SparkSession,
     fact_customer_path: str,
     fact_orders_location_path: str,
-    persist: bool = True,
+    persist: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both Gold tables for a multi-metric session, persisted (memory, spill to disk)."""
+    """Both Gold tables for a multi-metric session.
+
+    ``persist=True`` also keeps them in executor memory and on executor disks;
+    the Parquet folders are the durable copy either way.
+    """
     fc = spark.read.parquet(fact_customer_path)
     fl = spark.read.parquet(fact_orders_location_path)
     if persist:

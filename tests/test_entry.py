@@ -21,7 +21,28 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    from basketry.plans import catalog, oracle
+
+    assert set(oracle.oracle_sql()) == set(catalog.queries())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_works_without_the_optional_operators():
+    """In a fresh interpreter that cannot find them."""
+    import subprocess
+
+    code = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("basketry.llm"):
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+from basketry.plans import catalog
+assert set(e.queries()) == set(catalog.queries()) == set(e.oracle_sql())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True)
 
 
 @pytest.fixture(scope="module")

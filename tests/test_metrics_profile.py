@@ -177,15 +177,58 @@ def test_rfm_latest_recency_option(spark):
     assert got == {"a": 40, "b": 0}  # the NULL-date row counts as latest
 
 
-def test_profile_approx_and_quantile_methods(spark):
+def test_profile_approx(spark):
     df = spark.range(1000).selectExpr("id % 37 AS k", "CAST(id AS DOUBLE) AS v")
     exact = {r.column_name: r.distinct_values for r in profile.column_profile(df).collect()}
     approx = {r.column_name: r.distinct_values for r in profile.column_profile(df, approx=True).collect()}
     assert exact == {"k": 37, "v": 1000}
     assert abs(approx["v"] - 1000) <= 50 and abs(approx["k"] - 37) <= 3
-    a = {r.column_name: r.outliers for r in profile.iqr_outliers(df, quantile_method="approx").collect()}
-    s = {r.column_name: r.outliers for r in profile.iqr_outliers(df, quantile_method="sort").collect()}
-    assert a == s == {"k": 0, "v": 0}
+
+
+def test_nan_is_missing_as_in_pandas(spark):
+    import pandas as pd
+
+    nan = float("nan")
+    rows = [(1.0, "a"), (2.0, "b"), (3.0, None), (4.0, "d"), (nan, "e"), (None, "f"), (-0.0, "g"), (0.0, "g")]
+    df = spark.createDataFrame(rows, "x double, t string")
+    pdf = pd.DataFrame(rows, columns=["x", "t"])
+    out = profile.iqr_outliers(df, ["x"]).first()
+    assert (out.q1, out.q3) == (pdf.x.quantile(0.25), pdf.x.quantile(0.75)) and out.outliers == 0
+    hist = sorted((r.bin, r["count"]) for r in profile.histogram(df, 4, ["x"]).collect())
+    assert [c for _, c in hist] == np.histogram(pdf.x.dropna(), bins=4)[0].tolist()
+    prof = {r.column_name: r for r in profile.column_profile(df).collect()}
+    assert (prof["x"].non_null, prof["x"].nulls, prof["x"].distinct_values) == (pdf.x.count(), pdf.x.isna().sum(), pdf.x.nunique())
+    assert profile.missing_rows(df, ["x"]).count() == 2
+    assert profile.null_summary(df.where("t = 'e'")).first().any_null is True
+    acc = profile.dropna_accounting(df, ["x"]).first()
+    assert (acc.rows_before, acc.rows_after, acc.rows_removed, acc.any_null_after) == (8, 6, 2, True)
+    assert {r.column_name: r.nulls for r in profile.null_counts(profile.drop_missing(df, ["x"])).collect()} == {"x": 0, "t": 1}
+    assert {r.column_name: r.non_null for r in validate.column_info(df).collect()} == {"x": 6, "t": 7}
+    empty = df.limit(0)
+    assert {r.column_name: (r.non_null, r.distinct_values) for r in profile.column_profile(empty).collect()} == {"x": (0, 0), "t": (0, 0)}
+
+
+def test_rows_behind_duplicates_and_key_violations(spark):
+    rows = [("a", 1), ("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 3), (None, 3), (None, None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    copies = sorted(map(tuple, dedupe.duplicate_row_copies(df).collect()), key=str)
+    assert copies == sorted([("a", 1), ("a", 1), (None, 3)], key=str)
+    later = sorted(map(tuple, dedupe.key_violation_rows(df, ["k"]).collect()), key=str)
+    assert later == sorted([("a", 1), ("a", 1), ("a", 2), (None, 3), (None, 3)], key=str)
+    assert dedupe.key_violation_rows(df.where("k = 'b'"), ["k"]).count() == 0
+
+
+def test_round_half_up_of_huge_values(spark):
+    from basketry.functions import round_half_up
+
+    df = spark.createDataFrame([(1e29,), (-1e300,), (float("inf"),), (2.345,), (None,)], "x double")
+    assert [r.y for r in df.select(round_half_up("x", 2).alias("y")).collect()] == [1e29, -1e300, float("inf"), 2.35, None]
+
+
+def test_clv_keeps_raw_doubles_unless_told(spark):
+    fc = fc_rows(spark, [("a", D(2021, 1, 1), 1.0, 0, "Low", 10.004, 1, 1.0), ("b", D(2021, 1, 1), 1.0, 0, "Low", 10.001, 1, 1.0)])
+    assert {r.clv_cumulative for r in metrics.user_clv(fc)[0].collect()} == {10.004, 10.001}
+    assert {r.clv_cumulative for r in metrics.user_clv(fc, money_precision=2)[0].collect()} == {10.0}
 
 
 def test_profile_and_layer_reports(spark):
@@ -193,14 +236,17 @@ def test_profile_and_layer_reports(spark):
 
     items = fx.order_items(spark, "/root/testdata/sf0.001")
     rep = profile.profile_report(items, key=["LINEITEM_ID"], bins=10, missing_columns=["ITEM_NAME"])
-    assert set(rep) == {"shape", "columns", "duplicate_rows", "key_violations", "missing_rows", "iqr_outliers", "histogram"}
+    assert set(rep) == {
+        "shape", "columns", "duplicate_rows", "key_violations", "key_violation_rows", "missing_rows", "iqr_outliers", "histogram"
+    }
     assert rep["shape"].first().columns == 12
     assert rep["histogram"].count() == 2 * 10  # ITEM_PRICE, ITEM_QUANTITY
-    cleaned, acc = profile.clean_report(items, null_key=["LINEITEM_ID"])
+    cleaned, acc, nulls = profile.clean_report(items, null_key=["LINEITEM_ID"])
+    assert {r.column_name: r.nulls for r in nulls.collect()}["LINEITEM_ID"] == 0
     a = acc.first()
     assert a.rows_after == cleaned.count() and a.rows_before == items.count()
     opts = fx.order_item_options(spark, "/root/testdata/sf0.001")
-    cleaned_o, acc_o = profile.clean_report(opts)
+    cleaned_o, acc_o, _ = profile.clean_report(opts)
     assert acc_o.first().rows_after == cleaned_o.count()
     lay = validate.layer_report({"order_items": items, "options": opts}, order_by={"order_items": ["LINEITEM_ID", "ORDER_ID"]})
     assert {r.table_name for r in lay["row_counts"].collect()} == {"order_items", "options"}

@@ -52,16 +52,51 @@ def test_sorted_slice_is_bounded(spark):
     assert "TakeOrderedAndProject(limit=100, offset=70" in p
 
 
-def test_distributed_rank_has_no_single_partition_window(spark):
+def test_ranks_and_quantiles_have_no_single_partition_step(spark):
+    from basketry.operators.ranking import grouped_quantiles, running_counts, value_counts
+
     loc = pl.location_daily(spark, SF)
-    ranked = gold.add_revenue_ranks(loc, method="distributed")
-    p = plan(ranked)
-    assert "rank(" not in p  # no window rank at all: sort + row numbers + aggregates
-    lines = p.splitlines()
-    for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            # only the per-partition row counts (one row per partition) meet in one place
-            assert "functions=[count(1)]" in lines[i + 1], "\n".join(lines[i - 2 : i + 3])
+    plans = [
+        plan(gold.add_revenue_ranks(loc)),
+        plan(running_counts(value_counts(loc, ["period_day"], "total_revenue"), ["period_day"])),
+        plan(grouped_quantiles(loc, ["period_day"], "total_revenue", [0.5])),
+    ]
+    for p in plans:
+        assert "rank(" not in p and "row_number(" not in p
+        assert "Exchange SinglePartition" not in p, p
+    # windows run over counts per value inside a range, and over one row per range
+    for spec in re.findall(r"windowspecdefinition\(([^)]*)\)", plans[1]):
+        assert "_range" in spec, spec
+
+
+def test_outliers_and_histograms_read_each_source_once(spark, tmp_out):
+    """The reports start from stored counts per value: no source file is in their plan."""
+    from basketry.operators import profile
+
+    path = f"{tmp_out}/src"
+    spark.range(1000).selectExpr("id % 37 AS k", "CAST(id AS DOUBLE) AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    for out in (profile.iqr_outliers(df), profile.histogram(df, 5)):
+        p = plan(out)
+        assert path not in p and "Expand" not in p, p
+    p = plan(profile.column_profile(df))
+    assert p.count("FileScan") == 1
+    # one narrow Expand: two output columns, however many the source has
+    assert re.search(r"Expand \[\[0, [^,\]]*\], \[1, [^,\]]*\]\]", p), p
+
+
+def test_gold_pipeline_runs_once_for_tagged_customers(spark, monkeypatch):
+    from basketry.plans import catalog
+
+    built = []
+    original = pl.fact_customer
+    monkeypatch.setattr(pl, "fact_customer", lambda *a: built.append(a) or original(*a))
+    p = plan(catalog.q_insight_clv_tagged(spark, SF))
+    assert len(built) == 1 and "lineitem" not in p
+
+
+def test_scans_add_no_shuffle(spark):
+    assert "Exchange" not in plan(fx.table(spark, SF, "lineitem")) and "Exchange" not in plan(fx.table(spark, SF, "events"))
 
 
 def test_dedupe_combines_map_side(spark):

@@ -54,3 +54,28 @@ def test_local_session_gets_a_temporary_folder():
 
 def test_real_session_has_a_checkpoint_dir(spark):
     assert ensure_checkpoint_dir(spark)
+
+
+def test_materialize_leaves_the_callers_cache_alone(spark):
+    from basketry.session import materialize, remove_materialized
+
+    df = spark.range(10).persist()
+    level = df.storageLevel
+    out = materialize(df)
+    assert df.storageLevel == level and out.count() == 10
+    df.unpersist()
+    assert remove_materialized(spark) >= 1 and remove_materialized(spark) == 0
+
+
+def test_configure_needs_no_checkpoint_folder():
+    """Only the queries that store something ask for the shared folder."""
+    from basketry.session import REQUIRED_CONF, configure
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    s = _Session("yarn", {})
+    s.conf = Conf()
+    configure(s)
+    assert s.conf == REQUIRED_CONF

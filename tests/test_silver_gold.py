@@ -219,15 +219,34 @@ def test_location_periods_and_ranks(spark):
     assert {r.revenue_rank_day for r in with_year.where("year = 2021").collect()} == {1, 2}
 
 
-def test_distributed_and_window_ranks_agree(spark):
+def test_ranks_agree_with_windows(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
     from basketry.plans import pipeline as pl
 
-    loc = pl.location_daily(spark, "/root/testdata/sf0.001")
-    a = gold.add_revenue_ranks(loc, method="distributed")
-    b = gold.add_revenue_ranks(loc, method="window")
-    c = gold.add_revenue_ranks(loc, method="auto", max_group_rows=0)
+    loc = pl.location_daily(spark, "/root/testdata/sf0.001").cache()
+    got = gold.add_revenue_ranks(loc)
+    want = loc.withColumns(
+        {
+            f"revenue_rank_{p}": F.rank().over(Window.partitionBy(f"period_{p}").orderBy(F.col("total_revenue").desc_nulls_last()))
+            for p in ("day", "week", "month")
+        }
+    )
     cols = ["creation_date", "restaurant_id", "revenue_rank_day", "revenue_rank_week", "revenue_rank_month"]
+
     def norm(df):
         return sorted(tuple(str(v) for v in r) for r in df.select(*cols).collect())
 
-    assert norm(a) == norm(b) == norm(c)
+    assert norm(got) == norm(want)
+    loc.unpersist()
+
+
+def test_ranks_use_raw_revenue_unless_told(spark):
+    rows = [("r1", 10.004), ("r2", 10.001), ("r3", 9.0)]
+    loc = spark.createDataFrame(rows, "restaurant_id string, total_revenue double").selectExpr(
+        "*", "1 AS period_day", "1 AS period_week", "1 AS period_month"
+    )
+    raw = {r.restaurant_id: r.revenue_rank_day for r in gold.add_revenue_ranks(loc).collect()}
+    cents = {r.restaurant_id: r.revenue_rank_day for r in gold.add_revenue_ranks(loc, money_precision=2).collect()}
+    assert raw == {"r1": 1, "r2": 2, "r3": 3} and cents == {"r1": 1, "r2": 1, "r3": 3}

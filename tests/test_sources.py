@@ -55,9 +55,60 @@ def test_csv_round_trip(spark, tmp_out):
     path = os.path.join(tmp_out, "csv")
     write_csv(df, path)
     back = read_csv(spark, path, schema=df.schema)
-    assert back.count() == df.count()
+    assert back.count() == df.count() and back.exceptAll(df).count() == 0
     inferred = read_csv(spark, path, infer_schema=True)
-    assert dict(inferred.dtypes)["year"] == "int"
+    assert dict(inferred.dtypes)["year"] == "int" and dict(inferred.dtypes)["date_key"] == "timestamp"
+
+
+AWKWARD = [
+    (1, 'He said "hi", ok', "NA"), (2, "line\nbreak", "x"), (3, "", None), (4, None, " padded "), (5, "a,b", '"'), (6, 'tail"', "N/A"),
+]
+
+
+def test_csv_written_by_pandas(spark, tmp_out):
+    import pandas as pd
+
+    path = os.path.join(tmp_out, "p.csv")
+    pd.DataFrame(AWKWARD, columns=["i", "s", "t"]).to_csv(path, index=False)
+    want = pd.read_csv(path)
+    got = read_csv(spark, path, multiline=True, infer_schema=True).orderBy("i")
+    assert got.columns == list(want.columns)
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in want.itertuples(index=False)]
+    assert [tuple(r) for r in got.collect()] == rows
+
+
+def test_csv_read_by_pandas(spark, tmp_out):
+    import pandas as pd
+
+    path = os.path.join(tmp_out, "out")
+    df = spark.createDataFrame(AWKWARD, "i int, s string, t string").coalesce(1)
+    write_csv(df, path)
+    part = [f for f in os.listdir(path) if f.endswith(".csv")][0]
+    got = pd.read_csv(os.path.join(path, part), keep_default_na=False, na_values=[])
+    want = [tuple("" if v is None else v for v in r) for r in AWKWARD]
+    assert sorted(map(tuple, got.itertuples(index=False))) == sorted(want)
+    back = read_csv(spark, path, schema=df.schema, multiline=True, missing=())
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))  # empty and NULL stay apart
+
+
+def test_csv_never_shifts_cells(spark, tmp_out):
+    import pandas as pd
+
+    path = os.path.join(tmp_out, "p.csv")
+    pd.DataFrame(AWKWARD, columns=["i", "s", "t"]).to_csv(path, index=False)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        read_csv(spark, path).collect()
+    rows = read_csv(spark, path, corrupt_column="_bad").collect()
+    assert sum(r._bad is not None for r in rows) == 2 and sum(r._bad is None for r in rows) == 5
+    typed = os.path.join(tmp_out, "t.csv")
+    with open(typed, "w") as f:
+        f.write("i,x\n1,NA\nnan,2.5\n")
+    schema = spark.createDataFrame([], "i int, x double").schema
+    assert sorted(map(str, read_csv(spark, typed, schema=schema).collect())) == ["Row(i=1, x=None)", "Row(i=None, x=2.5)"]
+    with open(typed, "a") as f:
+        f.write("oops,1\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_csv(spark, typed, schema=schema).collect()
 
 
 def test_jdbc_options_and_target_folder():
@@ -110,13 +161,24 @@ def test_layer_jobs_end_to_end(spark, tmp_out):
     write_parquet(fx.order_items(spark, SF), os.path.join(bronze, "dbo_order_items"))
     write_parquet(fx.order_item_options(spark, SF), os.path.join(bronze, "dbo_order_item_options"))
     silver_paths = jobs.bronze_to_silver(spark, bronze, os.path.join(tmp_out, "silver"), order_by="all")
-    gold_paths = jobs.silver_to_gold(spark, os.path.join(tmp_out, "silver"), os.path.join(tmp_out, "gold"), partition_by_date=True)
+    gold_paths = jobs.silver_to_gold(spark, os.path.join(tmp_out, "silver"), os.path.join(tmp_out, "gold"), partition_by_year=True)
     fc, fl = load_gold(spark, gold_paths["fact_customer"], gold_paths["fact_orders_location"])
     assert fc.count() > 0 and fl.count() > 0
     assert "revenue_rank_month" in fl.columns and "year" in fl.columns
     assert read_parquet(spark, silver_paths["dim_date"]).count() * 2 == fx.date_dim(spark, SF).count()
-    fc.unpersist()
-    fl.unpersist()
+    assert not fc.is_cached and not fl.is_cached
+    # a rebuild removes a year that the source no longer has; dynamic overwrite keeps it
+    years = {r.year for r in fl.select("year").distinct().collect()}
+    gone = max(years)
+    orders = read_parquet(spark, silver_paths["fact_orders"])
+    write_parquet(orders.where(F.coalesce(F.year("creation_date"), F.lit(0)) != gone), os.path.join(tmp_out, "silver2", "fact_orders"))
+    write_parquet(read_parquet(spark, silver_paths["fact_options"]), os.path.join(tmp_out, "silver2", "fact_options"))
+    for dynamic, left in ((True, years), (False, years - {gone})):
+        paths = jobs.silver_to_gold(
+            spark, os.path.join(tmp_out, "silver2"), os.path.join(tmp_out, "gold"), partition_by_year=True, dynamic_overwrite=dynamic
+        )
+        again = read_parquet(spark, paths["fact_orders_location"])
+        assert {r.year for r in again.select("year").distinct().collect()} == left
 
 
 def test_jobs_command_line(spark, tmp_out):
@@ -146,3 +208,59 @@ def test_discover_partitioning_uses_one_pushed_query(spark, monkeypatch):
     assert part == jdbc.Partitioning("id", 3, 9000, 16)
     opts = jdbc.jdbc_options("jdbc:x", "dbo.orders", partitioning=part)
     assert (opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == ("3", "9000", "16")
+
+
+def _fake_database(spark, monkeypatch, fail=()):
+    """Substitutes the reader: no connection is made."""
+    from basketry.sources import jdbc
+
+    calls = []
+
+    def fake_read_table(spark_, **kw):
+        jdbc.jdbc_options(**kw)  # only connection arguments may arrive
+        calls.append(kw)
+        name = kw["dbtable"]
+        if name in fail:
+            raise RuntimeError("no access " + "x" * 5000)
+        if "catalog" in name:
+            return spark_.createDataFrame([("dbo", "a"), ("dbo", "b")], "S string, N string")
+        if "MIN(" in name:
+            return spark_.createDataFrame([(1, 900)], "lo long, hi long")
+        return spark_.createDataFrame([(1,), (2,)], "x int")
+
+    monkeypatch.setattr(jdbc, "read_table", fake_read_table)
+    return calls
+
+
+def test_ingest_with_another_catalog_query(spark, tmp_out, monkeypatch):
+    calls = _fake_database(spark, monkeypatch, fail=("dbo.b",))
+    status = ingest_all(
+        spark, "jdbc:x", tmp_out, catalog_query="(SELECT S, N FROM catalog) AS t", schema_column="S", name_column="N",
+        partition_columns={"dbo.a": "id"}, num_partitions=4, count_rows=True, user="u",
+    )
+    rows = {r.table_name: r for r in status.collect()}
+    assert (rows["dbo.a"].status, rows["dbo.a"].rows) == ("ok", 2)
+    assert rows["dbo.b"].status == "failed" and len(rows["dbo.b"].error) > 5000  # the whole text
+    part = [c["partitioning"] for c in calls if c["dbtable"] == "dbo.a"][0]
+    assert part == Partitioning("id", 1, 900, 4)
+    assert all(c["user"] == "u" for c in calls)
+
+
+def test_ingest_command_line(spark, tmp_out, monkeypatch):
+    calls = _fake_database(spark, monkeypatch)
+    args = ["ingest", "--url", "jdbc:x", "--target", tmp_out, "--catalog-query", "(SELECT S, N FROM catalog) AS t"]
+    args += ["--schema-column", "S", "--name-column", "N", "--partition-column", "dbo.b=id", "--partitions", "3"]
+    assert jobs.main([*args, "--concurrent-tables", "2"]) == 0
+    parts = {c["dbtable"]: c.get("partitioning") for c in calls}
+    assert parts["dbo.a"] is None and parts["dbo.b"] == Partitioning("id", 1, 900, 3)
+    calls.clear()
+    assert jobs.main(["ingest", "--url", "jdbc:x", "--target", tmp_out, "--tables", "dbo.a"]) == 0
+    assert [c["dbtable"] for c in calls] == ["dbo.a"]
+
+
+def test_sqlserver_url():
+    from basketry.sources.jdbc import sqlserver_url
+
+    assert sqlserver_url("h", "db") == "jdbc:sqlserver://h:1433;databaseName=db;encrypt=true;trustServerCertificate=true;"
+    url = sqlserver_url("h", "db", 1500, encrypt=False, trust_server_certificate=False, loginTimeout="5")
+    assert url == "jdbc:sqlserver://h:1500;databaseName=db;encrypt=false;trustServerCertificate=false;loginTimeout=5;"
