@@ -11,20 +11,24 @@ listed there. Blank lines are never dropped. Exact copies are found by a
    line within t edits holds one of them unchanged, at one of the few places
    that the lengths and the segment's number allow. Each line emits the
    hashes of its own segments and of the substrings at those places for every
-   length it may match. Hashes that two different lines share are *live*.
-2. Lines with a live hash emit themselves under it.
+   length it may match. Lines that share a hash with a different line are
+   *live*.
+2. Live lines emit themselves under each of their hashes.
 3. Under each hash the indexed lines are compared with the others: a bound
-   from character counts first, then a banded bit-parallel edit distance.
+   from character counts first, then a banded bit-parallel edit distance. A
+   line is done with its first earlier partner, so a group of n near copies
+   gives n rows, not their pairs.
 
 Scale: step 1 moves at most two line digests per hash and block of text, so a
-frequent line or a template costs one row per block; only live hashes carry
-text. Their list goes to the tasks when it is at most ``MAX_LIVE`` long and is
-joined otherwise. Lines under a hash beyond ``CELL`` are dealt into cells, each
+frequent line or a template costs two rows per block; only live lines move as
+text. Their digests go to the tasks when there are at most ``MAX_LIVE``, and
+are joined otherwise. Lines under a hash beyond ``CELL`` are dealt into cells, each
 line visiting the cells of the others, so no task holds an unbounded group.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import fresh_name, stored, text_or_empty
+from basketry.llm.common import fresh_name, stored, text_or_empty, utf8_values
+from basketry.llm.textstats import BLANKS
 
 BUDGETS = [(20, 1), (100, 2)]  # (least length, edits allowed)
 BLOCK_CHARS = 1 << 23
-MAX_LIVE = 4_000_000  # most live hashes sent to the tasks (8 bytes each)
+MAX_LIVE = 4_000_000  # most digests of live lines sent to the tasks (8 bytes each)
 CELL = 2048  # lines compared with each other in one cell
 NO_ID = (1 << 63) - 1  # a null id counts as later than every id
 
@@ -80,10 +85,10 @@ def signatures(line: str) -> tuple[list[int], int]:
     if plan is None:
         if len(_PLANS) > 50_000:
             _PLANS.clear()
-        plan = _PLANS[len(line)] = signature_plan(len(line))
+        index, probe = signature_plan(len(line))
+        plan = _PLANS[len(line)] = [(4 * s, 4 * (s + n), seed) for s, n, seed in index + probe], len(index)
     raw, digest = line.encode("utf-32-le"), xxhash.xxh3_64_intdigest
-    index, probe = plan
-    return [digest(raw[4 * s : 4 * (s + n)], seed) for s, n, seed in index + probe], len(index)
+    return [digest(raw[a:b], seed) for a, b, seed in plan[0]], plan[1]
 
 
 def within(a: str, b: str, t: int) -> bool:
@@ -167,68 +172,113 @@ def _line_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, int]]:
         yield lines
 
 
-def live_signatures(texts: DataFrame) -> DataFrame:
-    """(sig): hashes under which different lines meet. ``texts`` has ``id`` and ``text``."""
+def _digest(line: str) -> int:
+    return xxhash.xxh64_intdigest(line.encode(), 42)
+
+
+def live_lines(texts: DataFrame) -> DataFrame:
+    """(line): digests of the lines that share a hash with another line. ``texts`` has ``id`` and ``text``.
+
+    Inside a block such lines are found at once; between blocks, from the
+    smallest and the largest digest per hash that each block sends.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lines in _line_blocks(batches):
             found = [signatures(line)[0] for line in lines]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             sig = np.fromiter((s for f in found for s in f), np.uint64, int(sizes.sum()))
-            line = np.fromiter((xxhash.xxh64_intdigest(x.encode(), 42) for x in lines), np.uint64, len(found))
-            line = np.repeat(line, sizes)
-            # of each hash only its smallest and largest line leave the block
-            order = np.lexsort((line, sig))
+            line = np.repeat(np.fromiter(map(_digest, lines), np.uint64, len(found)), sizes)
+            if not len(sig):
+                continue
+            order = np.argsort(sig)
             sig, line = sig[order], line[order]
-            new = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, bool)
-            last = np.concatenate((sig[1:] != sig[:-1], [True])) if len(sig) else new
-            keep = new | last
+            first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+            lo, hi = np.minimum.reduceat(line, first), np.maximum.reduceat(line, first)
+            met = lo != hi
+            among = np.unique(line[np.repeat(met, np.diff(np.append(first, len(sig))))])
+            # a line that met another in its own block needs no further proof: it goes on by itself
+            keys = np.concatenate((sig[first], sig[first][met], among))
+            values = np.concatenate((lo, hi[met], among))
+            sure = np.zeros(len(keys), bool)
+            sure[len(keys) - len(among) :] = True
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[keep].view(np.int64)), pa.array(line[keep].view(np.int64))], names=["sig", "line"]
+                [pa.array(keys.view(np.int64)), pa.array(values.view(np.int64)), pa.array(sure)], names=["sig", "line", "sure"]
             )
 
-    rows = texts.mapInArrow(run, "sig long, line long").repartition("sig")
-    return rows.groupBy("sig").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("sig")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by hash: the lines under a hash that more than one line has."""
+        left = [np.zeros(0, np.int64)] * 3
+        for b in batches:
+            rows = [np.concatenate((o, b.column(i).to_numpy(zero_copy_only=False))) for i, o in enumerate(left)]
+            # the last hash may go on in the next batch; its extremes say all about it
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            yield meeting([r[:cut] for r in rows])
+            tail = [r[cut:] for r in rows]
+            if len(tail[0]) > 4:
+                yield meeting(tail)
+                ends = [int(tail[1].argmin()), int(tail[1].argmax())]
+                tail = [t[ends] for t in tail]
+            left = tail
+        yield meeting(left)
+
+    def meeting(rows: list[np.ndarray]) -> pa.RecordBatch:
+        sig, line, sure = rows
+        if len(sig):
+            first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+            met = np.minimum.reduceat(line, first) != np.maximum.reduceat(line, first)
+            line = line[np.repeat(met, np.diff(np.append(first, len(sig)))) | sure.astype(bool)]
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(line))], names=["line"])
+
+    rows = texts.mapInArrow(run, "sig long, line long, sure boolean").repartition("sig").sortWithinPartitions("sig")
+    return rows.mapInArrow(meet, "line long").distinct()
 
 
 def _candidates(texts: DataFrame, live: DataFrame, seed: int, max_live: int) -> DataFrame:
-    """(sig, indexed, k1, k2, id, line) of every line with a live hash."""
+    """(sig, indexed, k1, k2, id, line) of every live line under each of its hashes."""
     spark = texts.sparkSession
-    listed = live.count() <= max_live
     shared = None
-    if listed:
+    if live.count() <= max_live:
         shared = spark.sparkContext.broadcast(np.sort(live.toArrow().column(0).to_numpy()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lines in _line_blocks(batches):
-            rows = []
-            for line, i in lines.items():
+            texts_here = list(lines)
+            k1 = np.fromiter(map(_digest, texts_here), np.uint64, len(texts_here)).view(np.int64)
+            if shared is not None:
+                known = shared.value
+                at = np.minimum(np.searchsorted(known, k1), max(len(known) - 1, 0))
+                hit = np.flatnonzero(known[at] == k1).tolist() if len(known) else []
+            else:
+                hit = range(len(k1))
+            for k in hit:
+                line = texts_here[k]
                 found, own = signatures(line)
-                sigs = np.array(found, np.uint64).view(np.int64)
-                if listed:
-                    known = shared.value
-                    at = np.searchsorted(known, sigs)
-                    hit = np.flatnonzero((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == sigs)) if len(known) else []
-                else:
-                    hit = range(len(sigs))
-                if len(hit):
-                    k1, k2 = _keys(line, seed)
-                    once: dict[int, bool] = {}
-                    for h in hit:  # index hashes come first
-                        once.setdefault(int(sigs[h]), bool(h < own))
-                    rows += [(s, x, k1, k2, i, line) for s, x in once.items()]
-                if len(rows) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_CANDIDATE)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_CANDIDATE)
+                once: dict[int, bool] = {}
+                for h, s in enumerate(found):  # index hashes come first
+                    once.setdefault(s, h < own)
+                yield line, lines[line], list(once), list(once.values())
 
-    rows = texts.mapInArrow(run, "sig long, indexed boolean, k1 long, k2 long, id long, line string")
-    return rows if listed else rows.join(live, "sig", "left_semi")
-
-
-_CANDIDATE = ["sig", "indexed", "k1", "k2", "id", "line"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for line, i, sigs, indexed in emit(batches):
+            rows.append((np.array(sigs, np.uint64).view(np.int64).tolist(), indexed, *_keys(line, seed), i, line))
+            size += len(line)
+            if size > 1 << 20:
+                yield batch(rows)
+                rows, size = [], 0
+        if rows:
+            yield batch(rows)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        names = ["sigs", "indexed", "k1", "k2", "id", "line"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    rows = texts.mapInArrow(run, "sigs array<long>, indexed array<boolean>, k1 long, k2 long, id long, line string")
+    if shared is None:
+        rows = rows.join(live.withColumnRenamed("line", "k1"), "k1", "left_semi")
+    return rows
 
 
 def _histograms(lines: list[str]) -> np.ndarray:
@@ -240,94 +290,140 @@ def _histograms(lines: list[str]) -> np.ndarray:
 
 
 class _Cell:
-    """The indexed lines of one cell, and the links found with them."""
+    """The indexed lines of one cell in order; every line that has an earlier partner there is found once."""
 
     def __init__(self, cell: tuple[int, int]):
-        self.cell, self.rows, self.seen = cell, [], set()
-        self.counts = np.zeros((0, 64), np.int32)
-        self.visitor = None
-
-    def compare(self, native: list[tuple], visitors: list[tuple]) -> list[tuple]:
-        """Links of new natives among all natives, then of visitors with all natives."""
-        links = []
-        fresh = []
-        for r in native:
-            if r[:2] not in self.seen:
-                self.seen.add(r[:2])
-                fresh.append(r)
-        if fresh:
-            before = len(self.rows)
-            self.rows += fresh
-            if len(self.rows) > 2:
-                self.counts = np.concatenate((self.counts, _histograms([r[3] for r in self.rows[len(self.counts) :]])))
-            for k, r in enumerate(fresh):
-                links += self._near(r, before + k)
-        for r in visitors:
-            # rows of one line follow each other, its smallest id first
-            if r[:2] not in self.seen and r[:2] != self.visitor:
-                self.visitor = r[:2]
-                links += self._near(r, len(self.rows))
-        return links
-
-    def _near(self, row: tuple, upto: int) -> list[tuple]:
-        if not upto:
+        self.cell = cell
+        self.rows: list[tuple] = []  # (id, k1, k2, line), in order once closed
+        self.closed = False
+        self.last = None
+
+    def add(self, row: tuple) -> None:
+        if row[1:3] != self.last:  # rows of one line follow each other, its smallest id first
+            self.last = row[1:3]
+            self.rows.append(row)
+
+    def close(self) -> list[tuple]:
+        """Compare the indexed lines with each other."""
+        if self.closed:
+            return []
+        self.closed, self.last, found = True, None, []
+        self.rows.sort()
+        self.keys = [r[:3] for r in self.rows]
+        self.flagged = np.zeros(len(self.rows), bool)
+        self.counts = _histograms([r[3] for r in self.rows]) if len(self.rows) > 2 else None
+        for i in range(1, len(self.rows)):
+            found += self._earlier(self.rows[i], i, i)
+        return found
+
+    def visit(self, row: tuple) -> list[tuple]:
+        """A line that the cell does not own: its earlier partner here, and later lines whose partner it is."""
+        if row[1:3] == self.last or not self.rows:
             return []
-        line, out = row[3], []
-        if upto > 2:
-            gap = np.abs(self.counts[:upto] - _histograms([line])[0]).sum(axis=1)
-            others = [self.rows[i] for i in np.flatnonzero(gap <= 2 * max(t for _, t in BUDGETS))]
-        else:
-            others = self.rows[:upto]
-        for other in others:
-            if within(line, other[3], edits_allowed(min(len(line), len(other[3])))):
-                first, later = sorted((row, other), key=lambda r: (r[2], r[0], r[1]))
-                out.append((later[0], later[1], first[0], first[1]))
-        return out
+        self.last = row[1:3]
+        at = bisect_left(self.keys, row[:3])
+        if at < len(self.keys) and self.keys[at] == row[:3]:
+            return []
+        found = self._earlier(row, at, None)
+        for i in self._possible(row[3], at, len(self.rows)):
+            if not self.flagged[i] and self._near(row[3], self.rows[i][3]):
+                self.flagged[i] = True
+                found.append((*self.rows[i][1:3], *row[1:3]))
+        return found
+
+    def _earlier(self, row: tuple, upto: int, own: int | None) -> list[tuple]:
+        for i in self._possible(row[3], 0, upto):
+            if self._near(row[3], self.rows[i][3]):
+                if own is not None:
+                    self.flagged[own] = True
+                return [(*row[1:3], *self.rows[i][1:3])]
+        return []
+
+    def _possible(self, line: str, lo: int, hi: int):
+        if self.counts is None or hi - lo < 3:
+            return range(lo, hi)
+        gap = np.abs(self.counts[lo:hi] - _histograms([line])[0]).sum(axis=1)
+        return (np.flatnonzero(gap <= 2 * max(t for _, t in BUDGETS)) + lo).tolist()
+
+    @staticmethod
+    def _near(a: str, b: str) -> bool:
+        return a != b and within(a, b, edits_allowed(min(len(a), len(b))))
 
 
 def near_links(texts: DataFrame, max_live: int = MAX_LIVE, cell: int = CELL) -> DataFrame:
-    """(k1, k2, keep1, keep2): digests of a line and of an earlier one within its edit budget."""
+    """(k1, k2, keep1, keep2): digests of a line and of an earlier one within its edit budget.
+
+    Every line that has an earlier line within its budget is listed, with at
+    least one such line.
+    """
     seed = _seed_two(texts.sparkSession)
-    live = stored(live_signatures(texts), "lines-live")
-    rows = stored(_candidates(texts, live, seed, max_live), "lines-candidates")
-    hot = stored(
-        rows.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > cell).select(
-            "sig", F.ceil(F.col("n") / F.lit(cell)).cast("int").alias("cells")
-        ),
-        "lines-hot",
+    live = stored(live_lines(texts), "lines-live")
+    lines = stored(_candidates(texts, live, seed, max_live), "lines-candidates")
+    pairs = F.explode(F.arrays_zip(F.col("sigs").alias("sig"), F.col("indexed").alias("indexed")))
+    counts = lines.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count("*").alias("n"))
+    # hashes of a single row have no partner; large ones are dealt into cells
+    wide = stored(
+        counts.where("n > 1").select("sig", F.ceil(F.col("n") / F.lit(cell)).cast("int").alias("cells")), "lines-hashes"
     )
-    dealt = rows.join(hot, "sig", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
-    dealt = dealt.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select(
+    rows = lines.select(pairs.alias("p"), "k1", "k2", "id", "line").select("p.*", "k1", "k2", "id", "line")
+    dealt = rows.join(wide, "sig").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select(
         "sig",
         "cell",
         (F.col("indexed") & (F.col("cell") == F.pmod("k1", "cells"))).alias("native"),
+        "id",
         "k1",
         "k2",
-        "id",
         "line",
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = _Cell((0, -1))
+        """Rows come sorted by hash and cell, the cell's own lines first."""
+        now, links = _Cell((0, -1)), set()
+
+        def batch() -> pa.RecordBatch:
+            columns = list(zip(*links)) if links else [[], [], [], []]
+            links.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "keep1", "keep2"])
+
         for b in batches:
-            at = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-            native = b.column(2).to_pylist()
-            rows = list(zip(*(b.column(i).to_pylist() for i in range(3, 7))))
-            links, lo = [], 0
-            for hi in range(1, len(at) + 1):
-                if hi == len(at) or at[hi] != at[lo]:
-                    if at[lo] != now.cell:
-                        now = _Cell(at[lo])
-                    own = [r for r, n in zip(rows[lo:hi], native[lo:hi]) if n]
-                    links += now.compare(own, [r for r, n in zip(rows[lo:hi], native[lo:hi]) if not n])
-                    lo = hi
-            columns = list(zip(*set(links))) if links else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "keep1", "keep2"])
+            for sig, place, native, *row in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if (sig, place) != now.cell:
+                    links.update(now.close())
+                    now = _Cell((sig, place))
+                if native:
+                    now.add(tuple(row))
+                else:
+                    links.update(now.close())
+                    links.update(now.visit(tuple(row)))
+            yield batch()
+        links.update(now.close())
+        yield batch()
 
     ordered = dealt.repartition("sig", "cell").sortWithinPartitions("sig", "cell", F.col("native").desc(), "k1", "k2", "id")
     return ordered.mapInArrow(verify, "k1 long, k2 long, keep1 long, keep2 long").distinct()
 
 
+def line_places(texts: DataFrame) -> DataFrame:
+    """(id, k1, k2): digests of the lines with a word, once per row of ``texts``."""
+    seed = _seed_two(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for b in batches:
+            ids, one, two = [], [], []
+            for i, text in zip(b.column(0).to_pylist(), utf8_values(b.column(1))):
+                lines = [x for x in dict.fromkeys(text.split(b"\n")) if x.strip(BLANKS)]
+                ids += [i] * len(lines)
+                one += [digest(x, 42) for x in lines]
+                two += [digest(x, seed) for x in lines]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), *(pa.array(np.array(k, np.uint64).view(np.int64)) for k in (one, two))],
+                names=["id", "k1", "k2"],
+            )
+
+    return texts.mapInArrow(run, "id long, k1 long, k2 long")
+
+
 def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -349,9 +445,7 @@ def dedup_lines(
     order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
     texts = docs.select(order.alias("id"), text_or_empty(text_col).alias("text"))
     near = stored(near_links(texts, max_live, cell), "lines-near")
-    line = F.explode(F.split("text", "\n"))
-    places = texts.select("id", line.alias("line")).where(F.translate("line", " \t\n\x0b\x0c\r", "") != "")
-    places = places.select("id", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), F.col("line")).alias("k2"))
+    places = stored(line_places(texts), "lines-places")
     exact = places.groupBy("k1", "k2").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner <> last")
     losers = near.select("k1", "k2", F.lit(True).alias("near")).distinct()
     gone = stored(exact.select("k1", "k2", "owner").join(losers, ["k1", "k2"], "full"), "lines-gone")
@@ -373,8 +467,13 @@ def dedup_lines(
             texts_out, counts = [], []
             for text, lost_here in zip(b.column(at).to_pylist(), b.column(len(keep)).to_pylist()):
                 gone_here = {(d["k1"], d["k2"]): d["near"] for d in lost_here or ()}
+                lines = (text or "").split("\n")
+                if not gone_here and len(set(lines)) == len(lines):
+                    texts_out.append(text)
+                    counts.append({"n_lines": sum(map(has_word, lines)), "n_exact": 0, "n_near": 0})
+                    continue
                 kept, seen, n = [], set(), {"n_lines": 0, "n_exact": 0, "n_near": 0}
-                for x in (text or "").split("\n"):
+                for x in lines:
                     if has_word(x):
                         n["n_lines"] += 1
                         why = gone_here.get(_keys(x, seed)) if gone_here else None
