@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, pieces, rule_ensemble, simhash, token_counts, url_templates
+from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, oracles, pieces, rule_ensemble, simhash, token_counts, url_templates
 from basketry.llm.common import crc_bucket, table
 from basketry.session import ensure_checkpoint_dir
 
@@ -112,4 +112,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries tokenise, hash or match edits, which SQL cannot; tests hold them against brute force."""
+    return {"op8_chat_windows": oracles.CHAT, "op10_url_filter": oracles.url_sql(URL_RULES)}
