@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import text_or_empty
+from basketry.llm.common import stored, text_or_empty
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 BATCH_CHARS = 1 << 22  # texts handed to the tokenizer at once
@@ -119,6 +119,8 @@ def count_tokens(
         digest.alias("digest"),
         F.octet_length(text_or_empty(text_col)).cast("long").alias("n_bytes"),
     )
-    return keyed.join(cached_counts(spark, cache, version), "digest").select(
+    # a table of its own: the join then meets plain rows on both sides, so the copies of one text can be split
+    counts = stored(cached_counts(spark, cache, version), "token-counts")
+    return keyed.join(counts, "digest").select(
         id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
