@@ -8,8 +8,8 @@ weights) follows from them in grouped aggregations.
 
 The finished model is one sorted array of hashes per order with a matrix of
 log-probabilities (one column per language) beside it. Hashes have ``BITS``
-bits, so an order has at most 2^BITS entries whatever the corpus: that bounds
-what is sent to the executors. A word's cost is the sum over its characters;
+bits, so an order has at most 2^BITS entries (8 bytes each) per language
+whatever the corpus: that bounds what is sent to the executors. A word's cost is the sum over its characters;
 the language with the lowest cross-entropy per character wins, and a text whose
 cross-entropy lies beyond what training texts of that language show is marked
 ``rejected``.
@@ -43,7 +43,11 @@ COST_CLASS = 8  # rejection limits are per power of two of the length, up to thi
 
 
 def words_of(text: str) -> list[str]:
-    return WORDS(text.lower())
+    """Lower-cased runs of letters (numbers such as one half count as word characters to ``re``, not as letters)."""
+    found = WORDS(text.lower())
+    if text.isascii():
+        return found
+    return [w for x in found if (w := x if x.isalpha() else "".join(filter(str.isalpha, x)))]
 
 
 def codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -17,6 +17,10 @@ def test_op5_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_words():
+    assert langid.words_of("The x²y ½ 12 _a Éa") == ["the", "xy", "a", "éa"] and langid.words_of("½ ² 3") == []
+
+
 def test_counts_against_brute_force(spark):
     rows = [("en", "The the, cat\nx9y"), ("en", "cat"), ("de", "ß Über")]
     got = {(r.lang, r.g): r.n for r in langid.count_sequences(spark.createDataFrame(rows, "lang string, text string")).collect()}
