@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import fresh_name, stored, text_or_empty
+from basketry.llm.common import fresh_name, slices, stored, text_or_empty
 from basketry.llm.textstats import base_statistics, script
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -33,6 +33,8 @@ FIGURES = ["chars_per_token", "byte_share", "entropy"]  # in thousandths
 STATS = "struct<" + ",".join(f"{c}:bigint" for c in [*BASE, "n_tokens", *FIGURES]) + ",script:string>"
 BATCH_CHARS = 1 << 22
 MIN_GROUP = 40  # a group with fewer texts sets no band of its own
+MAX_BANDS = 20_000  # most rows of the bands table that are sent to the tasks (about 2 MB)
+SALTS = 64  # pieces that a group falls into when the bands are joined instead
 
 
 @lru_cache(maxsize=2)
@@ -75,7 +77,7 @@ def add_statistics(docs: DataFrame, model: str, text_col: str = "text", out: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([*[(c, pa.int64()) for c in [*BASE, "n_tokens", *FIGURES]], ("script", pa.string())])
-        for b in batches:
+        for b in slices(batches):
             rows, some, size = [], [], 0
             for t in b.column(len(keep)).to_pylist():
                 some.append(t)
@@ -112,6 +114,7 @@ def judge(
     min_words: int = 20,
     max_repeat_pct: int = 30,
     min_group: int = MIN_GROUP,
+    max_bands: int = MAX_BANDS,
     out: tuple[str, str] = ("base_failed", "kept"),
 ) -> DataFrame:
     """``measured`` plus ``base_failed`` and ``kept``, named by ``out`` (columns of these names are replaced).
@@ -121,7 +124,8 @@ def judge(
     ``base_failed``, and no figure outside its band; characters per token and
     entropy are held on both sides and below respectively, the byte share
     above. A text without tokens, or of a group too small for a band, is
-    judged by the base rules alone. ``measured`` is read twice (bands, then
+    judged by the base rules alone. The bands go to the tasks when they have at
+    most ``max_bands`` rows, and are joined on salted groups otherwise. ``measured`` is read twice (bands, then
     verdicts): store it first.
     """
     has_lang = lang_col is not None and lang_col.lower() in [c.lower() for c in measured.columns]
@@ -149,9 +153,15 @@ def judge(
         | above("byte_share", 5, spread)
     )
     base = (s("n_words") < min_words) | (100 * s("n_repeat_words") > max_repeat_pct * s("n_words"))
-    joined = measured.select(
-        *[F.col(f"`{c}`") for c in keep], group.alias(g), _class(s("n_tokens")).alias(k)
-    ).join(limits, [g, k], "left")
+    rows = measured.select(*[F.col(f"`{c}`") for c in keep], group.alias(g), _class(s("n_tokens")).alias(k))
+    limits = stored(limits, "fertility-bands")
+    if limits.count() <= max_bands:
+        joined = rows.join(F.broadcast(limits), [g, k], "left")
+    else:  # a few groups hold most rows: each is dealt into pieces, and its band copied to them
+        salt = fresh_name([*keep, g, k, *q.values()], "_salt")
+        piece = F.pmod(F.xxhash64(*[s(c) for c in FIGURES], s("n_words")), F.lit(SALTS)).cast("int")
+        copies = limits.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn(salt, piece).join(copies, [g, k, salt], "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in keep],
         base.alias(out[0]),

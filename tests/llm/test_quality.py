@@ -67,6 +67,12 @@ def test_bands_against_numpy(spark, model):
         assert (g.kept == (~g.base_failed & ~bad)).all()
 
 
+def test_bands_joined_on_salted_groups(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    a, b = ({r.doc_id: r.kept for r in fertility.quality_rules(docs, model, min_group=3, max_bands=n).collect()} for n in (20_000, 0))
+    assert a == b and len(a) == docs.count()
+
+
 def test_scripts():
     assert [textstats.script(t) for t in ("", "12", "abc", "привет a", "日本の日本", "éa")] == [
         "common", "common", "latin", "cyrillic", "han", "latin"
