@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,3 +63,10 @@ def with_columns(batch: pa.RecordBatch, extra: dict[str, pa.Array]) -> pa.Record
     return pa.RecordBatch.from_arrays(
         [*batch.columns, *extra.values()], names=[*batch.schema.names, *extra]
     )
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that few texts are Python objects at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

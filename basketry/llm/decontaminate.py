@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import fresh_name, text_or_empty
+from basketry.llm.common import fresh_name, slices, text_or_empty
 
 RATE = 0.08  # edits allowed per character of an item
 BLOCK_CHARS = 8_000_000  # most characters of items matched in one pass
@@ -175,7 +175,7 @@ def _match_block(docs: DataFrame, shared, keep: list[str], text_col: str, out: s
         block, rate = shared.value
         matcher = Matcher(list(enumerate(t for _, t in block)), rate)
         arrow = pa.list_(pa.struct([("item", pa.int64()), ("distance", pa.int32())]))
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for t in b.column(width).to_pylist():
                 best: dict[int, int] = {}

@@ -37,11 +37,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import fresh_name, stored, text_or_empty, utf8_values
+from basketry.llm.common import fresh_name, slices, stored, text_or_empty, utf8_values
 from basketry.llm.textstats import BLANKS
 
 BUDGETS = [(20, 1), (100, 2)]  # (least length, edits allowed)
-BLOCK_CHARS = 1 << 23
+BLOCK_CHARS = 1 << 22
 MAX_LIVE = 4_000_000  # most digests of live lines sent to the tasks (8 bytes each)
 CELL = 2048  # lines compared with each other in one cell
 NO_ID = (1 << 63) - 1  # a null id counts as later than every id
@@ -159,7 +159,7 @@ def _line_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, int]]:
     least = min(n for n, _ in BUDGETS) - max(t for _, t in BUDGETS)
     lines: dict[str, int] = {}
     size = 0
-    for b in batches:
+    for b in slices(batches):
         for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             for line in text.split("\n"):
                 if len(line) >= least and has_word(line) and lines.get(line, NO_ID + 1) > i:
@@ -409,7 +409,7 @@ def line_places(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
-        for b in batches:
+        for b in slices(batches):
             ids, one, two = [], [], []
             for i, text in zip(b.column(0).to_pylist(), utf8_values(b.column(1))):
                 lines = [x for x in dict.fromkeys(text.split(b"\n")) if x.strip(BLANKS)]
@@ -463,7 +463,7 @@ def dedup_lines(
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([(c, pa.int64()) for c in ("n_lines", "n_exact", "n_near")])
-        for b in batches:
+        for b in slices(batches):
             texts_out, counts = [], []
             for text, lost_here in zip(b.column(at).to_pylist(), b.column(len(keep)).to_pylist()):
                 gone_here = {(d["k1"], d["k2"]): d["near"] for d in lost_here or ()}

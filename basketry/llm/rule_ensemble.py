@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import fresh_name, stored, text_or_empty, utf8_values
+from basketry.llm.common import fresh_name, slices, stored, text_or_empty, utf8_values
 from basketry.llm.textstats import BLANKS, SYMBOLS, base_statistics
 
 FEATURES = [
@@ -73,7 +73,7 @@ def add_features(docs: DataFrame, keep: list[str], text_col: str = "text", out:
     schema = given.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.lit(None).cast("array<double>")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = [features(t) for t in utf8_values(b.column(len(keep)))]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[: len(keep)], pa.array(rows, pa.list_(pa.float64()))], names=[*keep, out]

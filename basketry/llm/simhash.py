@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import fresh_name, stored, text_or_empty, utf8_values
+from basketry.llm.common import fresh_name, slices, stored, text_or_empty, utf8_values
 from basketry.llm.components import connected_components
 
 LEAF = 4096  # natives compared in one block
@@ -67,7 +67,7 @@ def add_fingerprints(
     text = fresh_name(keep, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in utf8_values(b.column(len(keep)))], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[: len(keep)], pa.array(fps.view(np.int64))], names=[*keep, out]
