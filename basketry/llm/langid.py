@@ -28,15 +28,15 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import stored, text_or_empty
+from basketry.llm.common import slices, stored, text_or_empty
 
 ORDER = 4
 BITS = 22
 PAD, STOP = 2, 3  # control characters that no word holds
-BATCH_CHARS = 1 << 24
+BATCH_CHARS = 1 << 23
 WORDS = re.compile(r"[^\W\d_]+").findall  # runs of letters
 UNKNOWN = "und"
 COST_CLASS = 8  # rejection limits are per power of two of the length, up to this one
@@ -69,16 +69,23 @@ def grams(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slot(keys: np.ndarray) -> np.ndarray:
-    """``BITS``-bit hash of packed codes."""
-    x = keys * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    return (x >> np.uint64(64 - BITS)).astype(np.uint32)
+    """``BITS``-bit hash of packed codes: the upper bits of Spark's ``xxhash64`` of a long."""
+    # The five primes of XXH64; 42 is the seed of the SQL function.
+    p1, p2, p3, p4, p5 = (
+        np.uint64(x)
+        for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+    )
+    turn = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+    h = (np.uint64(42) + p5 + np.uint64(8)) ^ (turn(keys * p2, 31) * p1)
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return ((h ^ (h >> np.uint64(32))) >> np.uint64(64 - BITS)).astype(np.uint32)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[list[list], list[str]]]:
     others, texts, size = [[] for _ in range(width)], [], 0
-    for b in batches:
+    for b in slices(batches):
         given = [b.column(i).to_pylist() for i in range(width)]
         for k, t in enumerate(b.column(width).to_pylist()):
             for o, g in zip(others, given):
@@ -122,39 +129,55 @@ def count_sequences(train: DataFrame) -> DataFrame:
     return train.select("lang", "text").mapInArrow(run, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
 
 
+MODEL_ROW = "lang string, k int, g long, kind string, value double"
+SMALL = 500_000  # most rows (16 bytes each) of lower-order probabilities sent to the tasks; more are joined by key
+
+
 def model_rows(counts: DataFrame) -> DataFrame:
-    """(lang, k, g, kind, value): natural-log probabilities (``p``) and back-off weights (``b``) of every order."""
+    """Natural-log probabilities (``p``) and back-off weights (``b``) of every order, as ``MODEL_ROW``."""
+    spark = counts.sparkSession
     levels = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):
         # continuation counts: how many different characters come before the sequence
         tail = F.col("g").bitwiseAND(F.lit((1 << 16 * k) - 1))
         levels[k] = stored(levels[k + 1].groupBy("lang", tail.alias("g")).agg(F.count("*").alias("n")), f"langid-{k}")
-    lower, out = None, None
+    every = None
+    for k, level in levels.items():
+        own = level.select(F.lit(k).alias("k"), "lang", "n")
+        every = own if every is None else every.union(own)
+    n1, n2 = (F.count_if(F.col("n") == i) for i in (1, 2))
+    # the usual estimate of the discount, kept inside (0, 1) where counts of one or two are missing:
+    # one number per language and order
+    cut = F.least(F.greatest(F.coalesce(F.try_divide(n1, n1 + 2 * n2), F.lit(0.5)), F.lit(0.1)), F.lit(0.9))
+    cuts = every.groupBy("k", "lang").agg(cut.alias("d")).collect()
+    if not cuts:
+        return spark.createDataFrame([], MODEL_ROW)
     symbols = levels[1].select("g").distinct().count()
+    floor = [(lang, 0, 0, "p", float(-np.log(symbols + 1))) for lang in sorted({r.lang for r in cuts})]
+    lower, out = None, spark.createDataFrame(floor, MODEL_ROW)
     for k in range(1, ORDER + 1):
-        c = levels[k].withColumn("h", F.shiftrightunsigned("g", 16) if k > 1 else F.lit(0).cast("long"))
-        n1, n2 = (F.sum(F.when(F.col("n") == i, 1).otherwise(0)) for i in (1, 2))
-        # the usual estimate of the discount, kept inside (0, 1) where counts of one or two are missing
-        cut = F.coalesce(F.try_divide(n1, n1 + 2 * n2), F.lit(0.5))
-        cuts = levels[k].groupBy("lang").agg(F.least(F.greatest(cut, F.lit(0.1)), F.lit(0.9)).alias("d"))
-        heads = c.groupBy("lang", "h").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).join(cuts, "lang")
-        heads = heads.withColumn("back", F.col("d") * F.col("kinds") / F.col("total"))
-        joined = c.join(heads, ["lang", "h"])
+        d = F.element_at(F.create_map(*[F.lit(x) for r in cuts if r.k == k for x in (r.lang, r.d)]), F.col("lang"))
+        head = F.shiftrightunsigned("g", 16) if k > 1 else F.lit(0).cast("long")
+        same = Window.partitionBy("lang", "h")  # the characters after one context: at most 65,536 rows
+        c = levels[k].withColumn("h", head).withColumns(
+            {
+                "total": F.sum("n").over(same),
+                "kinds": F.count("*").over(same),
+                "first": F.row_number().over(same.orderBy("g")) == 1,
+            }
+        )
         if k == 1:
-            joined = joined.withColumn("low", F.lit(1.0 / (symbols + 1)))
+            c = c.withColumn("low", F.lit(1.0 / (symbols + 1)))
         else:
             tail = F.col("g").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1))
-            joined = joined.withColumn("t", tail).join(lower, ["lang", "t"])
-        p = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("back") * F.col("low")
-        probs = stored(joined.select("lang", "g", p.alias("p")), f"langid-p{k}")
+            c = c.withColumn("t", tail).join(F.broadcast(lower) if lower.count() <= SMALL else lower, ["lang", "t"])
+        back = d * F.col("kinds") / F.col("total")
+        p = F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total") + back * F.col("low")
+        probs = stored(c.select("lang", "g", "h", "first", p.alias("p"), back.alias("back")), f"langid-p{k}")
         lower = probs.select("lang", F.col("g").alias("t"), F.col("p").alias("low"))
-        own = probs.select("lang", F.lit(k).alias("k"), "g", F.lit("p").alias("kind"), F.log("p").alias("value")).union(
-            heads.select("lang", F.lit(k), F.col("h"), F.lit("b"), F.log("back"))
-        )
-        out = own if out is None else out.union(own)
-    return out.union(
-        counts.select("lang").distinct().select("lang", F.lit(0), F.lit(0).cast("long"), F.lit("p"), F.lit(float(-np.log(symbols + 1))))
-    )
+        out = out.union(probs.select("lang", F.lit(k), "g", F.lit("p"), F.log("p")))
+        out = out.union(probs.where("first").select("lang", F.lit(k), "h", F.lit("b"), F.log("back")))
+    return out
 
 
 @dataclass
@@ -178,36 +201,30 @@ class Models:
 
     def word_costs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(negative log-probability of each word in each language, characters predicted)."""
+        parts = [self._some_costs(words[at : at + 32_768]) for at in range(0, len(words), 32_768)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _some_costs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         c, sizes = codes(words)
         key, _ = grams(c)
         distinct, which = np.unique(key, return_inverse=True)
-        logp = np.empty((len(distinct), len(self.langs)), np.float32)
-        for at in range(0, len(distinct), 1 << 18):
-            k = distinct[at : at + (1 << 18)]
-            lp = np.broadcast_to(self.floor, (len(k), len(self.langs)))
-            for order in range(1, ORDER + 1):
-                own = self._look(self.p[order], k & np.uint64((1 << 16 * order) - 1))
-                head = (k & np.uint64((1 << 16 * order) - 1)) >> np.uint64(16)
-                weight = np.nan_to_num(self._look(self.back[order], head), nan=0.0)  # unseen context: the lower order as it is
-                lp = np.where(np.isnan(own), lp + weight, own)
-            logp[at : at + (1 << 18)] = lp
+        lp = np.broadcast_to(self.floor, (len(distinct), len(self.langs)))
+        for order in range(1, ORDER + 1):
+            part = distinct & np.uint64((1 << 16 * order) - 1)
+            own = self._look(self.p[order], part)
+            # an unseen context leaves the lower order as it is
+            weight = np.nan_to_num(self._look(self.back[order], part >> np.uint64(16)), nan=0.0)
+            lp = np.where(np.isnan(own), lp + weight, own)
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        return -np.add.reduceat(logp[which].astype(np.float64), starts, axis=0), sizes
+        return -np.add.reduceat(lp[which].astype(np.float64), starts, axis=0), sizes
 
 
 def collect_models(rows: DataFrame) -> Models:
     """Sorted arrays of the model; entries whose hashes meet share the larger value."""
 
-    def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = slot(b.column(2).to_numpy(zero_copy_only=False).view(np.uint64)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(3), pa.array(s), b.column(4)], names=["lang", "k", "kind", "slot", "value"]
-            )
-
-    slotted = rows.mapInArrow(to_slots, "lang string, k int, kind string, slot long, value double")
+    place = F.shiftrightunsigned(F.xxhash64("g"), 64 - BITS).alias("slot")
     # at most 2^BITS slots per language, order and kind reach the driver
-    found = slotted.groupBy("lang", "k", "kind", "slot").agg(F.max("value").cast("float").alias("value")).toArrow()
+    found = rows.groupBy("lang", "k", "kind", place).agg(F.max("value").cast("float").alias("value")).toArrow()
     langs = sorted(set(found.column("lang").to_pylist()))
     lang = np.searchsorted(langs, np.array(found.column("lang").to_pylist(), dtype=object)) if langs else np.zeros(0, int)
     k, s, v = (found.column(c).to_numpy() for c in ("k", "slot", "value"))

@@ -17,6 +17,12 @@ def test_op5_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_slots_are_sparks(spark):
+    g = np.array([0, 1, 7, 2**40 + 5, 2**63 - 1, -3], np.int64)
+    df = spark.createDataFrame([(int(x),) for x in g], "g long").select(F.shiftrightunsigned(F.xxhash64("g"), 64 - langid.BITS).alias("s"))
+    assert [r.s for r in df.collect()] == langid.slot(g.view(np.uint64)).tolist()
+
+
 def test_words():
     assert langid.words_of("The x²y ½ 12 _a Éa") == ["the", "xy", "a", "éa"] and langid.words_of("½ ² 3") == []
 
