@@ -149,7 +149,7 @@ def iqr_outliers_by_table(frames: Mapping[str, DataFrame], factor: float = IQR_F
 
 def _iqr_from_long(long: DataFrame, keys: list[str], factor: float) -> DataFrame:
     counts = materialize(value_counts(long, keys, "value"))  # the only read of the sources
-    placed = materialize(running_counts(counts.where(F.col("value").isNotNull()), keys))
+    placed = running_counts(counts.where(F.col("value").isNotNull()), keys)
     q1, q3 = F.col("q_0"), F.col("q_1")
     stats = quantiles_of_counts(placed, keys, [0.25, 0.75]).select(
         *keys,

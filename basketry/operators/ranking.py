@@ -157,7 +157,6 @@ def tercile_scores_many(
         F.explode(F.array(*[F.struct(F.lit(i).alias("m"), c.alias("value")) for i, c in enumerate(measures)])).alias("_x"),
     ).select("_tie", "_x.*").where("value is not null")
     counts = running_counts(value_counts(long, ["m"], "value"), ["m"])
-    counts = materialize(counts)
     totals = counts.groupBy("m").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
     # first position of code 1 and of code 2: the smallest k with 3k >= n-1, and with 3k >= 2(n-1)
     edges = totals.where("kinds > 1").select(
