@@ -130,7 +130,7 @@ def count_sequences(train: DataFrame) -> DataFrame:
 
 
 MODEL_ROW = "lang string, k int, g long, kind string, value double"
-SMALL = 500_000  # most rows (16 bytes each) of lower-order probabilities sent to the tasks; more are joined by key
+SMALL = 500_000  # most rows of a lookup table sent to the tasks (up to 40 bytes each); more are joined by key
 
 
 def model_rows(counts: DataFrame) -> DataFrame:
@@ -316,6 +316,9 @@ def identify(
         .groupBy("lang_pred", "size")
         .agg((F.percentile("cost_milli", 0.999) * margin).alias("limit"))
     )
+    # one row per language and length class: a known, small number
+    if len(models.langs) * (COST_CLASS + 1) <= SMALL:
+        limits = F.broadcast(limits)
     return scored.join(limits, ["lang_pred", "size"], "left").select(
         F.col("id").alias(id_col),
         "lang_pred",
