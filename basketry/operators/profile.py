@@ -69,6 +69,7 @@ def column_profile(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> Da
         for i, (c, t) in enumerate(clean.dtypes)
     ]
     long = clean.select(*texts).unpivot([], [str(i) for i in range(len(fields))], "position", "value")
+    long = long.withColumn("position", F.col("position").cast("int"))
     if approx:
         counts = long.groupBy("position").agg(
             F.count("value").alias("non_null"),
@@ -85,7 +86,6 @@ def column_profile(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> Da
         [(i, f.name, f.dataType.simpleString(), f.name in numeric) for i, f in enumerate(fields)],
         "position int, column_name string, data_type string, is_numeric boolean",
     )
-    counts = counts.withColumn("position", F.col("position").cast("int"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return about.join(counts, "position", "left").select(
         *about.columns, zero("non_null"), zero("nulls"), zero("distinct_values")
