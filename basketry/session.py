@@ -100,7 +100,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 _WRITTEN: list[str] = []
 
 
-def materialize(df):
+def materialize(df, name: str = "basketry"):
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Used where a derived table feeds several passes: each pass then reads the
@@ -112,7 +112,7 @@ def materialize(df):
     folder = ensure_checkpoint_dir(spark)
     if not folder:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/object store)")
-    path = f"{folder.rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
