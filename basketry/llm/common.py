@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,20 +9,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import materialize
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+    """``df`` written once into the shared checkpoint folder and read back (see :func:`materialize`).
 
     Cuts the lineage: a lost executor costs a re-read of shared files, never a
     second run of the upstream plan, and later readers see a table of known
-    size. The folder is the one the cluster names in ``spark.checkpoint.dir``.
+    size. ``basketry.session.remove_materialized`` deletes the folders.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
