@@ -31,7 +31,7 @@ from basketry.llm.textstats import base_statistics, script
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FIGURES = ["chars_per_token", "byte_share", "entropy"]  # in thousandths
 STATS = "struct<" + ",".join(f"{c}:bigint" for c in [*BASE, "n_tokens", *FIGURES]) + ",script:string>"
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 20
 MIN_GROUP = 40  # a group with fewer texts sets no band of its own
 MAX_BANDS = 20_000  # most rows of the bands table that are sent to the tasks (about 2 MB)
 SALTS = 64  # pieces that a group falls into when the bands are joined instead

@@ -36,7 +36,7 @@ from basketry.llm.common import text_or_empty
 
 MARK = "▁"
 BLOCK_CHARS = 1 << 23  # most characters of text in a block, but for a single longer text
-RANGE_BYTES = 1 << 24  # chunk bytes that one hash range is meant to hold
+STEP = 20_000  # chunks handed to the library at once
 
 
 class Model:
@@ -66,7 +66,10 @@ class Model:
 
     def decode_inner(self, ids: list[list[int]]) -> list[str]:
         """Text of each chunk as it is decoded inside a longer text."""
-        return [t[1:] for t in self.sp.decode([self.break_ids + i for i in ids])]
+        out: list[str] = []
+        for at in range(0, len(ids), STEP):
+            out += [t[1:] for t in self.sp.decode([self.break_ids + i for i in ids[at : at + STEP]])]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -194,8 +197,8 @@ def encode_documents(
             b = b.filter(pa.compute.greater_equal(b.column(0), 0))
             payloads = [_split(spread(p)) for p in b.column(2).to_pylist()]
             new = list(dict.fromkeys(c for p in payloads for c in p if c not in known))
-            for at in range(0, len(new), 100_000):
-                some = new[at : at + 100_000]
+            for at in range(0, len(new), STEP):
+                some = new[at : at + STEP]
                 for c, found in zip(some, m.segment([c.decode() for c in some])):
                     known[c] = np.array(found, "<u4").tobytes()
             answers = [squeeze(_lengths_and_bytes([known[c] for c in p])) for p in payloads]

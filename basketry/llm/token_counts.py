@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from basketry.llm.common import stored, text_or_empty
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
-BATCH_CHARS = 1 << 22  # texts handed to the tokenizer at once
+BATCH_CHARS = 1 << 20  # texts handed to the tokenizer at once
 
 
 def tokenizer_digest(path: str) -> str:
