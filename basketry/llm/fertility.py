@@ -7,9 +7,11 @@ their length is taken into account, so the bands are set per group (the
 document's language, or its script where it has none) and length class (the
 power of two below the token count): quartiles, widened by ``spread`` (entropy:
 ``entropy_spread``) times the quartile distance. Junk (symbol noise, shouting, repeated words, keyword
-lists) falls outside.
+lists) falls outside. With ``distinct`` the quartiles are over distinct texts: copies of a text,
+however many, count once, so they do not narrow the band of the others.
 
-Scale: one narrow pass over the texts, stored; the quartiles are exact, from
+Scale: one narrow pass over the texts, stored; copies combine map-side by
+(group, class, digest) and travel once per task; the quartiles are exact, from
 counts of values rounded to thousandths, which combine map-side, so their
 state is bounded whatever the input; the bands table has one row per group and
 length class.
@@ -22,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +33,7 @@ from basketry.llm.textstats import base_statistics, script
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FIGURES = ["chars_per_token", "byte_share", "entropy"]  # in thousandths
-STATS = "struct<" + ",".join(f"{c}:bigint" for c in [*BASE, "n_tokens", *FIGURES]) + ",script:string>"
+STATS = "struct<" + ",".join(f"{c}:bigint" for c in [*BASE, "n_tokens", *FIGURES]) + ",script:string,digest:binary>"
 BATCH_CHARS = 1 << 20
 MIN_GROUP = 40  # a group with fewer texts sets no band of its own
 MAX_BANDS = 20_000  # most rows of the bands table that are sent to the tasks (about 2 MB)
@@ -69,14 +72,15 @@ def add_statistics(docs: DataFrame, model: str, text_col: str = "text", out: str
 
     def measured(texts: list[str]) -> list[dict]:
         sp, is_byte = _vocabulary(model)
-        names = [*BASE, "n_tokens", *FIGURES, "script"]
+        names = [*BASE, "n_tokens", *FIGURES, "script", "digest"]
+        raw = [t.encode() for t in texts]
         return [
-            dict(zip(names, (*base_statistics(t.encode()), *token_figures(t, ids, is_byte), script(t))))
-            for t, ids in zip(texts, sp.encode(texts, num_threads=1))
+            dict(zip(names, (*base_statistics(r), *token_figures(t, ids, is_byte), script(t), xxhash.xxh3_128_digest(r))))
+            for t, r, ids in zip(texts, raw, sp.encode(texts, num_threads=1))
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.struct([*[(c, pa.int64()) for c in [*BASE, "n_tokens", *FIGURES]], ("script", pa.string())])
+        kind = pa.struct([*[(c, pa.int64()) for c in [*BASE, "n_tokens", *FIGURES]], ("script", pa.string()), ("digest", pa.binary())])
         for b in slices(batches):
             rows, some, size = [], [], 0
             for t in b.column(len(keep)).to_pylist():
@@ -95,12 +99,16 @@ def _class(tokens: Column) -> Column:
     return F.floor(F.log2(F.greatest(tokens, F.lit(1)).cast("double"))).cast("int")
 
 
-def bands(measured: DataFrame, group: Column, stats: str = "stats", min_group: int = MIN_GROUP) -> DataFrame:
-    """(group, class, and per figure its exact quartiles) over all rows with tokens."""
+def bands(
+    measured: DataFrame, group: Column, stats: str = "stats", min_group: int = MIN_GROUP, distinct: bool = False
+) -> DataFrame:
+    """(group, class, and per figure its exact quartiles) over all rows (``distinct``: texts) with tokens."""
     s = lambda c: F.col(f"{stats}.{c}")
     rows = measured.where(s("n_tokens") > 0).select(
-        group.alias("group"), _class(s("n_tokens")).alias("class"), *[s(c).alias(c) for c in FIGURES]
+        group.alias("group"), _class(s("n_tokens")).alias("class"), s("digest").alias("digest"), *[s(c).alias(c) for c in FIGURES]
     )
+    if distinct:  # copies of a text have its figures too
+        rows = rows.groupBy("group", "class", "digest").agg(*[F.max(c).alias(c) for c in FIGURES])
     quartiles = [F.percentile(c, [0.25, 0.5, 0.75]).alias(f"{c}_q") for c in FIGURES]
     return rows.groupBy("group", "class").agg(F.count("*").alias("texts"), *quartiles).where(F.col("texts") >= min_group)
 
@@ -115,6 +123,7 @@ def judge(
     max_repeat_pct: int = 30,
     min_group: int = MIN_GROUP,
     max_bands: int = MAX_BANDS,
+    distinct: bool = False,
     out: tuple[str, str] = ("base_failed", "kept"),
 ) -> DataFrame:
     """``measured`` plus ``base_failed`` and ``kept``, named by ``out`` (columns of these names are replaced).
@@ -124,14 +133,15 @@ def judge(
     ``base_failed``, and no figure outside its band; characters per token and
     entropy are held on both sides and below respectively, the byte share
     above. A text without tokens, or of a group too small for a band, is
-    judged by the base rules alone. The bands go to the tasks when they have at
+    judged by the base rules alone. ``distinct`` sets the bands over distinct
+    texts (and counts those for ``min_group``) instead of rows. The bands go to the tasks when they have at
     most ``max_bands`` rows, and are joined on salted groups otherwise. ``measured`` is read twice (bands, then
     verdicts): store it first.
     """
     has_lang = lang_col is not None and lang_col.lower() in [c.lower() for c in measured.columns]
     s = lambda c: F.col(f"{stats}.{c}")
     group = F.coalesce(F.col(f"`{lang_col}`").cast("string"), s("script")) if has_lang else s("script")
-    limits = bands(measured, group, stats, min_group)
+    limits = bands(measured, group, stats, min_group, distinct)
     keep = [c for c in measured.columns if c.lower() not in [o.lower() for o in out]]
     g, k = fresh_name(keep, "_group"), fresh_name(keep, "_class")
     limits = limits.withColumnsRenamed({"group": g, "class": k, **{f"{c}_q": fresh_name(keep, f"_{c}_q") for c in FIGURES}})

@@ -73,6 +73,23 @@ def test_bands_joined_on_salted_groups(spark, model):
     assert a == b and len(a) == docs.count()
 
 
+def test_copies_leave_other_verdicts_unchanged(spark, model):
+    """A document copied until it holds a third of the rows does not narrow the band of its cell."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").where("lang = 'en'").groupBy("text", "lang").agg(F.min("doc_id").alias("doc_id"))
+    labels = spark.read.parquet(f"{SF001}/labels.parquet").where("quality = 1")
+    plain = fertility.quality_rules(docs, model, distinct=True).join(labels, "doc_id", "left")
+    rows = [r for r in plain.collect() if r.kept and r.quality == 1 and 256 <= r.n_tokens < 512]
+    hot = docs.where(F.col("doc_id") == max(rows, key=lambda r: r.chars_per_token).doc_id)
+    copies = hot.withColumn("doc_id", F.explode(F.sequence(F.lit(-300).cast("long"), F.lit(-1).cast("long"))))
+    both = docs.unionByName(copies.select(docs.columns))
+    want = {r.doc_id: r.kept for r in plain.collect()}
+    got = {r.doc_id: r.kept for r in fertility.quality_rules(both, model, distinct=True).collect()}
+    by_rows = {r.doc_id: r.kept for r in fertility.quality_rules(both, model).collect()}
+    assert {k: v for k, v in got.items() if k >= 0} == want
+    assert all(got[k] for k in range(-300, 0))
+    assert any(by_rows[k] != v for k, v in want.items())  # what the copies do to quartiles over rows
+
+
 def test_scripts():
     assert [textstats.script(t) for t in ("", "12", "abc", "привет a", "日本の日本", "éa")] == [
         "common", "common", "latin", "cyrillic", "han", "latin"
