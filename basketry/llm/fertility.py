@@ -25,7 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import fresh_name, slices, stored, text_or_empty
@@ -113,6 +113,70 @@ def bands(
     return rows.groupBy("group", "class").agg(F.count("*").alias("texts"), *quartiles).where(F.col("texts") >= min_group)
 
 
+def _nearest(values: DataFrame, key: str, min_group: int) -> DataFrame:
+    """(key, class, enough, and per figure its quartiles) over the nearest classes of ``key`` that hold ``min_group`` texts.
+
+    ``values`` has ``key``, ``class``, ``figure``, ``value`` and its count ``n``.
+    A key with fewer texts pools all its classes, and is not ``enough``.
+    """
+    counts = values.groupBy(key, "class", "figure", "value").agg(F.sum("n").alias("n"))
+    cells = counts.where(F.col("figure") == 0).groupBy(key, "class").agg(F.sum("n").alias("texts"))
+    gap = F.abs(F.col("class") - F.col("other"))
+    rings = (
+        cells.select(key, "class")
+        .join(cells.select(key, F.col("class").alias("other"), "texts"), key)
+        .groupBy(key, "class", gap.alias("gap"))
+        .agg(F.sum("texts").alias("texts"))
+    )
+    inside = F.sum("texts").over(Window.partitionBy(key, "class").orderBy("gap"))  # one row per class of the key
+    full = F.min(F.when(F.col("inside") >= min_group, F.col("gap")))
+    reach = (
+        rings.withColumn("inside", inside)
+        .groupBy(key, "class")
+        .agg(F.coalesce(full, F.max("gap")).alias("reach"), full.isNotNull().alias("enough"))
+    )
+    near = reach.join(counts.withColumnRenamed("class", "other"), key).where(gap <= F.col("reach"))
+    found = near.groupBy(key, "class", "enough", "figure").agg(F.percentile("value", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
+    quartiles = [F.max(F.when(F.col("figure") == i, F.col("q"))).alias(f"{c}_q") for i, c in enumerate(FIGURES)]
+    return found.groupBy(key, "class", "enough").agg(*quartiles)
+
+
+def bands_for_all(
+    measured: DataFrame, group: Column, stats: str = "stats", min_group: int = MIN_GROUP, distinct: bool = False
+) -> DataFrame:
+    """(group, script, class, and per figure its exact quartiles): a band for every text with tokens.
+
+    A class with fewer than ``min_group`` texts of its group takes in the
+    nearest length classes until there are as many; a group with fewer in all
+    is judged by its script in the same way, and a script with fewer by all of
+    its own texts, however few. Other scripts set no band for it: all three
+    figures depend on how well the vocabulary covers the script. Texts without
+    letters (script ``common``) are judged there by all texts.
+    """
+    s = lambda c: F.col(f"{stats}.{c}")
+    rows = measured.where(s("n_tokens") > 0).select(
+        group.alias("group"),
+        s("script").alias("script"),
+        _class(s("n_tokens")).alias("class"),
+        s("digest").alias("digest"),
+        *[s(c).alias(c) for c in FIGURES],
+    )
+    if distinct:
+        rows = rows.groupBy("group", "script", "class", "digest").agg(*[F.max(c).alias(c) for c in FIGURES])
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("figure"), F.col(c).alias("value")) for i, c in enumerate(FIGURES)]))
+    values = rows.select("group", "script", "class", each.alias("v")).select("group", "script", "class", "v.*")
+    values = stored(values.groupBy("group", "script", "class", "figure", "value").agg(F.count("*").alias("n")), "fertility-values")
+    cells = values.select("group", "script", "class").distinct()
+    pools = values.withColumn("script", F.explode(F.array_distinct(F.array("script", F.lit("common")))))
+    named = [
+        _nearest(t, key, min_group).withColumnsRenamed({"enough": f"enough_{p}", **{f"{c}_q": f"{c}_{p}" for c in FIGURES}})
+        for t, key, p in ((values, "group", "g"), (pools, "script", "s"))
+    ]
+    joined = cells.join(named[0], ["group", "class"]).join(named[1], ["script", "class"])
+    picked = [F.when(F.col("enough_g"), F.col(f"{c}_g")).otherwise(F.col(f"{c}_s")).alias(f"{c}_q") for c in FIGURES]
+    return joined.select("group", "script", "class", *picked)
+
+
 def judge(
     measured: DataFrame,
     lang_col: str | None = "lang",
@@ -124,6 +188,7 @@ def judge(
     min_group: int = MIN_GROUP,
     max_bands: int = MAX_BANDS,
     distinct: bool = False,
+    small_groups: bool = False,
     out: tuple[str, str] = ("base_failed", "kept"),
 ) -> DataFrame:
     """``measured`` plus ``base_failed`` and ``kept``, named by ``out`` (columns of these names are replaced).
@@ -134,17 +199,19 @@ def judge(
     entropy are held on both sides and below respectively, the byte share
     above. A text without tokens, or of a group too small for a band, is
     judged by the base rules alone. ``distinct`` sets the bands over distinct
-    texts (and counts those for ``min_group``) instead of rows. The bands go to the tasks when they have at
+    texts (and counts those for ``min_group``) instead of rows;
+    ``small_groups`` gives small groups the bands of :func:`bands_for_all`. The bands go to the tasks when they have at
     most ``max_bands`` rows, and are joined on salted groups otherwise. ``measured`` is read twice (bands, then
     verdicts): store it first.
     """
     has_lang = lang_col is not None and lang_col.lower() in [c.lower() for c in measured.columns]
     s = lambda c: F.col(f"{stats}.{c}")
     group = F.coalesce(F.col(f"`{lang_col}`").cast("string"), s("script")) if has_lang else s("script")
-    limits = bands(measured, group, stats, min_group, distinct)
+    limits = (bands_for_all if small_groups else bands)(measured, group, stats, min_group, distinct)
     keep = [c for c in measured.columns if c.lower() not in [o.lower() for o in out]]
-    g, k = fresh_name(keep, "_group"), fresh_name(keep, "_class")
-    limits = limits.withColumnsRenamed({"group": g, "class": k, **{f"{c}_q": fresh_name(keep, f"_{c}_q") for c in FIGURES}})
+    g, k, w = fresh_name(keep, "_group"), fresh_name(keep, "_class"), fresh_name(keep, "_script")
+    on = [g, k, w] if small_groups else [g, k]
+    limits = limits.withColumnsRenamed({"group": g, "class": k, "script": w, **{f"{c}_q": fresh_name(keep, f"_{c}_q") for c in FIGURES}})
     q = {c: fresh_name(keep, f"_{c}_q") for c in FIGURES}
 
     def below(c: str, least: int, by: float) -> Column:
@@ -163,15 +230,15 @@ def judge(
         | above("byte_share", 5, spread)
     )
     base = (s("n_words") < min_words) | (100 * s("n_repeat_words") > max_repeat_pct * s("n_words"))
-    rows = measured.select(*[F.col(f"`{c}`") for c in keep], group.alias(g), _class(s("n_tokens")).alias(k))
+    rows = measured.select(*[F.col(f"`{c}`") for c in keep], group.alias(g), _class(s("n_tokens")).alias(k), s("script").alias(w))
     limits = stored(limits, "fertility-bands")
     if limits.count() <= max_bands:
-        joined = rows.join(F.broadcast(limits), [g, k], "left")
+        joined = rows.join(F.broadcast(limits), on, "left")
     else:  # a few groups hold most rows: each is dealt into pieces, and its band copied to them
-        salt = fresh_name([*keep, g, k, *q.values()], "_salt")
+        salt = fresh_name([*keep, g, k, w, *q.values()], "_salt")
         piece = F.pmod(F.xxhash64(*[s(c) for c in FIGURES], s("n_words")), F.lit(SALTS)).cast("int")
         copies = limits.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn(salt, piece).join(copies, [g, k, salt], "left")
+        joined = rows.withColumn(salt, piece).join(copies, [*on, salt], "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in keep],
         base.alias(out[0]),

@@ -34,7 +34,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics, tokeniser fertility and the verdict on all documents."""
-    return fertility.quality_rules(table(spark, sf_dir, "documents"), tokenizer_path(), distinct=True)
+    return fertility.quality_rules(table(spark, sf_dir, "documents"), tokenizer_path(), distinct=True, small_groups=True)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

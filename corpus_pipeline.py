@@ -14,7 +14,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality rules keep."""
     stats, failed, kept = (fresh_name(docs.columns, c) for c in ("_stats", "_failed", "_kept"))
     measured = stored(fertility.add_statistics(docs, tokenizer_path(), out=stats), "stage-quality")
-    return fertility.judge(measured, stats=stats, distinct=True, out=(failed, kept)).where(F.col(kept)).select(*docs.columns)
+    judged = fertility.judge(measured, stats=stats, distinct=True, small_groups=True, out=(failed, kept))
+    return judged.where(F.col(kept)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

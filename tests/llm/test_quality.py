@@ -90,6 +90,55 @@ def test_copies_leave_other_verdicts_unchanged(spark, model):
     assert any(by_rows[k] != v for k, v in want.items())  # what the copies do to quartiles over rows
 
 
+def test_small_groups_are_judged(spark, model):
+    """Every text with tokens has a band, from the nearest classes, and junk in small cells is rejected."""
+    import numpy as np
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang")
+    own = fertility.add_statistics(docs, model).cache()
+    table = fertility.bands_for_all(own, F.col("lang")).collect()
+    rows = own.where("stats.n_tokens > 0").select("lang", "stats.*").toPandas()
+    rows["cls"] = np.floor(np.log2(rows.n_tokens)).astype(int)
+    assert {(r.group, r.script, r["class"]) for r in table} == set(zip(rows.lang, rows.script, rows.cls))
+    for r in table:
+        g = rows[rows.lang == r.group]
+        reach = next(d for d in range(64) if (abs(g.cls - r["class"]) <= d).sum() >= fertility.MIN_GROUP)
+        near = g[abs(g.cls - r["class"]) <= reach]
+        for c in fertility.FIGURES:
+            assert np.allclose(r[f"{c}_q"], np.quantile(near[c], [0.25, 0.5, 0.75]))
+    junk = spark.read.parquet(f"{SF001}/labels.parquet").where("quality = 0")
+    small = rows.groupby(["lang", "cls"]).size()
+    was, now = (
+        [r for r in fertility.quality_rules(docs, model, small_groups=on).join(docs.select("doc_id", "lang"), "doc_id")
+         .join(junk, "doc_id").where("not base_failed and n_tokens > 0").collect()
+         if small[r.lang, int(np.log2(r.n_tokens))] < fertility.MIN_GROUP]
+        for on in (False, True)
+    )
+    assert was and all(r.kept for r in was) and sum(r.kept for r in now) < len(now)
+
+
+def test_small_groups_few_texts(spark, model, odd_docs):
+    """Few texts in all are judged too, by their script; a lone clean text of another script is not dropped for that."""
+    clean = spark.read.parquet(f"{SF001}/documents.parquet").join(
+        spark.read.parquet(f"{SF001}/labels.parquet").where("quality = 1"), "doc_id"
+    )
+    some = clean.where("lang = 'en' and length(text) between 800 and 1600").orderBy("doc_id").limit(12).select("doc_id", "text", "lang")
+    greek = "Το πρωί ο ήλιος ανέβηκε πάνω από τη θάλασσα και τα παιδιά έτρεξαν στην παραλία για να παίξουν με την άμμο, "
+    greek += "ενώ οι ψαράδες γύριζαν στο λιμάνι με τις βάρκες τους γεμάτες ψάρια και μιλούσαν για τον καιρό της νύχτας."
+    more = spark.createDataFrame(
+        [(-1, " ".join(f"{'#' * (i % 5 + 20)}" for i in range(60)), "en"), (-2, greek, "el")], some.schema
+    )
+    got = {r.doc_id: r for r in fertility.quality_rules(some.unionByName(more), model, small_groups=True, max_repeat_pct=100).collect()}
+    assert not got[-1].kept and not got[-1].base_failed and got[-2].kept
+    a, b = (
+        {r.doc_id: r.kept for r in fertility.quality_rules(clean.drop("quality"), model, small_groups=True, max_bands=n).collect()}
+        for n in (20_000, 0)
+    )
+    assert a == b
+    assert fertility.quality_rules(odd_docs, model, small_groups=True, distinct=True).count() == odd_docs.count()
+    assert fertility.quality_rules(odd_docs.limit(0), model, small_groups=True, distinct=True).count() == 0
+
+
 def test_scripts():
     assert [textstats.script(t) for t in ("", "12", "abc", "привет a", "日本の日本", "éa")] == [
         "common", "common", "latin", "cyrillic", "han", "latin"
