@@ -20,7 +20,6 @@ length class.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,6 @@ MAX_BANDS = 20_000  # most rows of the bands table that are sent to the tasks (a
 SALTS = 64  # pieces that a group falls into when the bands are joined instead
 
 
-@lru_cache(maxsize=2)
 def _vocabulary(path: str):
     import sentencepiece
 
@@ -70,8 +68,7 @@ def add_statistics(docs: DataFrame, model: str, text_col: str = "text", out: str
     given = docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text_col).alias(text))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.lit(None).cast(STATS)).schema
 
-    def measured(texts: list[str]) -> list[dict]:
-        sp, is_byte = _vocabulary(model)
+    def measured(texts: list[str], sp, is_byte: np.ndarray) -> list[dict]:
         names = [*BASE, "n_tokens", *FIGURES, "script", "digest"]
         raw = [t.encode() for t in texts]
         return [
@@ -81,15 +78,16 @@ def add_statistics(docs: DataFrame, model: str, text_col: str = "text", out: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([*[(c, pa.int64()) for c in [*BASE, "n_tokens", *FIGURES]], ("script", pa.string()), ("digest", pa.binary())])
+        vocabulary = _vocabulary(model)
         for b in slices(batches):
             rows, some, size = [], [], 0
             for t in b.column(len(keep)).to_pylist():
                 some.append(t)
                 size += len(t)
                 if size >= BATCH_CHARS:
-                    rows += measured(some)
+                    rows += measured(some, *vocabulary)
                     some, size = [], 0
-            rows += measured(some)
+            rows += measured(some, *vocabulary)
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(rows, kind)], names=[*keep, out])
 
     return given.mapInArrow(run, schema)

@@ -249,10 +249,11 @@ def score_documents(docs: DataFrame, models: Models, keep: list[str], text_col:
     from pyspark.sql.types import StructType
 
     schema = StructType([*given.schema.fields[:-1], *StructType.fromDDL(fields).fields])
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    # plain values: the workers need no copy of this package
+    shared = docs.sparkSession.sparkContext.broadcast((models.langs, models.p, models.back, models.floor))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Models(*shared.value)
         from pyspark.sql.pandas.types import to_arrow_type
 
         types = [to_arrow_type(f.dataType) for f in schema.fields]

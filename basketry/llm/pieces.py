@@ -25,7 +25,6 @@ import hashlib
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +45,6 @@ class Model:
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
-        crossing = [p for p in pieces if re.search(f"[^{MARK}]{MARK}", p)]
-        if crossing:
-            raise ValueError(f"pieces cross a white-space mark: {crossing[:3]}")
-        if any("\n" in p for p in pieces):
-            raise ValueError("a piece holds a newline")
         self.chunks = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n").findall
         self.newline = self.sp.encode("\n")
         self.break_ids = self.newline[1:] if self.newline[:1] == self.sp.encode("") + [self.sp.piece_to_id(MARK)] else self.newline
@@ -72,14 +65,15 @@ class Model:
         return out
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> Model:
-    return Model(path)
-
-
 def check_model(path: str) -> None:
     """Raise ``ValueError`` when the model's pieces cannot be found chunk by chunk."""
-    model = load(path)
+    model = Model(path)
+    pieces = [model.sp.id_to_piece(i) for i in range(model.sp.get_piece_size())]
+    crossing = [p for p in pieces if re.search(f"[^{MARK}]{MARK}", p)]
+    if crossing:
+        raise ValueError(f"pieces cross a white-space mark: {crossing[:3]}")
+    if any("\n" in p for p in pieces):
+        raise ValueError("a piece holds a newline")
     probe = "a b\nc  d"
     got = [i for c in model.segment(model.chunks(model.sp.normalize(probe))) for i in c]
     if got != model.sp.encode(probe):
@@ -153,7 +147,7 @@ def encode_documents(
     kept = kept.sortWithinPartitions(*ids, F.xxhash64("_text"))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, squeeze = load(model), zstandard.ZstdCompressor(level=1).compress
+        m, squeeze = Model(model), zstandard.ZstdCompressor(level=1).compress
         for rows, texts in _blocks(batches, len(ids)):
             seen: dict[str, int] = {}
             put = seen.setdefault
@@ -191,7 +185,7 @@ def encode_documents(
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each distinct chunk of the hash range once; the answers in the order of each list."""
-        m, known = load(model), {}
+        m, known = Model(model), {}
         squeeze, spread = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
         for b in batches:
             b = b.filter(pa.compute.greater_equal(b.column(0), 0))
@@ -211,7 +205,7 @@ def encode_documents(
     out_types = [to_arrow_type(f.dataType) for f in out_schema.fields]
 
     def join_back(documents: pa.Table, found: pa.Table) -> pa.Table:
-        m, spread = load(model), zstandard.ZstdDecompressor().decompress
+        m, spread = Model(model), zstandard.ZstdDecompressor().decompress
         found = found.sort_by("part")
         table = [np.frombuffer(c, "<u4").tolist() for p in found.column("payload").to_pylist() for c in _split(spread(p))]
         own = documents.filter(pa.compute.less(documents.column("place"), 0))

@@ -32,6 +32,7 @@ from basketry.llm.common import fresh_name, slices, stored, text_or_empty, utf8_
 from basketry.llm.components import connected_components
 
 LEAF = 4096  # natives compared in one block
+MAX_SENT = 4_000_000  # most row numbers sent to the tasks (8 bytes each)
 SAMPLE = 1 << 17  # most fingerprints that the tree is fitted on (1 MB on the driver)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))  # A-Z lower-cased
 
@@ -276,27 +277,33 @@ def keep_first(
     shingle: int = 3,
     max_bits: int = 2,
     leaf: int = LEAF,
+    max_sent: int = MAX_SENT,
 ) -> DataFrame:
     """One row of each component stays, with all its columns: that of the smallest id.
 
     A null id counts as later than all ids. Of rows that share the smallest id
     the one with the smallest digest of all columns stays; of equal rows, one.
+
+    The rows are stored once with a row number; everything is decided on
+    (fingerprint, id, digest, row). The numbers of the rows that go are sent to
+    the tasks when there are at most ``max_sent``, and joined otherwise.
     """
     columns = docs.columns
-    fp, order, digest = (fresh_name(columns, c) for c in ("_fp", "_order", "_digest"))
-    marked = stored(add_fingerprints(docs, text_col, shingle, out=fp), "simhash-rows")
-    marked = marked.withColumns(
-        {order: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), digest: F.xxhash64(*[F.col(f"`{c}`") for c in columns])}
+    row = fresh_name(columns, "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    keys = rows.select(
+        F.col(row).alias("row"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)).alias("id"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in columns]).alias("digest"),
+        F.col(f"`{text_col}`").alias("text"),
     )
-    roots = connected_components(hamming_links(marked.select(fp), fp, max_bits, leaf))
-    keys = marked.select(F.col(fp).alias("fp"), F.col(order).alias("id"), F.col(digest).alias("digest"))
+    keys = stored(add_fingerprints(keys, "text", shingle, keep=["row", "id", "digest"]), "simhash-keys")
+    roots = connected_components(hamming_links(keys.select("fp"), "fp", max_bits, leaf))
     # a component is decided among one row per fingerprint, so a large group of copies is one row here
-    first = keys.groupBy("fp").agg(F.min("id").alias("id"))
-    first = stored(
-        first.join(roots, first.fp == roots.node, "left").select("fp", "id", F.coalesce("root", "fp").alias("root")), "simhash-first"
-    )
-    least = first.groupBy("root").agg(F.min("id").alias("id"))
-    held = first.join(least, ["root", "id"]).groupBy("root", "id").agg(F.min("fp").alias("fp")).select("fp", "id")
-    picks = keys.join(held, ["fp", "id"]).groupBy("fp", "id").agg(F.min("digest").alias("digest"))
-    picks = picks.withColumnsRenamed({"fp": fp, "id": order, "digest": digest})
-    return marked.join(picks, [fp, order, digest], "left_semi").dropDuplicates([fp, order, digest]).select(*[F.col(f"`{c}`") for c in columns])
+    first = keys.groupBy("fp").agg(F.min(F.struct("id", "digest", "row")).alias("first"))
+    first = first.join(roots, first.fp == roots.node, "left").select("first", F.coalesce("root", "fp").alias("root"))
+    picks = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    gone = stored(keys.select(F.col("row").alias(row)).join(picks, row, "left_anti"), "simhash-gone")
+    if gone.count() <= max_sent:
+        gone = F.broadcast(gone)
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in columns])

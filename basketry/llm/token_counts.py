@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -37,8 +36,7 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.file_digest(f, "sha256").hexdigest()
 
 
-@lru_cache(maxsize=4)
-def _counter(path: str) -> Callable[[list[str]], list[int]]:
+def counter(path: str) -> Callable[[list[str]], list[int]]:
     """Counts without begin, end or added special tokens, no truncation or padding."""
     if path.endswith(".model"):
         import sentencepiece
@@ -53,16 +51,16 @@ def _counter(path: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(e.ids) for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
-def count_texts(texts: list[str], path: str) -> list[int]:
-    """Token counts of ``texts``, encoded in batches of bounded size."""
+def count_texts(texts: list[str], counts: Callable[[list[str]], list[int]]) -> list[int]:
+    """Token counts of ``texts``, given to ``counts`` in batches of bounded size."""
     out, batch, size = [], [], 0
     for t in texts:
         batch.append(t)
         size += len(t)
         if size >= BATCH_CHARS:
-            out += _counter(path)(batch)
+            out += counts(batch)
             batch, size = [], 0
-    return out + (_counter(path)(batch) if batch else [])
+    return out + (counts(batch) if batch else [])
 
 
 def _read_cache(spark: SparkSession, cache: str) -> DataFrame:
@@ -106,8 +104,9 @@ def count_tokens(
     misses = distinct.join(cached_counts(spark, cache, version), "digest", "left_anti")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = counter(model)
         for b in batches:
-            n = count_texts(b.column(1).to_pylist(), model)
+            n = count_texts(b.column(1).to_pylist(), counts)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())],
                 names=["digest", "tokenizer", "n_tokens"],

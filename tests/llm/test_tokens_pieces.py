@@ -89,7 +89,7 @@ def test_encode_odd_texts(spark, model, sp):
 
 
 def test_each_chunk_is_segmented_once(spark, model, monkeypatch):
-    m = pieces.load(model)
+    m = pieces.Model(model)
     text = "the the the the"
     chunks = m.chunks(m.sp.normalize(text))
     assert chunks == ["▁the"] * 4 and m.segment(["▁the"])[0] * 4 == m.sp.encode(text)
