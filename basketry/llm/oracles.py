@@ -2,8 +2,27 @@
 
 from __future__ import annotations
 
+from basketry.llm import secrets
 from basketry.llm.url_templates import DEPTH, LOWER, UPPER
 
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit: a code is folded in, then eight shifts follow it."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda a, x: {step}), 4294967295)"
+
+
+_DIGIT = "strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', c) - 1"
+CRC_TOKEN = (
+    f"list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(right(m, 6), ''), lambda c: CAST({_DIGIT} AS BIGINT))),"
+    f" lambda a, x: a * 62 + x) = {crc32_sql('substr(right(m, 36), 1, 30)')}"
+)
+_DIGITS = "list_reverse(list_transform(regexp_extract_all(regexp_extract(m, pat, 1), '[0-9]'), lambda c: CAST(c AS INT)))"
+LUHN = (
+    f"list_sum(list_transform({_DIGITS}, lambda x, i: CASE WHEN i % 2 = 1 THEN x ELSE x * 2 - CASE WHEN x > 4 THEN 9 ELSE 0 END END)) % 10 = 0"
+)
+
 CHAT = """
 WITH RECURSIVE t AS (
   SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
@@ -103,3 +122,37 @@ SELECT r.page_id, r.host, r.path, r.rule,
        COALESCE(r.rv, CASE WHEN q.purity >= {reject_at} THEN 'block' ELSE 'allow' END) AS verdict, t.template, q.purity
 FROM r JOIN t{DEPTH} t ON t.host = r.host AND t.segs = r.segs JOIN q ON q.host = t.host AND q.template = t.template
 """
+
+
+def secrets_sql() -> str:
+    """Every kind by splitting the text at its matches; checksums bit by bit and digit by digit."""
+    kinds = [
+        ("assign", secrets.ASSIGN, "length(regexp_extract(m, pat, 2)) >= 6", ""),
+        ("access", secrets.ACCESS, "length(m) >= 20", ""),
+        ("hex", secrets.HEX_RUN, "length(m) >= 24", ""),
+        ("host_token", secrets.HOST_TOKEN, CRC_TOKEN, ""),
+        ("package_token", secrets.PACKAGE_TOKEN, CRC_TOKEN, ""),
+        ("card", secrets.CARD, LUHN, "length(m) - length(regexp_extract(m, pat, 1))"),
+    ]
+    parts = []
+    for i, (kind, pattern, holds, lead) in enumerate(kinds):
+        quoted = pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT doc_id, rid, {i} AS k, '{kind}' AS kind, start + {lead or 0} AS start, start + length(m) AS stop
+  FROM (SELECT doc_id, rid, pat, hits[i] AS m,
+               CAST(list_sum(list_transform(gaps[:i], lambda x: length(x))) + COALESCE(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+        FROM (SELECT doc_id, rid, pat, hits, regexp_split_to_array(text, pat) AS gaps, unnest(range(1, len(hits) + 1)) AS i
+              FROM (SELECT doc_id, rid, text, '{quoted}' AS pat, regexp_extract_all(text, '{quoted}') AS hits FROM d)))
+  WHERE {holds}""")
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, COALESCE(text, '') AS text FROM documents), s AS ({" UNION ALL".join(parts)}
+), j AS (
+  SELECT rid, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (WHERE k < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans
+  FROM s GROUP BY rid
+)
+SELECT d.doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex,
+       sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans
+FROM d LEFT JOIN j ON j.rid = d.rid
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, oracles, pieces, rule_ensemble, simhash, token_counts, url_templates
+from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, oracles, pieces, rule_ensemble, secrets, simhash, token_counts, url_templates
 from basketry.llm.common import crc_bucket, table
 from basketry.session import ensure_checkpoint_dir
 
@@ -106,6 +106,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+    count = lambda kind: F.size(secrets.of_kinds(spans, (kind,))).cast("long").alias(f"n_{kind}")
+    base = secrets.spans_text(secrets.of_kinds(spans, secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[count(k) for k in secrets.BASE_KINDS],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        secrets.spans_text(spans).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
     return found
@@ -113,4 +127,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The other queries tokenise, hash or match edits, which SQL cannot; tests hold them against brute force."""
-    return {"op8_chat_windows": oracles.CHAT, "op10_url_filter": oracles.url_sql(URL_RULES)}
+    return {"op8_chat_windows": oracles.CHAT, "op10_url_filter": oracles.url_sql(URL_RULES), "op12_secret_scan": oracles.secrets_sql()}
