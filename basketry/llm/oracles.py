@@ -156,3 +156,28 @@ SELECT d.doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_a
        sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans
 FROM d LEFT JOIN j ON j.rid = d.rid
 """
+
+
+SEARCH = """
+WITH t AS (
+  SELECT rid, doc_id, unnest(words) AS term, len(words) AS n
+  FROM (SELECT rid, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+        FROM (SELECT row_number() OVER () AS rid, * FROM documents))
+), p AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM t GROUP BY ALL),
+c AS (SELECT count(DISTINCT rid) AS n_docs, count(*) AS total FROM t),
+d AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (
+  SELECT DISTINCT qid, item_id, unnest(regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS qid, * FROM benchmark)
+), s AS (
+  SELECT qid, item_id, rid, doc_id,
+         sum(CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // total))))) AS score
+  FROM q JOIN p USING (term) JOIN d USING (term), c GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 50
+"""

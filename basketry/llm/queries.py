@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, oracles, pieces, rule_ensemble, secrets, simhash, token_counts, url_templates
+from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, oracles, pieces, ranked_search, rule_ensemble, secrets, simhash, token_counts, url_templates
 from basketry.llm.common import crc_bucket, table
 from basketry.session import ensure_checkpoint_dir
 
@@ -120,6 +120,11 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
     return found
@@ -127,4 +132,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The other queries tokenise, hash or match edits, which SQL cannot; tests hold them against brute force."""
-    return {"op8_chat_windows": oracles.CHAT, "op10_url_filter": oracles.url_sql(URL_RULES), "op12_secret_scan": oracles.secrets_sql()}
+    return {"op8_chat_windows": oracles.CHAT, "op10_url_filter": oracles.url_sql(URL_RULES), "op12_secret_scan": oracles.secrets_sql(), "op13_ranked_search": oracles.SEARCH}
