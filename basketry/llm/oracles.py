@@ -181,3 +181,41 @@ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, CAST(score AS BIGINT) AS scor
 FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
 WHERE rank <= 50
 """
+
+
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id, turn, substr(sha256(strlen(COALESCE(role, '')) || ':' || COALESCE(role, '') || COALESCE(text, '')), 1, 32) AS id,
+         strlen(COALESCE(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) - 1 AS pos FROM t
+), c AS (
+  SELECT conv_id, n, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 9 AS h, conv_id - conv_id % 5 AS base
+  FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id)
+), r AS (
+  SELECT c.conv_id, n.pos, n.id, n.size FROM c JOIN n ON n.conv_id = c.base AND n.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, COALESCE(b.n, 0)) + n.pos - c.h, n.id, n.size
+  FROM c JOIN n ON n.conv_id = c.conv_id AND n.pos >= c.h LEFT JOIN c b ON b.conv_id = c.base
+), s AS (
+  SELECT c.conv_id, COALESCE(list(r.id ORDER BY r.pos) FILTER (WHERE r.id IS NOT NULL), []) AS ids,
+         COALESCE(list(r.size ORDER BY r.pos) FILTER (WHERE r.id IS NOT NULL), []) AS sizes
+  FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+), p AS (
+  SELECT conv_id, d, array_to_string(ids[:d], '') AS key, array_to_string(ids[:d - 1], '') AS up, sizes[d] AS size, len(ids) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM s)
+), v AS (
+  SELECT key, d, min(CASE WHEN d > 0 THEN up END) AS up, min(conv_id) AS conv_id, count(*) AS n, COALESCE(min(size), 0) AS size,
+         sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM p GROUP BY key, d
+), k AS (SELECT up AS key, count(*) AS kids FROM v WHERE d > 0 GROUP BY up),
+a AS (SELECT v.*, COALESCE(k.kids, 0) AS kids FROM v LEFT JOIN k ON k.key = v.key),
+w AS (
+  SELECT substr(key, 1, 32 * e) AS key, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * size) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM a) GROUP BY 1
+)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, o.conv_id AS parent_conv_id, a.n AS n_convs, a.kids AS n_children,
+       CAST(w.leaves AS BIGINT) AS n_leaves, CAST(w.saved AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM a JOIN w ON w.key = a.key LEFT JOIN v o ON o.key = a.up AND a.d > 0
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, oracles, pieces, ranked_search, rule_ensemble, secrets, simhash, token_counts, url_templates
+from basketry.llm import chat, decontaminate, fertility, langid, line_dedup, oracles, pieces, prefix_trie, ranked_search, rule_ensemble, secrets, simhash, token_counts, url_templates
 from basketry.llm.common import crc_bucket, table
 from basketry.session import ensure_checkpoint_dir
 
@@ -106,6 +106,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt from the first turns of conversation c - c % 5."""
+    numbered = prefix_trie.number_turns(prefix_trie.turn_digests(table(spark, sf_dir, "conversations")))
+    conv = F.col("conv")
+    return prefix_trie.build(*prefix_trie.fork(numbered, head=crc_bucket("conv", 9), base=conv - conv % 5))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -132,4 +139,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The other queries tokenise, hash or match edits, which SQL cannot; tests hold them against brute force."""
-    return {"op8_chat_windows": oracles.CHAT, "op10_url_filter": oracles.url_sql(URL_RULES), "op12_secret_scan": oracles.secrets_sql(), "op13_ranked_search": oracles.SEARCH}
+    return {"op8_chat_windows": oracles.CHAT, "op10_url_filter": oracles.url_sql(URL_RULES), "op11_prefix_trie": oracles.TRIE, "op12_secret_scan": oracles.secrets_sql(), "op13_ranked_search": oracles.SEARCH}
