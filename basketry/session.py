@@ -96,10 +96,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
-# folders written by materialize() in this process, for remove_materialized()
+# paths given out by scratch_path() in this process, for remove_materialized()
 _WRITTEN: list[str] = []
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder; :func:`remove_materialized` deletes what is written there."""
+    folder = ensure_checkpoint_dir(spark)
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/object store)")
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df, name: str = "basketry"):
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
@@ -109,17 +119,13 @@ def materialize(df, name: str = "basketry"):
     ``df`` runs once and its own cache, if any, is left alone.
     """
     spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    if not folder:
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/object store)")
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def remove_materialized(spark: SparkSession) -> int:
-    """Delete the folders that :func:`materialize` wrote in this process; returns their number.
+    """Delete the folders under :func:`scratch_path` paths of this process; returns their number.
 
     For long sessions, once no result that was built on them is needed any more.
     """

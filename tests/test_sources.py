@@ -57,7 +57,7 @@ def test_csv_round_trip(spark, tmp_out):
     back = read_csv(spark, path, schema=df.schema)
     assert back.count() == df.count() and back.exceptAll(df).count() == 0
     inferred = read_csv(spark, path, infer_schema=True)
-    assert dict(inferred.dtypes)["year"] == "int" and dict(inferred.dtypes)["date_key"] == "timestamp"
+    assert dict(inferred.dtypes)["year"] == "bigint" and dict(inferred.dtypes)["date_key"] == "string"
 
 
 AWKWARD = [
