@@ -12,6 +12,8 @@ comparisons with NULL count as False.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ from basketry.functions.rules import (
     rfm_segment,
     round_half_up,
 )
-from basketry.operators.ranking import grouped_quantiles, tercile_scores_many
+from basketry.operators.ranking import grouped_quantiles, null_safe_join, tercile_scores_many
 from basketry.session import materialize
 
 RFM_WINDOWS = (7, 30, 90)
@@ -167,6 +169,55 @@ def clv_distribution(users: DataFrame, bins: int = CLV_BINS) -> DataFrame:
     )
 
 
+def nice_step(lo: float, hi: float, max_bins: int) -> float:
+    """The least step of 1, 2 or 5 times a power of ten whose aligned bins cover ``lo`` .. ``hi`` in at most ``max_bins``.
+
+    Bins are half open and start at multiples of the step. A single value gets
+    a step of 1.
+    """
+    if max_bins < 2:
+        raise ValueError("max_bins must be >= 2: a range around a bin's edge needs two")
+    if lo == hi:
+        return 1.0
+    exponent = math.floor(math.log10((hi - lo) / max_bins)) - 1
+    while True:
+        for digit in (1, 2, 5):
+            # one rounding only, so that another engine gets the same double
+            step = digit * 10.0**exponent if exponent >= 0 else digit / 10.0**-exponent
+            if math.floor(hi / step) - math.floor(lo / step) + 1 <= max_bins:
+                return step
+        exponent += 1
+
+
+def nice_histogram(df: DataFrame, value: str, by: str, max_bins: int = CLV_BINS) -> DataFrame:
+    """Rows per (aligned bin, ``by``): ``bin``, ``by``, ``bin_start``, ``bin_end``, ``n``.
+
+    Bins are those of :func:`nice_step` over the whole range, numbered from
+    the first; every pair of a bin and a present value of ``by`` (NULL is one)
+    is listed, empty ones with 0. Missing values are left out.
+    """
+    known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+    ends = known.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    if ends["lo"] is None:
+        return df.select(
+            F.lit(0).alias("bin"), by, F.lit(0.0).alias("bin_start"), F.lit(0.0).alias("bin_end"), F.lit(0).cast("bigint").alias("n")
+        ).limit(0)
+    step = nice_step(float(ends["lo"]), float(ends["hi"]), max_bins)
+    first, last = (math.floor(float(ends[k]) / step) for k in ("lo", "hi"))
+    place = (F.floor(F.col(value) / F.lit(step)) - F.lit(first)).cast("int")
+    counts = known.groupBy(by, place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    domain = df.select(by).distinct().select(by, F.explode(F.sequence(F.lit(0), F.lit(last - first))).alias("bin"))
+    start = (F.col("bin") + F.lit(first)) * F.lit(step)
+    return null_safe_join(domain, counts, [by, "bin"], "left").select(
+        "bin", by, start.alias("bin_start"), (start + F.lit(step)).alias("bin_end"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    )
+
+
+def clv_distribution_nice(users: DataFrame, max_bins: int = CLV_BINS) -> DataFrame:
+    """Customers per (aligned CLV bin, CLV group), in at most ``max_bins`` bins, as charts pick them."""
+    return nice_histogram(users, "clv_cumulative", "CLV_Group", max_bins).withColumnRenamed("n", "customers")
+
+
 def clv_summary(users: DataFrame) -> DataFrame:
     """Per CLV group: customers, revenue, mean CLV (rounded to 2), by mean desc."""
     return (

@@ -8,15 +8,18 @@ computed column carries the same alias as in :mod:`basketry.plans.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import round_half_up
-from basketry.operators import dedupe, gold, metrics, profile, validate
+from basketry.operators import dedupe, gold, incremental, metrics, profile, sketches, validate
 from basketry.plans import fixtures as fx
+from basketry.plans import partitions
 from basketry.plans import pipeline as pl
-from basketry.session import materialize
+from basketry.session import materialize, scratch_path
+from basketry.sources import csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -366,6 +369,104 @@ def q_inspect_gold_slice(spark, d):
     return validate.sorted_slice(fc, ["user_id", "creation_date"], 70, 100)
 
 
+# ---------------------------------------------------------------- loads and incremental builds
+def q_insight_clv_distribution_nice(spark, d):
+    return rounded(metrics.clv_distribution_nice(_users(spark, d)[0]), edges=("bin_start", "bin_end"))
+
+
+def q_source_csv_multiline(spark, d):
+    """Documents as CSV with line breaks and quotes in fields, read back in parallel."""
+    docs = fx.table(spark, d, "documents").select("doc_id", "lang", "n_chars", "text")
+    path = scratch_path(spark, "documents-csv")
+    csv.write_csv(docs, path)
+    back = csv.read_csv(spark, path, schema=docs.schema, multiline=True, missing=())
+    return back.select("doc_id", "lang", "n_chars", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def q_source_csv_types(spark, d):
+    """Column types found in a CSV extract: two loads are read apart and their states merged."""
+    items = fx.order_items(spark, d)
+    states = []
+    for part in (F.col("ITEM_QUANTITY") <= 25, F.col("ITEM_QUANTITY") > 25):
+        path = scratch_path(spark, "items-csv")
+        csv.write_csv(items.where(part), path)
+        states.append(csv.type_states(csv.read_csv(spark, path)))
+    merged = csv.merge_states(*states)
+    rows = [(c, csv.state_type(s), bool(s & csv.MISSING)) for c, s in merged.items()]
+    return spark.createDataFrame(rows, "column_name string, data_type string, has_missing boolean")
+
+
+def q_profile_sketches(spark, d):
+    """Profile of two loads from their stored sketches, with the estimates held against the exact figures."""
+    items = materialize(fx.profile_items(spark, d))
+    folder = scratch_path(spark, "sketches")
+    early = F.coalesce(F.col("ITEM_QUANTITY") <= 25, F.lit(False))
+    for load, part in (("early", early), ("late", ~early)):
+        sketches.store_sketches(items.where(part), folder, "order_items", load)
+    merged = materialize(sketches.merge_sketches(sketches.stored_sketches(spark, folder, "order_items")))
+    found = sketches.sketch_profile(merged)
+    exact = profile.column_profile(items).select("column_name", F.col("distinct_values").alias("exact"))
+    # each estimated quartile's rank among all rows, from counts on both sides of it
+    quartiles = {r.column_name: (r.q_0, r.q_1, r.q_2) for r in found.where("q_1 is not null").collect()}
+    clean = profile.missing_as_null(items)
+    share = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            *[F.avg(F.when(F.col(c).isNotNull(), F.when(F.col(c) < q, 1.0).otherwise(0.0))).alias(f"lt{i}") for i, q in enumerate(qs)],
+            *[F.avg(F.when(F.col(c).isNotNull(), F.when(F.col(c) <= q, 1.0).otherwise(0.0))).alias(f"le{i}") for i, q in enumerate(qs)],
+        )
+        for c, qs in quartiles.items()
+    ]
+    ranks = clean.agg(*[s.alias(f"s{i}") for i, s in enumerate(share)]).select(F.explode(F.array(*[f"s{i}" for i in range(len(share))])).alias("s")).select("s.*")
+    bound = sketches.rank_error()
+    near = None
+    for i, p in enumerate((0.25, 0.5, 0.75)):
+        one = (F.col(f"lt{i}") <= p + bound) & (F.col(f"le{i}") >= p - bound)
+        near = one if near is None else near & one
+    joined = found.join(exact, "column_name").join(ranks, "column_name", "left")
+    gap = F.abs(F.col("distinct_values") - F.col("exact"))
+    return joined.select(
+        "column_name", "position", "data_type", "rows", "missing",
+        (gap <= F.greatest(F.lit(1.0), F.col("exact") * (4 * sketches.distinct_error()))).alias("distinct_within_bound"),
+        near.alias("quartiles_within_bound"),
+    )
+
+
+INCREMENT_CUT = date(1999, 6, 30)
+
+
+def q_gold_incremental_customer(spark, d):
+    """``fact_customer`` from a first load and an update with new days, late days and a day that had been incomplete."""
+    lines = materialize(pl.enriched_orders(spark, d))
+    day = F.col("creation_date")
+    late = F.coalesce(F.dayofmonth(day) == 13, F.lit(True))  # these days, and lines without a date, arrive with the update
+    partial = (F.dayofmonth(day) == 20) & (F.month(day) == 5) & (F.pmod(F.hash("order_id"), F.lit(2)) == 0)
+    known = F.coalesce((day <= F.lit(INCREMENT_CUT)) & ~late & ~partial, F.lit(False))
+    fact = materialize(gold.fact_customer(lines.where(known)))
+    state = materialize(incremental.carry_state(fact, INCREMENT_CUT))
+    days = materialize(lines.where(~known).select("creation_date").distinct())
+    on = F.col("creation_date").eqNullSafe(F.col("_touched"))
+    touched = lines.join(days.select(day.alias("_touched")), on, "left_semi")
+    update = incremental.update_fact_customer(fact, state, INCREMENT_CUT, gold.customer_daily(touched), days)
+    return rounded(update.apply(fact), money=CUSTOMER_MONEY)
+
+
+def q_gold_location_rebuilt(spark, d):
+    """Location-day facts by month: a first build, then a rebuild of the partitions that changed since."""
+    month = F.coalesce(F.date_format("creation_date", "yyyy-MM"), F.lit("none"))
+    lines = materialize(pl.enriched_orders(spark, d).withColumn("month", month))
+    target, digests = scratch_path(spark, "location-gold"), scratch_path(spark, "location-digests")
+
+    def build(part):
+        return gold.location_daily(part).withColumn("month", month)
+
+    before = lines.where(~F.col("month").isin("1996-02", "1997-05") | (F.pmod(F.hash("lineitem_id"), F.lit(3)) == 0))
+    partitions.rebuild_partitions(before.where("month <> '2000-03'"), target, ["month"], build, digests)
+    partitions.rebuild_partitions(lines, target, ["month"], build, digests)
+    back = spark.read.schema(build(lines).schema).parquet(target).drop("month")
+    return rounded(back, money=LOCATION_MONEY, averages=("avg_order_value",))
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_dim_date": q_silver_dim_date,
@@ -426,4 +527,10 @@ def queries() -> dict[str, Query]:
         "source_row_counts": q_source_row_counts,
         "source_preview": q_source_preview,
         "inspect_gold_slice": q_inspect_gold_slice,
+        "insight_clv_distribution_nice": q_insight_clv_distribution_nice,
+        "source_csv_multiline": q_source_csv_multiline,
+        "source_csv_types": q_source_csv_types,
+        "profile_sketches": q_profile_sketches,
+        "gold_incremental_customer": q_gold_incremental_customer,
+        "gold_location_rebuilt": q_gold_location_rebuilt,
     }

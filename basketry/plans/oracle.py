@@ -621,5 +621,60 @@ PROFILE_SQL = {
 SQL.update(PROFILE_SQL)
 
 
+_NICE_BINS = f"""WITH {_USER_CLV},
+    mm AS (SELECT min(clv_cumulative) AS lo, max(clv_cumulative) AS hi FROM uc),
+    steps AS (SELECT CASE WHEN e >= 0 THEN m * pow(10.0::DOUBLE, e) ELSE m / pow(10.0::DOUBLE, -e) END AS step
+              FROM range(-12, 16) x(e), (VALUES (1), (2), (5)) y(m)),
+    st AS (SELECT CASE WHEN lo = hi THEN 1.0::DOUBLE
+                  ELSE (SELECT min(step) FROM steps WHERE floor(hi / step) - floor(lo / step) + 1 <= 50) END AS step, lo, hi FROM mm),
+    ed AS (SELECT step, floor(lo / step) AS b0, floor(hi / step) AS b1 FROM st),
+    cnt AS (SELECT CLV_Group, floor(clv_cumulative / step) AS b, count(*) AS customers FROM ug, ed
+            WHERE clv_cumulative IS NOT NULL GROUP BY ALL),
+    dom AS (SELECT g.CLV_Group, unnest(range(CAST(b0 AS BIGINT), CAST(b1 AS BIGINT) + 1)) AS b, b0, step
+            FROM (SELECT DISTINCT CLV_Group FROM ug) g, ed)
+    SELECT CAST(dom.b - b0 AS INTEGER) AS bin, dom.CLV_Group,
+           CAST(round(CAST(dom.b * step AS DECIMAL(38,10)), 6) AS DOUBLE) AS bin_start,
+           CAST(round(CAST(dom.b * step + step AS DECIMAL(38,10)), 6) AS DOUBLE) AS bin_end,
+           CAST(COALESCE(cnt.customers, 0) AS BIGINT) AS customers
+    FROM dom LEFT JOIN cnt ON cnt.CLV_Group = dom.CLV_Group AND cnt.b = dom.b"""
+
+
+def _csv_types_sql() -> str:
+    """Types by the texts themselves; a value that is the text of a missing value counts as missing."""
+    parts = []
+    for c in _ITEM_COLS:
+        parts.append(f"""SELECT '{c}' AS column_name,
+           CASE WHEN count(v) = 0 THEN 'double'
+                WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+')) THEN 'bigint'
+                WHEN bool_and(regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')) THEN 'double'
+                WHEN bool_and(lower(v) IN ('true', 'false')) THEN 'boolean' ELSE 'string' END AS data_type,
+           bool_or(v IS NULL) AS has_missing
+    FROM (SELECT NULLIF(CAST({c} AS VARCHAR), '') AS v FROM order_items_raw)""")
+    return "\nUNION ALL ".join(parts)
+
+
+def _sketches_sql() -> str:
+    types = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "INTEGER": "int", "BOOLEAN": "boolean"}
+    numeric = {"ITEM_PRICE": "double", "ITEM_QUANTITY": "int"}
+    parts = []
+    for i, (c, t) in enumerate(RAW_SCHEMAS["order_items"][1]):
+        within = "TRUE" if c in numeric else "CAST(NULL AS BOOLEAN)"
+        parts.append(f"""SELECT '{c}' AS column_name, {i} AS position, '{types.get(t.upper(), t)}' AS data_type, count(*) AS rows,
+           count(*) FILTER (WHERE {c} IS NULL) AS missing, TRUE AS distinct_within_bound, {within} AS quartiles_within_bound
+    FROM order_items_profiled""")
+    return "\nUNION ALL ".join(parts)
+
+
+SQL |= {
+    "insight_clv_distribution_nice": _NICE_BINS,
+    "source_csv_multiline": "SELECT doc_id, lang, n_chars, sha256(text) AS text_sha256 FROM documents",
+    "source_csv_types": _csv_types_sql(),
+    "profile_sketches": _sketches_sql(),
+    # an incremental build must equal the full one
+    "gold_incremental_customer": SQL["gold_fact_customer"],
+    "gold_location_rebuilt": SQL["gold_location_daily"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in SQL.items()}
