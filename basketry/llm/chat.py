@@ -11,10 +11,14 @@ starts with the conversation's first system turn and up to ``history`` earlier
 turns (at most a quarter of the budget); these repeats carry no loss. Loss
 spans cover the text of each assistant turn in the one window where it is new.
 
-Scale: a conversation is cut into blocks of ``block_turns`` turn numbers and
-windows do not cross blocks, so no task gathers more than one block even when
-one conversation holds a third of all rows; the turns before a block travel to
-it as history.
+A window also ends at every multiple of ``block_turns`` turns, counted in order:
+a rule of the format, the same for every conversation. A budget that holds more
+turns than that needs a larger ``block_turns``.
+
+Scale: turns are numbered by ranges of (conversation, turn) and gathered by
+those blocks, so no task gathers more than one block even when one conversation
+holds a third of all rows or all turn numbers are null; the turns before a block
+travel to it as history.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.common import number_rows
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 LAST = (1 << 63) - 1
 
@@ -76,21 +82,13 @@ def format_windows(
         text.alias("text"),
         size.alias("tokens"),
     )
-    rows = rows.withColumn("block", F.expr(f"(turn - pmod(turn, {block_turns}L)) div {block_turns}L"))
+    rows = number_rows(rows, "conv", ["turn", "role", "text"], "pos", "chat-turns")
+    rows = rows.withColumn("block", F.floor(F.col("pos") / block_turns).cast("long"))
     # the last turns of a block are also the history of the next one
-    carried = F.pmod("turn", F.lit(block_turns)) >= block_turns - history
-    rows = rows.withColumn(
-        "place",
-        F.explode(
-            F.when(
-                carried & (F.col("turn") < LAST),
-                F.array(
-                    F.struct(F.col("block").alias("b"), F.lit(0).alias("new")),
-                    F.struct((F.col("block") + 1).alias("b"), F.lit(1).alias("new")),
-                ),
-            ).otherwise(F.array(F.struct(F.col("block").alias("b"), F.lit(0).alias("new"))))
-        ),
-    )
+    own = F.struct(F.col("block").alias("b"), F.lit(0).alias("new"))
+    next_one = F.struct((F.col("block") + 1).alias("b"), F.lit(1).alias("new"))
+    carried = F.pmod("pos", F.lit(block_turns)) >= block_turns - history
+    rows = rows.withColumn("place", F.explode(F.when(carried, F.array(own, next_one)).otherwise(F.array(own))))
     system = (
         rows.where((F.col("role") == system_role) & (F.col("place.new") == 0))
         .groupBy("conv")
@@ -98,7 +96,7 @@ def format_windows(
     )
     blocks = rows.groupBy("conv", F.col("place.b").alias("block")).agg(
         F.sort_array(
-            F.collect_list(F.struct("turn", "role", "text", F.col("place.new").alias("carried"), "tokens"))
+            F.collect_list(F.struct("pos", "turn", "role", "text", F.col("place.new").alias("carried"), "tokens"))
         ).alias("turns")
     )
     system = system.withColumnRenamed("conv", "conv_s")
@@ -147,7 +145,7 @@ def format_windows(
     )
     # the system turn is retained unless the window already shows it
     as_turn = F.struct(
-        F.col("system.turn").alias("turn"), F.col("system.role").alias("role"), F.col("system.text").alias("text"),
+        F.lit(-1).cast("long").alias("pos"), F.col("system.turn").alias("turn"), F.col("system.role").alias("role"), F.col("system.text").alias("text"),
         F.lit(0).alias("carried"), F.col("system.tokens").alias("tokens"),
     )
     same = lambda t: (t["turn"] == F.col("system.turn")) & (t["role"] == F.col("system.role")) & (t["text"] == F.col("system.text"))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.session import materialize
@@ -50,15 +49,26 @@ def utf8_values(column: pa.Array) -> list[bytes]:
     return [v or b"" for v in column.cast(kind).to_pylist()]
 
 
-def pack(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+def number_rows(df: DataFrame, group: str, order: list[str], out: str, name: str) -> DataFrame:
+    """``df`` plus ``out``: the place of each row in its group, from 0 on, by ``order`` (nulls first); stored on the way.
 
-
-def with_columns(batch: pa.RecordBatch, extra: dict[str, pa.Array]) -> pa.RecordBatch:
-    """``batch`` with columns appended (same order as the declared schema)."""
-    return pa.RecordBatch.from_arrays(
-        [*batch.columns, *extra.values()], names=[*batch.schema.names, *extra]
-    )
+    Rows are dealt by ranges of (group, order), so a group with a third of all
+    rows is spread like any other; a place is the place inside its range plus
+    the rows of earlier ranges. Equal rows get different places. A null group
+    is a group.
+    """
+    part, row = fresh_name(df.columns, "_part"), fresh_name(df.columns, "_row")
+    keys = [group, *order]
+    # the row number parts equal rows, of which a range could otherwise hold any number
+    ranged = df.withColumn(row, F.monotonically_increasing_id()).repartitionByRange(*keys, row)
+    ranged = stored(ranged.withColumn(part, F.spark_partition_id()).drop(row), name)
+    before = Window.partitionBy("g").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = ranged.groupBy(F.col(group).alias("g"), F.col(part).alias("p")).agg(F.count("*").alias("n"))
+    starts = counts.select("g", "p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy(group, part).orderBy(*order)) - 1
+    numbered = ranged.withColumn(out, inside)
+    joined = numbered.join(starts, numbered[group].eqNullSafe(starts.g) & (numbered[part] == starts.p))
+    return joined.select(*[numbered[c] for c in df.columns], (F.col("start") + numbered[out]).alias(out))
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:

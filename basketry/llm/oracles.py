@@ -25,7 +25,7 @@ LUHN = (
 
 CHAT = """
 WITH RECURSIVE t AS (
-  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  SELECT conv_id, COALESCE(turn, 9223372036854775807) AS turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), n AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS o,
@@ -41,24 +41,25 @@ WITH RECURSIVE t AS (
   FROM n WHERE n.o = 1
   UNION ALL
   SELECT n.conv_id, n.o, w.s + n.tok,
-         CASE WHEN w.s + n.tok - w.base > greatest(1, 1024 - COALESCE(sys.tok, 0) - 256) THEN w.s ELSE w.base END,
-         w.s + n.tok - w.base > greatest(1, 1024 - COALESCE(sys.tok, 0) - 256)
-  FROM w JOIN n ON n.conv_id = w.conv_id AND n.o = w.o + 1 LEFT JOIN sys ON sys.conv_id = w.conv_id
+         CASE WHEN (n.o - 1) % 512 = 0 OR w.s + n.tok - w.base > greatest(1, 1024 - COALESCE(sys.tok, 0) - 256) THEN w.s ELSE w.base END,
+         (n.o - 1) % 512 = 0 OR w.s + n.tok - w.base > greatest(1, 1024 - COALESCE(sys.tok, 0) - 256)
+  FROM w JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.o = w.o + 1
+         LEFT JOIN sys ON sys.conv_id IS NOT DISTINCT FROM w.conv_id
 ), win AS (
   SELECT conv_id, o, lead(o) OVER (PARTITION BY conv_id ORDER BY o) AS nxt FROM w WHERE opens
 ), hist AS (
   SELECT win.conv_id, win.o, win.nxt,
          CASE WHEN a.tok <= 256 THEN CASE WHEN a.tok + b.tok <= 256 THEN 2 ELSE 1 END ELSE 0 END AS nh,
          a.frame AS fa, b.frame AS fb
-  FROM win LEFT JOIN n a ON a.conv_id = win.conv_id AND a.o = win.o - 1
-           LEFT JOIN n b ON b.conv_id = win.conv_id AND b.o = win.o - 2
+  FROM win LEFT JOIN n a ON a.conv_id IS NOT DISTINCT FROM win.conv_id AND a.o = win.o - 1
+           LEFT JOIN n b ON b.conv_id IS NOT DISTINCT FROM win.conv_id AND b.o = win.o - 2
 ), again AS (
   SELECT h.conv_id, sum(
     CASE WHEN nh >= 1 THEN fa ELSE 0 END + CASE WHEN nh = 2 THEN fb ELSE 0 END
-    + CASE WHEN sys.conv_id IS NOT NULL AND NOT EXISTS (
-        SELECT 1 FROM n x WHERE x.conv_id = h.conv_id AND x.o >= h.o - h.nh AND (h.nxt IS NULL OR x.o < h.nxt)
+    + CASE WHEN sys.role IS NOT NULL AND NOT EXISTS (
+        SELECT 1 FROM n x WHERE x.conv_id IS NOT DISTINCT FROM h.conv_id AND x.o >= h.o - h.nh AND (h.nxt IS NULL OR x.o < h.nxt)
           AND x.turn = sys.turn AND x.role = sys.role AND x.text = sys.text) THEN sys.frame ELSE 0 END) AS repeated
-  FROM hist h LEFT JOIN sys ON sys.conv_id = h.conv_id GROUP BY h.conv_id
+  FROM hist h LEFT JOIN sys ON sys.conv_id IS NOT DISTINCT FROM h.conv_id GROUP BY h.conv_id
 ), c AS (
   SELECT conv_id, count(*) AS n_turns,
          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY o)) AS turns_sha256,
@@ -68,7 +69,7 @@ WITH RECURSIVE t AS (
   FROM n GROUP BY conv_id
 )
 SELECT c.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, CAST(frames + repeated AS BIGINT) AS formatted_chars
-FROM c JOIN again ON again.conv_id = c.conv_id
+FROM c JOIN again ON again.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
 
@@ -94,7 +95,7 @@ p{k} AS (SELECT host, template, count(*) AS kids, sum(cn) AS total, sum(cb) AS a
 j{k} AS (SELECT *, {err} FROM (SELECT k.*, kids, total, ab, ag, NULLIF(total - cn, 0) AS rest
          FROM k{k} k JOIN p{k} p ON k.host = p.host AND k.template = p.template)),
 s{k} AS (SELECT host, template, token,
-                CASE WHEN kids > 1 AND (kids > 64 OR NOT ({apart})) THEN '*' ELSE token END AS shown FROM j{k}),
+                CASE WHEN kids > 1 AND NOT ({apart}) THEN '*' ELSE token END AS shown FROM j{k}),
 t{k + 1} AS (SELECT t.host, t.segs, t.n, t.bad, t.good,
                     CASE WHEN s.shown IS NULL THEN t.template ELSE t.template || '/' || s.shown END AS template
              FROM t{k} t LEFT JOIN s{k} s ON len(t.segs) > {k} AND s.host = t.host AND s.template = t.template

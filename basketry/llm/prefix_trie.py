@@ -32,10 +32,10 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import stored
+from basketry.llm.common import number_rows, stored
 
 BLOCK = 512  # turns in one row
 LIMIT = 100_000  # turns in a container that is not burst (24 bytes each)
@@ -66,15 +66,7 @@ def turn_digests(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
 def number_turns(digests: DataFrame) -> DataFrame:
     """(conv, pos, id, size): turns by number (null first), equal numbers by digest, counted from 0."""
-    keys = ["conv", "turn", "id"]
-    # the row number parts equal rows, of which a range could otherwise hold any number
-    ranged = digests.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*keys, "row")
-    ranged = stored(ranged.withColumn("part", F.spark_partition_id()), "trie-turns")
-    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    counts = ranged.groupBy("conv", "part").agg(F.count("*").alias("n"))
-    starts = counts.select("conv", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = F.row_number().over(Window.partitionBy("conv", "part").orderBy("turn", "id")) - 1
-    return ranged.withColumn("at", inside).join(starts, ["conv", "part"]).select("conv", (F.col("start") + F.col("at")).alias("pos"), "id", "size")
+    return number_rows(digests, "conv", ["turn", "id"], "pos", "trie-turns").select("conv", "pos", "id", "size")
 
 
 def fork(numbered: DataFrame, head: Column, base: Column) -> tuple[DataFrame, DataFrame]:

@@ -2,10 +2,11 @@
 
 The tree: paths are cut into segments, digit runs generalise to ``#`` and the
 distinct (host, segments) are counted once with their labels, before any
-further shuffle. Level by level, a node's children become the wildcard ``*``
-when the node has more than ``max_children`` of them, or when a child's shares
-of bad and good labels do not differ from those of its siblings together (two
-two-proportion tests at ``z``). The leaves are templates; one is rejected when
+further shuffle. Level by level, a child becomes part of its node's wildcard
+``*`` when its shares of bad and good labels do not differ from those of its
+siblings together (two two-proportion tests at ``z``); a child that differs
+stays a branch of its own, however many siblings there are. The leaves are
+templates; one is rejected when
 its smoothed labelled purity (bad + strength * prior) / (bad + good +
 strength) reaches ``reject_at``.
 """
@@ -86,7 +87,7 @@ def segments(path: Column, depth: int = DEPTH) -> Column:
 
 
 def template_tree(
-    pages: DataFrame, label: str = "bad", depth: int = DEPTH, max_children: int = 64, z: float = 3.0
+    pages: DataFrame, label: str = "bad", depth: int = DEPTH, z: float = 3.0
 ) -> DataFrame:
     """(host, segs, template, n, bad, good): the template of every distinct (host, segments).
 
@@ -125,7 +126,7 @@ def template_tree(
             "host",
             "template",
             "token",
-            F.when((F.col("kids") > 1) & ((F.col("kids") > max_children) | ~(apart("cb", "B") | apart("cg", "G"))), F.lit("*"))
+            F.when((F.col("kids") > 1) & ~(apart("cb", "B") | apart("cg", "G")), F.lit("*"))
             .otherwise(F.col("token"))
             .alias("shown"),
         )
@@ -152,7 +153,6 @@ def filter_urls(
     strength: float = 5.0,
     prior: float = 0.2,
     reject_at: float = 0.8,
-    max_children: int = 64,
     z: float = 3.0,
     max_inline: int = MAX_INLINE_RULES,
 ) -> DataFrame:
@@ -176,7 +176,7 @@ def filter_urls(
     if label is None:
         ruled = ruled.withColumn("bad", F.col("rule_verdict") == "block")
     ruled = ruled.withColumn("segs", segments(F.col("path")))
-    tree = template_tree(ruled, "bad", DEPTH, max_children, z)
+    tree = template_tree(ruled, "bad", DEPTH, z)
     sums = tree.groupBy("host", "template").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
     purity = (F.col("b") + F.lit(strength * prior)) / (F.col("b") + F.col("g") + F.lit(strength))
     found = tree.select("host", "segs", "template").join(

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, queries, url_templates
+from basketry.llm import chat, oracles, queries, url_templates
 
 SF = "/root/testdata/sf0.001"
 
@@ -95,6 +95,42 @@ def test_control_strings_survive(spark):
     assert back[2].turns_blob == "<|r|>\\\nx\n\ny\n"
 
 
+def same_as_sql(df, sql, folder, table):
+    import duckdb
+
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
+    names = sorted(df.columns)
+    want = sorted(map(str, c.sql(f"SELECT {', '.join(names)} FROM ({sql})").fetchall()))
+    assert sorted(str(tuple(r)) for r in df.select(*names).collect()) == want
+
+
+def test_long_null_and_repeated_turns_equal_sql(spark, tmp_path):
+    """Conversations beyond one block, null and repeated turn numbers at size, and the null conversation."""
+    r = __import__("random").Random(4)
+    said = lambda: " ".join(r.choice(["a", "bé", "<|x", "\\", "42"]) for _ in range(r.choice([0, 1, 5, 40])))
+    rows = [(k, i, "system" if i == 3 and k > 600 else r.choice(["user", "assistant"]), said()) for k in (512, 513, 600, 1100, 1500) for i in range(k)]
+    rows += [(None, None if i % 2 else i, r.choice(["user", "assistant", None]), said() + str(i)) for i in range(700)]
+    rows += [(7, None, "user", f"null {i}") for i in range(1200)] + [(8, i // 300, "assistant", f"same {i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    same_as_sql(queries.op8_chat_windows(spark, str(tmp_path)), oracles.CHAT, tmp_path, "conversations")
+
+
+def test_many_siblings_equal_sql(spark, tmp_path):
+    """One bad branch among clean ones stays alone, at 63, 65 and 300 siblings."""
+    urls = []
+    for n in (63, 65, 300):
+        urls += [f"http://h{n}.example.com/s{chr(97 + k % 26)}{'abcdefghijkl'[k // 26]}/p" for k in range(n - 1) for _ in range(4)]
+        urls += [f"http://h{n}.example.com/de/{k}" for k in range(200)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    out = queries.op10_url_filter(spark, str(tmp_path))
+    for r in out.collect():
+        assert r.verdict == ("block" if r.path.startswith("/de/") else "allow"), r
+    same_as_sql(out, oracles.url_sql(queries.URL_RULES), tmp_path, "pages")
+
+
 def test_long_conversations_fall_into_blocks(spark):
     n = 60
     rows = [(1, i, ("system" if i == 0 else "user" if i % 2 else "assistant"), f"turn {i}") for i in range(n)]
