@@ -1,14 +1,15 @@
 """Quality rules from tokeniser fertility, with rejection bands per language or script.
 
-Every whole text is encoded with a public vocabulary. Three figures judge it:
-characters per token, the share of byte-fallback tokens and the entropy of its
-token distribution. Texts of one kind lie close together in all three, once
-their length is taken into account, so the bands are set per group (the
-document's language, or its script where it has none) and length class (the
-power of two below the token count): quartiles, widened by ``spread`` (entropy:
-``entropy_spread``) times the quartile distance. Junk (symbol noise, shouting, repeated words, keyword
-lists) falls outside. With ``distinct`` the quartiles are over distinct texts: copies of a text,
-however many, count once, so they do not narrow the band of the others.
+Every whole text is encoded with public vocabularies. Three figures of each
+judge it: characters per token, the share of tokens that are bytes rather than
+characters, and the entropy of its token distribution. Texts of one kind lie
+close together in all of them, once their length is taken into account, so the
+bands are set per group (the document's language, or its script where it has
+none) and length class (the power of two below the first vocabulary's token
+count): quartiles, widened by ``spread`` (entropy: ``entropy_spread``) times the
+quartile distance. Junk (symbol noise, shouting, repeated words, keyword lists)
+falls outside. The quartiles are over distinct texts: copies of a text, however
+many, count once, so they do not narrow the band of the others.
 
 Scale: one narrow pass over the texts, stored; copies combine map-side by
 (group, class, digest) and travel once per task; the quartiles are exact, from
@@ -19,7 +20,8 @@ length class.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import base64
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +34,46 @@ from basketry.llm.textstats import base_statistics, script
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FIGURES = ["chars_per_token", "byte_share", "entropy"]  # in thousandths
-STATS = "struct<" + ",".join(f"{c}:bigint" for c in [*BASE, "n_tokens", *FIGURES]) + ",script:string,digest:binary>"
 BATCH_CHARS = 1 << 20
 MIN_GROUP = 40  # a group with fewer texts sets no band of its own
 MAX_BANDS = 20_000  # most rows of the bands table that are sent to the tasks (about 2 MB)
 SALTS = 64  # pieces that a group falls into when the bands are joined instead
 
 
-def _vocabulary(path: str):
-    import sentencepiece
+def figure_names(vocabularies: int) -> list[str]:
+    """Names of the figures: plain for the first vocabulary, numbered from 2 on for the others."""
+    return [f"{c}_{v}" if v > 1 else c for v in range(1, vocabularies + 1) for c in FIGURES]
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    size = sp.get_piece_size()
-    return sp, np.array([sp.is_byte(i) for i in range(size)])
+
+def figures_of(measured: DataFrame, stats: str) -> list[str]:
+    return [c for c in measured.schema[stats].dataType.names if c.startswith(tuple(FIGURES))]
+
+
+def vocabulary(path: str) -> tuple[Callable[[list[str]], list[list[int]]], np.ndarray]:
+    """(encoder of texts, which ids stand for bytes that are no character) of a .model or .tiktoken file."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        return lambda texts: sp.encode(texts, num_threads=1), np.array([sp.is_byte(i) for i in range(sp.get_piece_size())])
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    is_byte = np.zeros(max(ranks.values()) + 1, bool)
+    for token, rank in ranks.items():
+        is_byte[rank] = not _is_text(token)
+    return lambda texts: [coder.encode_ordinary(t) for t in texts], is_byte
+
+
+def _is_text(token: bytes) -> bool:
+    try:
+        token.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def token_figures(text: str, ids: list[int], is_byte: np.ndarray) -> tuple[int, int, int, int]:
@@ -61,33 +90,41 @@ def token_figures(text: str, ids: list[int], is_byte: np.ndarray) -> tuple[int,
     )
 
 
-def add_statistics(docs: DataFrame, model: str, text_col: str = "text", out: str = "stats") -> DataFrame:
-    """``docs`` plus the struct ``out``; an existing column of that name is replaced. Null text: empty."""
+def add_statistics(docs: DataFrame, models: str | Sequence[str], text_col: str = "text", out: str = "stats") -> DataFrame:
+    """``docs`` plus the struct ``out``; an existing column of that name is replaced. Null text: empty.
+
+    ``models`` are vocabulary files (.model or .tiktoken) that every executor can open.
+    """
+    models = [models] if isinstance(models, str) else list(models)
+    figures = figure_names(len(models))
+    numbers = [*BASE, "n_tokens", *figures]
+    shape = "struct<" + ",".join(f"{c}:bigint" for c in numbers) + ",script:string,digest:binary>"
     keep = [c for c in docs.columns if c.lower() != out.lower()]
     text = fresh_name(keep, "_text")
     given = docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text_col).alias(text))
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.lit(None).cast(STATS)).schema
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.lit(None).cast(shape)).schema
 
-    def measured(texts: list[str], sp, is_byte: np.ndarray) -> list[dict]:
-        names = [*BASE, "n_tokens", *FIGURES, "script", "digest"]
+    def measured(texts: list[str], vocabularies: list[tuple]) -> list[dict]:
+        names = [*numbers, "script", "digest"]
         raw = [t.encode() for t in texts]
-        return [
-            dict(zip(names, (*base_statistics(r), *token_figures(t, ids, is_byte), script(t), xxhash.xxh3_128_digest(r))))
-            for t, r, ids in zip(texts, raw, sp.encode(texts, num_threads=1))
-        ]
+        rows = [[*base_statistics(r)] for r in raw]
+        for k, (encode, is_byte) in enumerate(vocabularies):
+            for row, t, ids in zip(rows, texts, encode(texts)):
+                row += token_figures(t, ids, is_byte)[1 if k else 0 :]  # the token count of the first one only
+        return [dict(zip(names, (*row, script(t), xxhash.xxh3_128_digest(r)))) for row, t, r in zip(rows, texts, raw)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.struct([*[(c, pa.int64()) for c in [*BASE, "n_tokens", *FIGURES]], ("script", pa.string()), ("digest", pa.binary())])
-        vocabulary = _vocabulary(model)
+        kind = pa.struct([*[(c, pa.int64()) for c in numbers], ("script", pa.string()), ("digest", pa.binary())])
+        vocabularies = [vocabulary(m) for m in models]
         for b in slices(batches):
             rows, some, size = [], [], 0
             for t in b.column(len(keep)).to_pylist():
                 some.append(t)
                 size += len(t)
                 if size >= BATCH_CHARS:
-                    rows += measured(some, *vocabulary)
+                    rows += measured(some, vocabularies)
                     some, size = [], 0
-            rows += measured(some, *vocabulary)
+            rows += measured(some, vocabularies)
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(rows, kind)], names=[*keep, out])
 
     return given.mapInArrow(run, schema)
@@ -97,21 +134,7 @@ def _class(tokens: Column) -> Column:
     return F.floor(F.log2(F.greatest(tokens, F.lit(1)).cast("double"))).cast("int")
 
 
-def bands(
-    measured: DataFrame, group: Column, stats: str = "stats", min_group: int = MIN_GROUP, distinct: bool = False
-) -> DataFrame:
-    """(group, class, and per figure its exact quartiles) over all rows (``distinct``: texts) with tokens."""
-    s = lambda c: F.col(f"{stats}.{c}")
-    rows = measured.where(s("n_tokens") > 0).select(
-        group.alias("group"), _class(s("n_tokens")).alias("class"), s("digest").alias("digest"), *[s(c).alias(c) for c in FIGURES]
-    )
-    if distinct:  # copies of a text have its figures too
-        rows = rows.groupBy("group", "class", "digest").agg(*[F.max(c).alias(c) for c in FIGURES])
-    quartiles = [F.percentile(c, [0.25, 0.5, 0.75]).alias(f"{c}_q") for c in FIGURES]
-    return rows.groupBy("group", "class").agg(F.count("*").alias("texts"), *quartiles).where(F.col("texts") >= min_group)
-
-
-def _nearest(values: DataFrame, key: str, min_group: int) -> DataFrame:
+def _nearest(values: DataFrame, key: str, min_group: int, figures: list[str]) -> DataFrame:
     """(key, class, enough, and per figure its quartiles) over the nearest classes of ``key`` that hold ``min_group`` texts.
 
     ``values`` has ``key``, ``class``, ``figure``, ``value`` and its count ``n``.
@@ -135,13 +158,11 @@ def _nearest(values: DataFrame, key: str, min_group: int) -> DataFrame:
     )
     near = reach.join(counts.withColumnRenamed("class", "other"), key).where(gap <= F.col("reach"))
     found = near.groupBy(key, "class", "enough", "figure").agg(F.percentile("value", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
-    quartiles = [F.max(F.when(F.col("figure") == i, F.col("q"))).alias(f"{c}_q") for i, c in enumerate(FIGURES)]
+    quartiles = [F.max(F.when(F.col("figure") == i, F.col("q"))).alias(f"{c}_q") for i, c in enumerate(figures)]
     return found.groupBy(key, "class", "enough").agg(*quartiles)
 
 
-def bands_for_all(
-    measured: DataFrame, group: Column, stats: str = "stats", min_group: int = MIN_GROUP, distinct: bool = False
-) -> DataFrame:
+def bands(measured: DataFrame, group: Column, stats: str = "stats", min_group: int = MIN_GROUP) -> DataFrame:
     """(group, script, class, and per figure its exact quartiles): a band for every text with tokens.
 
     A class with fewer than ``min_group`` texts of its group takes in the
@@ -152,26 +173,27 @@ def bands_for_all(
     letters (script ``common``) are judged there by all texts.
     """
     s = lambda c: F.col(f"{stats}.{c}")
+    figures = figures_of(measured, stats)
     rows = measured.where(s("n_tokens") > 0).select(
         group.alias("group"),
         s("script").alias("script"),
         _class(s("n_tokens")).alias("class"),
         s("digest").alias("digest"),
-        *[s(c).alias(c) for c in FIGURES],
+        *[s(c).alias(c) for c in figures],
     )
-    if distinct:
-        rows = rows.groupBy("group", "script", "class", "digest").agg(*[F.max(c).alias(c) for c in FIGURES])
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("figure"), F.col(c).alias("value")) for i, c in enumerate(FIGURES)]))
+    # copies of a text have its figures too
+    rows = rows.groupBy("group", "script", "class", "digest").agg(*[F.max(c).alias(c) for c in figures])
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("figure"), F.col(c).alias("value")) for i, c in enumerate(figures)]))
     values = rows.select("group", "script", "class", each.alias("v")).select("group", "script", "class", "v.*")
     values = stored(values.groupBy("group", "script", "class", "figure", "value").agg(F.count("*").alias("n")), "fertility-values")
     cells = values.select("group", "script", "class").distinct()
     pools = values.withColumn("script", F.explode(F.array_distinct(F.array("script", F.lit("common")))))
     named = [
-        _nearest(t, key, min_group).withColumnsRenamed({"enough": f"enough_{p}", **{f"{c}_q": f"{c}_{p}" for c in FIGURES}})
+        _nearest(t, key, min_group, figures).withColumnsRenamed({"enough": f"enough_{p}", **{f"{c}_q": f"{c}_{p}" for c in figures}})
         for t, key, p in ((values, "group", "g"), (pools, "script", "s"))
     ]
     joined = cells.join(named[0], ["group", "class"]).join(named[1], ["script", "class"])
-    picked = [F.when(F.col("enough_g"), F.col(f"{c}_g")).otherwise(F.col(f"{c}_s")).alias(f"{c}_q") for c in FIGURES]
+    picked = [F.when(F.col("enough_g"), F.col(f"{c}_g")).otherwise(F.col(f"{c}_s")).alias(f"{c}_q") for c in figures]
     return joined.select("group", "script", "class", *picked)
 
 
@@ -179,38 +201,35 @@ def judge(
     measured: DataFrame,
     lang_col: str | None = "lang",
     stats: str = "stats",
-    spread: float = 4.5,
+    spread: float = 5.0,
     entropy_spread: float = 2.5,
     min_words: int = 20,
     max_repeat_pct: int = 30,
     min_group: int = MIN_GROUP,
     max_bands: int = MAX_BANDS,
-    distinct: bool = False,
-    small_groups: bool = False,
     out: tuple[str, str] = ("base_failed", "kept"),
 ) -> DataFrame:
     """``measured`` plus ``base_failed`` and ``kept``, named by ``out`` (columns of these names are replaced).
 
     ``base_failed``: under ``min_words`` words, or more than
     ``max_repeat_pct`` percent of them in repeated windows. ``kept``: not
-    ``base_failed``, and no figure outside its band; characters per token and
-    entropy are held on both sides and below respectively, the byte share
-    above. A text without tokens, or of a group too small for a band, is
-    judged by the base rules alone. ``distinct`` sets the bands over distinct
-    texts (and counts those for ``min_group``) instead of rows;
-    ``small_groups`` gives small groups the bands of :func:`bands_for_all`. The bands go to the tasks when they have at
-    most ``max_bands`` rows, and are joined on salted groups otherwise. ``measured`` is read twice (bands, then
-    verdicts): store it first.
+    ``base_failed``, and no figure outside its band (:func:`bands`); characters
+    per token are held on both sides, entropy below, the byte share above. A
+    text without tokens is judged by the base rules alone. The bands go to the
+    tasks when they have at most ``max_bands`` rows, and are joined on salted
+    groups otherwise. ``measured`` is read twice (bands, then verdicts): store
+    it first.
     """
+    figures = figures_of(measured, stats)
     has_lang = lang_col is not None and lang_col.lower() in [c.lower() for c in measured.columns]
     s = lambda c: F.col(f"{stats}.{c}")
     group = F.coalesce(F.col(f"`{lang_col}`").cast("string"), s("script")) if has_lang else s("script")
-    limits = (bands_for_all if small_groups else bands)(measured, group, stats, min_group, distinct)
+    limits = bands(measured, group, stats, min_group)
     keep = [c for c in measured.columns if c.lower() not in [o.lower() for o in out]]
     g, k, w = fresh_name(keep, "_group"), fresh_name(keep, "_class"), fresh_name(keep, "_script")
-    on = [g, k, w] if small_groups else [g, k]
-    limits = limits.withColumnsRenamed({"group": g, "class": k, "script": w, **{f"{c}_q": fresh_name(keep, f"_{c}_q") for c in FIGURES}})
-    q = {c: fresh_name(keep, f"_{c}_q") for c in FIGURES}
+    on = [g, k, w]
+    limits = limits.withColumnsRenamed({"group": g, "class": k, "script": w, **{f"{c}_q": fresh_name(keep, f"_{c}_q") for c in figures}})
+    q = {c: fresh_name(keep, f"_{c}_q") for c in figures}
 
     def below(c: str, least: int, by: float) -> Column:
         lo, hi = F.col(q[c])[0], F.col(q[c])[2]
@@ -221,12 +240,14 @@ def judge(
         return s(c) > hi + by * F.greatest(hi - lo, F.lit(least))
 
     # least widths, in thousandths: a group of copies has no spread of its own
-    outside = (
-        below("chars_per_token", 20, spread)
-        | above("chars_per_token", 20, spread)
-        | below("entropy", 50, entropy_spread)
-        | above("byte_share", 5, spread)
-    )
+    outside = F.lit(False)
+    for c in figures:
+        if c.startswith("chars_per_token"):
+            outside = outside | below(c, 20, spread) | above(c, 20, spread)
+        elif c.startswith("entropy"):
+            outside = outside | below(c, 50, entropy_spread)
+        else:
+            outside = outside | above(c, 5, spread)
     base = (s("n_words") < min_words) | (100 * s("n_repeat_words") > max_repeat_pct * s("n_words"))
     rows = measured.select(*[F.col(f"`{c}`") for c in keep], group.alias(g), _class(s("n_tokens")).alias(k), s("script").alias(w))
     limits = stored(limits, "fertility-bands")
@@ -234,7 +255,7 @@ def judge(
         joined = rows.join(F.broadcast(limits), on, "left")
     else:  # a few groups hold most rows: each is dealt into pieces, and its band copied to them
         salt = fresh_name([*keep, g, k, w, *q.values()], "_salt")
-        piece = F.pmod(F.xxhash64(*[s(c) for c in FIGURES], s("n_words")), F.lit(SALTS)).cast("int")
+        piece = F.pmod(F.xxhash64(*[s(c) for c in figures], s("n_words")), F.lit(SALTS)).cast("int")
         copies = limits.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = rows.withColumn(salt, piece).join(copies, [*on, salt], "left")
     return joined.select(
@@ -245,7 +266,12 @@ def judge(
 
 
 def quality_rules(
-    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", **rules
+    docs: DataFrame,
+    models: str | Sequence[str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str | None = "lang",
+    **rules,
 ) -> DataFrame:
     """One row per row of ``docs``: id, the base statistics, ``base_failed``, ``kept``, tokens and figures.
 
@@ -255,8 +281,9 @@ def quality_rules(
     """
     langs = [lang_col] if lang_col and lang_col.lower() in [c.lower() for c in docs.columns] else []
     own = docs.select(*dict.fromkeys([id_col, text_col, *langs]))
-    measured = add_statistics(own, model, text_col).select(id_col, *langs, "stats")
+    measured = add_statistics(own, models, text_col).select(id_col, *langs, "stats")
+    figures = figures_of(measured, "stats")
     judged = judge(stored(measured, "fertility"), lang_col, **rules)
     return judged.select(
-        id_col, *[f"stats.{c}" for c in BASE], "base_failed", "kept", "stats.n_tokens", *[f"stats.{c}" for c in FIGURES]
+        id_col, *[f"stats.{c}" for c in BASE], "base_failed", "kept", "stats.n_tokens", *[f"stats.{c}" for c in figures]
     )

@@ -21,6 +21,11 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def quality_vocabularies() -> list[str]:
+    """The vocabularies of the quality rules: pieces with byte fallback, and byte pairs for many languages."""
+    return [tokenizer_path(), tokenizer_path("byte_bpe_multi_50k.tiktoken")]
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents; a cache of its own, so that every run does the whole work."""
     cache = f"{ensure_checkpoint_dir(spark)}/token-cache-{uuid.uuid4().hex}"
@@ -34,7 +39,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics, tokeniser fertility and the verdict on all documents."""
-    return fertility.quality_rules(table(spark, sf_dir, "documents"), tokenizer_path(), distinct=True, small_groups=True)
+    return fertility.quality_rules(table(spark, sf_dir, "documents"), quality_vocabularies())
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,22 +49,63 @@ def test_op3_keeps_clean_documents_and_rejects_junk(spark):
     assert sum(junk) <= 0.6 * len(junk)
 
 
-def test_bands_against_numpy(spark, model):
-    """The verdicts follow from the exact quartiles of each group and length class."""
+def brute_kept(rows, figures):
+    """The verdicts as registered, from sorted lists: distinct texts, nearest classes, script where a language is too small."""
     import numpy as np
 
-    docs = spark.read.parquet(f"{SF001}/documents.parquet")
-    rows = fertility.quality_rules(docs, model).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
-    rows = rows[rows.n_tokens > 0]
+    once = rows.drop_duplicates(["lang", "script", "cls", "text"])
+    pools = {("g", g): d for g, d in once.groupby("lang")} | {("s", g): d for g, d in once.groupby("script")} | {("s", "common"): once}
+
+    def quartiles(pool, cls, c):
+        near = sorted(set(abs(pool.cls - cls)))
+        for reach in near:
+            some = pool[abs(pool.cls - cls) <= reach]
+            if len(some) >= fertility.MIN_GROUP:
+                return True, np.quantile(some[c], [0.25, 0.75])
+        return False, np.quantile(pool[c], [0.25, 0.75])
+
+    kept = []
+    for r in rows.itertuples():
+        bad = False
+        for c in figures:
+            enough, (lo, hi) = quartiles(pools["g", r.lang], r.cls, c)
+            if not enough:
+                lo, hi = quartiles(pools["s", r.script], r.cls, c)[1]
+            kind = c.removesuffix("_2")
+            least, by, sides = {"chars_per_token": (20, 5.0, "lh"), "entropy": (50, 2.5, "l"), "byte_share": (5, 5.0, "h")}[kind]
+            w, v = max(hi - lo, least), getattr(r, c)
+            bad |= ("l" in sides and v < lo - by * w) or ("h" in sides and v > hi + by * w)
+        kept.append(not r.base_failed and not bad)
+    return kept
+
+
+def test_registered_verdicts_against_brute_force(spark):
+    import numpy as np
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rows = queries.op3_quality_rules(spark, SF).join(docs, "doc_id").toPandas()
+    rows = rows[rows.n_tokens > 0].copy()
     rows["cls"] = np.floor(np.log2(rows.n_tokens)).astype(int)
-    for _, g in rows.groupby(["lang", "cls"]):
-        bad = np.zeros(len(g), bool)
-        if len(g) >= fertility.MIN_GROUP:
-            for c, least, by, sides in (("chars_per_token", 20, 4.5, "lh"), ("entropy", 50, 2.5, "l"), ("byte_share", 5, 4.5, "h")):
-                lo, hi = np.quantile(g[c], [0.25, 0.75])
-                w = max(hi - lo, least)
-                bad |= ("l" in sides) & (g[c] < lo - by * w) | ("h" in sides) & (g[c] > hi + by * w)
-        assert (g.kept == (~g.base_failed & ~bad)).all()
+    rows["script"] = rows.text.map(textstats.script)
+    rows["lang"] = rows.lang.fillna(rows.script)
+    figures = fertility.figure_names(2)
+    assert set(figures) < set(rows.columns)
+    assert rows.kept.tolist() == brute_kept(rows, figures)
+
+
+def test_figures_of_the_second_vocabulary(spark, model):
+    import numpy as np
+
+    path = queries.quality_vocabularies()[1]
+    encode, is_byte = fertility.vocabulary(path)
+    texts = ["plain words here", "日本語と😀", "été", "", "<|endoftext|> x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.stats for r in fertility.add_statistics(df, [model, path]).collect()}
+    for i, (t, ids) in enumerate(zip(texts, encode(texts))):
+        share = np.unique(ids, return_counts=True)[1] / max(len(ids), 1)
+        assert got[i].chars_per_token_2 == (round(1000 * len(t) / len(ids)) if ids else 0)
+        assert got[i].byte_share_2 == (round(1000 * sum(map(bool, is_byte[ids])) / len(ids)) if ids else 0)
+        assert got[i].entropy_2 == round(-1000 * float((share * np.log2(share)).sum()))
 
 
 def test_bands_joined_on_salted_groups(spark, model):
@@ -77,17 +118,15 @@ def test_copies_leave_other_verdicts_unchanged(spark, model):
     """A document copied until it holds a third of the rows does not narrow the band of its cell."""
     docs = spark.read.parquet(f"{SF001}/documents.parquet").where("lang = 'en'").groupBy("text", "lang").agg(F.min("doc_id").alias("doc_id"))
     labels = spark.read.parquet(f"{SF001}/labels.parquet").where("quality = 1")
-    plain = fertility.quality_rules(docs, model, distinct=True).join(labels, "doc_id", "left")
+    plain = fertility.quality_rules(docs, model).join(labels, "doc_id", "left")
     rows = [r for r in plain.collect() if r.kept and r.quality == 1 and 256 <= r.n_tokens < 512]
     hot = docs.where(F.col("doc_id") == max(rows, key=lambda r: r.chars_per_token).doc_id)
     copies = hot.withColumn("doc_id", F.explode(F.sequence(F.lit(-300).cast("long"), F.lit(-1).cast("long"))))
     both = docs.unionByName(copies.select(docs.columns))
     want = {r.doc_id: r.kept for r in plain.collect()}
-    got = {r.doc_id: r.kept for r in fertility.quality_rules(both, model, distinct=True).collect()}
-    by_rows = {r.doc_id: r.kept for r in fertility.quality_rules(both, model).collect()}
+    got = {r.doc_id: r.kept for r in fertility.quality_rules(both, model).collect()}
     assert {k: v for k, v in got.items() if k >= 0} == want
     assert all(got[k] for k in range(-300, 0))
-    assert any(by_rows[k] != v for k, v in want.items())  # what the copies do to quartiles over rows
 
 
 def test_small_groups_are_judged(spark, model):
@@ -96,8 +135,8 @@ def test_small_groups_are_judged(spark, model):
 
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang")
     own = fertility.add_statistics(docs, model).cache()
-    table = fertility.bands_for_all(own, F.col("lang")).collect()
-    rows = own.where("stats.n_tokens > 0").select("lang", "stats.*").toPandas()
+    table = fertility.bands(own, F.col("lang")).collect()
+    rows = own.where("stats.n_tokens > 0").select("lang", "text", "stats.*").toPandas().drop_duplicates(["lang", "text"])
     rows["cls"] = np.floor(np.log2(rows.n_tokens)).astype(int)
     assert {(r.group, r.script, r["class"]) for r in table} == set(zip(rows.lang, rows.script, rows.cls))
     for r in table:
@@ -108,13 +147,9 @@ def test_small_groups_are_judged(spark, model):
             assert np.allclose(r[f"{c}_q"], np.quantile(near[c], [0.25, 0.5, 0.75]))
     junk = spark.read.parquet(f"{SF001}/labels.parquet").where("quality = 0")
     small = rows.groupby(["lang", "cls"]).size()
-    was, now = (
-        [r for r in fertility.quality_rules(docs, model, small_groups=on).join(docs.select("doc_id", "lang"), "doc_id")
-         .join(junk, "doc_id").where("not base_failed and n_tokens > 0").collect()
-         if small[r.lang, int(np.log2(r.n_tokens))] < fertility.MIN_GROUP]
-        for on in (False, True)
-    )
-    assert was and all(r.kept for r in was) and sum(r.kept for r in now) < len(now)
+    found = fertility.quality_rules(docs, model).join(docs.select("doc_id", "lang"), "doc_id").join(junk, "doc_id")
+    few = [r.kept for r in found.where("not base_failed and n_tokens > 0").collect() if small[r.lang, int(np.log2(r.n_tokens))] < fertility.MIN_GROUP]
+    assert sum(few) < len(few)
 
 
 def test_small_groups_few_texts(spark, model, odd_docs):
@@ -128,15 +163,15 @@ def test_small_groups_few_texts(spark, model, odd_docs):
     more = spark.createDataFrame(
         [(-1, " ".join(f"{'#' * (i % 5 + 20)}" for i in range(60)), "en"), (-2, greek, "el")], some.schema
     )
-    got = {r.doc_id: r for r in fertility.quality_rules(some.unionByName(more), model, small_groups=True, max_repeat_pct=100).collect()}
+    got = {r.doc_id: r for r in fertility.quality_rules(some.unionByName(more), model, max_repeat_pct=100).collect()}
     assert not got[-1].kept and not got[-1].base_failed and got[-2].kept
     a, b = (
-        {r.doc_id: r.kept for r in fertility.quality_rules(clean.drop("quality"), model, small_groups=True, max_bands=n).collect()}
+        {r.doc_id: r.kept for r in fertility.quality_rules(clean.drop("quality"), model, max_bands=n).collect()}
         for n in (20_000, 0)
     )
     assert a == b
-    assert fertility.quality_rules(odd_docs, model, small_groups=True, distinct=True).count() == odd_docs.count()
-    assert fertility.quality_rules(odd_docs.limit(0), model, small_groups=True, distinct=True).count() == 0
+    assert fertility.quality_rules(odd_docs, model).count() == odd_docs.count()
+    assert fertility.quality_rules(odd_docs.limit(0), model).count() == 0
 
 
 def test_scripts():
