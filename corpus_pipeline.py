@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from basketry.llm import decontaminate, fertility, line_dedup, pieces, simhash
 from basketry.llm.common import fresh_name, stored, table
-from basketry.llm.queries import tokenizer_path
+from basketry.llm.queries import quality_vocabularies, tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     stats, failed, kept = (fresh_name(docs.columns, c) for c in ("_stats", "_failed", "_kept"))
-    measured = stored(fertility.add_statistics(docs, tokenizer_path(), out=stats), "stage-quality")
-    judged = fertility.judge(measured, stats=stats, distinct=True, small_groups=True, out=(failed, kept))
+    measured = stored(fertility.add_statistics(docs, quality_vocabularies(), out=stats), "stage-quality")
+    judged = fertility.judge(measured, stats=stats, out=(failed, kept))
     return judged.where(F.col(kept)).select(*docs.columns)
 
 
