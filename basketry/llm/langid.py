@@ -6,16 +6,19 @@ to three before it. Counts of four-character sequences come from all training
 text; everything else (continuation counts, discounts, probabilities, back-off
 weights) follows from them in grouped aggregations.
 
-The finished model is one sorted array of hashes per order with a matrix of
-log-probabilities (one column per language) beside it. Hashes have ``BITS``
-bits, so an order has at most 2^BITS entries (8 bytes each) per language
-whatever the corpus: that bounds what is sent to the executors. A word's cost is the sum over its characters;
-the language with the lowest cross-entropy per character wins, and a text whose
-cross-entropy lies beyond what training texts of that language show is marked
-``rejected``.
+The finished model is, per order, one sorted array of 64-bit hashes with the
+(language, log-probability) entries of each beside it; only entries that exist
+are kept, so its size is that of the distinct sequences. The hash of a packed
+sequence is one-to-one, so no two meet. A word's cost is the sum over its
+characters; the language with the lowest cross-entropy per character wins, and a
+text whose cross-entropy lies beyond what texts of that language show is marked
+``rejected``. Those limits come from a tenth of the training texts, scored by a
+model that has not counted them.
 
 Scale: distinct words are counted per batch and only their sequences leave the
-task, already summed; scoring looks each distinct word of a batch up once.
+task, already summed; scoring looks each distinct word of a batch up once. A
+model of at most ``MAX_MODEL`` entries goes to the tasks; a larger one stays a
+table, and the sequences of the corpus's distinct words are joined to it.
 """
 
 from __future__ import annotations
@@ -28,17 +31,20 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices, stored, text_or_empty
+from basketry.llm.common import fresh_name, slices, stored, text_or_empty
 
 ORDER = 4
-BITS = 22
 PAD, STOP = 2, 3  # control characters that no word holds
 BATCH_CHARS = 1 << 23
 WORDS = re.compile(r"[^\W\d_]+").findall  # runs of letters
 UNKNOWN = "und"
+MAX_MODEL = 20_000_000  # most model entries sent to the tasks (about 20 bytes each)
+FOLDS = 10  # one of so many parts of the training texts sets the rejection limits
+MIN_CLASS = 40  # held-back texts that a limit is taken from
 COST_CLASS = 8  # rejection limits are per power of two of the length, up to this one
 
 
@@ -69,7 +75,7 @@ def grams(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slot(keys: np.ndarray) -> np.ndarray:
-    """``BITS``-bit hash of packed codes: the upper bits of Spark's ``xxhash64`` of a long."""
+    """Spark's ``xxhash64`` of a long, unsigned; one-to-one on longs."""
     # The five primes of XXH64; 42 is the seed of the SQL function.
     p1, p2, p3, p4, p5 = (
         np.uint64(x)
@@ -80,7 +86,7 @@ def slot(keys: np.ndarray) -> np.ndarray:
     h = turn(h, 27) * p1 + p4
     h = (h ^ (h >> np.uint64(33))) * p2
     h = (h ^ (h >> np.uint64(29))) * p3
-    return ((h ^ (h >> np.uint64(32))) >> np.uint64(64 - BITS)).astype(np.uint32)
+    return h ^ (h >> np.uint64(32))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[list[list], list[str]]]:
@@ -100,14 +106,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[lis
 
 
 def count_sequences(train: DataFrame) -> DataFrame:
-    """(lang, g, n): how often each sequence of four occurs; ``train`` has ``lang`` and ``text``."""
+    """(lang, g, n, held): how often each sequence of four occurs, and how often in the texts that set the limits.
+
+    ``train`` has ``lang`` and ``text``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (langs,), texts in _blocks(batches, 1):
-            seen: dict[str, Counter] = defaultdict(Counter)
-            for lang, t in zip(langs, texts):
-                seen[lang].update(words_of(t))
-            for lang, found in seen.items():
+        for (langs, held), texts in _blocks(batches, 2):
+            seen: dict[tuple, Counter] = defaultdict(Counter)
+            for lang, h, t in zip(langs, held, texts):
+                seen[lang, h].update(words_of(t))
+            for (lang, h), found in seen.items():
                 words = list(found)
                 if not words:
                     continue
@@ -122,11 +131,19 @@ def count_sequences(train: DataFrame) -> DataFrame:
                         pa.array([lang] * len(first), pa.string()),
                         pa.array(key[first].view(np.int64)),
                         pa.array(np.add.reduceat(times, first)),
+                        pa.array(np.add.reduceat(times, first) * h),
                     ],
-                    names=["lang", "g", "n"],
+                    names=["lang", "g", "n", "held"],
                 )
 
-    return train.select("lang", "text").mapInArrow(run, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
+    given = train.select("lang", sets_limits(F.col("text")).alias("h"), "text")
+    counted = given.mapInArrow(run, "lang string, g long, n long, held long")
+    return counted.groupBy("lang", "g").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
+
+
+def sets_limits(text: Column) -> Column:
+    """Is this training text one of those that set the limits? By its content, so copies go together."""
+    return F.pmod(F.xxhash64(text, F.lit(5)), F.lit(FOLDS)) == 0
 
 
 MODEL_ROW = "lang string, k int, g long, kind string, value double"
@@ -136,7 +153,7 @@ SMALL = 500_000  # most rows of a lookup table sent to the tasks (up to 40 bytes
 def model_rows(counts: DataFrame) -> DataFrame:
     """Natural-log probabilities (``p``) and back-off weights (``b``) of every order, as ``MODEL_ROW``."""
     spark = counts.sparkSession
-    levels = {ORDER: counts}
+    levels = {ORDER: counts.select("lang", "g", "n")}
     for k in range(ORDER - 1, 0, -1):
         # continuation counts: how many different characters come before the sequence
         tail = F.col("g").bitwiseAND(F.lit((1 << 16 * k) - 1))
@@ -180,24 +197,42 @@ def model_rows(counts: DataFrame) -> DataFrame:
     return out
 
 
+class Entries:
+    """Sorted distinct hashes; each has a run of (language, value) entries."""
+
+    def __init__(self, hashes: np.ndarray, lang: np.ndarray, value: np.ndarray):
+        order = np.lexsort((lang, hashes))
+        hashes, self.lang, self.value = hashes[order], lang[order], value[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(hashes)), bool), hashes[1:] != hashes[:-1])))
+        self.hashes, self.ends = hashes[first], np.append(first, len(hashes))
+
+    def look(self, keys: np.ndarray, langs: int) -> np.ndarray:
+        """(keys, languages) values; NaN where there is none."""
+        out = np.full((len(keys), langs), np.nan, np.float32)
+        if len(self.hashes):
+            s = slot(keys)
+            at = np.minimum(np.searchsorted(self.hashes, s), len(self.hashes) - 1)
+            row = np.flatnonzero(self.hashes[at] == s)
+            lo, n = self.ends[at[row]], self.ends[at[row] + 1] - self.ends[at[row]]
+            place = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            out[np.repeat(row, n), self.lang[place]] = self.value[place]
+        return out
+
+
 @dataclass
 class Models:
-    """Per order: sorted hashes and a (hashes, languages) matrix; unseen entries are NaN."""
+    """Per order, the log-probabilities ``p`` and back-off weights ``back``: (hashes, languages, values) each."""
 
     langs: list[str]
-    p: dict[int, tuple[np.ndarray, np.ndarray]]
-    back: dict[int, tuple[np.ndarray, np.ndarray]]
+    p: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    back: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     floor: np.ndarray
 
-    def _look(self, part: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-        hashes, values = part
-        if not len(hashes):
-            return np.full((len(keys), len(self.langs)), np.nan, np.float32)
-        s = slot(keys)
-        at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
-        out = values[at]
-        out[hashes[at] != s] = np.nan
-        return out
+    def __post_init__(self):
+        self.tables = {(kind, k): Entries(*part) for kind, parts in (("p", self.p), ("b", self.back)) for k, part in parts.items()}
+
+    def _look(self, kind: str, order: int, keys: np.ndarray) -> np.ndarray:
+        return self.tables[kind, order].look(keys, len(self.langs))
 
     def word_costs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(negative log-probability of each word in each language, characters predicted)."""
@@ -211,35 +246,28 @@ class Models:
         lp = np.broadcast_to(self.floor, (len(distinct), len(self.langs)))
         for order in range(1, ORDER + 1):
             part = distinct & np.uint64((1 << 16 * order) - 1)
-            own = self._look(self.p[order], part)
+            own = self._look("p", order, part)
             # an unseen context leaves the lower order as it is
-            weight = np.nan_to_num(self._look(self.back[order], part >> np.uint64(16)), nan=0.0)
+            weight = np.nan_to_num(self._look("b", order, part >> np.uint64(16)), nan=0.0)
             lp = np.where(np.isnan(own), lp + weight, own)
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         return -np.add.reduceat(lp[which].astype(np.float64), starts, axis=0), sizes
 
 
 def collect_models(rows: DataFrame) -> Models:
-    """Sorted arrays of the model; entries whose hashes meet share the larger value."""
-
-    place = F.shiftrightunsigned(F.xxhash64("g"), 64 - BITS).alias("slot")
-    # at most 2^BITS slots per language, order and kind reach the driver
-    found = rows.groupBy("lang", "k", "kind", place).agg(F.max("value").cast("float").alias("value")).toArrow()
-    langs = sorted(set(found.column("lang").to_pylist()))
-    lang = np.searchsorted(langs, np.array(found.column("lang").to_pylist(), dtype=object)) if langs else np.zeros(0, int)
-    k, s, v = (found.column(c).to_numpy() for c in ("k", "slot", "value"))
-    is_p = np.array(found.column("kind").to_pylist(), dtype=object) == "p"
-    parts: dict[bool, dict[int, tuple[np.ndarray, np.ndarray]]] = {True: {}, False: {}}
+    """The model's entries as arrays; ``rows`` are at most ``MAX_MODEL``."""
+    found = rows.select("lang", "k", "kind", F.xxhash64("g").alias("h"), F.col("value").cast("float").alias("value")).toArrow()
+    lang = found.column("lang").combine_chunks().dictionary_encode() if found.num_rows else pa.array([], pa.string()).dictionary_encode()
+    names = lang.dictionary.to_pylist()
+    langs = sorted(names)
+    place = np.array([langs.index(n) for n in names], np.uint16)[lang.indices.to_numpy()] if names else np.zeros(0, np.uint16)
+    k, h, v = (found.column(c).to_numpy() for c in ("k", "h", "value"))
+    h = h.view(np.uint64)
+    is_p = pc.equal(found.column("kind"), "p").to_numpy()
     floor = np.zeros(len(langs), np.float32)
-    floor[lang[k == 0]] = v[k == 0]
-    for kind in (True, False):
-        for order in range(1, ORDER + 1):
-            m = (k == order) & (is_p == kind)
-            hashes = np.unique(s[m])
-            values = np.full((len(hashes), len(langs)), np.nan, np.float32)
-            values[np.searchsorted(hashes, s[m]), lang[m]] = v[m]
-            parts[kind][order] = (hashes.astype(np.uint32), values)
-    return Models(langs, parts[True], parts[False], floor)
+    floor[place[k == 0]] = v[k == 0]
+    parts = [{o: (h[m], place[m], v[m]) for o in range(1, ORDER + 1) for m in [(k == o) & (is_p == kind)]} for kind in (True, False)]
+    return Models(langs, *parts, floor)
 
 
 def score_documents(docs: DataFrame, models: Models, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -285,13 +313,96 @@ def score_documents(docs: DataFrame, models: Models, keep: list[str], text_col:
     return given.mapInArrow(run, schema)
 
 
+def score_by_join(docs: DataFrame, rows: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
+    """As :func:`score_documents`, with the model as a table that nothing holds in whole.
+
+    The distinct words' sequences meet the table by key; costs of words then
+    meet the documents. Joins on frequent words are split by adaptive execution.
+    """
+    spark = docs.sparkSession
+    rows = rows.select("lang", "k", "kind", "g", F.col("value").cast("float").cast("double").alias("value"))
+    langs = sorted(r.lang for r in rows.where("k = 0").select("lang").collect())  # one per language
+    row = fresh_name(keep, "_row")
+    given = stored(docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text_col).alias("_text")).withColumn(row, F.monotonically_increasing_id()), "langid-rows")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            out = [(i, w, n) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w, n in Counter(words_of(t)).items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 3, (pa.int64(), pa.string(), pa.int64()))], names=["row", "word", "n"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            words = b.column(0).to_pylist()
+            if not words:
+                continue
+            c, sizes = codes(words)
+            key, _ = grams(c)
+            place = np.arange(len(key)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            for k in range(1, ORDER + 1):
+                part = key & np.uint64((1 << 16 * k) - 1)
+                for kind, keys in (("p", part), ("b", part >> np.uint64(16))):
+                    columns = [pa.array(np.repeat(np.array(words, object), sizes), pa.string()), pa.array(place), pa.array([k] * len(key), pa.int32()), pa.array([kind] * len(key)), pa.array(keys.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["word", "at", "k", "kind", "g"])
+
+    held = stored(given.select(row, "_text").mapInArrow(split, "row long, word string, n long"), "langid-words")
+    words = held.select("word").distinct()
+    met = words.mapInArrow(cut, "word string, at long, k int, kind string, g long").join(rows.where("k > 0"), ["k", "kind", "g"])
+    is_p = F.col("kind") == "p"
+    back = [F.max(F.when(~is_p & (F.col("k") == k), F.col("value"))).alias(f"b{k}") for k in range(1, ORDER + 1)]
+    chars = met.groupBy("word", "lang", "at").agg(
+        F.coalesce(F.max(F.when(is_p, F.col("k"))), F.lit(0)).alias("top"),
+        F.max_by(F.when(is_p, F.col("value")), F.when(is_p, F.col("k"))).alias("p"),
+        *back,
+    )
+    floors = F.create_map(*[F.lit(x) for r in rows.where("k = 0").collect() for x in (r.lang, r.value)]) if langs else F.create_map()
+    lost = [F.when(F.col("top") < k, F.coalesce(f"b{k}", F.lit(0.0))).otherwise(F.lit(0.0)) for k in range(1, ORDER + 1)]
+    own = F.coalesce("p", floors[F.col("lang")])
+    for x in lost:
+        own = own + x
+    known = chars.groupBy("word", "lang").agg(F.sum(own).alias("lp"), F.count("*").alias("seen"))
+    every = words.withColumn("lang", F.explode(F.array(*[F.lit(x) for x in langs]).cast("array<string>")))
+    costs = every.join(known, ["word", "lang"], "left").select(
+        "word",
+        "lang",
+        # characters of which the table has nothing cost the floor
+        (-F.coalesce("lp", F.lit(0.0)) - (F.length("word") + 1 - F.coalesce("seen", F.lit(0))) * floors[F.col("lang")]).alias("cost"),
+    )
+    per_word = stored(costs.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "cost"))).alias("costs")), "langid-costs")
+    sums = held.join(per_word, "word").groupBy("row").agg(
+        F.sum((F.length("word") + 1) * F.col("n")).alias("size"),
+        *[F.sum(F.col("costs")[x] * F.col("n")).alias(f"c{i}") for i, x in enumerate(langs)],
+    )
+    each = [F.struct((F.col(f"c{i}") / F.col("size")).alias("e"), F.lit(x).alias("lang")) for i, x in enumerate(langs)]
+    sums = sums.withColumn("all", F.array(*each)).withColumn("best", F.array_min("all")).withColumnRenamed("row", row)
+    odds = F.aggregate("all", F.lit(0.0), lambda s, x: s + F.exp((F.col("best.e") - x["e"]) * F.least("size", F.lit(32))))
+    joined = given.drop("_text").join(sums, row, "left") if langs else given.drop("_text").withColumns({"size": F.lit(None).cast("long")})
+    if not langs:
+        return joined.select(*[F.col(f"`{c}`") for c in keep], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("cost_milli"), F.lit(0).cast("long").alias("n_letters"))
+    return joined.select(
+        *[F.col(f"`{c}`") for c in keep],
+        F.coalesce("best.lang", F.lit(UNKNOWN)).alias("lang_pred"),
+        F.coalesce(1 / odds, F.lit(0.0)).alias("score"),
+        F.coalesce(F.rint(1000 * F.col("best.e")), F.lit(0.0)).cast("long").alias("cost_milli"),
+        F.coalesce("size", F.lit(0)).cast("long").alias("n_letters"),
+    )
+
+
+def score(docs: DataFrame, model: DataFrame, keep: list[str], max_model: int) -> DataFrame:
+    """Scores by a model given as ``MODEL_ROW`` rows: sent to the tasks while small enough, joined otherwise."""
+    model = stored(model, "langid-model")
+    if model.count() <= max_model:
+        return score_documents(docs, collect_models(model), keep)
+    return score_by_join(docs, model, keep)
+
+
 def identify(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     train_if: Column | None = None,
-    margin: float = 1.1,
+    margin: float = 1.25,
+    max_model: int = MAX_MODEL,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``lang_pred``, ``score``, ``cost`` (nats per character) and ``rejected``.
 
@@ -299,31 +410,41 @@ def identify(
     row). ``lang_pred`` is a learnt language, or ``und`` for a null text or one
     without letters (score 0); ties go to the first language by name. A text is
     ``rejected`` when its cost passes ``margin`` times the 99.9th percentile of
-    training texts of the predicted language and its length class. Null ids and
+    held-back training texts of the predicted language and its length class;
+    a class with fewer than ``MIN_CLASS`` such texts takes in the nearest ones
+    and their largest limit, and a language without any rejects nothing.
+    ``und`` is always rejected. Null ids and
     repeated rows stay; other columns are ignored. Without training rows every
     text is ``und``; an empty table gives no rows.
     """
     known = F.col(f"`{lang_col}`").isNotNull()
     train = known if train_if is None else known & F.coalesce(train_if, F.lit(False))
     text = text_or_empty(text_col)
-    sequences = stored(count_sequences(docs.where(train).select(F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"))), "langid-4")
-    models = collect_models(model_rows(sequences))
-    own = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.when(train, F.col(f"`{lang_col}`")).alias("taught"))
-    scored = stored(score_documents(own, models, ["id", "taught"], "text"), "langid-scores")
-    size = F.least(F.floor(F.log2(F.greatest("n_letters", F.lit(1)).cast("double"))), F.lit(COST_CLASS)).cast("int")
-    scored = scored.withColumn("size", size)
-    limits = (
-        scored.where(F.col("taught") == F.col("lang_pred"))
-        .groupBy("lang_pred", "size")
-        .agg((F.percentile("cost_milli", 0.999) * margin).alias("limit"))
+    taught = docs.where(train).select(F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"))
+    sequences = stored(count_sequences(taught), "langid-4")
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
+    scored = stored(score(own, model_rows(sequences.select("lang", "g", "n")), ["id"], max_model), "langid-scores")
+    # the limits: texts that the model below has not counted
+    rest = sequences.select("lang", "g", (F.col("n") - F.col("held")).alias("n")).where("n > 0")
+    apart = taught.where(sets_limits(F.col("text"))).withColumnRenamed("lang", "taught")
+    size = F.least(F.floor(F.log2(F.greatest("n_letters", F.lit(1)).cast("double"))), F.lit(COST_CLASS)).cast("int").alias("size")
+    held = score(apart, model_rows(stored(rest, "langid-rest")), ["taught"], max_model).where("taught = lang_pred")
+    limits = held.select("lang_pred", size, "cost_milli").groupBy("lang_pred", "size").agg(
+        (F.percentile("cost_milli", 0.999) * margin).alias("limit"), F.count("*").alias("texts")
     )
-    # one row per language and length class: a known, small number
-    if len(models.langs) * (COST_CLASS + 1) <= SMALL:
+    # one row per language and length class, from the nearest classes that hold enough texts
+    wanted = limits.select("lang_pred").distinct().withColumn("want", F.explode(F.sequence(F.lit(0), F.lit(COST_CLASS))))
+    nearer = Window.partitionBy("lang_pred", "want").orderBy(F.abs(F.col("want") - F.col("size")), "size").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.coalesce(F.sum("texts").over(nearer), F.lit(0)) < MIN_CLASS
+    limits = wanted.join(limits, "lang_pred").withColumn("taken", taken).where("taken")
+    limits = limits.groupBy("lang_pred", F.col("want").alias("size")).agg(F.max("limit").alias("limit"))
+    limits = stored(limits, "langid-limits")
+    if limits.count() <= SMALL:
         limits = F.broadcast(limits)
-    return scored.join(limits, ["lang_pred", "size"], "left").select(
+    return scored.withColumn("size", size).join(limits, ["lang_pred", "size"], "left").select(
         F.col("id").alias(id_col),
         "lang_pred",
         "score",
         (F.col("cost_milli") / 1000).alias("cost"),
-        F.coalesce(F.col("cost_milli") > F.col("limit"), F.lit(True)).alias("rejected"),
+        ((F.col("lang_pred") == UNKNOWN) | F.coalesce(F.col("cost_milli") > F.col("limit"), F.lit(False))).alias("rejected"),
     )

@@ -19,8 +19,8 @@ def test_op5_held_out_accuracy(spark):
 
 def test_slots_are_sparks(spark):
     g = np.array([0, 1, 7, 2**40 + 5, 2**63 - 1, -3], np.int64)
-    df = spark.createDataFrame([(int(x),) for x in g], "g long").select(F.shiftrightunsigned(F.xxhash64("g"), 64 - langid.BITS).alias("s"))
-    assert [r.s for r in df.collect()] == langid.slot(g.view(np.uint64)).tolist()
+    df = spark.createDataFrame([(int(x),) for x in g], "g long").select(F.xxhash64("g").alias("s"))
+    assert [r.s for r in df.collect()] == langid.slot(g.view(np.uint64)).view(np.int64).tolist()
 
 
 def test_words():
@@ -55,13 +55,85 @@ def test_probabilities_sum_to_one(spark):
             for order in range(1, 5):
                 part = full[4 - order :]
                 key = sum(ord(part[-1 - b]) << (16 * b) for b in range(order))
-                own = m._look(m.p[order], np.array([key], np.uint64))[0, j]
-                back = m._look(m.back[order], np.array([key >> 16], np.uint64))[0, j]
+                own = m._look("p", order, np.array([key], np.uint64))[0, j]
+                back = m._look("b", order, np.array([key >> 16], np.uint64))[0, j]
                 logp = own if not np.isnan(own) else logp + (0 if np.isnan(back) else back)
             total += np.exp(logp)
         assert abs(total - 1) < 1e-3, (context, total)
 
 
+def plain_model(rows):
+    """Interpolated Kneser-Ney from the definition, in dictionaries: (language -> function of a padded string's end)."""
+    from collections import Counter
+
+    grams = {}
+    for lang, text in rows:
+        own = grams.setdefault(lang, Counter())
+        for w in langid.words_of(text):
+            s = "\x02\x02\x02" + w + "\x03"
+            own.update(s[i - 3 : i + 1] for i in range(3, len(s)))
+    levels = {}
+    for lang, own in grams.items():
+        levels[lang] = {4: own}
+        for k in (3, 2, 1):
+            levels[lang][k] = Counter(g[1:] for g in levels[lang][k + 1])
+    symbols = len({g for own in levels.values() for g in own[1]})
+
+    def probability(lang, g):
+        if not g:
+            return 1 / (symbols + 1)
+        own = levels[lang][len(g)]
+        ones, twos = (sum(v == i for v in own.values()) for i in (1, 2))
+        d = min(max(ones / (ones + 2 * twos) if ones + 2 * twos else 0.5, 0.1), 0.9)
+        after = [v for x, v in own.items() if x[:-1] == g[:-1]]
+        low = probability(lang, g[1:])
+        return max(own[g] - d, 0) / sum(after) + d * len(after) / sum(after) * low if after else low
+
+    return sorted(levels), probability
+
+
+def test_scores_against_the_plain_definition(spark):
+    """Whole texts: language, score and cost of both forms of scoring."""
+    import math
+
+    rows = [("en", "the cat that then sat on the mat with the other hat"), ("de", "der hat und die das ist ein haus mit dem dach"), ("fr", "le chat est dans la maison et il dort")]
+    texts = ["the dach", "die maison", "xyz ж", "then the that", "il est ein", "12", None, "das das das hat", "q"]
+    langs, probability = plain_model(rows)
+    counts = langid.count_sequences(spark.createDataFrame(rows, "lang string, text string"))
+    model = langid.model_rows(counts.select("lang", "g", "n"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for limit in (langid.MAX_MODEL, 0):
+        got = {r.id: r for r in langid.score(docs, model, ["id"], limit).collect()}
+        assert len(got) == len(texts)
+        for i, t in enumerate(texts):
+            words = langid.words_of(t or "")
+            if not words:
+                assert (got[i].lang_pred, got[i].score) == ("und", 0)
+                continue
+            padded = ["\x02\x02\x02" + w + "\x03" for w in words]
+            size = sum(map(len, padded)) - 3 * len(padded)
+            cost = {lang: -sum(math.log(probability(lang, s[k - 3 : k + 1])) for s in padded for k in range(3, len(s))) / size for lang in langs}
+            best = min(langs, key=lambda x: (round(cost[x], 5), x))
+            assert got[i].lang_pred == best, (t, cost)
+            assert abs(got[i].cost_milli - 1000 * cost[best]) <= 1 and got[i].n_letters == size
+            assert abs(got[i].score - 1 / sum(math.exp((cost[best] - c) * min(size, 32)) for c in cost.values())) < 1e-3
+
+
+def test_both_forms_agree_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b = ({r.doc_id: r for r in langid.identify(docs, max_model=n).collect()} for n in (langid.MAX_MODEL, 0))
+    assert a.keys() == b.keys()
+    for i, r in a.items():
+        assert (r.lang_pred, r.rejected) == (b[i].lang_pred, b[i].rejected) and abs(r.score - b[i].score) < 1e-3 and abs(r.cost - b[i].cost) < 2e-3
+
+
+def test_rejection_is_alike_on_texts_held_out(spark):
+    """Limits come from texts that the model has not counted: held-out texts are not rejected more often."""
+    rows = queries.op5_language_id(spark, SF001).collect()
+    share = [sum(r.rejected for r in rows if r.held_out == h) / sum(r.held_out == h for r in rows) for h in (True, False)]
+    assert max(share) < 0.02
+
+
 def test_odd_rows(spark, odd_docs):
     rows = langid.identify(odd_docs).collect()
     assert len(rows) == odd_docs.count()
