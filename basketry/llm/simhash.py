@@ -12,10 +12,13 @@ only where the triangle inequality allows a partner there. A pair split by a
 node needs one visit, so only the inner side travels: an inner point x with
 d(x, vp) <= radius - max_bits has no partner outside. Below that node the
 visitor follows both branches that the bounds leave open. A leaf compares its
-natives with each other and with its visitors. Leaves with more natives than
-``leaf`` (points that the sample did not separate) are cut into blocks, each
-native visiting the later blocks, so no task holds more than one block and a
-stream of visitors; nothing is dropped.
+natives with each other and with its visitors. A leaf with more than ``leaf``
+natives grows a subtree of its own, fitted in its task on the first natives in
+hash order, and its natives and visitors go on into that: the tree's depth
+follows the data, and the driver never sees more than the first sample. Points
+that ``ROUNDS`` such steps do not separate are cut into blocks, each native
+visiting the later blocks, so no task holds more than one block and a stream of
+visitors; nothing is dropped.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ from basketry.llm.components import connected_components
 
 LEAF = 4096  # natives compared in one block
 MAX_SENT = 4_000_000  # most row numbers sent to the tasks (8 bytes each)
+SHARE = 1 / 8  # most of the distinct fingerprints that the driver's sample takes
+GROWN = 10  # levels that an over-full leaf grows at a time
+ROUNDS = 4
 SAMPLE = 1 << 17  # most fingerprints that the tree is fitted on (1 MB on the driver)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))  # A-Z lower-cased
 
@@ -114,15 +120,23 @@ class Tree:
             node = 2 * node + np.where(inner, 1, 2)
         return node - ((1 << self.depth) - 1)
 
-    def visits(self, fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """(position in ``fps``, leaf) of every leaf beside its own that a fingerprint must see."""
-        native = np.zeros(len(fps), np.int64)
-        who, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def visits(self, fps: np.ndarray, bits: int, visitors: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``fps``, leaf) of every leaf beside its own that a fingerprint must see.
+
+        ``visitors`` have no leaf of their own here: every leaf that they must see is listed.
+        """
         every = np.arange(len(fps))
+        who = every if visitors else every[:0]
+        node = np.zeros(len(who), np.int64)
+        if visitors:
+            fps_native, every = fps[:0], every[:0]
+        else:
+            fps_native = fps
+        native = np.zeros(len(fps_native), np.int64)
         for _ in range(self.depth):
             d, r = np.bitwise_count(fps[who] ^ self.vp[node]).astype(np.int16), self.radius[node]
             go_in, go_out = d <= r + bits, d > r - bits
-            d0, r0 = np.bitwise_count(fps ^ self.vp[native]).astype(np.int16), self.radius[native]
+            d0, r0 = np.bitwise_count(fps_native ^ self.vp[native]).astype(np.int16), self.radius[native]
             over = (d0 <= r0) & (d0 > r0 - bits)
             who, node = (
                 np.concatenate((who[go_in], who[go_out], every[over])),
@@ -152,6 +166,70 @@ def _pairs(natives: np.ndarray, others: np.ndarray, bits: int) -> tuple[np.ndarr
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
+PLACED = "leaf long, visitor boolean, fp long"
+
+
+def placed_rows(leaf: np.ndarray, natives: int, fps: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``PLACED``: the natives come first."""
+    visitor = np.arange(len(leaf)) >= natives
+    return pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(visitor), pa.array(fps.view(np.int64))], names=["leaf", "visitor", "fp"])
+
+
+def over_full(placed: DataFrame, leaf: int) -> DataFrame:
+    """(leaf, n) of the leaves with more than ``leaf`` natives."""
+    return placed.where("not visitor").groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf)
+
+
+def grow(leaf: int, bits: int):
+    """A task function: rows come sorted by leaf, natives first in hash order; each leaf becomes a subtree."""
+    wanted = max(leaf, 1 << 14)  # natives that a subtree is fitted on, and held until then
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tree, held, count = None, None, [], 0
+
+        def routed(x: np.ndarray, visitors: bool) -> pa.RecordBatch:
+            who, where = tree.visits(x, bits, visitors)
+            own = np.zeros(0, np.int64) if visitors else tree.leaves(x)
+            natives = x[:0] if visitors else x
+            return placed_rows(now * (1 << GROWN) + np.concatenate((own, where)), len(natives), np.concatenate((natives, x[who])))
+
+        def fit() -> Iterator[pa.RecordBatch]:
+            nonlocal tree, held, count
+            x = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            held, count = [], 0
+            tree = Tree(x, max(1, min(GROWN, int(np.log2(max(2, len(x) / 16))))))
+            yield routed(x, False)
+
+        for b in batches:
+            at, visitor, x = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            x = x.view(np.uint64)
+            cuts = np.flatnonzero(np.diff(at)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(at)]):
+                if lo == hi:
+                    continue
+                if at[lo] != now:
+                    if held:
+                        yield from fit()
+                    now, tree = int(at[lo]), None
+                own, seen = x[lo:hi][~visitor[lo:hi]], x[lo:hi][visitor[lo:hi]]
+                if len(own):
+                    if tree is None:
+                        held.append(own)
+                        count += len(own)
+                        if count >= wanted:
+                            yield from fit()
+                    else:
+                        yield routed(own, False)
+                if len(seen):
+                    if tree is None:
+                        yield from fit()
+                    yield routed(seen, True)
+        if held:
+            yield from fit()
+
+    return run
+
+
 def hamming_links(
     fps: DataFrame, col: str = "fp", max_bits: int = 2, leaf: int = LEAF, sample: int = SAMPLE
 ) -> DataFrame:
@@ -166,10 +244,10 @@ def hamming_links(
     if total <= 1:
         return spark.createDataFrame([], "src long, dst long")
     depth = max(0, min(int(np.ceil(np.log2(max(1.0, total / leaf)))), int(np.log2(sample / 16))))
-    share = min(1.0, sample / total)
+    share = min(SHARE, sample / total)
     # a uniform sample by a hash of the value: the same rows on every run
     drawn = one.where(F.pmod(F.xxhash64(F.col("fp"), F.lit(11)), F.lit(1 << 20)) < int(np.ceil(share * (1 << 20))))
-    pts = np.array([r.fp for r in drawn.limit(sample * 2).collect()], np.int64).view(np.uint64)
+    pts = np.array([r.fp for r in drawn.limit(sample * 2).collect()] if depth else [], np.int64).view(np.uint64)
     tree = Tree(pts, depth)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,39 +255,32 @@ def hamming_links(
             x = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             own = tree.leaves(x)
             who, where = tree.visits(x, max_bits)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((own, where))),
-                    pa.array(np.concatenate((np.zeros(len(x), bool), np.ones(len(who), bool)))),
-                    pa.array(np.concatenate((x, x[who])).view(np.int64)),
-                ],
-                names=["leaf", "visitor", "fp"],
-            )
-
-    placed = one.mapInArrow(place, "leaf long, visitor boolean, fp long")
-    # blocks of the leaves that hold more than ``leaf`` natives (the tree has a bounded number of leaves)
-    big = {
-        r.leaf: int(np.ceil(r.n / leaf))
-        for r in placed.where("not visitor").groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf).collect()
-    }
-    wide = max(big.values(), default=1)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, visitor, x = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            n = np.ones(len(at), np.int64)
-            for k, v in big.items():
-                n[at == k] = v
-            block = (x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % n
-            rows = [(at * wide + np.where(visitor, 0, block), visitor, x)]
-            for j in range(wide):  # visitors see every block, natives the later ones
-                more = (j < n) & np.where(visitor, j > 0, j > block)
-                rows.append((at[more] * wide + j, np.ones(more.sum(), bool), x[more]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([r[k] for r in rows])) for k in range(3)], names=["cell", "visitor", "fp"]
-            )
-
-    cells = placed.mapInArrow(deal, "cell long, visitor boolean, fp long") if big else placed.withColumnRenamed("leaf", "cell")
+            yield placed_rows(np.concatenate((own, where)), len(x), np.concatenate((x, x[who])))
+
+    placed = stored(one.mapInArrow(place, PLACED), "simhash-placed")
+    for _ in range(ROUNDS):
+        full = stored(over_full(placed, leaf).select("leaf"), "simhash-full")
+        if full.isEmpty():
+            break
+        rest = placed.join(full, "leaf", "left_anti").select((F.col("leaf") * (1 << GROWN)).alias("leaf"), "visitor", "fp")
+        grown = placed.join(full, "leaf", "left_semi").select("leaf", "visitor", "fp")
+        ordered = grown.repartition("leaf").sortWithinPartitions("leaf", "visitor", F.xxhash64("fp", F.lit(3)))
+        placed = stored(rest.unionByName(ordered.mapInArrow(grow(leaf, max_bits), PLACED)), "simhash-placed")
+    # blocks of the leaves that still hold more than ``leaf`` natives
+    blocks = over_full(placed, leaf).select("leaf", F.ceil(F.col("n") / leaf).cast("long").alias("blocks"))
+    blocks = stored(blocks, "simhash-blocks")
+    big = not blocks.isEmpty()
+
+    if big:
+        joined = placed.join(blocks, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        own = F.pmod(F.xxhash64("fp", F.lit(17)), F.col("blocks"))
+        # visitors see every block, natives their own and, as visitors, the later ones
+        first = F.when(F.col("visitor"), F.lit(0)).otherwise(own)
+        each = joined.withColumn("block", F.explode(F.sequence(first, F.col("blocks") - 1)))
+        visits = F.col("visitor") | (F.col("block") > own)
+        cells = each.select(F.xxhash64("leaf", "block").alias("cell"), visits.alias("visitor"), "fp")
+    else:
+        cells = placed.withColumnRenamed("leaf", "cell")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by cell, natives first: keep the natives of one cell, stream its visitors."""
