@@ -9,8 +9,9 @@ the form of white space are not compared.
 
 Scale: documents are scanned where they are read, without a shuffle. The items
 are a stated query set: they are dealt into blocks of at most ``BLOCK_CHARS``
-characters, and each block is matched against all documents in turn, so what
-travels to the executors is bounded whatever the size of the benchmark.
+characters, and each block is matched against all documents in a job of its own
+whose finds are stored, so what travels to the executors, and what a task holds,
+is one block whatever the size of the benchmark.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import fresh_name, slices, text_or_empty
+from basketry.llm.common import fresh_name, slices, stored, text_or_empty
 
 RATE = 0.08  # edits allowed per character of an item
 BLOCK_CHARS = 8_000_000  # most characters of items matched in one pass
@@ -156,23 +157,39 @@ def find_items(
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c.lower() != out.lower()]
     kind = "array<struct<item:bigint,distance:int>>"
-    found = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.array().cast(kind))
-    for block in item_blocks(items, item_id, item_text, block_chars):
-        # one matcher entry per text: several texts of an id are told apart by position
+    blocks = item_blocks(items, item_id, item_text, block_chars)
+    block = next(blocks, [])
+    more = next(blocks, None)
+    if more is None:  # one block: the finds come with the documents, in one pass
+        return _match_block(docs.select(*[F.col(f"`{c}`") for c in keep]), spark.sparkContext.broadcast((block, rate)), keep, text_col, out, kind)
+    row, text = fresh_name([*keep, out], "_row"), fresh_name([*keep, out], "_text")
+    rows = stored(docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
+    texts = rows.select(row, F.col(f"`{text_col}`").alias(text))
+    found = None
+    while block is not None:
         shared = spark.sparkContext.broadcast((block, rate))
-        found = _match_block(found, shared, keep, text_col, out, kind)
-    return found
+        hits = _match_block(texts, shared, [row, text], text, out, kind).where(F.size(out) > 0).select(row, F.explode(out).alias("m"))
+        hits = stored(hits.select(row, "m.item", "m.distance"), "decontaminate-hits")
+        found = hits if found is None else found.unionAll(hits)
+        shared.unpersist()
+        block, more = more, next(blocks, None)
+    # an id in two blocks: the smaller distance stays; a document's finds are at most the items
+    best = found.groupBy(row, "item").agg(F.min("distance").alias("distance"))
+    best = best.groupBy(row).agg(F.sort_array(F.collect_list(F.struct("item", "distance"))).alias(out))
+    joined = rows.join(best, row, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{out}`"), F.array().cast(kind)).alias(out))
 
 
 def _match_block(docs: DataFrame, shared, keep: list[str], text_col: str, out: str, kind: str) -> DataFrame:
-    text = fresh_name([*keep, out], "_text")
-    more = fresh_name([*keep, out, text], "_more")
-    given = docs.select(*[F.col(f"`{c}`") for c in [*keep, out]], text_or_empty(text_col).alias(text))
-    schema = docs.withColumn(more, F.lit(None).cast(kind)).schema
-    width = len(keep) + 1
+    """``keep`` columns plus ``out``: finds of one block of items, by item id."""
+    text = fresh_name([*keep, out], "_own_text")
+    given = docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text_col).alias(text))
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.lit(None).cast(kind)).schema
+    width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, rate = shared.value
+        # one matcher entry per text: several texts of an id are told apart by position
         matcher = Matcher(list(enumerate(t for _, t in block)), rate)
         arrow = pa.list_(pa.struct([("item", pa.int64()), ("distance", pa.int32())]))
         for b in slices(batches):
@@ -182,13 +199,9 @@ def _match_block(docs: DataFrame, shared, keep: list[str], text_col: str, out: s
                 for k, d in matcher.find(normalise(t)).items():
                     best[block[k][0]] = min(d, best.get(block[k][0], d))
                 rows.append([{"item": i, "distance": d} for i, d in sorted(best.items())])
-            yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(rows, arrow)], names=[*keep, out, more])
+            yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(rows, arrow)], names=[*keep, out])
 
-    both = given.mapInArrow(run, schema)
-    merged = F.array_sort(F.concat(F.col(out), F.col(more)))
-    # an id in two blocks: the smaller distance comes first and stays
-    first = F.filter(merged, lambda x, i: (i == 0) | (x["item"] != F.get(merged, i - 1)["item"]))
-    return both.select(*[F.col(f"`{c}`") for c in keep], first.alias(out))
+    return given.mapInArrow(run, schema)
 
 
 def contaminated(matches: str = "matches") -> Column:

@@ -103,6 +103,33 @@ def test_links_are_exact_over_leaves_blocks_and_clusters(spark, leaf):
     assert got == want
 
 
+def test_leaves_stay_bounded_with_a_tiny_sample(spark, monkeypatch):
+    """The tree grows over its leaves: no leaf is left over-full, and no link is lost."""
+    import numpy as np
+
+    r = np.random.default_rng(8)
+    base = r.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    near = base[:800] ^ (np.uint64(1) << r.integers(0, 64, 800, dtype=np.uint64))
+    fps = np.unique(np.concatenate((base, near, near[:200] ^ np.uint64(5))))
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    counts, over_full = [], simhash.over_full
+
+    def spy(placed, leaf):
+        out = over_full(placed, leaf)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "over_full", spy)
+    got = {(a.src, a.dst) for a in simhash.hamming_links(df, leaf=100, sample=64).collect()}
+    want = set()
+    for i, x in enumerate(fps):
+        for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ x) <= 2) + i + 1:
+            a, b = sorted((int(fps[i : i + 1].view(np.int64)[0]), int(fps[j : j + 1].view(np.int64)[0])))
+            want.add((a, b))
+    assert got == want and len(want) > 800
+    assert counts[0] > 0 and counts[-1] == 0
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5000), (7, None)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
@@ -281,6 +308,17 @@ def test_op7_against_brute_force(spark, docs):
         assert got[d].item_ids == want
 
 
+def test_item_blocks_are_jobs_of_their_own(spark, docs):
+    """Eight blocks of items: the plan of the result holds no chain of scans, and finds are those of one block."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    total = items.agg(F.sum(F.length("text"))).first()[0]
+    some = docs.select("doc_id", "text")
+    one, many = decontaminate.find_items(some, items), decontaminate.find_items(some, items, block_chars=total // 8)
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
+    key = lambda df: sorted((r.doc_id, tuple((m.item, m.distance) for m in r.matches)) for r in df.collect())
+    assert key(one) == key(many) and any(m for _, m in key(one))
+
+
 def test_items_in_blocks_and_odd_rows(spark, odd_docs):
     words = odd_docs.where("doc_id = 7").first().text
     items = spark.createDataFrame(
