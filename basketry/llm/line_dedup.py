@@ -404,24 +404,25 @@ def near_links(texts: DataFrame, max_live: int = MAX_LIVE, cell: int = CELL) ->
 
 
 def line_places(texts: DataFrame) -> DataFrame:
-    """(id, k1, k2): digests of the lines with a word, once per row of ``texts``."""
+    """(id, doc, k1, k2): digests of the lines with a word, once per row of ``texts`` (id, text, doc)."""
     seed = _seed_two(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for b in slices(batches):
-            ids, one, two = [], [], []
-            for i, text in zip(b.column(0).to_pylist(), utf8_values(b.column(1))):
+            ids, docs, one, two = [], [], [], []
+            for i, text, d in zip(b.column(0).to_pylist(), utf8_values(b.column(1)), b.column(2).to_pylist()):
                 lines = [x for x in dict.fromkeys(text.split(b"\n")) if x.strip(BLANKS)]
                 ids += [i] * len(lines)
+                docs += [d] * len(lines)
                 one += [digest(x, 42) for x in lines]
                 two += [digest(x, seed) for x in lines]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), *(pa.array(np.array(k, np.uint64).view(np.int64)) for k in (one, two))],
-                names=["id", "k1", "k2"],
+                [pa.array(ids, pa.int64()), pa.array(docs, pa.int64()), *(pa.array(np.array(k, np.uint64).view(np.int64)) for k in (one, two))],
+                names=["id", "doc", "k1", "k2"],
             )
 
-    return texts.mapInArrow(run, "id long, k1 long, k2 long")
+    return texts.mapInArrow(run, "id long, doc long, k1 long, k2 long")
 
 
 def dedup_lines(
@@ -445,16 +446,18 @@ def dedup_lines(
     order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
     texts = docs.select(order.alias("id"), text_or_empty(text_col).alias("text"))
     near = stored(near_links(texts, max_live, cell), "lines-near")
-    places = stored(line_places(texts), "lines-places")
+    # rows of one id and text have the same drops: a group holds one document, however many rows share an id
+    doc = F.xxhash64(F.lit(9), text_or_empty(text_col))
+    places = stored(line_places(texts.withColumn("doc", F.xxhash64(F.lit(9), F.col("text")))), "lines-places")
     exact = places.groupBy("k1", "k2").agg(F.min("id").alias("owner"), F.max("id").alias("last")).where("owner <> last")
     losers = near.select("k1", "k2", F.lit(True).alias("near")).distinct()
     gone = stored(exact.select("k1", "k2", "owner").join(losers, ["k1", "k2"], "full"), "lines-gone")
     hits = places.join(gone, ["k1", "k2"]).where("near or id <> owner")
-    drops = hits.groupBy("id").agg(F.collect_set(F.struct("k1", "k2", F.coalesce("near", F.lit(False)).alias("near"))).alias("drops"))
+    drops = hits.groupBy("id", "doc").agg(F.collect_set(F.struct("k1", "k2", F.coalesce("near", F.lit(False)).alias("near"))).alias("drops"))
     keep = [c for c in docs.columns if c.lower() != out.lower()]
-    key, lost = fresh_name([*keep, out], "_order"), fresh_name([*keep, out], "_drops")
-    drops = drops.withColumnsRenamed({"id": key, "drops": lost})
-    joined = docs.select(*[F.col(f"`{c}`") for c in keep], order.alias(key)).join(drops, key, "left")
+    key, own, lost = (fresh_name([*keep, out], c) for c in ("_order", "_doc", "_drops"))
+    drops = drops.withColumnsRenamed({"id": key, "doc": own, "drops": lost})
+    joined = docs.select(*[F.col(f"`{c}`") for c in keep], order.alias(key), doc.alias(own)).join(drops, [key, own], "left")
     joined = joined.select(*[F.col(f"`{c}`") for c in keep], lost)
     shape = "struct<n_lines:bigint,n_exact:bigint,n_near:bigint>"
     schema = joined.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.lit(None).cast(shape)).schema

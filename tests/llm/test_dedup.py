@@ -253,6 +253,27 @@ def test_lines_odd_rows(spark, odd_docs):
 
 
 # ---------------------------------------------------------------- benchmark
+def test_rows_without_an_id_are_no_group(spark, monkeypatch):
+    """Many rows under a null id: drops are gathered per text, and every row keeps its own lines."""
+    rows = [(1, "the first line of all\nshared line between documents")]
+    rows += [(None, f"shared line between documents\nsomething quite different in number {k} {k * 37}") for k in range(300)]
+    rows += [(None, rows[5][1])] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gathered, stored = [], line_dedup.stored
+
+    def spy(d, name):
+        out = stored(d, name)
+        if name == "lines-places":
+            gathered.append(out.groupBy("id", "doc").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", spy)
+    got = Counter(r.text for r in line_dedup.dedup_lines(df).collect())
+    assert gathered[0] <= 2 * 4
+    want = Counter([rows[0][1]] + [t.split("\n")[1] for i, t in rows if i is None])
+    assert got == want
+
+
 def test_myers_against_dynamic_programming():
     r = random.Random(2)
 
