@@ -80,12 +80,12 @@ def token_figures(text: str, ids: list[int], is_byte: np.ndarray) -> tuple[int,
     """(tokens, characters per token, byte share, entropy in bits); the last three in thousandths."""
     if not ids:
         return 0, 0, 0, 0
-    seen = np.bincount(np.array(ids, np.int64), minlength=len(is_byte))
-    share = seen[seen > 0] / len(ids)
+    seen, times = np.unique(np.array(ids, np.int64), return_counts=True)
+    share = times / len(ids)
     return (
         len(ids),
         round(1000 * len(text) / len(ids)),
-        round(1000 * int(seen[is_byte].sum()) / len(ids)),
+        round(1000 * int(times[is_byte[seen]].sum()) / len(ids)),
         round(-1000 * float((share * np.log2(share)).sum())),
     )
 
