@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "pages"):
+    for t in ("conversations", "pages", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
