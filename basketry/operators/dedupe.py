@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -54,7 +54,7 @@ def duplicate_rows(df: DataFrame, count_col: str = "extra_copies") -> DataFrame:
     reported as one row per distinct duplicated row plus a count; no group is
     ever expanded inside a single task.
     """
-    cols = df.columns
+    cols = [F.col(f"`{c}`") for c in df.columns]
     return (
         df.groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -70,7 +70,71 @@ def duplicate_row_copies(df: DataFrame) -> DataFrame:
     copies meets in one task.
     """
     counted = duplicate_rows(df, "_copies")
-    return counted.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).select(*df.columns)
+    return counted.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+# Bits of the filter below: 32 MB in all, whatever the input.
+FILTER_BITS = 28
+_WORD = 15  # bits of one filter row: 4 KB
+
+
+def row_digests(df: DataFrame) -> list[Column]:
+    """Two 64-bit digests of a row; equal rows have equal ones."""
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    # hashes skip NULLs, so which cells are NULL is hashed too
+    nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cells])
+    return [F.xxhash64(*cells, nulls), F.xxhash64(F.lit(len(cells)), nulls, *reversed(cells))]
+
+
+def split_by_digest(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that may repeat, rows that certainly do not); neither shuffles a whole row.
+
+    Only two 64-bit digests per row are shuffled, and counted. The digests
+    found more than once set bits in a filter of 2^28 bits; it is sent to all
+    tasks, which is safe as its size is fixed, and tested where the rows are
+    read. Every repeated row has its bit set. Rows that share a bit by chance
+    (about one in a hundred at 2.7 million distinct repeated rows) only add to
+    the first part: what counts is decided on whole rows there. ``df`` is read
+    twice and must give the same rows both times.
+    """
+    a, b = row_digests(df)
+    repeated = df.select(a.alias("_a"), b.alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    place = F.shiftrightunsigned("_a", 64 - FILTER_BITS)
+    bits = (
+        repeated.select(F.shiftright(place, _WORD).alias("_word"), place.bitwiseAND(F.lit((1 << _WORD) - 1)).alias("_bit"))
+        .groupBy("_word")
+        .agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    )
+    own = df.withColumn("_a", a).withColumn("_place", place)
+    own = own.withColumn("_word", F.shiftright("_place", _WORD)).withColumn("_bit", F.col("_place").bitwiseAND(F.lit((1 << _WORD) - 1)))
+    tested = own.join(F.broadcast(bits), "_word", "left")
+    byte = F.substring("_bits", (F.shiftright("_bit", 3) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    is_set = F.coalesce(value.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.col("_bit") % 8 + 1).cast("int"))) != 0, F.lit(False))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return tested.where(is_set).select(*columns), tested.where(~is_set).select(*columns)
+
+
+def duplicate_rows_by_digest(df: DataFrame, count_col: str = "extra_copies") -> DataFrame:
+    """:func:`duplicate_rows` for wide rows of which few repeat: only rows that may repeat are shuffled whole."""
+    return duplicate_rows(split_by_digest(df)[0], count_col)
+
+
+def distinct_by_digest(df: DataFrame) -> DataFrame:
+    """``df.distinct()`` for wide rows of which few repeat: all others stay where they are read."""
+    maybe, single = split_by_digest(df)
+    return maybe.distinct().unionByName(single)
+
+
+def distinct_accounting_by_digest(df: DataFrame) -> DataFrame:
+    """Rows before, after and removed by dropping fully equal rows, from digests and the rows that may repeat."""
+    extra = duplicate_rows_by_digest(df, "_extra").select(F.lit(0).cast("bigint").alias("_rows"), "_extra")
+    rows = df.agg(F.count(F.lit(1)).alias("_rows")).select("_rows", F.lit(0).cast("bigint").alias("_extra"))
+    return rows.unionByName(extra).agg(F.sum("_rows").alias("_rows"), F.sum("_extra").alias("_extra")).select(
+        F.col("_rows").alias("rows_before"),
+        (F.col("_rows") - F.col("_extra")).alias("rows_after"),
+        F.col("_extra").alias("rows_removed"),
+    )
 
 
 def key_violation_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -19,7 +19,7 @@ from basketry.plans import fixtures as fx
 from basketry.plans import partitions
 from basketry.plans import pipeline as pl
 from basketry.session import materialize, scratch_path
-from basketry.sources import csv
+from basketry.sources import csv, drift, layout
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -467,6 +467,49 @@ def q_gold_location_rebuilt(spark, d):
     return rounded(back, money=LOCATION_MONEY, averages=("avg_order_value",))
 
 
+# ---------------------------------------------------------------- drifting types, wide duplicates, clustered files
+def q_source_drifted_files(spark, d):
+    """Orders in three loads that disagree on types and columns, read back as one table."""
+    orders = fx.table(spark, d, "orders")
+    folder = scratch_path(spark, "orders-drifted")
+    key, part = F.col("o_orderkey"), F.pmod("o_orderkey", F.lit(3))
+    loads = (
+        orders.where(part == 0).select(key, F.col("o_custkey").cast("int"), "o_orderstatus", F.to_date("o_orderdate").alias("o_orderdate")),
+        orders.where(part == 1).select(key.cast("string"), "o_custkey", "o_totalprice", "o_orderdate", F.col("o_custkey").alias("score")),
+        orders.where((part == 2) | part.isNull()).select("o_orderpriority", key, "o_custkey", (F.col("o_custkey") / 2).alias("score"), "o_orderdate"),
+    )
+    for i, load in enumerate(loads):
+        load.write.parquet(f"{folder}/load={i}")
+    return drift.read_drifted(spark, folder).withColumn("o_orderdate", F.to_date("o_orderdate"))
+
+
+def _lines_with_copies(spark, d):
+    """Order lines with 1 in 50 repeated once and 1 in 1,000 repeated again."""
+    lines = fx.table(spark, d, "lineitem")
+    key = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    return lines.unionByName(lines.where(key % 50 == 0)).unionByName(lines.where(key % 1000 == 0))
+
+
+def q_profile_duplicate_rows_by_digest(spark, d):
+    return dedupe.duplicate_rows_by_digest(_lines_with_copies(spark, d))
+
+
+def q_clean_distinct_by_digest(spark, d):
+    return dedupe.distinct_by_digest(_lines_with_copies(spark, d))
+
+
+def q_clean_distinct_accounting_by_digest(spark, d):
+    return dedupe.distinct_accounting_by_digest(_lines_with_copies(spark, d))
+
+
+def q_source_clustered_orders(spark, d):
+    """Silver order lines by (user, date) with bloom filters on the ids, read back."""
+    orders = pl.silver_fact_orders(spark, d)
+    path = scratch_path(spark, "orders-clustered")
+    layout.write_clustered(orders, path, ["user_id", "creation_date"], 16, bloom={"order_id": 100_000, "lineitem_id": 100_000})
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_dim_date": q_silver_dim_date,
@@ -533,4 +576,9 @@ def queries() -> dict[str, Query]:
         "profile_sketches": q_profile_sketches,
         "gold_incremental_customer": q_gold_incremental_customer,
         "gold_location_rebuilt": q_gold_location_rebuilt,
+        "source_drifted_files": q_source_drifted_files,
+        "source_clustered_orders": q_source_clustered_orders,
+        "profile_duplicate_rows_by_digest": q_profile_duplicate_rows_by_digest,
+        "clean_distinct_by_digest": q_clean_distinct_by_digest,
+        "clean_distinct_accounting_by_digest": q_clean_distinct_accounting_by_digest,
     }

@@ -162,6 +162,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     )
     i.add_argument("--partitions", type=int, default=16, help="ranges per parallel read")
     i.add_argument("--concurrent-tables", type=int, default=1)
+    i.add_argument("--balanced", action="store_true", help="ranges of equally many rows, by primary key where no column is named")
     args = parser.parse_args(argv)
 
     spark = build_session(app_name=f"basketry-{args.job}")
@@ -184,7 +185,7 @@ def main(argv: Sequence[str] | None = None) -> int:
             spark, args.url, args.target, tables=args.tables,
             partition_columns=dict(x.split("=", 1) for x in args.partition_column),
             num_partitions=args.partitions, schema_column=args.schema_column, name_column=args.name_column,
-            concurrent_tables=args.concurrent_tables, user=args.user, password=password, driver=args.driver, **catalog,
+            concurrent_tables=args.concurrent_tables, balanced=args.balanced, user=args.user, password=password, driver=args.driver, **catalog,
         )
         failed = status.where("status != 'ok'").count()
         status.show(truncate=False)

@@ -675,6 +675,30 @@ SQL |= {
     "gold_location_rebuilt": SQL["gold_location_daily"],
 }
 
+_LINES_WITH_COPIES = """(SELECT * FROM lineitem
+    UNION ALL SELECT * FROM lineitem WHERE (l_orderkey * 7 + l_linenumber) % 50 = 0
+    UNION ALL SELECT * FROM lineitem WHERE (l_orderkey * 7 + l_linenumber) % 1000 = 0)"""
+
+SQL |= {
+    "source_drifted_files": """
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_custkey,
+           CASE WHEN load = 0 THEN o_orderstatus END AS o_orderstatus,
+           CAST(o_orderdate AS DATE) AS o_orderdate,
+           CASE WHEN load = 1 THEN o_totalprice END AS o_totalprice,
+           CASE load WHEN 1 THEN CAST(o_custkey AS DOUBLE) WHEN 2 THEN o_custkey / 2.0::DOUBLE END AS score,
+           CASE WHEN load = 2 THEN o_orderpriority END AS o_orderpriority,
+           CAST(load AS INTEGER) AS load
+    FROM (SELECT *, COALESCE(o_orderkey % 3, 2) AS load FROM orders)""",
+    "source_clustered_orders": SQL["silver_fact_orders"],
+    "profile_duplicate_rows_by_digest": f"SELECT *, count(*) - 1 AS extra_copies FROM {_LINES_WITH_COPIES} "
+    "GROUP BY ALL HAVING count(*) > 1",
+    "clean_distinct_by_digest": f"SELECT DISTINCT * FROM {_LINES_WITH_COPIES}",
+    "clean_distinct_accounting_by_digest": f"""
+    SELECT count(*) AS rows_before, (SELECT count(*) FROM (SELECT DISTINCT * FROM {_LINES_WITH_COPIES})) AS rows_after,
+           count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {_LINES_WITH_COPIES})) AS rows_removed
+    FROM {_LINES_WITH_COPIES}""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in SQL.items()}
