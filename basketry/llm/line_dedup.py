@@ -23,13 +23,18 @@ Scale: step 1 moves at most two line digests per hash and block of text, so a
 frequent line or a template costs two rows per block; only live lines move as
 text. Their digests go to the tasks when there are at most ``MAX_LIVE``, and
 are joined otherwise. Lines under a hash beyond ``CELL`` are dealt into cells, each
-line visiting the cells of the others, so no task holds an unbounded group.
+line visiting the cells of the others, so no task holds an unbounded group. A
+hash of more than ``REFINE`` cells (a template with many fillings) is refined
+first: what remains of its lines without the shared segment is again within
+the budget, so it is partitioned by the same rule, up to ``DEPTH`` times, and
+only lines that share a further piece still meet.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +49,8 @@ BUDGETS = [(20, 1), (100, 2)]  # (least length, edits allowed)
 BLOCK_CHARS = 1 << 22
 MAX_LIVE = 4_000_000  # most digests of live lines sent to the tasks (8 bytes each)
 CELL = 2048  # lines compared with each other in one cell
+REFINE = 16  # a hash of more cells is parted by a further segment
+DEPTH = 3  # times that a hash is parted so
 NO_ID = (1 << 63) - 1  # a null id counts as later than every id
 
 
@@ -60,6 +67,19 @@ def segments(length: int, t: int) -> list[tuple[int, int]]:
     return list(zip(starts, sizes))
 
 
+def places(length: int, other: int, t: int) -> Iterator[tuple[int, int, int, int]]:
+    """(number, start, size, place) of the segments of a text of ``other`` characters in one of ``length``.
+
+    If the two are within ``t`` edits, some segment stands unchanged at one of its places.
+    """
+    gap = length - other
+    for i, (p, n) in enumerate(segments(other, t)):
+        lo = max(0, p - i, p + gap - (t - i))
+        hi = min(length - n, p + i, p + gap + (t - i))
+        for s in range(lo, hi + 1):
+            yield i, p, n, s
+
+
 def signature_plan(length: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """((start, size, seed) of the index segments, the same of the probes) for a line of this length."""
     own = edits_allowed(length)
@@ -69,10 +89,7 @@ def signature_plan(length: int) -> tuple[list[tuple[int, int, int]], list[tuple[
         t, gap = edits_allowed(other), length - other
         if not t or gap > t:
             continue
-        for i, (p, n) in enumerate(segments(other, t)):
-            lo = max(0, p - i, p + gap - (t - i))
-            hi = min(length - n, p + i, p + gap + (t - i))
-            probe += [(s, n, other * 8 + i) for s in range(lo, hi + 1) if gap or s != p]
+        probe += [(s, n, other * 8 + i) for i, p, n, s in places(length, other, t) if gap or s != p]
     return index, probe
 
 
@@ -91,6 +108,27 @@ def signatures(line: str) -> tuple[list[int], int]:
     return [digest(raw[a:b], seed) for a, b, seed in plan[0]], plan[1]
 
 
+def parted(sig: int, rest: str, gap: int, t: int, indexed: bool) -> Iterator[tuple[int, bool, str]]:
+    """(hash, indexed, what remains) of ``rest``, which lines under ``sig`` have besides their shared segments.
+
+    ``gap`` is how much longer the line is than those it probes for (0 for an
+    indexed line, which probes for its own length).
+    """
+    seed = sig % (1 << 64)
+    for i, p, n, s in places(len(rest), len(rest) - gap, t):
+        piece = rest[s : s + n].encode("utf-32-le") + bytes([i])
+        yield xxhash.xxh3_64_intdigest(piece, seed), indexed and s == p, rest[:s] + rest[s + n :]
+
+
+def remainders(line: str, sig: int) -> Iterator[tuple[str, int, int, bool]]:
+    """(what remains, gap, edits, indexed) for each place of ``line`` that gives the hash ``sig``."""
+    index, probe = signature_plan(len(line))
+    for k, (s, n, seed) in enumerate(index + probe):
+        if xxhash.xxh3_64_intdigest(line[s : s + n].encode("utf-32-le"), seed) == sig % (1 << 64):
+            other = seed // 8
+            yield line[:s] + line[s + n :], len(line) - other, edits_allowed(other), k < len(index)
+
+
 def within(a: str, b: str, t: int) -> bool:
     """Is the edit distance of two strings at most ``t``? Bit-parallel over a band of 2t + 1 rows."""
     if a == b:
@@ -350,23 +388,38 @@ class _Cell:
         return a != b and within(a, b, edits_allowed(min(len(a), len(b))))
 
 
-def near_links(texts: DataFrame, max_live: int = MAX_LIVE, cell: int = CELL) -> DataFrame:
-    """(k1, k2, keep1, keep2): digests of a line and of an earlier one within its edit budget.
+_PART = "sig long, indexed boolean, id long, k1 long, k2 long, line string, rest string, gap int, edits int"
 
-    Every line that has an earlier line within its budget is listed, with at
-    least one such line.
-    """
-    seed = _seed_two(texts.sparkSession)
-    live = stored(live_lines(texts), "lines-live")
-    lines = stored(_candidates(texts, live, seed, max_live), "lines-candidates")
-    pairs = F.explode(F.arrays_zip(F.col("sigs").alias("sig"), F.col("indexed").alias("indexed")))
-    counts = lines.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count("*").alias("n"))
-    # hashes of a single row have no partner; large ones are dealt into cells
-    wide = stored(
-        counts.where("n > 1").select("sig", F.ceil(F.col("n") / F.lit(cell)).cast("int").alias("cells")), "lines-hashes"
-    )
-    rows = lines.select(pairs.alias("p"), "k1", "k2", "id", "line").select("p.*", "k1", "k2", "id", "line")
-    dealt = rows.join(wide, "sig").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select(
+
+def _refined(hot: DataFrame) -> DataFrame:
+    """The rows of hot hashes under the hashes of a further segment; ``rest`` is null in rows that were never parted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for b in slices(batches):
+            for sig, indexed, i, k1, k2, line, rest, gap, t in zip(*(c.to_pylist() for c in b.columns)):
+                known = remainders(line, sig) if rest is None else [(rest, gap, t, indexed)]
+                new = {(*part, g, e) for r, g, e, own in known for part in parted(sig, r, g, e, own)}
+                for h, own, left, g, e in new:
+                    rows.append((h - ((h >> 63) << 64), own, i, k1, k2, line, left, g, e))
+                    size += len(line) + len(left)
+                if size > 1 << 20:
+                    yield batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield batch(rows)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.string(), pa.string(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    names = [c.split()[0] for c in _PART.split(", ")]
+    return hot.select(*names).mapInArrow(run, _PART)
+
+
+def _dealt(rows: DataFrame, wide: DataFrame) -> DataFrame:
+    """The rows of the hashes in ``wide``, once per cell of their hash."""
+    return rows.join(wide, "sig").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select(
         "sig",
         "cell",
         (F.col("indexed") & (F.col("cell") == F.pmod("k1", "cells"))).alias("native"),
@@ -376,6 +429,37 @@ def near_links(texts: DataFrame, max_live: int = MAX_LIVE, cell: int = CELL) ->
         "line",
     )
 
+
+def near_links(texts: DataFrame, max_live: int = MAX_LIVE, cell: int = CELL, refine: int = REFINE) -> DataFrame:
+    """(k1, k2, keep1, keep2): digests of a line and of an earlier one within its edit budget.
+
+    Every line that has an earlier line within its budget is listed, with at
+    least one such line.
+    """
+    seed = _seed_two(texts.sparkSession)
+    live = stored(live_lines(texts), "lines-live")
+    lines = stored(_candidates(texts, live, seed, max_live), "lines-candidates")
+    pairs = F.explode(F.arrays_zip(F.col("sigs").alias("sig"), F.col("indexed").alias("indexed")))
+    rows = lines.select(pairs.alias("p"), "id", "k1", "k2", "line").select("p.*", "id", "k1", "k2", "line")
+    parts = []
+    for depth in range(DEPTH + 1):
+        counts = rows.groupBy("sig").agg(F.count("*").alias("n"), F.bool_or("indexed").alias("indexed"))
+        # hashes of a single row, or of probes alone, have no pair; large ones are dealt into cells
+        wide = stored(
+            counts.where("n > 1 and indexed").select("sig", F.ceil(F.col("n") / F.lit(cell)).cast("int").alias("cells")),
+            "lines-hashes",
+        )
+        hot = F.col("cells") > refine
+        if depth == DEPTH or wide.where(hot).isEmpty():
+            parts.append(_dealt(rows, wide))
+            break
+        parts.append(_dealt(rows, wide.where(~hot)))
+        found = rows.join(wide.where(hot).select("sig"), "sig")
+        if depth == 0:
+            found = found.select("*", *[F.lit(None).cast(k).alias(c) for c, k in (("rest", "string"), ("gap", "int"), ("edits", "int"))])
+        rows = stored(_refined(found), "lines-parted")
+    dealt = reduce(DataFrame.unionByName, parts)
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by hash and cell, the cell's own lines first."""
         now, links = _Cell((0, -1)), set()
@@ -432,6 +516,7 @@ def dedup_lines(
     out: str = "lines",
     max_live: int = MAX_LIVE,
     cell: int = CELL,
+    refine: int = REFINE,
 ) -> DataFrame:
     """``docs`` with the text rewritten, plus the struct ``out``: ``n_lines``, ``n_exact``, ``n_near`` dropped.
 
@@ -445,7 +530,7 @@ def dedup_lines(
     spark = docs.sparkSession
     order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
     texts = docs.select(order.alias("id"), text_or_empty(text_col).alias("text"))
-    near = stored(near_links(texts, max_live, cell), "lines-near")
+    near = stored(near_links(texts, max_live, cell, refine), "lines-near")
     # rows of one id and text have the same drops: a group holds one document, however many rows share an id
     doc = F.xxhash64(F.lit(9), text_or_empty(text_col))
     places = stored(line_places(texts.withColumn("doc", F.xxhash64(F.lit(9), F.col("text")))), "lines-places")

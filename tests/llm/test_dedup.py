@@ -192,11 +192,11 @@ def line_rows():
     return rows + [(None, "\n".join(pool[:4])), (3, rows[3][1]), (70, None), (71, "")]
 
 
-@pytest.mark.parametrize("max_live,cell", [(4_000_000, 2048), (0, 2)])
-def test_lines_against_brute_force(spark, max_live, cell):
+@pytest.mark.parametrize("max_live,cell,refine", [(4_000_000, 2048, 16), (0, 2, 1), (4_000_000, 2, 10**6)])
+def test_lines_against_brute_force(spark, max_live, cell, refine):
     rows = line_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lines", F.lit(1)).withColumn("k1", F.lit(2))
-    got = line_dedup.dedup_lines(df, max_live=max_live, cell=cell).collect()
+    got = line_dedup.dedup_lines(df, max_live=max_live, cell=cell, refine=refine).collect()
     want = brute_lines(rows)
     assert Counter((r.doc_id, r.text) for r in got) == Counter((d, t) for (d, _), t in zip(rows, want))
     assert any(r.lines.n_near for r in got) and all(r.k1 == 2 for r in got)
@@ -228,6 +228,56 @@ def test_segments_find_every_pair():
             assert set(hs[:ks]) & set(hb) or len(s) == len(big) and set(hb[:kb]) & set(hs)
 
 
+def test_remainders_find_every_pair():
+    """Under a shared hash, near lines share a further one after each parting."""
+    r = random.Random(16)
+
+    def keys(line, sig):
+        return {(h, own, left, g, e) for x, g, e, ix in line_dedup.remainders(line, sig) for h, own, left in line_dedup.parted(sig, x, g, e, ix)}
+
+    met = 0
+    for _ in range(600):
+        a = "".join(r.choice("abcdefgh") for _ in range(r.choice([19, 20, 22, 40, 99, 100, 101, 150])))
+        s, big = sorted((a, changed(a, r.randint(1, 2), r)), key=len)
+        t = line_dedup.edits_allowed(len(s))
+        if not t or s == big or edit(s, big) > t:
+            continue
+        shared = set(line_dedup.signatures(s)[0]) & set(line_dedup.signatures(big)[0])
+        rows = [(keys(s, h), keys(big, h)) for h in shared]
+        for _ in range(line_dedup.DEPTH):
+            # one of the two is indexed where they meet
+            both = [(x, y) for one, two in rows for x in one for y in two if x[0] == y[0] and (x[1] or y[1])]
+            assert both
+            rows = [tuple({(*q, z[3], z[4]) for q in line_dedup.parted(z[0], z[2], z[3], z[4], z[1])} for z in pair) for pair in both[:40]]
+        met += 1
+    assert met > 100
+
+
+def test_template_is_parted(spark, monkeypatch):
+    """Lines with a common opening: the hash of the opening is refined, so no line visits all cells, and pairs stay."""
+    r = random.Random(8)
+    fill = ["".join(r.choice("abcdefghij") for _ in range(70)) for _ in range(300)]
+    rows = [(i, "The opening that every record of this feed has, " + f) for i, f in enumerate(fill)]
+    rows += [(1000 + i, rows[i][1][:-1] + "#") for i in range(0, 300, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    moved, dealt = [], line_dedup._dealt
+
+    def spy(*given):
+        out = dealt(*given)
+        moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "_dealt", spy)
+    want = Counter((d, "" if d >= 1000 else t) for d, t in rows)
+    figures = []
+    for refine in (3, 10**6):
+        moved.clear()
+        got = line_dedup.dedup_lines(df, cell=8, refine=refine).collect()
+        assert Counter((x.doc_id, x.text) for x in got) == want
+        figures.append(sum(moved))
+    assert figures[0] < figures[1] / 4
+
+
 def test_op6_rows(spark, docs):
     got = {r.doc_id: r for r in queries.op6_line_dedup(spark, SF).collect()}
     rows = [(r.doc_id, r.text) for r in docs.collect()]
@@ -424,7 +474,7 @@ def test_pipeline_run_is_registered(spark):
     import __spark_entry__ as entry
 
     found = entry.queries()
-    assert "pipeline" in found and sum(n.startswith("op") and n[2].isdigit() for n in found) == 10
+    assert "pipeline" in found and sum(n.startswith("op") and n[2].isdigit() for n in found) == 13
     groups = defaultdict(list)
     for n in found:
         if n.startswith("op") and n[2].isdigit():
