@@ -181,11 +181,12 @@ def over_full(placed: DataFrame, leaf: int) -> DataFrame:
 
 
 def grow(leaf: int, bits: int):
-    """A task function: rows come sorted by leaf, natives first in hash order; each leaf becomes a subtree."""
+    """A task function: rows come sorted by leaf, natives first in hash order; each leaf becomes a subtree,
+    no deeper than its number of natives (``n``) needs: every level sends some visitors both ways."""
     wanted = max(leaf, 1 << 14)  # natives that a subtree is fitted on, and held until then
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tree, held, count = None, None, [], 0
+        now, tree, held, count, size = None, None, [], 0, 0
 
         def routed(x: np.ndarray, visitors: bool) -> pa.RecordBatch:
             who, where = tree.visits(x, bits, visitors)
@@ -197,11 +198,12 @@ def grow(leaf: int, bits: int):
             nonlocal tree, held, count
             x = np.concatenate(held) if held else np.zeros(0, np.uint64)
             held, count = [], 0
-            tree = Tree(x, max(1, min(GROWN, int(np.log2(max(2, len(x) / 16))))))
+            needed = int(np.ceil(np.log2(max(2.0, size / leaf))))
+            tree = Tree(x, max(1, min(GROWN, needed, int(np.log2(max(2, len(x) / 16))))))
             yield routed(x, False)
 
         for b in batches:
-            at, visitor, x = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            at, visitor, x, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             x = x.view(np.uint64)
             cuts = np.flatnonzero(np.diff(at)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(at)]):
@@ -210,7 +212,7 @@ def grow(leaf: int, bits: int):
                 if at[lo] != now:
                     if held:
                         yield from fit()
-                    now, tree = int(at[lo]), None
+                    now, tree, size = int(at[lo]), None, int(n[lo])
                 own, seen = x[lo:hi][~visitor[lo:hi]], x[lo:hi][visitor[lo:hi]]
                 if len(own):
                     if tree is None:
@@ -259,11 +261,11 @@ def hamming_links(
 
     placed = stored(one.mapInArrow(place, PLACED), "simhash-placed")
     for _ in range(ROUNDS):
-        full = stored(over_full(placed, leaf).select("leaf"), "simhash-full")
+        full = stored(over_full(placed, leaf), "simhash-full")
         if full.isEmpty():
             break
         rest = placed.join(full, "leaf", "left_anti").select((F.col("leaf") * (1 << GROWN)).alias("leaf"), "visitor", "fp")
-        grown = placed.join(full, "leaf", "left_semi").select("leaf", "visitor", "fp")
+        grown = placed.join(full, "leaf").select("leaf", "visitor", "fp", "n")
         ordered = grown.repartition("leaf").sortWithinPartitions("leaf", "visitor", F.xxhash64("fp", F.lit(3)))
         placed = stored(rest.unionByName(ordered.mapInArrow(grow(leaf, max_bits), PLACED)), "simhash-placed")
     # blocks of the leaves that still hold more than ``leaf`` natives
