@@ -12,9 +12,9 @@ Plan shape (see README "Plans"):
   The rolling metrics use a RANGE frame instead of the original self-join,
   which is O(days x window) per user;
 * location ranks over day-of-month / ISO week / month have only 31 / 53 / 12
-  groups; the group sizes are counted first and a plain window is used only
-  while the largest group is small enough for one task, otherwise the
-  distributed rank of :mod:`basketry.operators.ranking` (one global sort).
+  groups, so no window sees a whole group: rows are counted per value and
+  combination of periods, dealt into ranges of values once, and get all three
+  ranks from one join (:func:`basketry.operators.ranking.rank_within_few`).
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from basketry.functions.rules import (
     period_part,
     round_half_up,
 )
-from basketry.operators.ranking import rank_within_many
+from basketry.operators.ranking import rank_within_few
 from basketry.session import materialize
 
 ROLLING_WINDOWS = (7, 30, 90)
@@ -201,7 +201,7 @@ def add_revenue_ranks(
     if money_precision is not None:
         value = round_half_up(value, money_precision)
     year = ["year"] if with_year else []
-    return rank_within_many(
+    return rank_within_few(
         materialize(location), {f"revenue_rank_{p}": [*year, f"period_{p}"] for p in PERIODS}, value, descending=True
     )
 

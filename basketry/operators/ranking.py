@@ -120,6 +120,38 @@ def rank_within_many(
     return out.drop("_value")
 
 
+def rank_within_few(
+    df: DataFrame, groupings: dict[str, list[str]], value: Column | str, descending: bool = True
+) -> DataFrame:
+    """:func:`rank_within_many` for group columns with few combinations, such as parts of a date.
+
+    One frame holds a row per value and combination, whatever the number of
+    groupings. It is dealt into ranges by value alone, so a value's rows, at
+    most one per combination, share a range; each grouping counts inside the
+    range and adds its totals of the earlier ranges. The rows then learn all
+    ranks from one join.
+    """
+    every = list(dict.fromkeys(c for g in groupings.values() for c in g))
+    keyed = df.withColumn("_value", _as_col(value))
+    order = F.col("_value").desc_nulls_last() if descending else F.col("_value").asc_nulls_first()
+    combined = keyed.groupBy(*every, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    placed = materialize(combined.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    # every window below is satisfied by this one shuffle
+    ranks = placed.repartition("_range")
+    for name, cols in groupings.items():
+        upto = Window.partitionBy("_range", *cols).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        equal = Window.partitionBy("_range", *cols, "_value")
+        ranks = ranks.withColumn(name, F.sum("_n").over(upto) - F.sum("_n").over(equal))
+    for name, cols in groupings.items():
+        # one row per group and range
+        totals = placed.groupBy("_range", *cols).agg(F.sum("_n").alias("_total"))
+        earlier = Window.partitionBy(*cols or [F.lit(0)]).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select("_range", *cols, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+        ranks = null_safe_join(ranks, offsets, ["_range", *cols])
+        ranks = ranks.withColumn(name, (F.col(name) + F.col("_offset") + 1).cast("int")).drop("_offset")
+    return null_safe_join(keyed, ranks.drop("_range", "_n"), [*every, "_value"]).drop("_value")
+
+
 def tercile_scores(
     df: DataFrame,
     value: Column | str,

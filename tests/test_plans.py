@@ -136,3 +136,18 @@ def test_bucketed_silver_makes_the_enrichment_join_shuffle_free(spark, tmp_out):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE IF EXISTS t_bkt_fact_orders")
         spark.sql("DROP TABLE IF EXISTS t_bkt_fact_options")
+
+
+def test_location_ranks_join_the_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from basketry.operators import gold
+
+    loc = spark.range(50).select(
+        (F.col("id") % 7).cast("double").alias("total_revenue"), *[(F.col("id") % n).cast("int").alias(c) for c, n in (("year", 2), ("period_day", 5), ("period_week", 4), ("period_month", 3))]
+    )
+    for with_year in (False, True):
+        text = plan(gold.add_revenue_ranks(loc, with_year=with_year, money_precision=2)).split("== Physical Plan ==")[-1]
+        # of the stored rows: one scan and one join; the other joins add totals per range and group
+        assert text.count("total_revenue") and len([x for x in text.splitlines() if "FileScan" in x and "total_revenue" in x]) == 1
+        assert len([x for x in text.splitlines() if "Join" in x and "_value" in x]) == 1

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators.ranking import (
     grouped_quantiles,
+    rank_within_few,
     rank_within_groups,
     rank_within_many,
     running_counts,
@@ -162,3 +163,25 @@ def test_terciles_of_several_measures_and_labels(spark):
     assert {r.B for r in got.values()} == {8} and got["u03"].C == 9
     with pytest.raises(ValueError):
         tercile_scores(df, "a", "u", "s", 1, labels=(1, 2))
+
+
+def test_ranks_within_few_groups(spark):
+    """A hot value, NULLs, NULL groups and many ranges; one row per value and combination of groups is joined back."""
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice([None, 0, 1]), rnd.randint(0, 4), 5.0 if i % 3 == 0 else rnd.choice([None, 1.0, 2.0, float("nan"), rnd.random()])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, g int, h int, v double")
+    groupings = {"a": ["g"], "b": ["g", "h"], "c": []}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for descending in (True, False):
+            got = rank_within_few(df, groupings, "v", descending)
+            order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+            want = df.withColumns({n: F.rank().over(Window.partitionBy(*k).orderBy(order)) for n, k in groupings.items()})
+            assert got.dtypes == want.dtypes
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert rank_within_few(df.limit(0), groupings, "v").count() == 0
+    finally:
+        for k, val in old.items():
+            spark.conf.set(k, val)
