@@ -118,7 +118,18 @@ def round_half_up(value: Column | str, scale: int) -> Column:
     same way however the binary value happens to fall; ``round`` on the raw
     double would depend on that last bit. Values that do not fit the decimal
     (1e28 and more, infinities, NaN) have no such digits and stay as they are.
+
+    Only values near a tie, or too large for whole units, need the decimal.
+    For all others the nearest whole number of units is certain, and its
+    quotient by the power of ten is the double nearest to the decimal result.
     """
     v = _c(value)
-    exact = F.round(v.try_cast("decimal(38,10)"), scale).cast("double")
-    return F.coalesce(exact, v.cast("double"))
+    exact = F.coalesce(F.round(v.try_cast("decimal(38,10)"), scale).cast("double"), v.cast("double"))
+    if not 0 <= scale <= 6:
+        return exact
+    unit = F.lit(10.0**scale)
+    units = F.abs(v.cast("double")) * unit
+    whole = F.floor(units + 0.5).cast("double") / unit
+    # below 1e11 the product is off by less than 2e-5, and ten places shift it by less than 1e-4
+    certain = (units < 1e11) & (F.abs(units - F.floor(units) - 0.5) > 1e-3)
+    return F.when(certain, F.when(v < 0, F.lit(0.0) - whole).otherwise(whole)).otherwise(exact)

@@ -47,21 +47,27 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
     )
+    # what depends on the order alone is derived once per order, not once per line
+    created = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate"))
     od = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+        "o_orderkey",
+        "o_orderstatus",
+        F.when(F.col("o_orderpriority") == GUEST_PRIORITY, F.lit(None).cast("string"))
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("user_id"),
+        F.when(F.col("o_orderkey") % BAD_TIME_ORDERKEY_MOD == 0, F.lit(BAD_TIME_TEXT))
+        .otherwise(F.date_format(created, ISO_OUT_PATTERN))
+        .alias("creation_time_utc"),
     )
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(pt, li.l_partkey == pt.p_partkey)
-    created = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate"))
     no_item = F.col("p_size") == NULL_ITEM_PART_SIZE
     return j.select(
         F.when(F.col("l_partkey") % NULL_KEY_PARTKEY_MOD == 0, F.lit(None).cast("string"))
         .otherwise(_line_key(F.col("l_orderkey"), F.col("l_linenumber")))
         .alias("LINEITEM_ID"),
         F.col("l_orderkey").cast("string").alias("ORDER_ID"),
-        F.when(F.col("o_orderpriority") == GUEST_PRIORITY, F.lit(None).cast("string"))
-        .otherwise(F.col("o_custkey").cast("string"))
-        .alias("USER_ID"),
+        F.col("user_id").alias("USER_ID"),
         F.col("l_suppkey").cast("string").alias("RESTAURANT_ID"),
         F.col("o_orderstatus").alias("APP_NAME"),
         F.lit("USD").alias("CURRENCY"),
@@ -73,9 +79,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "R", F.lit(False))
         .otherwise(F.lit(None).cast("boolean"))
         .alias("IS_LOYALTY"),
-        F.when(F.col("o_orderkey") % BAD_TIME_ORDERKEY_MOD == 0, F.lit(BAD_TIME_TEXT))
-        .otherwise(F.date_format(created, ISO_OUT_PATTERN))
-        .alias("CREATION_TIME_UTC"),
+        F.col("creation_time_utc").alias("CREATION_TIME_UTC"),
     )
 
 
