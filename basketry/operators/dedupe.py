@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -137,25 +137,36 @@ def distinct_accounting_by_digest(df: DataFrame) -> DataFrame:
     )
 
 
-def key_violation_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+KEY_PARTS = 64  # parts that the rows of one key are dealt to
+
+
+def key_violation_rows(df: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """The second and later rows of every key (NULL counts as a value).
 
     Rows of a key are ordered by all other columns in schema order, NULLs
-    first. The first row of each key is a ``min`` that combines map-side and
-    equal rows are counted, so a key that holds a third of the rows is split
-    by its rows, never gathered.
+    first. Equal rows are counted, and the rows of a key are dealt to
+    ``KEY_PARTS`` parts by their values; only the first row of each part
+    meets those of the other parts, so a key that holds a third of the rows is
+    never gathered. ``unique`` vouches that no two rows are equal (after
+    ``distinct()``), and spares the count.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    row = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0))
-    counted = counted.withColumn("_row", row)
-    first = df.withColumn("_row", row).groupBy(*keys).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    first = first.where("_rows > 1").withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    later = F.col("_n") - F.when(F.col("_row").eqNullSafe(F.col("_first")), 1).otherwise(0)
-    out = counted.join(first, on).withColumn("_later", later).where("_later > 0")
-    return out.withColumn("_later", F.explode(F.sequence(F.lit(1).cast("bigint"), "_later"))).select(*df.columns)
+    counted = df.withColumn("_n", F.lit(1)) if unique else df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    if rest:
+        order = [F.col(c).asc_nulls_first() for c in rest]
+        dealt = counted.withColumn("_part", F.pmod(F.xxhash64(*rest), F.lit(KEY_PARTS)))
+        leads = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)) == 1
+        dealt = dealt.withColumn("_leads", leads).withColumn("_part", F.when(F.col("_leads"), F.lit(-1)).otherwise(F.col("_part")))
+        place = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+        first = F.col("_leads") & (place == 1)
+        counted = dealt.withColumn("_later", F.col("_n") - F.when(first, 1).otherwise(0))
+    else:
+        counted = counted.withColumn("_later", F.col("_n") - 1)
+    out = counted.where("_later > 0")
+    if not unique:
+        out = out.withColumn("_later", F.explode(F.sequence(F.lit(1).cast("bigint"), "_later")))
+    return out.select(*df.columns)
 
 
 def key_violations(df: DataFrame, keys: Sequence[str], count_col: str = "rows") -> DataFrame:

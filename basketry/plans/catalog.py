@@ -307,7 +307,7 @@ def q_profile_duplicate_row_copies(spark, d):
 
 def q_profile_key_violation_rows(spark, d):
     cleaned = fx.order_item_options(spark, d).distinct()
-    return dedupe.key_violation_rows(cleaned, ["LINEITEM_ID", "OPTION_GROUP_NAME", "OPTION_NAME"])
+    return dedupe.key_violation_rows(cleaned, ["LINEITEM_ID", "OPTION_GROUP_NAME", "OPTION_NAME"], unique=True)
 
 
 def q_profile_key_violations(spark, d):

@@ -4,6 +4,8 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from basketry.operators import dedupe, metrics, profile, validate
 
@@ -261,3 +263,16 @@ def test_argument_validation(spark):
         metrics.top_locations(df, "revenue", -1)
     with pytest.raises(ValueError):
         metrics.top_locations(df, "margin", 5)
+
+
+def test_key_violation_rows_of_distinct_rows(spark):
+    """A NULL key with a third of the rows; rows vouched for as distinct are neither counted again nor joined."""
+    rows = [(None if i % 3 == 0 else f"k{i % 90}", i % 2, f"o{i % 50}", None if i % 5 == 0 else i / 4) for i in range(900)]
+    df = spark.createDataFrame(rows + rows[:40], "k string, g int, o string, p double")
+    place = F.row_number().over(Window.partitionBy("k", "g").orderBy(F.col("o").asc_nulls_first(), F.col("p").asc_nulls_first()))
+    for frame, unique in ((df.distinct(), True), (df.distinct(), False), (df, False)):
+        got = dedupe.key_violation_rows(frame, ["k", "g"], unique=unique)
+        want = frame.withColumn("n", place).where("n > 1").drop("n")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    text = dedupe.key_violation_rows(df.distinct(), ["k", "g"], unique=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "SortAggregate" not in text and text.count("HashAggregate") <= 4  # twice the two of distinct()
