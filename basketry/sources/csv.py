@@ -48,19 +48,29 @@ MISSING, BOOLEAN, INTEGER, NEGATIVE, UNSIGNED, FLOAT, TEXT = (1 << i for i in ra
 _NUMBERS = INTEGER | NEGATIVE | UNSIGNED | FLOAT
 
 
+# what a number can begin and end with; the expressions allow for one line end behind it
+_NUMBER_STARTS = (*"0123456789", *"+-.iI")
+_NUMBER_ENDS = (*"0123456789", *".fFyY", *"\n\r\x85\u2028\u2029")
+
+
 def value_kind(value: Column) -> Column:
-    """The bit of one text; NULL is missing."""
+    """The bit of one text; NULL is missing.
+
+    Each expression is matched at most once, and only against texts that begin
+    and end like a number.
+    """
     trimmed = F.trim(value)
     whole = F.regexp_like(trimmed, F.lit(r"^[+-]?[0-9]+$"))
     small = trimmed.try_cast("bigint")
     real = F.regexp_like(trimmed, F.lit(r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"))
+    fits = trimmed.try_cast("decimal(38,0)").between(F.lit("0").cast("decimal(38,0)"), F.lit(str(2**64 - 1)).cast("decimal(38,0)"))
+    integer = F.when(small < 0, F.lit(NEGATIVE)).when(small.isNotNull(), F.lit(INTEGER)).when(fits, F.lit(UNSIGNED)).otherwise(F.lit(TEXT))
+    like_number = F.substring(trimmed, 1, 1).isin(*_NUMBER_STARTS) & F.substring(trimmed, -1, 1).isin(*_NUMBER_ENDS)
     return (
         F.when(value.isNull(), F.lit(MISSING))
         .when(value.isin(*BOOLEAN_TOKENS), F.lit(BOOLEAN))
-        .when(whole & (small < 0), F.lit(NEGATIVE))
-        .when(whole & small.isNotNull(), F.lit(INTEGER))
-        .when(whole & (trimmed.try_cast("decimal(38,0)").between(F.lit("0").cast("decimal(38,0)"), F.lit(str(2**64 - 1)).cast("decimal(38,0)"))), F.lit(UNSIGNED))
-        .when(whole, F.lit(TEXT))
+        .when(~like_number, F.lit(TEXT))
+        .when(whole, integer)
         .when(real, F.lit(FLOAT))
         .otherwise(F.lit(TEXT))
     )

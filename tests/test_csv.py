@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -114,3 +115,28 @@ def test_round_trip_of_a_table(spark, tmp_out):
     write_csv(df.repartition(3), f"{tmp_out}/docs")
     back = read_csv(spark, f"{tmp_out}/docs", schema=df.schema, multiline=True, missing=())
     assert back.count() == df.count() and back.exceptAll(df).count() == 0
+
+
+def test_kinds_match_expressions_only_for_texts_like_numbers(spark):
+    """Every text gets the kind that the expressions alone give it, odd ends included."""
+    whole, real = r"[+-]?[0-9]+", r"[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)"
+    texts = [
+        "", " ", "+", "-.", "5", " 5 ", "\t5", "5\t", "5.", "+.5", "-0", "1e5", "1e", "inf", "-Infinity", "+", "infinit", "NaN", "True", " true", "9" * 18, str(2**63 - 1), str(2**63),
+        str(-(2**63)), str(-(2**63) - 1), str(2**64 - 1), str(2**64), "0" * 30 + "7", "+" + "0" * 40, "9" * 39, "1_000", "0x1", "1f", "1996-01-01T00:00:00.000Z", "12-4", "USD",
+    ]
+
+    def kind(t):
+        if t in csv.BOOLEAN_TOKENS:
+            return csv.BOOLEAN
+        s = t.strip(" ")
+        if re.fullmatch(whole, s):
+            n = int(s)
+            return csv.NEGATIVE if -(2**63) <= n < 0 else csv.INTEGER if 0 <= n < 2**63 else csv.UNSIGNED if 0 <= n < 2**64 else csv.TEXT
+        return csv.FLOAT if re.fullmatch(real, s) else csv.TEXT
+
+    df = spark.createDataFrame([(t,) for t in [*texts, None, "5\n", "-5\r\n"]], "v string")
+    got = {r.v: r.k for r in df.select("v", csv.value_kind(F.col("v")).alias("k")).collect()}
+    assert got == {t: kind(t) for t in texts} | {None: csv.MISSING, "5\n": csv.INTEGER, "-5\r\n": csv.NEGATIVE}
+    # each expression stands once, behind a look at both ends
+    said = str(csv.value_kind(F.col("v"))).lower()
+    assert said.count("regexp_like") + said.count("rlike") == 2 and "substring" in said
