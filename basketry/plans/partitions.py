@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.ranking import null_safe_join
@@ -23,18 +25,32 @@ from basketry.session import materialize
 DIGEST = "rows long, sum_a decimal(38,0), sum_b decimal(38,0)"
 
 
+_PIECE = 21  # bits: sums of pieces stay within 64 bits for 2^41 rows of a partition
+
+
 def partition_digests(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, rows, sum_a, sum_b): order-free digest of every partition; columns count by name."""
+    """(keys, rows, sum_a, sum_b): order-free digest of every partition; columns count by name.
+
+    A sum of 64-bit hashes needs more than 64 bits; it is put together from
+    the sums of three pieces of each hash, which are plain longs.
+    """
     columns = sorted(df.columns)
     cells = [F.col(f"`{c}`") for c in columns]
     # hashes skip NULLs, so which cells are NULL is hashed too
     nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cells])
-    wide = lambda c: F.sum(c.cast("decimal(38,0)"))
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"),
-        wide(F.xxhash64(*cells, nulls)).alias("sum_a"),
-        wide(F.xxhash64(F.lit(",".join(columns)), nulls, *reversed(cells))).alias("sum_b"),
-    )
+    hashed = df.select(*keys, F.xxhash64(*cells, nulls).alias("_a"), F.xxhash64(F.lit(",".join(columns)), nulls, *reversed(cells)).alias("_b"))
+    mask = F.lit((1 << _PIECE) - 1).cast("bigint")
+
+    def piece(c: str, i: int) -> Column:
+        moved = F.shiftright(c, i * _PIECE)
+        return F.sum(moved if i == 2 else moved.bitwiseAND(mask)).alias(f"{c}{i}")
+
+    def total(c: str) -> Column:
+        # wide enough and no wider: a product of two decimals must keep its scale of 0
+        return reduce(lambda x, y: x + y, [(F.col(f"{c}{i}").cast("decimal(20,0)") * F.lit(Decimal(1 << i * _PIECE))).cast("decimal(38,0)") for i in range(3)]).cast("decimal(38,0)")
+
+    sums = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *[piece(c, i) for c in ("_a", "_b") for i in range(3)])
+    return sums.select(*keys, "rows", total("_a").alias("sum_a"), total("_b").alias("sum_b"))
 
 
 def compare_digests(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

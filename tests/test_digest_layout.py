@@ -6,7 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.functions import rules
 from basketry.operators import dedupe
+from basketry.plans import partitions
 from basketry.sources import write_clustered
 
 
@@ -122,3 +124,30 @@ def test_a_hot_value_is_spread_over_files(spark, tmp_out):
     assert len(sizes) >= 5 and max(sizes) < 3 * 12_000 / 6
     with pytest.raises(ValueError):
         write_clustered(df, path, ["u"], files=0)
+
+
+def test_partition_digests_sum_plain_longs(spark):
+    """The sums of 64-bit hashes are exact, and no row is taken to a decimal."""
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("x"))
+    got = partitions.partition_digests(df, ["k"])
+    nulls = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in ("k", "x")])
+    hashes = df.select("k", F.xxhash64("k", "x", nulls).alias("a"), F.xxhash64(F.lit("k,x"), nulls, "x", "k").alias("b")).collect()
+    want = {k: (sum(1 for r in hashes if r.k == k), sum(r.a for r in hashes if r.k == k), sum(r.b for r in hashes if r.k == k)) for k in range(3)}
+    assert {r.k: (r.rows, int(r.sum_a), int(r.sum_b)) for r in got.collect()} == want
+    assert dict(got.dtypes) == {"k": "bigint", "rows": "bigint", "sum_a": "decimal(38,0)", "sum_b": "decimal(38,0)"}
+    partial = got._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert "decimal" not in partial.lower()
+
+
+def test_rounding_takes_decimals_near_ties_only(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    values = [0.0, -0.001, 0.005, -0.005, 1.005, 2.675, -2.675, 0.1 + 0.2, 1e9 + 0.125, 123456.785, 99999.994999, 1e13 + 0.1, 5e-324]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan"), float("inf"), 1e30]], "v double")
+    for scale in (2, 4, 6):
+        got = {str(r.v): r.r for r in df.select("v", rules.round_half_up("v", scale).alias("r")).collect()}
+        for v in values:
+            ten = Decimal(repr(v)).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+            assert str(got[str(v)]) == str(float(ten.quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP)) + 0.0)
+        assert got["None"] is None and str(got["nan"]) == "nan" and got["inf"] == float("inf") and got["1e+30"] == 1e30
+    assert str(rules.round_half_up("v", 2)).count("try_cast") <= 1 and "floor" in str(rules.round_half_up("v", 2)).lower()
