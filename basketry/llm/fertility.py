@@ -11,6 +11,12 @@ quartile distance. Junk (symbol noise, shouting, repeated words, keyword lists)
 falls outside. The quartiles are over distinct texts: copies of a text, however
 many, count once, so they do not narrow the band of the others.
 
+A whole text's tokens are put together chunk by chunk: a text parts before every
+blank or newline that follows another character (:func:`cuts`), which none of
+the vocabulary's tokens crosses (:func:`by_chunks` verifies that), so a task
+encodes each distinct chunk once and keeps it in a table of bounded size. Other
+vocabularies get whole texts.
+
 Scale: one narrow pass over the texts, stored; copies combine map-side by
 (group, class, digest) and travel once per task; the quartiles are exact, from
 counts of values rounded to thousandths, which combine map-side, so their
@@ -22,6 +28,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +37,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import fresh_name, slices, stored, text_or_empty
-from basketry.llm.textstats import base_statistics, script
+from basketry.llm.pieces import MARK, Model, check_model
+from basketry.llm.textstats import base_statistics_of, script
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FIGURES = ["chars_per_token", "byte_share", "entropy"]  # in thousandths
 BATCH_CHARS = 1 << 20
+TABLE_BYTES = 1 << 21  # bytes of distinct chunks at which a task's table of chunks starts anew
+FIRST = "^"  # marks the first chunk of a text; the others begin with a blank or a newline
 MIN_GROUP = 40  # a group with fewer texts sets no band of its own
 MAX_BANDS = 20_000  # most rows of the bands table that are sent to the tasks (about 2 MB)
 SALTS = 64  # pieces that a group falls into when the bands are joined instead
@@ -59,8 +69,7 @@ def vocabulary(path: str) -> tuple[Callable[[list[str]], list[list[int]]], np.nd
     import public_tokenizers
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    ranks = byte_pairs(path)
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     is_byte = np.zeros(max(ranks.values()) + 1, bool)
     for token, rank in ranks.items():
@@ -68,6 +77,12 @@ def vocabulary(path: str) -> tuple[Callable[[list[str]], list[list[int]]], np.nd
     return lambda texts: [coder.encode_ordinary(t) for t in texts], is_byte
 
 
+def byte_pairs(path: str) -> dict[bytes, int]:
+    """Tokens and their ids of a .tiktoken file."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+
 def _is_text(token: bytes) -> bool:
     try:
         token.decode()
@@ -76,18 +91,162 @@ def _is_text(token: bytes) -> bool:
     return True
 
 
-def token_figures(text: str, ids: list[int], is_byte: np.ndarray) -> tuple[int, int, int, int]:
-    """(tokens, characters per token, byte share, entropy in bits); the last three in thousandths."""
-    if not ids:
-        return 0, 0, 0, 0
-    seen, times = np.unique(np.array(ids, np.int64), return_counts=True)
-    share = times / len(ids)
-    return (
-        len(ids),
-        round(1000 * len(text) / len(ids)),
-        round(1000 * int(times[is_byte[seen]].sum()) / len(ids)),
-        round(-1000 * float((share * np.log2(share)).sum())),
-    )
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes where a blank or newline follows another character that is no white space, nor SentencePiece's mark for it."""
+    at = np.flatnonzero((data == 32) | (data == 10))
+    at = at[at > 2]
+    code = data[at - 1].astype(np.uint32)  # up to three bytes of the character before
+    wide = np.flatnonzero(code > 127)
+    code[wide] |= data[at[wide] - 2].astype(np.uint32) << 8
+    longer = wide[code[wide] < 0xC000]
+    code[longer] |= data[at[longer] - 3].astype(np.uint32) << 16
+    code[wide[np.isin(code[wide], _WIDE_BLANKS)]] = 32
+    return at[~_BLANK[np.minimum(code, 127)]]
+
+
+_BLANK = np.array([chr(c).isspace() for c in range(128)])
+_WIDE_BLANKS = [int.from_bytes(chr(c).encode()) for c in range(128, 0x10000) if chr(c).isspace() or chr(c) == MARK]
+
+
+def by_chunks(path: str, encode: Callable[[list[str]], list[list[int]]]) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None:
+    """Function from chunks (of :class:`Tokens`) to their ids inside a text and the number of each; None where a token may cross :func:`cuts`.
+
+    The pattern of byte pairs never holds a blank after another character. The
+    pieces of a .model file are checked, and that it leaves characters as they are.
+    """
+    return _piece_chunks(path, encode) if path.endswith(".model") else _byte_pair_chunks(path, encode)
+
+
+def _piece_chunks(path, encode):
+    try:
+        check_model(path)
+    except ValueError:
+        return None
+    probe = "a b\nc  d\tﬁ ① Ａ e\u0301"
+    if Model(path).sp.normalize(probe) != MARK + probe.replace(" ", MARK):
+        return None
+    skip = len(encode(["\n"])[0])
+
+    def segment(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # the model puts a mark before a text: that of a first chunk, or of a chunk's own space; others stand after a newline
+        marked = [c[0] == FIRST or (c[0] == " " and len(c) > 1) for c in chunks]
+        ids = encode([c[1:] if m else "\n" + c for c, m in zip(chunks, marked)])
+        return _flat([i if m else i[skip:] for i, m in zip(ids, marked)])
+
+    return segment
+
+
+def _byte_pair_chunks(path, encode):
+    ranks = byte_pairs(path)
+    size = np.zeros(max(ranks.values()) + 1, np.int64)  # bytes of each token
+    for token, rank in ranks.items():
+        size[rank] = len(token)
+
+    def segment(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # one text of all chunks that can stand one after the other: cheaper than a call for each
+        alone = [c[0] == FIRST or c[-1].isspace() for c in chunks]
+        joined = [c for c, a in zip(chunks, alone) if not a]
+        ids, _ = _flat(encode(["".join(joined)]))
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, joined)), np.int64, len(joined)))
+        upto = np.searchsorted(np.cumsum(size[ids]), ends, side="right")
+        single, sizes = _flat(encode([c.removeprefix(FIRST) for c, a in zip(chunks, alone) if a]))
+        alone = np.array(alone, bool)
+        n = np.zeros(len(chunks), np.int64)
+        n[alone], n[~alone] = sizes, np.diff(upto, prepend=0)
+        out = np.zeros(len(ids) + len(single), np.int32)
+        own = np.repeat(alone, n)
+        out[own], out[~own] = single, ids
+        return out, n
+
+    return segment
+
+
+class Tokens:
+    """Token ids of texts under several vocabularies, through a table of the distinct chunks met so far.
+
+    The first chunk of a text begins with :data:`FIRST`, the others with the
+    blank or newline of their cut.
+    """
+
+    def __init__(self, models: Sequence[str], table_bytes: int = TABLE_BYTES):
+        found = [vocabulary(m) for m in models]
+        self.whole = [encode for encode, _ in found]
+        self.is_byte = [is_byte for _, is_byte in found]
+        self.parts = [by_chunks(m, encode) for m, encode in zip(models, self.whole)]
+        self.table_bytes = table_bytes
+        self._empty()
+
+    def _empty(self) -> None:
+        self.chunks, self.bounds = b"", np.zeros(1, np.int64)  # one after the other, and where each begins and ends
+        self.ids = [np.zeros(0, np.int32) for _ in self.parts]
+        self.ends = [np.zeros(0, np.int64) for _ in self.parts]
+
+    def of(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per vocabulary: (ids of all texts, one after the other; tokens of each text)."""
+        if any(self.parts):
+            at, last = self._numbers([t.encode() for t in texts])
+        out = []
+        for v, segment in enumerate(self.parts):
+            if not segment:
+                out.append(_flat(self.whole[v](texts)))
+                continue
+            sizes = np.diff(self.ends[v], prepend=0)[at]
+            upto = np.cumsum(sizes)
+            ids = self.ids[v][np.repeat(self.ends[v][at] - upto, sizes) + np.arange(sizes.sum())]
+            out.append((ids, np.diff(upto[last], prepend=0)))
+        return out
+
+    def _numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of all chunks in the table, place of each text's last chunk); new chunks are encoded."""
+        if len(self.chunks) >= self.table_bytes:
+            self._empty()
+        mark = FIRST.encode()
+        data = b"".join([mark + t for t in texts])
+        starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)))
+        inside = np.setdiff1d(cuts(np.frombuffer(data, np.uint8)), starts + 1, assume_unique=True)
+        ends = np.sort(np.concatenate((starts, inside)))
+        known = len(self.bounds) - 1
+        # the table's chunks come first, so that they keep their numbers
+        coded = _binary(self.chunks + data, np.concatenate((self.bounds, len(self.chunks) + ends[1:]))).dictionary_encode()
+        new = coded.dictionary[known:].to_pylist()
+        self.chunks += b"".join(new)
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))))
+        new = [c.decode() for c in new]
+        for v, segment in enumerate(self.parts):
+            if segment:
+                ids, sizes = segment(new)
+                self.ends[v] = np.concatenate((self.ends[v], len(self.ids[v]) + np.cumsum(sizes)))
+                self.ids[v] = np.concatenate((self.ids[v], ids))
+        return coded.indices.to_numpy()[known:], np.searchsorted(ends, starts[1:]) - 1
+
+
+def _binary(data: bytes, bounds: np.ndarray) -> pa.Array:
+    """The pieces of ``data`` between neighbouring ``bounds``."""
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers, one list after the other; length of each)."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
+
+
+def token_figures(chars: np.ndarray, ids: np.ndarray, tokens: np.ndarray, is_byte: np.ndarray) -> list[np.ndarray]:
+    """Characters per token, byte share and entropy in bits of each text, in thousandths; 0 without tokens.
+
+    ``ids`` are those of all texts, one after the other, ``tokens`` of them in each.
+    """
+    n = len(tokens)
+    key = np.repeat(np.arange(n, dtype=np.int64) << 32, tokens) | ids
+    key.sort()
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    times = np.diff(first, append=len(key))
+    text, token = key[first] >> 32, key[first] & 0xFFFFFFFF
+    per = np.maximum(tokens, 1)
+    share = times / per[text]
+    in_bytes = np.bincount(text, times * is_byte[token], n)
+    bits = -np.bincount(text, share * np.log2(share), n)
+    return [np.rint(x).astype(np.int64) for x in (1000 * chars * (tokens > 0) / per, 1000 * in_bytes / per, 1000 * bits)]
 
 
 def add_statistics(docs: DataFrame, models: str | Sequence[str], text_col: str = "text", out: str = "stats") -> DataFrame:
@@ -104,28 +263,30 @@ def add_statistics(docs: DataFrame, models: str | Sequence[str], text_col: str =
     given = docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text_col).alias(text))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(out, F.lit(None).cast(shape)).schema
 
-    def measured(texts: list[str], vocabularies: list[tuple]) -> list[dict]:
-        names = [*numbers, "script", "digest"]
+    kind = [pa.field(c, pa.int64()) for c in numbers] + [pa.field("script", pa.string()), pa.field("digest", pa.binary())]
+
+    def measured(texts: list[str], tokens: Tokens) -> pa.StructArray:
         raw = [t.encode() for t in texts]
-        rows = [[*base_statistics(r)] for r in raw]
-        for k, (encode, is_byte) in enumerate(vocabularies):
-            for row, t, ids in zip(rows, texts, encode(texts)):
-                row += token_figures(t, ids, is_byte)[1 if k else 0 :]  # the token count of the first one only
-        return [dict(zip(names, (*row, script(t), xxhash.xxh3_128_digest(r)))) for row, t, r in zip(rows, texts, raw)]
+        columns = list(base_statistics_of(raw).T)
+        chars = np.fromiter(map(len, texts), np.int64, len(texts))
+        for k, (ids, n) in enumerate(tokens.of(texts)):
+            columns += [n][k:] + token_figures(chars, ids, n, tokens.is_byte[k])  # the token count of the first one only
+        columns = [pa.array(np.ascontiguousarray(c)) for c in columns]
+        columns += [pa.array([script(t) for t in texts], pa.string()), pa.array([xxhash.xxh3_128_digest(r) for r in raw], pa.binary())]
+        return pa.StructArray.from_arrays(columns, fields=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.struct([*[(c, pa.int64()) for c in numbers], ("script", pa.string()), ("digest", pa.binary())])
-        vocabularies = [vocabulary(m) for m in models]
+        tokens = Tokens(models)
         for b in slices(batches):
-            rows, some, size = [], [], 0
+            found, some, size = [], [], 0
             for t in b.column(len(keep)).to_pylist():
                 some.append(t)
                 size += len(t)
                 if size >= BATCH_CHARS:
-                    rows += measured(some, vocabularies)
+                    found.append(measured(some, tokens))
                     some, size = [], 0
-            rows += measured(some, vocabularies)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(rows, kind)], names=[*keep, out])
+            found.append(measured(some, tokens))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.concat_arrays(found)], names=[*keep, out])
 
     return given.mapInArrow(run, schema)
 

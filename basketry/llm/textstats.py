@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
-from itertools import count
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"  # what bytes.split() parts at
 WINDOW = 8
+_IS_BLANK = np.isin(np.arange(256), list(BLANKS))
+_IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 _MIX = np.random.default_rng(8).integers(1, 1 << 63, WINDOW, dtype=np.uint64) | np.uint64(1)
 
 # First code point of each script's main range, and the script's name.
@@ -28,10 +30,6 @@ _NAMES = sorted({n for _, n in SCRIPT_STARTS})
 _CODES = np.array([_NAMES.index(n) for _, n in SCRIPT_STARTS])
 
 
-def code_points(text: bytes) -> int:
-    return int(np.count_nonzero((np.frombuffer(text, np.uint8) & 0xC0) != 0x80))
-
-
 def script(text: str) -> str:
     """The script of most letters; ``common`` when there is none. Ties go to the first name."""
     if text.isascii():
@@ -54,45 +52,73 @@ def duplicate_lines(text: bytes) -> int:
     return n
 
 
-def repeated_words(words: list[bytes]) -> int:
-    """Words that lie in a window of eight words found twice or more."""
-    if len(words) <= WINDOW:
-        return 0
-    number = defaultdict(count().__next__)
-    ids = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
-    n = len(ids) - WINDOW + 1
-    if len(number) == len(words):
-        return 0
-    h = np.zeros(n, np.uint64)
-    for j in range(WINDOW):
-        x = (ids[j : j + n] + np.uint64(1)) * _MIX[j]
-        h += x ^ (x >> np.uint64(29))
-    order = np.argsort(h, kind="stable")
-    same = h[order][1:] == h[order][:-1]
-    if not same.any():
-        return 0
+def repeated_words(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per text: words that lie in a window of eight words found twice or more in that text.
+
+    ``ids`` are the numbers of all texts' words, one text after the other, ``sizes`` of them in each.
+    """
+    ends = np.cumsum(sizes)
+    none = np.zeros(len(sizes), np.int64)
+    if not len(sizes) or sizes.max() <= WINDOW:
+        return none
+    ids = ids.astype(np.uint64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    # a hash of each window: of pairs of words, then of pairs of those, then of pairs of those
+    h = (ids + np.uint64(1)) * _MIX[0]
+    for k, step in enumerate((1, 2, 4), 1):
+        h = (h[:-step] ^ (h[:-step] >> np.uint64(29))) * _MIX[2 * k] + h[step:] * _MIX[2 * k + 1]
+    h = (h ^ (h >> np.uint64(32))) * _MIX[1] + owner[: len(h)].astype(np.uint64) * _MIX[2]
+    h ^= h >> np.uint64(29)
+    whole = owner[: len(h)] == owner[WINDOW - 1 :]
+    ranked = np.sort(h[whole])
+    twice = ranked[1:][ranked[1:] == ranked[:-1]]
+    if not len(twice):
+        return none
+    # sort only windows whose last 16 bits are those of a repeated hash
+    low = np.zeros(1 << 16, bool)
+    low[twice & np.uint64(0xFFFF)] = True
+    some = np.flatnonzero(low[h & np.uint64(0xFFFF)] & whole)
+    order = some[np.argsort(h[some], kind="stable")]
+    same = h[order[1:]] == h[order[:-1]]
     # equal hashes are checked word by word against the window before them in hash order
     a, b = order[1:][same], order[:-1][same]
-    equal = np.ones(len(a), bool)
+    equal = owner[a] == owner[b]
     for j in range(WINDOW):
         equal &= ids[a + j] == ids[b + j]
     if not equal.all():  # a collision of the 64-bit hash: count the windows themselves
-        from collections import Counter
-
-        windows = [tuple(ids[i : i + WINDOW].tolist()) for i in range(n)]
+        windows = [(int(owner[i]), *ids[i : i + WINDOW].tolist()) for i in some]
         often = Counter(windows)
-        hit = np.flatnonzero([often[w] > 1 for w in windows])
+        hit = some[[often[w] > 1 for w in windows]]
     else:
         hit = np.union1d(a, b)
     edges = np.zeros(len(ids) + 1, np.int64)
-    np.add.at(edges, hit, 1)
-    np.add.at(edges, hit + WINDOW, -1)
-    return int(np.count_nonzero(np.cumsum(edges[:-1])))
+    edges[hit] += 1
+    edges[hit + WINDOW] -= 1
+    inside = np.concatenate(([0], np.cumsum(np.cumsum(edges[:-1]) > 0)))
+    return inside[ends] - inside[ends - sizes]
+
+
+def base_statistics_of(texts: list[bytes]) -> np.ndarray:
+    """Per text a row of five: words, code points in words, symbols, duplicate lines, words in repeated windows."""
+    if not texts:
+        return np.zeros((0, 5), np.int64)
+    joined = b"\n".join([*texts, b""])  # a newline ends each text
+    starts = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    starts = np.concatenate(([0], starts[:-1]))
+    data = np.frombuffer(joined, np.uint8)
+    blank = _IS_BLANK[data]
+    edges = np.flatnonzero(np.diff(blank, prepend=True))  # a word's first byte, the blank after it, and so on
+    first, after = edges[::2], edges[1::2]
+    words = np.diff(np.searchsorted(first, starts), append=len(first))
+    points = np.add.reduceat(~blank & (data & 0xC0 != 0x80), starts, dtype=np.int64)
+    symbols = np.add.reduceat(_IS_SYMBOL[data], starts, dtype=np.int64)
+    offsets = np.concatenate(([0], np.cumsum(after - first)))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined.translate(None, BLANKS))]
+    ids = pa.Array.from_buffers(pa.large_binary(), len(first), buffers).dictionary_encode().indices.to_numpy()
+    lines = np.fromiter(map(duplicate_lines, texts), np.int64, len(texts))
+    return np.stack([words, points, symbols, lines, repeated_words(ids, words)], axis=1)
 
 
 def base_statistics(text: bytes) -> tuple[int, int, int, int, int]:
     """(words, code points in words, symbols, duplicate lines, words in repeated windows)."""
-    words = text.split()
-    in_words = code_points(text.translate(None, BLANKS))
-    symbols = len(text) - len(text.translate(None, SYMBOLS))
-    return len(words), in_words, symbols, duplicate_lines(text), repeated_words(words)
+    return tuple(base_statistics_of([text])[0].tolist())

@@ -1,6 +1,8 @@
+import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from basketry.llm import fertility, queries, rule_ensemble, textstats
@@ -108,6 +110,66 @@ def test_figures_of_the_second_vocabulary(spark, model):
         assert got[i].entropy_2 == round(-1000 * float((share * np.log2(share)).sum()))
 
 
+ODD = [" ", " ", "\n", "\t", "▁", "\u3000", "\x1c", "\x85", "\xa0", "\u2009", "'s", "'", "a", "the", "of", "1", "23", "é", "e\u0301", "日"]
+ODD += ["。", "😀", "\0", "^", "<s>", "</s>", "<0x0A>", "\r\n", "\x0b", "#", "##", "ab", "\u200b", "ﬁ"]
+
+
+def odd_texts(n, pieces, seed=3):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choices(pieces, k=rnd.randint(0, 30))) for _ in range(n)]
+
+
+def test_tokens_by_chunks_are_those_of_whole_texts(docs):
+    """Also where the table of chunks starts anew, and for texts that begin or end with any kind of blank."""
+    texts = [r.text for r in docs.collect()] + odd_texts(3000, ODD) + ["", " ", "  ", "\n", "^", "▁", " ▁", "x ", "x▁ y", "\n\n a  b\t c \n"]
+    models = queries.quality_vocabularies()
+    tokens = fertility.Tokens(models, table_bytes=5000)
+    assert all(tokens.parts)
+    got = [[] for _ in models]
+    for at in range(0, len(texts), 97):
+        for v, (ids, n) in enumerate(tokens.of(texts[at : at + 97])):
+            got[v] += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+    for v, path in enumerate(models):
+        assert got[v] == fertility.vocabulary(path)[0](texts), path
+
+
+def test_a_chunk_is_encoded_once():
+    tokens = fertility.Tokens(queries.quality_vocabularies())
+    given, parts = [], tokens.parts
+    tokens.parts = [lambda chunks, f=f: given.append(len(chunks)) or f(chunks) for f in parts]
+    for _ in range(3):
+        found = tokens.of(["one two three two one"] * 50 + ["one  two\nthree"])
+    assert given == [6, 6, 0, 0, 0, 0]  # ^one, one, two, three; two after two blanks; a line's three
+    assert [n.tolist() for _, n in found] == [[len(fertility.vocabulary(m)[0]([t])[0]) for t in ["one two three two one"] * 50 + ["one  two\nthree"]] for m in queries.quality_vocabularies()]
+
+
+def test_vocabulary_that_crosses_blanks_gets_whole_texts(monkeypatch, model):
+    def refuse(path):
+        raise ValueError
+
+    texts = ["a b", "", " c"]
+    monkeypatch.setattr(fertility, "check_model", refuse)
+    tokens = fertility.Tokens([model])
+    assert tokens.parts == [None]
+    ((ids, n),) = tokens.of(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == fertility.vocabulary(model)[0](texts)
+
+
+def test_statistics_of_many_texts_are_those_of_each():
+    texts = odd_texts(2000, [" ", " ", "\n", "\t", "\x1c", "a", "b", "é", "#", "<", "日", "\xa0"]) + ["", "a b c d e f g h " * 2, "x " * 20]
+    got = textstats.base_statistics_of([t.encode() for t in texts])
+    assert list(map(tuple, got.tolist())) == [brute(t) for t in texts]
+    assert textstats.base_statistics_of([]).shape == (0, 5)
+
+
+def test_equal_window_hashes_are_told_apart(monkeypatch):
+    """With a hash that gives every window the same number, the windows themselves are counted."""
+    monkeypatch.setattr(textstats, "_MIX", np.zeros(8, np.uint64))
+    texts = odd_texts(300, [" ", "\n", "a ", "b "]) + ["a b c d e f g h " * 2]
+    got = textstats.base_statistics_of([t.encode() for t in texts])
+    assert list(map(tuple, got.tolist())) == [brute(t) for t in texts]
+
+
 def test_bands_joined_on_salted_groups(spark, model):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     a, b = ({r.doc_id: r.kept for r in fertility.quality_rules(docs, model, min_group=3, max_bands=n).collect()} for n in (20_000, 0))
