@@ -14,7 +14,9 @@ The steps, with blocks of documents of bounded size:
 3. each block joins the ids back by position.
 
 So text itself is never shuffled, a frequent word moves once per block, and a
-task holds one block and the chunks of one hash range. Rows are sorted within
+task holds one block and the chunks of one hash range. Of a block it holds the
+distinct chunks or, when joining back, arrays of their ids and texts: few Python
+objects, as a worker that lives on keeps most of what it once took. Rows are sorted within
 their partition before blocks are cut, so a block that is computed again after
 a lost executor is the same block.
 """
@@ -25,17 +27,19 @@ import hashlib
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import text_or_empty
+from basketry.llm.common import slices, text_or_empty
 
 MARK = "▁"
 BLOCK_CHARS = 1 << 23  # most characters of text in a block, but for a single longer text
 STEP = 20_000  # chunks handed to the library at once
+LONG = 32  # entries of more items on average are joined as slices
 
 
 class Model:
@@ -80,20 +84,36 @@ def check_model(path: str) -> None:
         raise ValueError("this model does not put a white-space mark before a text")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[list, list[str]]]:
-    """(other columns as row tuples, texts) of blocks of bounded size."""
-    rows, texts, size = [], [], 0
-    for b in batches:
-        others = [b.column(i).to_pylist() for i in range(width)]
-        for k, t in enumerate(b.column(width).to_pylist()):
-            rows.append(tuple(o[k] for o in others))
-            texts.append(t)
-            size += len(t)
-            if size >= BLOCK_CHARS:
-                yield rows, texts
-                rows, texts, size = [], [], 0
-    if texts:
-        yield rows, texts
+class Table(NamedTuple):
+    """Entries of a block's distinct chunks, one after another; entry k is ``flat[ends[k]:ends[k + 1]]``."""
+
+    flat: np.ndarray
+    ends: np.ndarray
+
+    @classmethod
+    def of(cls, sizes: list[np.ndarray], flat: list[np.ndarray], kind: str) -> Table:
+        return cls(np.concatenate([np.empty(0, kind), *flat]), np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes])))
+
+    def lists(self) -> Iterator[list[list]]:
+        """The entries as Python lists, at most ``STEP`` at a time."""
+        for at in range(0, len(self.ends) - 1, STEP):
+            ends = self.ends[at : at + STEP + 1]
+            some, cuts = self.flat[ends[0] : ends[-1]].tolist(), (ends - ends[0]).tolist()
+            yield [some[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def join(self, at: np.ndarray) -> np.ndarray:
+        """The entries at these positions, one after another."""
+        parts = []
+        for k in range(0, len(at), STEP):
+            p = at[k : k + STEP]
+            starts = self.ends[p]
+            sizes = self.ends[p + 1] - starts
+            to = np.cumsum(sizes)
+            if to[-1] > LONG * len(p):  # an index of every item would take more than the entries themselves
+                parts.append(np.concatenate([self.flat[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist())]))
+            else:
+                parts.append(self.flat[np.repeat(starts - to + sizes, sizes) + np.arange(to[-1])])
+        return np.concatenate(parts) if parts else self.flat[:0]
 
 
 def _lengths_and_bytes(parts: list[bytes]) -> bytes:
@@ -109,6 +129,12 @@ def _split(payload: bytes) -> list[bytes]:
     return [payload[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
+def _split_ids(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each entry, and all ids one after another."""
+    n = int(np.frombuffer(payload, np.uint32, 1)[0])
+    return np.frombuffer(payload, np.uint32, n, 4) // 4, np.frombuffer(payload, "<i4", -1, 4 + 4 * n)
+
+
 def _pack_positions(at: np.ndarray) -> bytes:
     """uint32 positions by byte planes, which compress well."""
     return np.ascontiguousarray(at.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -121,7 +147,7 @@ def _unpack_positions(raw: bytes) -> np.ndarray:
 def encode_documents(
     docs: DataFrame,
     model: str,
-    finish: Callable[[list, Iterator[tuple[list[int], list[str]]]], list[tuple]] | None,
+    finish: Callable[[Model, Table, Iterator[np.ndarray]], list[pa.Array]],
     schema: str,
     id_cols: tuple[str, ...] = ("doc_id",),
     text_col: str = "text",
@@ -129,10 +155,11 @@ def encode_documents(
 ) -> DataFrame:
     """Encode every text and apply ``finish`` to each block of results.
 
-    ``finish(pieces, texts)`` gets the block's chunk table, a list of (ids,
-    joined decimal ids, decoded text) and yields one tuple per document for
-    the positions given; see :func:`encode` and :func:`digests` for the two
-    uses. The result has ``id_cols`` and the columns of ``schema``.
+    ``finish(model, table, positions)`` gets the ids of the block's distinct
+    chunks and, for each document, the positions of its chunks in that table;
+    it returns one array for each column of ``schema``, with a value per
+    document; see :func:`encode` and :func:`digests` for the two uses. The
+    result has ``id_cols`` and the columns of ``schema``.
     """
     import zstandard
 
@@ -148,16 +175,11 @@ def encode_documents(
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, squeeze = Model(model), zstandard.ZstdCompressor(level=1).compress
-        for rows, texts in _blocks(batches, len(ids)):
-            seen: dict[str, int] = {}
-            put = seen.setdefault
-            positions, block = [], hashlib.sha256()
-            for t, r in zip(texts, rows):
-                positions.append(
-                    np.array([put(c, len(seen)) for c in m.chunks(m.sp.normalize(t))], np.uint32)
-                )
-                block.update(repr((r, len(t))).encode())
+
+        def listed(rows: list[tuple], positions: list[np.ndarray], seen: dict[str, int], block) -> pa.RecordBatch:
+            """The rows of a block: its documents and its chunk lists."""
             chunks = [c.encode() for c in seen]
+            seen.clear()
             block.update(b"".join(chunks))
             name = -1 - (int.from_bytes(block.digest()[:8], "little") >> 1)  # negative: hash ranges count from 0
             part = np.fromiter((zlib.crc32(c) % ranges for c in chunks), np.uint32, len(chunks))
@@ -173,7 +195,20 @@ def encode_documents(
             columns = [pa.array([o[j] for o in out], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))]
             fill = [None] * (len(out) - len(rows))
             given = [pa.array([r[j] for r in rows] + fill, t) for j, t in enumerate(id_types)]
-            yield pa.RecordBatch.from_arrays([*columns, *given], names=["place", "extra", "payload", *ids])
+            return pa.RecordBatch.from_arrays([*columns, *given], names=["place", "extra", "payload", *ids])
+
+        rows, positions, size, seen, block = [], [], 0, {}, hashlib.sha256()
+        for b in slices(batches):
+            for *r, t in zip(*[c.to_pylist() for c in b.columns]):
+                rows.append(tuple(r))
+                positions.append(np.array([seen.setdefault(c, len(seen)) for c in m.chunks(m.sp.normalize(t))], np.uint32))
+                block.update(repr((rows[-1], len(t))).encode())
+                size += len(t)
+                if size >= BLOCK_CHARS:
+                    yield listed(rows, positions, seen, block)
+                    rows, positions, size, seen, block = [], [], 0, {}, hashlib.sha256()
+        if rows:
+            yield listed(rows, positions, seen, block)
 
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -187,77 +222,91 @@ def encode_documents(
         """Each distinct chunk of the hash range once; the answers in the order of each list."""
         m, known = Model(model), {}
         squeeze, spread = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
-        for b in batches:
+        for b in slices(batches):
             b = b.filter(pa.compute.greater_equal(b.column(0), 0))
-            payloads = [_split(spread(p)) for p in b.column(2).to_pylist()]
-            new = list(dict.fromkeys(c for p in payloads for c in p if c not in known))
-            for at in range(0, len(new), STEP):
-                some = new[at : at + STEP]
-                for c, found in zip(some, m.segment([c.decode() for c in some])):
-                    known[c] = np.array(found, "<u4").tobytes()
-            answers = [squeeze(_lengths_and_bytes([known[c] for c in p])) for p in payloads]
+            answers = []
+            for payload in b.column(2).to_pylist():
+                chunks = _split(spread(payload))
+                new = [c for c in chunks if c not in known]
+                for at in range(0, len(new), STEP):
+                    some = new[at : at + STEP]
+                    for c, found in zip(some, m.segment([c.decode() for c in some])):
+                        known[c] = np.array(found, "<u4").tobytes()
+                answers.append(squeeze(_lengths_and_bytes([known[c] for c in chunks])))
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), b.column(0), pa.array(answers, pa.binary())], names=["place", "part", "payload"]
             )
 
     answers = dealt.mapInArrow(segment, "place long, part long, payload binary")
     out_schema = StructType([*id_fields, *StructType.fromDDL(schema).fields])
-    out_types = [to_arrow_type(f.dataType) for f in out_schema.fields]
+    out_arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in out_schema.fields])
 
     def join_back(documents: pa.Table, found: pa.Table) -> pa.Table:
         m, spread = Model(model), zstandard.ZstdDecompressor().decompress
         found = found.sort_by("part")
-        table = [np.frombuffer(c, "<u4").tolist() for p in found.column("payload").to_pylist() for c in _split(spread(p))]
+        lists = [_split_ids(spread(p)) for p in found.column("payload").to_pylist()]
         own = documents.filter(pa.compute.less(documents.column("place"), 0))
-        if any(lists != found.num_rows for lists in own.column("extra").to_pylist()):
+        if any(n != found.num_rows for n in own.column("extra").to_pylist()):
             raise RuntimeError("a block of documents and its chunk lists differ; the input changed while it was read")
-        given = [own.column(c).to_pylist() for c in ids]
+        if not own.num_rows:
+            return out_arrow.empty_table()
         positions = (_unpack_positions(spread(p)) for p in own.column("payload").to_pylist())
-        result = finish(m, table, positions)
-        return pa.table(
-            [
-                *[pa.array(g, t) for g, t in zip(given, out_types)],
-                *[pa.array(list(c), t) for c, t in zip(zip(*result), out_types[len(ids) :])],
-            ]
-            if result
-            else [pa.array([], t) for t in out_types],
-            names=out_schema.fieldNames(),
-        )
+        table = Table.of([sizes for sizes, _ in lists], [flat for _, flat in lists], "<i4")
+        given = [own.column(c) for c in ids]
+        return pa.table([*given, *finish(m, table, positions)], names=out_arrow.names).cast(out_arrow)
 
     return dealt.groupBy("place").cogroup(answers.groupBy("place")).applyInArrow(join_back, out_schema)
 
 
-def _strip_first(m: Model, text: str) -> str:
-    """Decoding drops the mark that encoding put before the text."""
-    return text[1:] if text[:1] == " " else text
+def _decoded(m: Model, table: Table) -> Table:
+    """UTF-8 of the text of each chunk."""
+    sizes, flat = [], []
+    for ids in table.lists():
+        texts = [t.encode() for t in m.decode_inner(ids)]
+        sizes.append(np.fromiter(map(len, texts), np.int64, len(texts)))
+        flat.append(np.frombuffer(b"".join(texts), np.uint8))
+    return Table.of(sizes, flat, "u1")
 
 
-def _ids_and_text(m: Model, table: list[list[int]], positions: Iterator[np.ndarray]) -> list[tuple]:
-    decoded = m.decode_inner(table)
-    out = []
-    for p in positions:
-        at = p.tolist()
-        out.append(([i for k in at for i in table[k]], _strip_first(m, "".join([decoded[k] for k in at]))))
-    return out
+def _decimal(table: Table) -> Table:
+    """The ids of each chunk in decimal, each with a comma behind it."""
+    sizes, flat = [], []
+    for ids in table.lists():
+        texts = ["".join([f"{i}," for i in own]).encode() for own in ids]
+        sizes.append(np.fromiter(map(len, texts), np.int64, len(texts)))
+        flat.append(np.frombuffer(b"".join(texts), np.uint8))
+    return Table.of(sizes, flat, "u1")
 
 
-def _digest_rows(m: Model, table: list[list[int]], positions: Iterator[np.ndarray]) -> list[tuple]:
-    decoded = m.decode_inner(table)
-    text_ids = [",".join(map(str, ids)) for ids in table]
-    sizes = np.fromiter(map(len, table), np.int64, len(table))
+def _text(decoded: Table, at: np.ndarray) -> bytes:
+    """Decoding drops the mark that encoding put before the text."""
+    return decoded.join(at).tobytes().removeprefix(b" ")
+
+
+def _ids_and_text(m: Model, table: Table, positions: Iterator[np.ndarray]) -> list[pa.Array]:
+    decoded = _decoded(m, table)
+    ids, texts = bytearray(), bytearray()  # all documents one after another
+    id_ends, text_ends = [0], [0]
+    for at in positions:
+        ids += table.join(at).tobytes()
+        texts += _text(decoded, at)
+        id_ends.append(len(ids) // 4)
+        text_ends.append(len(texts))
+    return [
+        pa.ListArray.from_arrays(pa.array(id_ends, pa.int32()), pa.array(np.frombuffer(ids, "<i4"))),
+        pa.StringArray.from_buffers(len(text_ends) - 1, pa.py_buffer(np.array(text_ends, "<i4")), pa.py_buffer(texts)),
+    ]
+
+
+def _digest_rows(m: Model, table: Table, positions: Iterator[np.ndarray]) -> list[pa.Array]:
+    decoded, decimal, sizes = _decoded(m, table), _decimal(table), np.diff(table.ends)
     out = []
-    for p in positions:
-        at = p.tolist()
-        joined = ",".join([text_ids[k] for k in at])
-        text = _strip_first(m, "".join([decoded[k] for k in at]))
+    for at in positions:
+        listed = decimal.join(at)[:-1]  # without the last comma
         out.append(
-            (
-                int(sizes[p].sum()),
-                hashlib.sha256(joined.encode()).hexdigest(),
-                hashlib.sha256(text.encode()).hexdigest(),
-            )
+            (int(sizes[at].sum()), hashlib.sha256(listed).hexdigest(), hashlib.sha256(_text(decoded, at)).hexdigest())
         )
-    return out
+    return [pa.array(list(c)) for c in zip(*out)]
 
 
 def encode(docs: DataFrame, model: str, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -100,3 +101,38 @@ def test_blocks_are_cut_by_size(spark, model, sp, monkeypatch):
     df = spark.createDataFrame([(i, f"word{i % 3} and more words {i}") for i in range(60)], "doc_id long, text string")
     got = {r.doc_id: r.ids for r in pieces.encode(df, model).collect()}
     assert got == {r.doc_id: sp.encode(r.text) for r in df.collect()}
+
+
+def test_a_block_is_held_as_arrays(spark, model, sp, tmp_out):
+    """Python objects for every id of a block once took most of an executor's memory."""
+    sizes = f"{tmp_out}-sizes"
+
+    def finish(m, table, positions):
+        import sys
+
+        n = len(table.ends) - 1 if hasattr(table, "ends") else len(table)
+        with open(sizes, "a") as f:
+            print(n, sum(sys.getsizeof(x) for x in table), file=f)
+        return pieces._ids_and_text(m, table, positions)
+
+    texts = [" ".join(f"w{i * 100 + k}" for k in range(100)) for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.ids, r.decoded) for r in pieces.encode_documents(df, model, finish, "ids array<int>, decoded string").collect()}
+    assert got == {i: (sp.encode(t), t) for i, t in enumerate(texts)}
+    with open(sizes) as f:
+        n, size = map(sum, zip(*(map(int, line.split()) for line in f)))
+    assert n >= 20_000 and size < 48 * n
+
+
+def test_entries_are_joined_whatever_their_length(monkeypatch):
+    r = random.Random(6)
+    entries = [np.array([r.randrange(99) for _ in range(r.choice([0, 1, 3, 200]))], "<i4") for _ in range(50)]
+    table = pieces.Table.of([np.array([len(e) for e in entries])], entries, "<i4")
+    at = np.array([r.randrange(50) for _ in range(400)], np.uint32)
+    want = [i for k in at for i in entries[k].tolist()]
+    monkeypatch.setattr(pieces, "STEP", 7)
+    for long in (0, 32, 10**9):
+        monkeypatch.setattr(pieces, "LONG", long)
+        assert table.join(at).tolist() == want
+    assert table.join(at[:0]).tolist() == []
+    assert [e for some in table.lists() for e in some] == [e.tolist() for e in entries]
