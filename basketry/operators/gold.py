@@ -32,11 +32,12 @@ from basketry.functions.rules import (
     round_half_up,
 )
 from basketry.operators.ranking import rank_within_few
-from basketry.session import materialize
+from basketry.session import materialize_parts, scratch_path
 
 ROLLING_WINDOWS = (7, 30, 90)
 CUSTOMER_DAY = ["user_id", "creation_date"]
 LOCATION_DAY = ["creation_date", "restaurant_id"]
+LOCATION_INPUT = [*LOCATION_DAY, "order_id", "is_loyalty", "total_item_revenue"]  # what location_daily reads
 PERIODS = ("day", "week", "month")
 
 
@@ -188,6 +189,7 @@ def add_revenue_ranks(
     location: DataFrame,
     with_year: bool = False,
     money_precision: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """``revenue_rank_day/week/month``: rank of ``total_revenue`` (desc) within
     day-of-month, ISO week and month.
@@ -195,14 +197,18 @@ def add_revenue_ranks(
     Like the original job the periods ignore the year unless ``with_year``.
     Ranks are on the raw double; ``money_precision`` rounds it first, so that
     ties do not depend on floating-point summation order. The input is stored
-    once and all three ranks come from one frame of counts per value.
+    once (``stored`` vouches that it already is) and all three ranks come from
+    one frame of counts per value.
     """
     value = F.col("total_revenue")
     if money_precision is not None:
         value = round_half_up(value, money_precision)
     year = ["year"] if with_year else []
+    if not stored:
+        spark = location.sparkSession
+        location = materialize_parts(spark, [location], scratch_path(spark, "location-days"))
     return rank_within_few(
-        materialize(location), {f"revenue_rank_{p}": [*year, f"period_{p}"] for p in PERIODS}, value, descending=True
+        location, {f"revenue_rank_{p}": [*year, f"period_{p}"] for p in PERIODS}, value, descending=True
     )
 
 

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import materialize
+from basketry.session import materialize, materialize_parts, scratch_path
 
 
 def _as_col(c: Column | str) -> Column:
@@ -135,7 +135,8 @@ def rank_within_few(
     keyed = df.withColumn("_value", _as_col(value))
     order = F.col("_value").desc_nulls_last() if descending else F.col("_value").asc_nulls_first()
     combined = keyed.groupBy(*every, "_value").agg(F.count(F.lit(1)).alias("_n"))
-    placed = materialize(combined.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    placed = combined.repartitionByRange(order).withColumn("_range", F.spark_partition_id())
+    placed = materialize_parts(df.sparkSession, [placed], scratch_path(df.sparkSession, "rank-counts"))
     # every window below is satisfied by this one shuffle
     ranks = placed.repartition("_range")
     for name, cols in groupings.items():

@@ -112,7 +112,7 @@ def q_gold_location_daily(spark, d):
 
 
 def q_gold_location_ranked_by_year(spark, d):
-    ranked = gold.add_revenue_ranks(pl.location_daily(spark, d), with_year=True, money_precision=MONEY)
+    ranked = gold.add_revenue_ranks(pl.stored_location_daily(spark, d), with_year=True, money_precision=MONEY, stored=True)
     return rounded(ranked, money=LOCATION_MONEY, averages=("avg_order_value",))
 
 
