@@ -83,4 +83,4 @@ def stored_location_daily(spark: SparkSession, sf_dir: str, passes: int | None =
 
 
 def fact_orders_location(spark: SparkSession, sf_dir: str, money_precision: int | None = None) -> DataFrame:
-    return gold.add_revenue_ranks(location_daily(spark, sf_dir), money_precision=money_precision)
+    return gold.add_revenue_ranks(stored_location_daily(spark, sf_dir), money_precision=money_precision, stored=True)

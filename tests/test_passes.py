@@ -87,11 +87,17 @@ def test_pass_filter_reaches_the_scan(spark, tables, no_broadcast):
         assert at and all(a > j for a in at for j in joins), text
 
 
-def test_ranked_by_year_leaves_no_shuffle_files_of_stored_steps(spark, tables, no_broadcast):
+@pytest.mark.parametrize("name", ["gold_location_ranked", "gold_location_ranked_by_year"])
+def test_ranked_leaves_no_shuffle_files_of_stored_steps(spark, tables, no_broadcast, monkeypatch, name):
+    """Nor do the passes: the queries keep as many lines on disk as one pass has."""
     from basketry.plans import catalog
 
+    calls = []
+    monkeypatch.setattr(pl, "PASS_LINES", 1000)
+    monkeypatch.setattr(gold, "enrich_orders", lambda *a, _own=gold.enrich_orders: calls.append(a) or _own(*a))
     before = shuffle_files(spark)
-    df = catalog.q_gold_location_ranked_by_year(spark, tables)
+    df = catalog.queries()[name](spark, tables)
+    assert len(calls) == 2  # 1,700 lines
     assert settled_shuffle_files(spark, before) <= before
     assert df.count() > 20
 
